@@ -659,13 +659,16 @@ def aggregate_digest(spark, sf):
 
 def _recounts(spark: SparkSession, sf: str) -> DataFrame:
     """Recount records of all documents under two word patterns; stored is the first one."""
-    rows = stage(_shard_rows(spark, sf, []).select("source_config", "shard", "row", "doc_id"), "index")
-    texts = _docs(spark, sf, "source").select("doc_id", "text")
-    named = rows.join(texts, "doc_id").withColumn("shard", shard_name("source_config", "shard"))
-    plain, runs = _words(spark), _words(spark, WORD_PATTERN_DIGIT_RUNS)
-    baseline = reconcile.recount_records(named, txt.approx_tokens("text"), plain("text"))
-    candidate = reconcile.recount_records(named, txt.approx_tokens("text"), runs("text"))
-    return reconcile.pair_recounts(baseline, candidate)
+    name = shard_name("source_config", "shard").alias("shard")
+    index = stage(_shard_rows(spark, sf, []).select("doc_id", name, "row"), "index")
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+
+    def recount(pattern: str) -> DataFrame:
+        counted = _words(spark, pattern)("text")
+        records = reconcile.recount_records(docs, txt.approx_tokens("text"), counted, ["doc_id"])
+        return records.join(index, "doc_id").drop("doc_id")
+
+    return reconcile.pair_recounts(recount(WORD_PATTERN), recount(WORD_PATTERN_DIGIT_RUNS))
 
 
 _PAIRS = (
@@ -1321,3 +1324,433 @@ def multi_year_totals(spark, sf):
     return totals.drop("source_tib", "output_tib_all", "output_tib_at_target").withColumns(
         {n: F.round(n, places) for n, places in digits.items()}
     )
+
+
+# --- files, sinks and resume ---------------------------------------------------------------
+
+
+def _run(spark: SparkSession, sf: str, dump: str, rule: str, root: str, **options) -> DataFrame:
+    """A whole year built from the documents; budgets keep 40% of the tokens."""
+    docs = _docs(spark, sf, dump)
+    # A config pins rows per dump and the target, so both are read off the data first.
+    held = _counted(spark, sf, dump).groupBy("source_config").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("token_count").alias("tokens")
+    ).collect()
+    config = _config(
+        rule,
+        source={"configs": {row[0]: row["rows"] for row in held}},
+        target_tokens=sum(row["tokens"] for row in held) * 2 // 5,
+    )
+    spec = CounterSpec("regex")
+    return run_year(docs, config, root, counter=spec, rows_per_shard=SHARD_ROWS, **options)
+
+
+def _written(spark: SparkSession, root: str) -> DataFrame:
+    return sink.read_output(spark, root).groupBy("source_config", "shard").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("token_count").cast("bigint").alias("tokens"),
+        F.min("date").alias("date"),
+    )
+
+
+@query(
+    "write_shards",
+    _SHARDED + f"SELECT source_config, shard, rows, tokens, {YEAR} AS date FROM shards",
+)
+def write_shards(spark, sf):
+    """Retain-all year by source, written and read back."""
+    root = scratch_path(spark, "year")
+    _run(spark, sf, "source", "retain_all", root)
+    return _written(spark, root)
+
+
+_KEPT_SHARDS = (
+    _BUDGET
+    + f""", placed AS (SELECT *, (position // {SHARD_ROWS})::INT AS shard FROM kept),
+    written AS (
+      SELECT source_config, shard, count(*) AS rows, sum(token_count)::BIGINT AS tokens
+      FROM placed GROUP BY 1, 2)
+    """
+)
+
+
+@query("resume", _KEPT_SHARDS + f"SELECT *, {YEAR} AS date FROM written")
+def resume(spark, sf):
+    """Token-budget year by language, stopped after two dumps and run again."""
+    root = scratch_path(spark, "year")
+    _run(spark, sf, "lang", "token_budget", root, dumps=["fr", "de"])
+    _run(spark, sf, "lang", "token_budget", root)
+    return _written(spark, root)
+
+
+@query(
+    "output_contract",
+    _KEPT_SHARDS
+    + f"""SELECT {YEAR}::INT AS date, c.token_count::INT AS token_count, d.text
+    FROM kept c JOIN documents d USING (doc_id)""",
+)
+def output_contract(spark, sf):
+    """The rows of a budget year as a reader sees them."""
+    root = scratch_path(spark, "year")
+    _run(spark, sf, "lang", "token_budget", root)
+    return sink.read_output(spark, root).select("date", "token_count", "text")
+
+
+@query(
+    "sample_output",
+    _SAMPLE_PLAN
+    + f""", ranked AS (
+      SELECT lang AS source_config, {_W} AS token_count,
+        row_number() OVER (PARTITION BY lang ORDER BY {_key_sql('lang')}, doc_id) AS rn
+      FROM documents)
+    SELECT source_config, count(*) AS rows, sum(token_count)::BIGINT AS tokens
+    FROM ranked JOIN plans USING (source_config) WHERE rn <= row_target GROUP BY 1""",
+)
+def sample_output(spark, sf):
+    root = scratch_path(spark, "year")
+    _run(spark, sf, "lang", "token_budget", root, mode="sample")
+    return sink.read_output(spark, f"{root}/sample").groupBy("source_config").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens")
+    )
+
+
+@query(
+    "run_report",
+    _KEPT_SHARDS
+    + f""", per_dump AS (
+      SELECT source_config, count(*) AS rows, sum(token_count)::BIGINT AS tokens FROM kept GROUP BY 1)
+    SELECT 'full' AS mode, {YEAR} AS year, sum(rows)::BIGINT AS rows,
+      sum(tokens)::BIGINT AS token_count, false AS partial,
+      string_agg(source_config, ',' ORDER BY source_config) AS dumps_processed,
+      sum((rows + {SHARD_ROWS - 1}) // {SHARD_ROWS})::BIGINT AS shards FROM per_dump""",
+)
+def run_report_query(spark, sf):
+    report = _run(spark, sf, "lang", "token_budget", scratch_path(spark, "year"))
+    shards = F.aggregate(
+        "source_configs", F.lit(0).cast("bigint"), lambda total, entry: total + entry["shards"]
+    )
+    return report.select(
+        "mode", "year", "rows", "token_count", "partial",
+        F.concat_ws(",", "dumps_processed").alias("dumps_processed"), shards.alias("shards"),
+    )
+
+
+@query(
+    "verify_year",
+    """SELECT 'PASS' AS verdict, 0::BIGINT AS problems, count(DISTINCT lang) AS dumps
+    FROM documents""",
+)
+def verify_year(spark, sf):
+    """A budget year held against its own report, contract and footers."""
+    root = scratch_path(spark, "year")
+    report = stage(_run(spark, sf, "lang", "token_budget", root), "report")
+    shards = stage(verify.shard_totals(sink.read_output(spark, root), YEAR, check_text=True), "shards")
+    measured = verify.per_dump_rollup(shards, sink.output_files(spark, root))
+    entries = report.select(F.explode("source_configs").alias("entry")).select("entry.*")
+    available = _available(_docs(spark, sf, "lang", []))
+    said = verify.report_problems(entries, measured, available, "token_budget")
+    footers = files.footer_scan(files.list_files(spark, f"{root}/data"))
+    named = [
+        said.select("rule"),
+        verify.integrity_problems(shards, YEAR).select("rule"),
+        verify.schema_problems(footers, sink.OUTPUT_PHYSICAL).select(F.lit("schema").alias("rule")),
+    ]
+    verdict = verify.verdict(named[0].unionByName(named[1]).unionByName(named[2]))
+    dumps = measured.agg(F.count(F.lit(1)).alias("dumps")).withColumn("_one", F.lit(1))
+    return verdict.withColumn("_one", F.lit(1)).join(dumps, "_one").drop("_one")
+
+
+def _layout(spark: SparkSession, sf: str) -> str:
+    """The retain-all year by source, as files."""
+    root = scratch_path(spark, "year")
+    _run(spark, sf, "source", "retain_all", root)
+    return root
+
+
+@query(
+    "dump_discovery",
+    _SHARDED
+    + """SELECT source_config, count(*) AS shards FROM shards
+    WHERE starts_with(source_config, 'src1') GROUP BY 1""",
+)
+def dump_discovery(spark, sf):
+    found = files.dump_discovery(spark, f"{_layout(spark, sf)}/data", "src1", "source_config=")
+    return found.select("source_config", "shards")
+
+
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
+@query(
+    "footer_rows",
+    " UNION ALL ".join(f"SELECT '{name}.parquet' AS name, count(*) AS rows FROM {name}" for name in _TABLES),
+)
+def footer_rows(spark, sf):
+    """Row counts of every table from footers alone."""
+    listed = files.list_files(spark, sf)
+    footers = files.shard_footers(files.footer_scan(listed))
+    return footers.join(listed, "path").select("name", "rows")
+
+
+@query("footer_scan")
+def footer_scan(spark, sf):
+    footers = files.footer_scan(files.list_files(spark, sf))
+    return footers.withColumn("path", F.regexp_extract("path", r"([^/]+)$", 1))
+
+
+@query(
+    "row_slice_scan",
+    "SELECT doc_id, 0 AS row_group, doc_id AS row, length(text) AS chars FROM documents",
+)
+def row_slice_scan(spark, sf):
+    """The first twenty row groups of the file, found from its footer; the fixture has one."""
+    listed = files.list_files(spark, sf, "documents.parquet")
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    sliced = files.row_group_slice(
+        rows, files.footer_scan(listed), list(range(20)), ["doc_id", "text"]
+    )
+    return sliced.select("doc_id", "row_group", "row", txt.text_chars("text").alias("chars"))
+
+
+@query(
+    "storage_estimate",
+)
+def storage_estimate(spark, sf):
+    root = _layout(spark, sf)
+    listing = sink.output_files(spark, root).select("source_config", "path", "size")
+    footers = files.shard_footers(files.footer_scan(listing))
+    return project.storage_estimate(listing, footers, _available(_docs(spark, sf, "source", [])), 2)
+
+
+@query(
+    "storage_estimate_rows",
+    _SHARDED
+    + """SELECT source_config, sum(rows)::BIGINT AS expected_rows, count(*) AS source_shards,
+      sum(rows) FILTER (shard < 2)::BIGINT AS sampled_rows, (sum(rows) * 8)::BIGINT AS scalar_bytes
+    FROM shards GROUP BY 1""",
+)
+def storage_estimate_rows(spark, sf):
+    """The columns of the storage estimate that do not depend on how files are encoded."""
+    return storage_estimate(spark, sf).select(
+        "source_config", "expected_rows", "source_shards", "sampled_rows", "scalar_bytes"
+    )
+
+
+@query("output_ratio")
+def output_ratio(spark, sf):
+    """All documents written with two codecs."""
+    docs = _docs(spark, sf, "source")
+    rows = docs.select(
+        txt.date_literal(YEAR).alias("date"), "text",
+        txt.checked_int32(txt.approx_tokens("text")).alias("token_count"),
+    )
+    return project.output_ratio(rows, ["zstd", "snappy"])
+
+
+@query(
+    "manifest_files",
+    _SHARDED + "SELECT 'verified by sha256' AS status, count(*) AS files FROM shards",
+)
+def manifest_files(spark, sf):
+    """Written shards hashed in chunks, against hashes of their whole content."""
+    root = _layout(spark, sf)
+    local = files.file_digests(files.list_files(spark, f"{root}/data")).select("path", "size", "sha256")
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    remote = content.option("pathGlobFilter", "*.parquet").load(f"{root}/data").select(
+        "path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256")
+    )
+    diff = reconcile.manifest_diff(local, remote)
+    return diff.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query(
+    "publish_gate",
+    _KEPT_SHARDS
+    + """SELECT false AS partial, sum(rows)::BIGINT AS rows, sum(tokens)::BIGINT AS token_count,
+      count(*) AS expected_shards, count(*) AS shards, 0::BIGINT AS leftovers,
+      NULL::VARCHAR AS reason, true AS publishable FROM written""",
+)
+def publish_gate(spark, sf):
+    root = scratch_path(spark, "year")
+    report = _run(spark, sf, "lang", "token_budget", root)
+    shards = sink.output_files(spark, root)
+    leftovers = files.list_files(spark, f"{root}/data", "*.tmp")
+    return reconcile.publish_gate(report, shards, leftovers).drop("bytes")
+
+
+# --- streaming and progress ----------------------------------------------------------------
+
+
+@query(
+    "stream_count",
+    f"SELECT source AS source_config, doc_id, {_W} AS token_count FROM documents",
+)
+def stream_count(spark, sf):
+    """Documents arriving as many files, counted in several micro-batches and two runs."""
+    base = scratch_path(spark, "arrivals")
+    docs = _docs(spark, sf, "source").select("source_config", "doc_id", "text")
+    out, checkpoint = scratch_path(spark, "counted"), scratch_path(spark, "query")
+    half = F.col("doc_id") % 2
+    for turn in (0, 1):
+        docs.where(half == turn).repartition(4, "doc_id").write.mode("append").parquet(base)
+        stream = stream_counts.read_stream(spark, base, docs.schema, 3)
+        stream_counts.stream_count(stream, _words(spark), out, checkpoint)
+    return spark.read.parquet(out).select("source_config", "doc_id", "token_count")
+
+
+@query("stream_budget", _BUDGET + "SELECT source_config, doc_id, token_count FROM kept")
+def stream_budget(spark, sf):
+    """The budget of ``token_budget`` over arrivals in key order, in four runs."""
+    counted, plans = _staged_budget(spark, sf)
+    base, out = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    checkpoint = scratch_path(spark, "query")
+    for low, high in (("0", "4"), ("4", "8"), ("8", "c"), ("c", "g")):
+        arrived = counted.where((F.col("key") >= low) & (F.col("key") < high))
+        arrived.write.mode("append").parquet(base)
+        stream = stream_counts.read_stream(spark, base, counted.schema, 1000)
+        stream_budgets.stream_budget(stream, plans, out, checkpoint)
+    kept = stream_budgets.admitted(spark, out, counted.schema)
+    return kept.select("source_config", "doc_id", "token_count")
+
+
+_PROGRESS = _KEPT_SHARDS + """, done AS (
+      SELECT source_config, sum(rows)::BIGINT AS rows, sum(tokens)::BIGINT AS tokens,
+        count(*) AS shards FROM written WHERE shard < 2 GROUP BY 1)
+    """
+
+
+@query(
+    "progress_snapshot",
+    _PROGRESS
+    + """SELECT p.source_config, coalesce(d.rows, 0) AS rows, coalesce(d.tokens, 0) AS tokens,
+      coalesce(d.shards, 0) AS shards, 'tokens' AS unit, p.token_quota AS target,
+      coalesce(d.tokens, 0) AS done,
+      round(coalesce(coalesce(d.tokens, 0) * 100.0 / nullif(p.token_quota, 0), 0), 6) AS percent,
+      coalesce(d.tokens, 0) < p.token_quota AND coalesce(d.rows, 0) >= p.available_rows
+        AS source_exhausted
+    FROM plans p LEFT JOIN done d ON p.source_config = d.source_config""",
+)
+def progress_snapshot(spark, sf):
+    """A budget run seen after its second shard per dump."""
+    committed, plans = _budget_manifest(spark, sf)
+    snapshot = progress.progress_snapshot(committed.where("shard < 2"), plans)
+    return snapshot.withColumn("percent", F.round("percent", 6))
+
+
+@query(
+    "progress_rates",
+    _KEPT_SHARDS
+    + f""", per_turn AS (SELECT shard, sum(tokens) AS tokens FROM written GROUP BY 1),
+    history AS (
+      SELECT (shard + 1) * {RATE_SECONDS}::BIGINT AS taken_at,
+        (sum(tokens) OVER (ORDER BY shard))::BIGINT AS done,
+        (SELECT sum(token_quota) FROM plans)::BIGINT AS target FROM per_turn),
+    rated AS (
+      SELECT *, (done - lag(done) OVER (ORDER BY taken_at))::DOUBLE
+        / (taken_at - lag(taken_at) OVER (ORDER BY taken_at)) AS raw FROM history)
+    SELECT taken_at, done, target, round(raw, 6) AS rate,
+      round(greatest(0, target - done) / raw, 4) AS eta_seconds FROM rated""",
+)
+def progress_rates(spark, sf):
+    """One snapshot a minute, each after one more shard of every dump."""
+    committed, plans = _budget_manifest(spark, sf)
+    turns = committed.groupBy("shard").agg(F.sum("tokens").cast("bigint").alias("gained"))
+    upto = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    target = plans.agg(F.sum("token_quota").alias("target")).withColumn("_one", F.lit(1))
+    history = turns.select(
+        F.lit(1).alias("_one"),
+        ((F.col("shard") + 1) * RATE_SECONDS).cast("bigint").alias("taken_at"),
+        F.sum("gained").over(upto).cast("bigint").alias("done"),
+    ).join(F.broadcast(target), "_one").drop("_one")
+    rates = progress.progress_rates(history)
+    return rates.withColumns(
+        {"rate": F.round("rate", 6), "eta_seconds": F.round("eta_seconds", 4)}
+    )
+
+
+def _budget_manifest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    counted, plans = _staged_budget(spark, sf)
+    kept = select.token_budget(counted, plans)
+    order = ["key", "doc_id"]
+    placed = dense_index(kept, group="source_config", bucket="bucket", order=order)
+    shard = F.floor(F.col("position") / F.lit(SHARD_ROWS)).cast("int").alias("shard")
+    committed = placed.groupBy("source_config", shard).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens")
+    )
+    return committed, plans
+
+
+# --- byte-pair counters (no SQL equivalent) --------------------------------------------------
+
+
+def _bpe(kind: str, batch_size: int = 1024) -> CounterSpec:
+    import public_tokenizers
+
+    if kind == "bpe_ranks":
+        path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+        return CounterSpec(kind, path, public_tokenizers.PATTERN, batch_size)
+    return CounterSpec(kind, public_tokenizers.path("byte_bpe_50k.json"), batch_size=batch_size)
+
+
+@query("token_count_bpe")
+def token_count_bpe(spark, sf):
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+    count = token_count(spark, _bpe("bpe_ranks"))
+    return docs.select("doc_id", count("text").alias("token_count"))
+
+
+@query("token_ids_digest")
+def ids_digest(spark, sf):
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+    count = token_ids_digest(spark, _bpe("bpe_ranks"))
+    return docs.select("doc_id", count("text").alias("ids")).select("doc_id", "ids.*")
+
+
+@query("impl_agreement_bpe")
+def impl_agreement_bpe(spark, sf):
+    """Three byte-pair implementations of one vocabulary, against the stored first one."""
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+    kinds = ["bpe_fast", "bpe_batch", "bpe_ranks"]
+    counted = docs.select(
+        "doc_id", *(token_count(spark, _bpe(kind))("text").alias(kind) for kind in kinds)
+    )
+    long = reconcile.impl_agreement(stage(counted, "counted"), "bpe_fast", kinds, ["doc_id"])
+    return reconcile.agreement_summary(long)
+
+
+@query("batch_invariance")
+def batch_invariance(spark, sf):
+    """Per source: documents, and those whose batched count differs from counting them alone."""
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+    counted = stage(
+        docs.select(
+            "source_config", "doc_id",
+            token_count(spark, _bpe("bpe_fast"))("text").alias("batched"),
+            token_count(spark, _bpe("bpe_fast", batch_size=1))("text").alias("single"),
+        ),
+        "counted",
+    )
+    differs = reconcile.batch_invariance(counted, "batched", "single", ["doc_id"])
+    return (
+        counted.join(differs.select("doc_id", F.lit(1).alias("differs")), "doc_id", "left")
+        .groupBy("source_config")
+        .agg(F.count(F.lit(1)).alias("documents"), F.count("differs").alias("differing"))
+    )
+
+
+@query("token_budget_bpe")
+def token_budget_bpe(spark, sf):
+    """The flagship with the byte-pair counter: outcome per language of 40% of its tokens."""
+    docs = spread(_docs(spark, sf, "lang"), "doc_id")
+    count = token_count(spark, _bpe("bpe_ranks"))
+    narrow = docs.select("source_config", "doc_id", count("text").alias("token_count"))
+    counted = stage(select.seeded(narrow, SEED), "counted")
+    dumps = counted.groupBy("source_config").agg(
+        F.count(F.lit(1)).alias("available_rows"), F.sum("token_count").alias("tokens")
+    )
+    plans = pin_small(build_plans(dumps, _config("token_budget"), "full", target=_forty_percent()))
+    totals = select.selection_totals(select.token_budget(counted, plans))
+    return select.quota_outcome(totals, plans, SHARD_ROWS)

@@ -10,11 +10,12 @@ from corpusledger.sources.reports import report_entries
 KEY = ["shard", "row"]
 
 
-def recount_records(docs: DataFrame, stored: Column, recounted: Column) -> DataFrame:
-    """Recount records: ``docs`` needs shard, row and text."""
+def recount_records(
+    docs: DataFrame, stored: Column, recounted: Column, key: list[str] = KEY
+) -> DataFrame:
+    """Recount records of documents that carry ``key`` and text; the text itself goes no further."""
     return docs.select(
-        "shard",
-        F.col("row").cast("bigint").alias("row"),
+        *key,
         F.sha2("text", 256).alias("text_sha256"),
         F.length("text").cast("bigint").alias("text_chars"),
         F.octet_length("text").cast("bigint").alias("text_utf8_bytes"),

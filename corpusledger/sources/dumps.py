@@ -61,8 +61,3 @@ def documents(
     keep = ["doc_id", *(columns if columns is not None else ["text"])]
     return rows.select(F.col(dump_column).alias("source_config"), *keep)
 
-
-def row_slice(rows: DataFrame, first: int, last: int) -> DataFrame:
-    """Rows whose index within their file lies in ``[first, last)``."""
-    index = F.col("_metadata.row_index")
-    return rows.where((index >= first) & (index < last))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusledger.runtime import pin_small
+
 FOOTER_SCHEMA = (
     "path string, row_group int, rows bigint, col_index int, col string, type string, "
     "comp bigint, uncomp bigint, codec string"
@@ -126,6 +128,49 @@ def shard_footers(footers: DataFrame) -> DataFrame:
     )
 
 
+def plain_path(path: Column | str) -> Column:
+    """Listings and row metadata print local paths with one and three slashes; make them equal."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def row_group_slice(
+    rows: DataFrame, footers: DataFrame, groups: list[int], columns: list[str]
+) -> DataFrame:
+    """``columns`` of the rows in the chosen row groups of each file, with group and place in it.
+
+    ``rows`` is a Parquet read of the files the footers describe. Row groups become ranges of
+    the reader's row index; a file's ranges are one small array, so nothing is shuffled.
+    """
+    upto = Window.partitionBy("path").orderBy("row_group")
+    ranges = (
+        footers.where("col_index = 0")
+        .withColumn("last", F.sum("rows").over(upto))
+        .where(F.col("row_group").isin(*groups))
+        .groupBy(plain_path("path").alias("path"))
+        .agg(
+            F.collect_list(
+                F.struct("row_group", (F.col("last") - F.col("rows")).alias("first"), "last")
+            ).alias("ranges")
+        )
+    )
+    indexed = rows.select(
+        *columns,
+        plain_path("_metadata.file_path").alias("path"),
+        F.col("_metadata.row_index").alias("row_index"),
+    )
+    index = F.col("row_index")
+    inside = F.filter("ranges", lambda r: (index >= r["first"]) & (index < r["last"]))
+    return (
+        indexed.join(pin_small(ranges), "path")
+        .withColumn("range", F.get(inside, F.lit(0)))
+        .where(F.col("range").isNotNull())
+        .select(
+            *columns, "path", F.col("range.row_group").alias("row_group"),
+            (index - F.col("range.first")).alias("row"),
+        )
+    )
+
+
 def file_digests(files: DataFrame, chunk: int = 8 * 1024 * 1024) -> DataFrame:
     """Add the SHA-256 of each file, read in chunks inside the tasks.
 

@@ -25,7 +25,7 @@ def scan_reports(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Spark refuses a path that matches nothing, and so does this.
     """
     rows = spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(paths)
-    return rows.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return rows.select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
 def report_entries(reports: DataFrame) -> DataFrame:
