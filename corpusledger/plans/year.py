@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusledger.functions.counters import CounterSpec, token_count
@@ -20,8 +20,7 @@ from corpusledger.plans.config import RunConfig
 from corpusledger.runtime import pin_small, spread, stage_by
 from corpusledger.sinks.report import run_report
 from corpusledger.sinks.shards import (
-    commit_shards, committed_shards, output_rows, pending_shards, shards_of_totals, waves,
-    write_shards,
+    clear_dumps, commit_shards, committed_shards, pending_shards, shards_of_totals, waves, write_shards,
 )
 
 #: Candidates counted beyond the estimated share of a dump, so that one pass usually suffices.
@@ -60,13 +59,13 @@ def run_year(
     docs = docs.select(DUMP, "doc_id", checked_text(docs).alias("text"))
 
     committed = committed_shards(spark, target_root)
-    finished = _finished(committed, plans, rows_per_shard)
-    todo = plans.where(~F.col(DUMP).isin(*finished)) if finished else plans
+    finished = _finished(committed, plans)
     left = [name for name in rows if name not in finished]
     if left:
+        mine = F.col(DUMP).isin(*left)
         _write_dumps(
-            docs.where(F.col(DUMP).isin(*left)), todo, rows, config, target_root, counter,
-            rows_per_shard, rows_per_wave, committed.where(~F.col(DUMP).isin(*finished)) if finished else committed,
+            docs.where(mine), plans.where(mine), rows, config, target_root, counter,
+            rows_per_shard, rows_per_wave, committed.where(mine),
         )
     totals = (
         committed_shards(spark, target_root)
@@ -74,7 +73,8 @@ def run_year(
         .agg(F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"))
     )
     held = docs.groupBy(DUMP).agg(F.count(F.lit(1)).alias("held"))
-    known = plans.drop("available_rows").join(held, DUMP, "left").withColumnRenamed("held", "available_rows")
+    # Whether a source ran out is judged by what it holds, not by what the config expects.
+    known = plans.join(held, DUMP, "left").withColumn("available_rows", F.coalesce("held", F.lit(0)))
     return run_report(
         quota_outcome(totals, known, rows_per_shard), config.settings, list(config.dumps),
         mode=mode, counter=counter.kind, batch_size=counter.batch_size,
@@ -149,19 +149,26 @@ def _write_dumps(
         source = count_candidates(ordered, plans, count, digits, fraction)
         narrow = source.select(DUMP, "bucket", *order, "token_count")
         cuts, quota = budget_cuts(narrow, plans), "token_quota"
-        tokens: Column = F.col("token_count")
+        tokens = F.col("token_count")
     else:
         source = ordered
         narrow = ordered.select(DUMP, "bucket", *order)
-        _refuse_shortfall(narrow, plans)
-        cuts = find_cuts(
-            narrow, plans, group=DUMP, bucket="bucket", order=order, weight=F.lit(1),
-            quota="row_target",
-        )
-        quota, tokens = "row_target", None
+        quota, tokens = "row_target", count(F.col("text"))
+        cuts = None
+        if _has_surplus(narrow, plans):
+            cuts = find_cuts(
+                narrow, plans, group=DUMP, bucket="bucket", order=order, weight=F.lit(1),
+                quota=quota,
+            )
+
+    def keep(rows: DataFrame) -> DataFrame:
+        return rows if cuts is None else keep_prefix(rows, cuts, group=DUMP, order=order, quota=quota)
 
-    chosen = keep_prefix(narrow, cuts, group=DUMP, order=order, quota=quota)
-    totals = pin_small(chosen.groupBy(DUMP).agg(F.count(F.lit(1)).alias("rows")))
+    chosen = keep(narrow)
+    if budget:
+        totals = pin_small(chosen.groupBy(DUMP).agg(F.count(F.lit(1)).alias("rows")))
+    else:
+        totals = plans.select(DUMP, F.col("row_target").alias("rows"))
     bounds = shard_bounds(
         chosen, group=DUMP, bucket="bucket", order=order, rows_per_shard=rows_per_shard
     )
@@ -172,15 +179,12 @@ def _write_dumps(
 
     for wave in sorted(schedule):
         names = [row[DUMP] for row in schedule[wave]]
-        mine = keep_prefix(
-            source.where(F.col(DUMP).isin(*names)), cuts, group=DUMP, order=order, quota=quota
-        )
+        mine = keep(source.where(F.col(DUMP).isin(*names)))
         sharded = assign_shards(mine, bounds, group=DUMP, bucket="bucket", order=order)
-        if tokens is None:
-            sharded = spread(sharded, "doc_id").withColumn("token_count", count(F.col("text")))
-        output = output_rows(sharded, config.year, F.col("token_count"), keep=order)
+        clear_dumps(spark, root, names)
         write_shards(
-            output, order, root, sum(row["shards"] for row in schedule[wave]), config.compression
+            sharded, root, order=order, year=config.year, tokens=tokens,
+            shards=sum(row["shards"] for row in schedule[wave]), compression=config.compression,
         )
         commit_shards(spark, root, names)
 
@@ -191,18 +195,26 @@ def keep_estimate(config: RunConfig) -> float:
     return min(1.0, config.target_tokens / estimate) if estimate else 1.0
 
 
-def _finished(committed: DataFrame, plans: DataFrame, rows_per_shard: int) -> list[str]:
+def _finished(committed: DataFrame, plans: DataFrame) -> list[str]:
     """Dumps the manifest shows as complete: commits cover whole dumps."""
-    return [row[DUMP] for row in committed.select(DUMP).distinct().join(plans, DUMP).select(DUMP).collect()]
+    done = committed.groupBy(DUMP).agg(F.sum("rows").alias("done"))
+    found = done.join(plans, DUMP).select(DUMP, "done", "row_target").collect()
+    for row in found:
+        if row["row_target"] is not None and row["done"] > row["row_target"]:
+            raise ValueError(f"{row[DUMP]}: manifest has {row['done']} rows, plan {row['row_target']}")
+    return [row[DUMP] for row in found]
 
 
-def _refuse_shortfall(narrow: DataFrame, plans: DataFrame) -> None:
-    held = narrow.groupBy(DUMP).agg(F.count(F.lit(1)).alias("available_rows"))
+def _has_surplus(narrow: DataFrame, plans: DataFrame) -> bool:
+    """Whether any dump holds more rows than its target; holding fewer stops the run."""
+    held = pin_small(narrow.groupBy(DUMP).agg(F.count(F.lit(1)).alias("available_rows")))
     short = shortfalls(held, plans).collect()
     if short:
         raise RuntimeError(
             "; ".join(f"{r[DUMP]} holds {r['available_rows']} of {r['row_target']} rows" for r in short)
         )
+    above = F.col("available_rows") > F.col("row_target")
+    return bool(held.join(plans.select(DUMP, "row_target"), DUMP).where(above).limit(1).count())
 
 
 def _bucket_limit(fraction: float, buckets: int, at_least: int = 1) -> int:

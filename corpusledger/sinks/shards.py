@@ -14,7 +14,7 @@ OUTPUT_SCHEMA = "date int, text string, token_count int"
 OUTPUT_PHYSICAL = {"date": "INT32", "text": "BYTE_ARRAY", "token_count": "INT32"}
 MANIFEST_SCHEMA = "source_config string, shard int, rows bigint, tokens bigint"
 #: Shards one task writes, and the most tasks a wave asks for.
-SHARDS_PER_TASK = 8
+SHARDS_PER_TASK = 2
 MAX_WRITE_TASKS = 50_000
 
 
@@ -73,9 +73,7 @@ def pending_shards(planned: DataFrame, committed: DataFrame) -> DataFrame:
     """
     done = committed.groupBy("source_config").agg(F.sum("rows").alias("done"))
     plan = planned.groupBy("source_config").agg(F.sum("rows").alias("target"))
-    beyond = done.join(plan, "source_config", "left").where(
-        F.col("done") > F.coalesce("target", F.lit(0))
-    )
+    beyond = done.join(plan, "source_config").where(F.col("done") > F.col("target"))
     if beyond.limit(1).count():
         raise ValueError("the manifest holds more rows than the plan allows")
     return planned.join(
@@ -97,27 +95,41 @@ def waves(pending: DataFrame, rows_per_wave: int) -> DataFrame:
 
 
 def write_shards(
-    output: DataFrame, order: list[str], root: str, shards: int, compression: str = "zstd"
+    rows: DataFrame, root: str, *, order: list[str], year: int, tokens: Column, shards: int,
+    compression: str = "zstd",
 ) -> None:
     """Write rows that carry ``source_config`` and ``shard``: one file per shard, in order.
 
-    The only wide shuffle of text. Dynamic overwrite replaces just the shards of this write, so
-    repeating a wave after a crash changes nothing else.
+    The only wide shuffle of text. Tokens are counted behind it if ``tokens`` is a counter, so
+    the work spreads over shards however few splits the source has. It appends, so any output
+    committer will do; ``clear_dumps`` removes what a crashed wave left behind.
     """
-    tasks = max(1, min(MAX_WRITE_TASKS, -(-shards // SHARDS_PER_TASK)))
-    placed = output.repartition(tasks, "source_config", "shard").sortWithinPartitions(
-        "source_config", "shard", *order
-    )
+    spark = rows.sparkSession
+    keys = ["source_config", "shard"]
+    tasks = min(MAX_WRITE_TASKS, -(-shards // SHARDS_PER_TASK))
+    # Small waves take the session's partition count, which adaptive execution may lower.
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        placed = rows.repartition(tasks, *keys)
+    else:
+        placed = rows.repartition(*keys)
     (
-        placed.drop(*order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        output_rows(placed, year, tokens, keep=order)
+        .sortWithinPartitions(*keys, *order)
+        .drop(*order)
+        .write.mode("append")
         .option("compression", compression)
-        .partitionBy("source_config", "shard")
+        .partitionBy(*keys)
         .parquet(f"{root}/data")
     )
 
 
+def clear_dumps(spark: SparkSession, root: str, dumps: list[str]) -> None:
+    """Delete shards of dumps that were written but never reached the manifest."""
+    for name in dumps:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data/source_config={name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def commit_shards(spark: SparkSession, root: str, dumps: list[str]) -> None:
     """Append the shards of finished dumps to the manifest, measured from what was written."""
     written = read_output(spark, root).where(F.col("source_config").isin(*dumps))
