@@ -1577,8 +1577,8 @@ def publish_gate(spark, sf):
     root = scratch_path(spark, "year")
     report = _run(spark, sf, "lang", "token_budget", root)
     shards = sink.output_files(spark, root)
-    leftovers = files.list_files(spark, f"{root}/data", "*.tmp")
-    return reconcile.publish_gate(report, shards, leftovers).drop("bytes")
+    left = files.leftovers(spark, f"{root}/data")
+    return reconcile.publish_gate(report, shards, left).drop("bytes")
 
 
 # --- streaming and progress ----------------------------------------------------------------

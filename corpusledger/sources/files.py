@@ -27,7 +27,10 @@ def open_filesystem(path: str):
 
 
 def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> DataFrame:
-    """``(path, name, size, modified)`` of the files below ``base``; no content is read."""
+    """``(path, name, size, modified)`` of the files below ``base``; no content is read.
+
+    Spark's readers pass over empty files, and so does this listing; see ``leftovers``.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -42,6 +45,22 @@ def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> Da
     )
 
 
+def leftovers(spark: SparkSession, base: str, depth: int = 2) -> DataFrame:
+    """``(path, size)`` of what unfinished writers leave ``depth`` directories below ``base``.
+
+    Temporary files, empty ones included, and the working folders of output committers. There
+    are none after a clean run, so the driver can list them.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    globs = [f"{base}/_temporary"] + [f"{base}/{'*/' * level}*.tmp" for level in range(depth + 1)]
+    found = []
+    for glob in globs:
+        for status in filesystem.globStatus(spark._jvm.org.apache.hadoop.fs.Path(glob)) or []:
+            found.append((status.getPath().toString(), status.getLen()))
+    return spark.createDataFrame(found, "path string, size bigint")
+
+
 def dump_discovery(spark: SparkSession, base: str, prefix: str, parent: str = "") -> DataFrame:
     """Dumps below ``base`` whose directory name starts with ``prefix``: shards and bytes.
 

@@ -1,0 +1,123 @@
+"""Counters against the libraries called directly, digests, and the type guards."""
+
+import base64
+import hashlib
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from corpusledger.functions import text as txt
+from corpusledger.functions.counters import (
+    WORD_PATTERN, WORD_PATTERN_DIGIT_RUNS, CounterSpec, token_count, token_ids_digest,
+)
+from corpusledger.operators import reconcile
+
+tokenizers = pytest.importorskip("tokenizers")
+tiktoken = pytest.importorskip("tiktoken")
+vocabularies = pytest.importorskip("public_tokenizers")
+
+
+def spec(kind, batch_size=1024):
+    if kind == "bpe_ranks":
+        path = vocabularies.path("byte_bpe_50k.tiktoken")
+        return CounterSpec(kind, path, vocabularies.PATTERN, batch_size)
+    return CounterSpec(kind, vocabularies.path("byte_bpe_50k.json"), batch_size=batch_size)
+
+
+@pytest.fixture(scope="module")
+def expected(docs):
+    with open(vocabularies.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
+    encoding = tiktoken.Encoding(
+        "direct", pat_str=vocabularies.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    return {r["doc_id"]: encoding.encode_ordinary(r["text"]) for r in docs.collect()}
+
+
+def test_all_implementations_agree_whatever_the_batch(spark, docs, expected):
+    counted = docs.select(
+        "doc_id",
+        token_count(spark, spec("bpe_ranks"))("text").alias("ranks"),
+        token_count(spark, spec("bpe_fast"))("text").alias("fast"),
+        token_count(spark, spec("bpe_batch", 7))("text").alias("batch"),
+        token_count(spark, spec("bpe_fast", 1))("text").alias("single"),
+    ).collect()
+    # Fixed value: tokens of the smallest fixture under this vocabulary.
+    assert sum(row["ranks"] for row in counted) == 195_872
+    for row in counted:
+        want = len(expected[row["doc_id"]])
+        assert (row["ranks"], row["fast"], row["batch"], row["single"]) == (want,) * 4
+
+
+def test_id_digests(spark, docs, expected):
+    digest = token_ids_digest(spark, spec("bpe_ranks", 13))
+    rows = docs.select("doc_id", digest("text").alias("ids")).select("doc_id", "ids.*").collect()
+    for row in rows:
+        ids = expected[row["doc_id"]]
+        assert row["token_count"] == len(ids)
+        joined = ",".join(str(i) for i in ids).encode()
+        assert row["token_ids_sha256"] == hashlib.sha256(joined).hexdigest()
+
+
+def test_special_strings_are_ordinary_text(spark):
+    rows = spark.createDataFrame([("<|endoftext|>",), ("",)], "text string")
+    for kind in ("bpe_fast", "bpe_ranks"):
+        counts = [r[0] for r in rows.select(token_count(spark, spec(kind))("text")).collect()]
+        assert counts[0] > 1 and counts[1] == 0
+
+
+def test_regex_counter(spark):
+    rows = spark.createDataFrame([("Ab c1 23!! é世",), ("",), (" \n",)], "text string")
+
+    def counts(pattern):
+        count = token_count(spark, CounterSpec("regex", pattern=pattern))
+        return [r[0] for r in rows.select(count("text")).collect()]
+
+    assert counts(WORD_PATTERN) == [7, 0, 0]
+    assert counts(WORD_PATTERN_DIGIT_RUNS) == [6, 0, 0]
+
+
+def test_null_text_is_refused(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "text string")
+    with pytest.raises(PySparkException, match="null"):
+        rows.select(token_count(spark, spec("bpe_ranks"))("text")).collect()
+    with pytest.raises(PySparkException, match="must hold strings"):
+        rows.select(txt.checked_text(rows)).collect()
+    with pytest.raises(TypeError):
+        txt.checked_text(spark.range(1), "id")
+
+
+def test_counter_settings_are_checked():
+    for arguments in [("fast",), ("bpe_fast",), ("regex", None, "x", 0)]:
+        with pytest.raises(ValueError):
+            CounterSpec(*arguments)
+
+
+def test_int32_guard(spark):
+    fits = spark.createDataFrame([(2_147_483_647,)], "n bigint")
+    assert fits.select(txt.checked_int32(F.col("n")).alias("n")).first()["n"] == 2_147_483_647
+    above = spark.createDataFrame([(2_147_483_648,)], "n bigint")
+    with pytest.raises(PySparkException, match="32-bit"):
+        above.select(txt.checked_int32(F.col("n"))).collect()
+
+
+def test_lengths_of_astral_and_combining_text(spark):
+    text = "é\U0001f600"
+    row = spark.createDataFrame([(text,)], "text string").select(
+        txt.text_chars("text"), txt.text_bytes("text"), txt.text_digest("text"),
+        txt.approx_tokens("text"),
+    ).first()
+    assert tuple(row) == (3, 7, hashlib.sha256(text.encode()).hexdigest(), 1)
+
+
+def test_ratio_and_ceil(spark):
+    rows = spark.createDataFrame([(0, 0), (5, 2), (4, 2)], "a bigint, b bigint")
+    got = [tuple(r) for r in rows.select(txt.ratio(F.col("a"), F.col("b")), txt.ceil_div(F.col("a"), 2)).collect()]
+    assert got == [(None, 0), (2.5, 3), (2.0, 2)]
+
+
+def test_batch_invariance_lists_only_differences(spark):
+    rows = spark.createDataFrame([(1, 5, 5), (2, 5, 6)], "doc_id int, batched int, single int")
+    found = reconcile.batch_invariance(rows, "batched", "single", ["doc_id"]).collect()
+    assert [tuple(row) for row in found] == [(2, 5, 6)]
