@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Hex digits of the order key that name its bucket unless the dump sizes ask for more.
-DEFAULT_PREFIX = 3
-#: Rows a single bucket should hold on average.
-BUCKET_ROWS = 65_536
+#: A bucket of seeded order should hold at most about this many rows.
+BUCKET_ROWS = 1 << 18
+#: Leading bits of the order key that number its bucket where the dump sizes are not known.
+DEFAULT_BITS = 12
+#: Bits of the key a bucket number may use.
+KEY_BITS = 32
 #: ``id >> ID_BUCKET_BITS`` is the bucket of a unique integer id, so a bucket never holds more
 #: than 2**20 rows however the rows are spread over dumps.
 ID_BUCKET_BITS = 20
@@ -23,17 +25,19 @@ def shuffle_key(seed: int, dump: Column | str, doc_id: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), dump, doc_id.cast("string")))
 
 
-def prefix_length(largest_dump_rows: int) -> int:
-    """Hex digits needed so that a bucket of the largest dump holds about ``BUCKET_ROWS``."""
-    digits = 1
-    while largest_dump_rows > BUCKET_ROWS * 16**digits:
-        digits += 1
-    return max(digits, 2)
+def bucket_bits(rows: int) -> int:
+    """Leading key bits that split a dump of ``rows`` rows into buckets of about ``BUCKET_ROWS``."""
+    bits = 6
+    while rows > BUCKET_ROWS << bits and bits < KEY_BITS:
+        bits += 1
+    return bits
 
 
-def key_bucket(key: Column | str, digits: int = DEFAULT_PREFIX) -> Column:
-    """Leading hex digits of an order key; uniform whatever the dump sizes are."""
-    return F.substring(_col(key), 1, digits)
+def key_bucket(key: Column | str, bits: int | Column = DEFAULT_BITS) -> Column:
+    """Number of an order key's bucket: its leading bits, uniform whatever the dump sizes are."""
+    head = F.conv(F.substring(_col(key), 1, KEY_BITS // 4), 16, 10).cast("bigint")
+    shift = F.lit(KEY_BITS) - (F.lit(bits) if isinstance(bits, int) else bits)
+    return F.call_function("shiftright", head, shift)
 
 
 def id_bucket(doc_id: Column | str) -> Column:

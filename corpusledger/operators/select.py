@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusledger.functions.keys import DEFAULT_PREFIX, id_bucket, key_bucket, shuffle_key
+from corpusledger.functions.keys import DEFAULT_BITS, id_bucket, key_bucket, shuffle_key
 from corpusledger.functions.text import ceil_div
 from corpusledger.operators.prefix import dense_index, find_cuts, keep_prefix
 
 DUMP = "source_config"
 
 
-def seeded(docs: DataFrame, seed: int, digits: int = DEFAULT_PREFIX) -> DataFrame:
+def seeded(docs: DataFrame, seed: int, bits: int | Column = DEFAULT_BITS) -> DataFrame:
     """Add the order of a seeded shuffle: ``key``, and ``bucket`` for the prefix operators.
 
     A full uniform permutation per dump. Resuming replays it because it depends on the seed and
     the document alone.
     """
     keyed = docs.withColumn("key", shuffle_key(seed, DUMP, "doc_id"))
-    return keyed.withColumn("bucket", key_bucket("key", digits))
+    return keyed.withColumn("bucket", key_bucket("key", bits))
 
 
 def in_source_order(docs: DataFrame) -> DataFrame:
@@ -31,10 +31,10 @@ SEEDED_ORDER = ["key", "doc_id"]
 SOURCE_ORDER = ["doc_id"]
 
 
-def seeded_shuffle(docs: DataFrame, seed: int, digits: int = DEFAULT_PREFIX) -> DataFrame:
+def seeded_shuffle(docs: DataFrame, seed: int, bits: int | Column = DEFAULT_BITS) -> DataFrame:
     """Every document's position in its dump's shuffled order."""
     return dense_index(
-        seeded(docs, seed, digits), group=DUMP, bucket="bucket", order=SEEDED_ORDER
+        seeded(docs, seed, bits), group=DUMP, bucket="bucket", order=SEEDED_ORDER
     )
 
 

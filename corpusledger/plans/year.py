@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusledger.functions.counters import CounterSpec, token_count
-from corpusledger.functions.keys import prefix_length
+from corpusledger.functions.keys import bucket_bits
 from corpusledger.functions.text import checked_text
 from corpusledger.operators.prefix import assign_shards, find_cuts, keep_prefix, shard_bounds
 from corpusledger.operators.select import (
@@ -25,6 +25,8 @@ from corpusledger.sinks.shards import (
 
 #: Candidates counted beyond the estimated share of a dump, so that one pass usually suffices.
 MARGIN = 1.05
+#: Candidate ranges are cut at multiples of 1/65,536 of the key space (four hex digits).
+SLOTS = 16**4
 ROWS_PER_WAVE = 500_000_000
 
 
@@ -81,54 +83,52 @@ def run_year(
     )
 
 
-def count_candidates(
-    docs: DataFrame, plans: DataFrame, count, digits: int, fraction: float
-) -> DataFrame:
-    """Stage (dump, bucket, key, doc_id, text, token_count) of enough documents for every quota.
+def count_candidates(docs: DataFrame, plans: DataFrame, count, fraction: float) -> DataFrame:
+    """Stage documents with key, bucket, text and token_count, enough of them for every quota.
 
     Selection is a prefix in key order, so documents beyond it need no counting. Each round
-    counts the next range of buckets per dump; dumps that met their quota, or have no buckets
-    left, drop out. ``fraction`` estimates the share a budget keeps; 1 counts everything at once.
+    counts the next range of keys per dump; dumps that met their quota, or have no keys left,
+    drop out. ``fraction`` estimates the share a budget keeps; 1 counts everything at once.
     """
     spark = docs.sparkSession
-    buckets = 16**digits
+    # Everything kept here is one number per dump of the config.
     quotas = {row[DUMP]: row["token_quota"] for row in plans.select(DUMP, "token_quota").collect()}
-    start = {name: 0 for name in quotas}
-    stop = {name: _bucket_limit(fraction * MARGIN, buckets) for name in quotas}
+    ranges = {name: (0, _slots(fraction * MARGIN)) for name in quotas}
     staged: DataFrame | None = None
-    while start:
-        ranges = spark.createDataFrame(
-            [(name, _hex(start[name], digits), _hex(stop[name], digits)) for name in start],
+    while ranges:
+        limits = spark.createDataFrame(
+            [(name, _slot_key(first), _slot_key(last)) for name, (first, last) in ranges.items()],
             f"{DUMP} string, first string, last string",
         )
-        # The limits are one row per dump of the config.
-        part = docs.join(pin_small(ranges), DUMP).where(
-            (F.col("bucket") >= F.col("first")) & (F.col("bucket") < F.col("last"))
-        )
-        part = spread(part.drop("first", "last"), "doc_id")
-        part = stage_by(part.withColumn("token_count", count(F.col("text"))), "counted", DUMP)
+        inside = (F.col("key") >= F.col("first")) & (F.col("key") < F.col("last"))
+        part = docs.join(pin_small(limits), DUMP).where(inside).drop("first", "last")
+        part = spread(part, "doc_id").withColumn("token_count", count(F.col("text")))
+        part = stage_by(part, "counted", DUMP)
         staged = part if staged is None else staged.unionByName(part)
-        counted = {
-            row[DUMP]: row["tokens"]
-            for row in staged.groupBy(DUMP).agg(F.sum("token_count").alias("tokens")).collect()
-        }
-        short = [
-            name for name in start
-            if stop[name] < buckets and (counted.get(name) or 0) < quotas[name]
-        ]
-        reached = {name: stop[name] for name in short}
-        stop = {
-            name: _bucket_limit(
-                stop[name] / buckets * MARGIN
-                * min(quotas[name] / max(counted.get(name) or 0, 1), 4.0), buckets,
-                at_least=stop[name] + 1,
-            )
-            for name in short
+        totals = staged.groupBy(DUMP).agg(F.sum("token_count").alias("tokens")).collect()
+        counted = {row[DUMP]: row["tokens"] for row in totals}
+        ranges = {
+            name: (last, _slots(last / SLOTS * MARGIN * _growth(quotas[name], counted.get(name, 0)), last + 1))
+            for name, (_, last) in ranges.items()
+            if last < SLOTS and counted.get(name, 0) < quotas[name]
         }
-        start = reached
     return staged
 
 
+def _slots(fraction: float, at_least: int = 1) -> int:
+    return min(SLOTS, max(at_least, math.ceil(fraction * SLOTS)))
+
+
+def _slot_key(slot: int) -> str:
+    """The key a slot starts with; the end of the last slot sorts after every key."""
+    return format(slot, "04x") if slot < SLOTS else "g"
+
+
+def _growth(quota: int, tokens: int) -> float:
+    """How much longer a prefix must get to meet its quota, at most fourfold per round."""
+    return min(quota / max(tokens, 1), 4.0)
+
+
 def _write_dumps(
     docs: DataFrame, plans: DataFrame, plan_rows: dict, config: RunConfig, root: str,
     counter: CounterSpec, rows_per_shard: int, rows_per_wave: int, committed: DataFrame,
@@ -137,16 +137,15 @@ def _write_dumps(
     count = token_count(spark, counter)
     one = next(iter(plan_rows.values()))
     budget = one["token_quota"] is not None
-    digits = prefix_length(max(row["available_rows"] for row in plan_rows.values()))
 
     if one["shuffle"]:
-        ordered, order = seeded(docs, one["seed"], digits), SEEDED_ORDER
+        ordered, order = seeded(docs, one["seed"], _bits_of_dump(plan_rows)), SEEDED_ORDER
     else:
         ordered, order = in_source_order(docs), SOURCE_ORDER
 
     if budget:
         fraction = keep_estimate(config)
-        source = count_candidates(ordered, plans, count, digits, fraction)
+        source = count_candidates(ordered, plans, count, fraction)
         narrow = source.select(DUMP, "bucket", *order, "token_count")
         cuts, quota = budget_cuts(narrow, plans), "token_quota"
         tokens = F.col("token_count")
@@ -217,10 +216,7 @@ def _has_surplus(narrow: DataFrame, plans: DataFrame) -> bool:
     return bool(held.join(plans.select(DUMP, "row_target"), DUMP).where(above).limit(1).count())
 
 
-def _bucket_limit(fraction: float, buckets: int, at_least: int = 1) -> int:
-    return min(buckets, max(at_least, math.ceil(fraction * buckets)))
-
-
-def _hex(bucket: int, digits: int) -> str:
-    """Bucket number as the digits that open its keys; past the last bucket sorts after all."""
-    return "g" if bucket >= 16**digits else format(bucket, f"0{digits}x")
+def _bits_of_dump(plan_rows: dict) -> Column:
+    """Bucket bits by dump size, so that small dumps do not get the buckets of a large one."""
+    pairs = [F.lit(part) for name, row in plan_rows.items() for part in (name, bucket_bits(row["available_rows"]))]
+    return F.element_at(F.create_map(*pairs), F.col(DUMP))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.text import checked_text
+from corpusledger.runtime import pin_small
 
 SOURCE_SCHEMA = "text string, source_config string"
+#: File tables up to this size are broadcast to number rows without shuffling text.
+MAX_FILE_ROWS = 1_000_000
 
 
 def scan_dumps(spark: SparkSession, base: str, dumps: list[str] | None = None) -> DataFrame:
@@ -33,10 +36,6 @@ def source_positions(rows: DataFrame) -> DataFrame:
     Per-file row counts are pre-aggregated and only their running sum is windowed, so rows are
     not shuffled. Valid before any filter only.
     """
-    from pyspark.sql import Window
-
-    from corpusledger.runtime import pin_small
-
     earlier = Window.partitionBy("source_config").orderBy("file_name").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -44,7 +43,8 @@ def source_positions(rows: DataFrame) -> DataFrame:
         rows.groupBy("source_config", "file_name")
         .agg((F.max("row_index") + 1).alias("file_rows"))
         .withColumn("file_base", F.coalesce(F.sum("file_rows").over(earlier), F.lit(0)))
-        .select("source_config", "file_name", "file_base")
+        .select("source_config", "file_name", "file_base"),
+        MAX_FILE_ROWS,
     )
     return (
         rows.join(bases, ["source_config", "file_name"])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from corpusledger.functions.keys import bucket_bits, key_bucket
 from corpusledger.operators import prefix, select
 from corpusledger.runtime import pin_small, stage
 
@@ -27,7 +28,7 @@ def loop(docs, quotas):
 
 def corpus(spark, rows):
     keyed = select.seeded(
-        spark.createDataFrame(rows, "source_config string, doc_id bigint, token_count bigint"), 7, 1
+        spark.createDataFrame(rows, "source_config string, doc_id bigint, token_count bigint"), 7, 4
     )
     return stage(keyed, "docs")
 
@@ -122,6 +123,22 @@ def test_shuffle_is_a_permutation_that_depends_on_the_seed(spark, docs):
     assert all(sorted(found) == list(range(len(found))) for found in counts.values())
 
 
+def test_bucket_sizes():
+    assert bucket_bits(0) == bucket_bits(1000) == 6
+    for rows in (10**8, 7 * 10**9, 2 * 10**10):
+        assert 1 << 17 <= rows / 2 ** bucket_bits(rows) <= 1 << 18
+    assert bucket_bits(10**30) == 32
+
+
+def test_buckets_follow_the_key(spark):
+    keys = ["00000000f", "0fffffff0", "10000000a", "80000000b", "ffffffffc"]
+    rows = spark.createDataFrame([(k,) for k in keys], "key string")
+    for bits, expected in [(4, [0, 0, 1, 8, 15]), (1, [0, 0, 0, 1, 1])]:
+        assert [r[0] for r in rows.select(key_bucket("key", bits)).collect()] == expected
+    by_row = rows.withColumn("bits", F.when(F.col("key") < "8", 4).otherwise(1))
+    assert [r[0] for r in by_row.select(key_bucket("key", F.col("bits"))).collect()] == [0, 0, 1, 1, 1]
+
+
 def test_dense_index_crosses_id_buckets(spark):
     ids = [5, (1 << 20) - 1, 1 << 20, (1 << 20) + 7, 3 << 20, (9 << 20) + 1]
     docs = spark.createDataFrame([("a", i) for i in ids], "source_config string, doc_id bigint")
@@ -133,7 +150,7 @@ def test_dense_index_crosses_id_buckets(spark):
 
 @pytest.mark.parametrize("size", [1, 3, 7, 100, 1000])
 def test_shard_assignment_equals_position(spark, docs, size):
-    keyed = stage(select.seeded(docs.drop("text"), 3, 1), "keyed")
+    keyed = stage(select.seeded(docs.drop("text"), 3, 4), "keyed")
     names = dict(group="source_config", bucket="bucket", order=ORDER)
     bounds = prefix.shard_bounds(keyed, rows_per_shard=size, **names)
     assigned = prefix.assign_shards(keyed, bounds, **names).select("doc_id", "shard")

@@ -89,8 +89,7 @@ def test_retain_all(spark, docs, held, counted):
 def test_budget_is_resumable(spark, docs, held, counted, target, monkeypatch):
     settings = config(held, "token_budget", target)
     plans = build_plans(config_dumps(spark, settings), settings, "full")
-    digits = 2
-    keyed = stage(select.seeded(counted, 9, digits), "keyed")
+    keyed = stage(select.seeded(counted, 9), "keyed")
     chosen = select.token_budget(keyed, plans).orderBy("source_config", "key", "doc_id").collect()
 
     whole = scratch_path(spark, "year")
@@ -137,9 +136,9 @@ def test_candidate_rounds_find_the_same_documents(spark, docs, held, counted, ta
     settings = config(held, "token_budget", target)
     plans = build_plans(config_dumps(spark, settings), settings, "full")
     count = token_count(spark, REGEX)
-    keyed = select.seeded(docs, 9, 2)
-    everything = select.token_budget(year.count_candidates(keyed, plans, count, 2, 1.0), plans)
-    few = year.count_candidates(keyed, plans, count, 2, 0.05)
+    keyed = select.seeded(docs, 9, 5)
+    everything = select.token_budget(year.count_candidates(keyed, plans, count, 1.0), plans)
+    few = year.count_candidates(keyed, plans, count, 0.05)
     assert few.count() < sum(held.values())
     pruned = select.token_budget(few, plans)
     ids = [sorted(r["doc_id"] for r in df.select("doc_id").collect()) for df in (everything, pruned)]
