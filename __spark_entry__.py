@@ -117,18 +117,17 @@ def _staged_budget(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _forty_percent():
-    return F.floor(F.sum("tokens").over(Window.partitionBy()) * 2 / F.lit(5)).cast("bigint")
+    return txt.int_div(F.sum("tokens").over(Window.partitionBy()) * 2, 5)
 
 
 def _shard_rows(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
     """Documents of each source in source order with shard number and row in shard."""
     docs = select.in_source_order(_docs(spark, sf, "source", columns))
     placed = dense_index(docs, group="source_config", bucket="bucket", order=["doc_id"])
-    size = F.lit(SHARD_ROWS)
     return placed.drop("bucket").withColumns(
         {
-            "shard": F.floor(F.col("position") / size).cast("int"),
-            "row": (F.col("position") % size).cast("bigint"),
+            "shard": txt.int_div("position", SHARD_ROWS).cast("int"),
+            "row": (F.col("position") % SHARD_ROWS).cast("bigint"),
         }
     )
 
@@ -410,7 +409,7 @@ def keep_fraction_query(spark, sf):
         F.count(F.lit(1)).alias("rows"), F.sum("token_count").alias("tokens")
     )
     every = F.sum("tokens").over(Window.partitionBy())
-    years = years.withColumn("target", F.floor(every / F.lit(5)).cast("bigint"))
+    years = years.withColumn("target", txt.int_div(every, 5))
     kept = keep_fraction(years, F.col("target"), projected="tokens", rows="rows")
     return kept.select(
         "source_config", "rows", "tokens",
@@ -662,13 +661,13 @@ def _recounts(spark: SparkSession, sf: str) -> DataFrame:
     name = shard_name("source_config", "shard").alias("shard")
     index = stage(_shard_rows(spark, sf, []).select("doc_id", name, "row"), "index")
     docs = spread(_docs(spark, sf, "source"), "doc_id")
-
-    def recount(pattern: str) -> DataFrame:
-        counted = _words(spark, pattern)("text")
-        records = reconcile.recount_records(docs, txt.approx_tokens("text"), counted, ["doc_id"])
-        return records.join(index, "doc_id").drop("doc_id")
-
-    return reconcile.pair_recounts(recount(WORD_PATTERN), recount(WORD_PATTERN_DIGIT_RUNS))
+    plain, runs = _words(spark), _words(spark, WORD_PATTERN_DIGIT_RUNS)
+    counted = reconcile.recount_records(
+        docs, txt.approx_tokens("text"), plain("text"), ["doc_id"], runs=runs("text")
+    )
+    baseline = stage(counted.join(index, "doc_id").drop("doc_id"), "recounts")
+    candidate = baseline.withColumn("recounted_token_count", F.col("runs"))
+    return reconcile.pair_recounts(baseline, candidate)
 
 
 _PAIRS = (
@@ -758,7 +757,7 @@ def report_vs_measured(spark, sf):
         F.sum(_words(spark, WORD_PATTERN_DIGIT_RUNS)("text")).alias("token_count"),
     ).withColumns(
         {
-            "shards": F.floor(F.col("rows") / F.lit(SHARD_ROWS)).cast("bigint"),
+            "shards": txt.int_div("rows", SHARD_ROWS),
             "token_quota": F.lit(None).cast("bigint"),
             "source_exhausted": F.lit(False),
         }
@@ -773,7 +772,7 @@ def _worker_entries(spark: SparkSession, sf: str) -> DataFrame:
     dumps = _counted(spark, sf, "source").groupBy("source_config").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("token_count").alias("token_count")
     )
-    quota = F.floor(F.sum("token_count").over(Window.partitionBy()) / F.lit(20)).cast("bigint")
+    quota = txt.int_div(F.sum("token_count").over(Window.partitionBy()), 20)
     number = F.substring("source_config", 4, 9).cast("int")
     reached = F.col("token_count") >= F.col("token_quota")
     return dumps.withColumn("token_quota", quota).withColumns(
@@ -865,6 +864,7 @@ def _two_counters(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", plain("text").alias("stored"), plain("text").alias("words"),
         runs("text").alias("digit_runs"),
     )
+    counted = stage(counted, "counted")
     return reconcile.impl_agreement(counted, "stored", ["words", "digit_runs"], ["doc_id"])
 
 
@@ -1071,7 +1071,7 @@ _YEAR_OF_SOURCE = "2017 + substr(source_config, 4)::INT // 7"
 
 def _year_of_source():
     number = F.substring("source_config", 4, 9).cast("int")
-    return (F.lit(2017) + F.floor(number / F.lit(7))).cast("int")
+    return (F.lit(2017) + txt.int_div(number, 7)).cast("int")
 
 
 _SYSTEMATIC = (
@@ -1676,7 +1676,7 @@ def _budget_manifest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     kept = select.token_budget(counted, plans)
     order = ["key", "doc_id"]
     placed = dense_index(kept, group="source_config", bucket="bucket", order=order)
-    shard = F.floor(F.col("position") / F.lit(SHARD_ROWS)).cast("int").alias("shard")
+    shard = txt.int_div("position", SHARD_ROWS).cast("int").alias("shard")
     committed = placed.groupBy("source_config", shard).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens")
     )

@@ -61,10 +61,15 @@ def percent(part: Column, whole: Column) -> Column:
     return ratio(part, whole) * F.lit(100.0)
 
 
-def ceil_div(count: Column, size: int) -> Column:
+def int_div(count: Column | str, size: int) -> Column:
+    """Whole part of a division of integers, without going through doubles."""
+    return F.call_function("div", count, F.lit(size))
+
+
+def ceil_div(count: Column | str, size: int) -> Column:
     """Number of shards of ``size`` rows that ``count`` rows fill."""
-    whole = F.floor(count / F.lit(size)).cast("bigint")
-    return F.when(count % F.lit(size) == 0, whole).otherwise(whole + 1)
+    count = F.col(count) if isinstance(count, str) else count
+    return int_div(count + F.lit(size - 1).cast("bigint"), size)
 
 
 def gib(size: Column) -> Column:

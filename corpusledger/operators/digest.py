@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusledger.functions.text import int_div
+
 #: Shards whose digests are folded together before a dump's digest is taken.
 SHARDS_PER_BLOCK = 1024
 
@@ -25,7 +27,7 @@ def digest_tree(rows: DataFrame) -> DataFrame:
     shards = rows.groupBy("source_config", "shard").agg(
         F.count(F.lit(1)).alias("rows"), _fold(["row"], "digest").alias("digest")
     )
-    block = F.floor(F.col("shard") / F.lit(SHARDS_PER_BLOCK)).alias("block")
+    block = int_div("shard", SHARDS_PER_BLOCK).alias("block")
     blocks = shards.groupBy("source_config", block).agg(
         F.count(F.lit(1)).alias("shards"),
         F.sum("rows").alias("rows"),

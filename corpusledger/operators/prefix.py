@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusledger.functions.text import int_div
 from corpusledger.runtime import pin_small
 
 #: Bucket tables up to this size are broadcast to assign shards without shuffling text.
@@ -104,9 +105,8 @@ def shard_bounds(
     once, to its shard. A bucket's list is at most its rows divided by the shard size.
     """
     indexed = dense_index(rows, group=group, bucket=bucket, order=order)
-    size = F.lit(rows_per_shard)
-    shard = F.floor(F.col("position") / size).cast("int")
-    starts = F.when(F.col("position") % size == 0, F.struct(*order))
+    shard = int_div("position", rows_per_shard).cast("int")
+    starts = F.when(F.col("position") % rows_per_shard == 0, F.struct(*order))
     bounds = indexed.groupBy(group, bucket).agg(
         F.min(shard).alias("first_shard"),
         # The first row of the bucket is no later start even if it opens a shard.

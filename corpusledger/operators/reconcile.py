@@ -11,9 +11,13 @@ KEY = ["shard", "row"]
 
 
 def recount_records(
-    docs: DataFrame, stored: Column, recounted: Column, key: list[str] = KEY
+    docs: DataFrame, stored: Column, recounted: Column, key: list[str] = KEY, **extra: Column
 ) -> DataFrame:
-    """Recount records of documents that carry ``key`` and text; the text itself goes no further."""
+    """Recount records of documents that carry ``key`` and text; the text itself goes no further.
+
+    Stage the result before comparing: Catalyst copies a counter into the null checks it derives
+    from a comparison, and would count every text twice.
+    """
     return docs.select(
         *key,
         F.sha2("text", 256).alias("text_sha256"),
@@ -21,29 +25,35 @@ def recount_records(
         F.octet_length("text").cast("bigint").alias("text_utf8_bytes"),
         stored.cast("bigint").alias("stored_token_count"),
         recounted.cast("bigint").alias("recounted_token_count"),
+        *(column.alias(name) for name, column in extra.items()),
     )
 
 
 def pair_recounts(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     """Both recounts side by side; a document in only one of them fails the query.
 
-    (shard, row) is unique on both sides, so the join has no hot key.
+    (shard, row) is unique on both sides, so the join has no hot key. Every column carries the
+    coverage check. It reads both sides, so neither pruning columns nor a later filter that
+    rejects nulls, which would turn the outer join into an inner one, can lose it.
     """
-    message = F.lit("the two recounts do not cover the same documents")
     joined = baseline.alias("base").join(candidate.alias("cand"), KEY, "full_outer")
     one_sided = F.col("base.text_sha256").isNull() | F.col("cand.text_sha256").isNull()
-    # A filter, so that no column selection can prune the check away.
-    covered = F.when(one_sided, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return joined.where(covered).select(
+    message = F.lit("the two recounts do not cover the same documents")
+
+    def checked(name: str, source: str, kind: str = "bigint") -> Column:
+        error = F.raise_error(message).cast(kind)
+        return F.when(one_sided, error).otherwise(F.col(source)).alias(name)
+
+    return joined.select(
         *KEY,
-        F.col("base.text_sha256").alias("text_sha256"),
-        F.col("cand.text_sha256").alias("candidate_text_sha256"),
-        F.col("base.text_chars").alias("text_chars"),
-        F.col("base.text_utf8_bytes").alias("text_utf8_bytes"),
-        F.col("base.stored_token_count").alias("stored_token_count"),
-        F.col("cand.stored_token_count").alias("candidate_stored"),
-        F.col("base.recounted_token_count").alias("baseline_token_count"),
-        F.col("cand.recounted_token_count").alias("candidate_token_count"),
+        checked("text_sha256", "base.text_sha256", "string"),
+        checked("candidate_text_sha256", "cand.text_sha256", "string"),
+        checked("text_chars", "base.text_chars"),
+        checked("text_utf8_bytes", "base.text_utf8_bytes"),
+        checked("stored_token_count", "base.stored_token_count"),
+        checked("candidate_stored", "cand.stored_token_count"),
+        checked("baseline_token_count", "base.recounted_token_count"),
+        checked("candidate_token_count", "cand.recounted_token_count"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusledger.functions.text import ceil_div, int_div
 from corpusledger.runtime import pin_small
 
 
@@ -24,7 +25,7 @@ def cluster_sample(
     count. The chosen (shard, group) pairs are at most ``shard_count`` rows, so picking their rows
     is a broadcast join, and the final rank sees one row group per shard.
     """
-    groups = F.sequence(F.lit(0), (F.ceil(F.col("rows") / F.lit(group_rows)) - 1).cast("int"))
+    groups = F.sequence(F.lit(0), (ceil_div("rows", group_rows) - 1).cast("int"))
     first = Window.partitionBy("shard").orderBy(seeded_rank(seed, "shard", "row_group"), "row_group")
     chosen = pin_small(
         shards.where("rows > 0")
@@ -38,7 +39,7 @@ def cluster_sample(
     rank = F.row_number().over(
         Window.partitionBy("shard").orderBy(seeded_rank(seed, "shard", "row"), "row")
     )
-    group = F.floor(F.col("row") / F.lit(group_rows)).cast("int")
+    group = int_div("row", group_rows).cast("int")
     return (
         rows.withColumn("row_group", group)
         .join(chosen, ["shard", "row_group"])
@@ -74,7 +75,7 @@ def systematic_dumps(dumps: DataFrame, count: int, by: list[str] | None = None)
     order = Window.partitionBy(*by).orderBy("source_config")
     place = F.row_number().over(order) - 1
     total = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    step = F.greatest(F.lit(1), F.floor(total / F.lit(count)).cast("int"))
+    step = F.greatest(F.lit(1), int_div(total, count).cast("int"))
     return (
         dumps.withColumns({"_place": place, "_step": step})
         .where((F.col("_place") % F.col("_step") == 0) & (F.col("_place") < F.col("_step") * count))
@@ -88,7 +89,7 @@ def middle_shards(shards: DataFrame) -> DataFrame:
     total = F.count(F.lit(1)).over(Window.partitionBy("source_config"))
     return (
         shards.withColumns({"_place": place, "_total": total})
-        .where(F.col("_place") == F.floor(F.col("_total") / F.lit(2)))
+        .where(F.col("_place") == int_div("_total", 2))
         .drop("_place", "_total")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
-from corpusledger.functions.text import checked_int32, date_literal
+from corpusledger.functions.text import checked_int32, date_literal, int_div
 from corpusledger.sources.files import list_files
 
 #: Fixed value: the output columns, in order.
@@ -37,7 +37,7 @@ def output_rows(
 
 def planned_shards(positions: DataFrame, rows_per_shard: int) -> DataFrame:
     """``(source_config, shard, rows)`` from dense positions; the last shard may be short."""
-    shard = F.floor(F.col("position") / F.lit(rows_per_shard)).cast("int")
+    shard = int_div("position", rows_per_shard).cast("int")
     return positions.groupBy("source_config", shard.alias("shard")).agg(
         F.count(F.lit(1)).alias("rows")
     )
@@ -46,7 +46,7 @@ def planned_shards(positions: DataFrame, rows_per_shard: int) -> DataFrame:
 def shards_of_totals(totals: DataFrame, rows_per_shard: int) -> DataFrame:
     """The same table from per-dump row totals, where positions are dense."""
     size = F.lit(rows_per_shard)
-    last = F.floor((F.col("rows") - 1) / size).cast("int")
+    last = int_div(F.col("rows") - 1, rows_per_shard).cast("int")
     return (
         totals.where("rows > 0")
         .select("source_config", F.col("rows").alias("total"), F.explode(F.sequence(F.lit(0), last)).alias("shard"))
@@ -91,7 +91,7 @@ def waves(pending: DataFrame, rows_per_wave: int) -> DataFrame:
     )
     before = Window.orderBy("source_config").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("rows").over(before), F.lit(0))
-    return dumps.withColumn("wave", F.floor(start / F.lit(rows_per_wave)).cast("int"))
+    return dumps.withColumn("wave", int_div(start, rows_per_wave).cast("int"))
 
 
 def write_shards(

@@ -48,8 +48,13 @@ def test_recount_differences(spark):
 def test_recounts_of_other_documents_are_refused(spark):
     fewer = records(spark, [(2, None)])
     for left, right in [(records(spark), fewer), (fewer, records(spark))]:
-        with pytest.raises(PySparkException, match="do not cover"):
-            reconcile.compare_verdict(reconcile.pair_recounts(left, right)).collect()
+        pairs = reconcile.pair_recounts(left, right)
+        for result in (
+            reconcile.compare_verdict, reconcile.compare_rollup, reconcile.count_mismatches,
+            reconcile.text_mismatches, reconcile.stored_vs_recount,
+        ):
+            with pytest.raises(PySparkException, match="do not cover"):
+                result(pairs).collect()
     with pytest.raises(ValueError):
         reconcile.check_contracts({"padding": False}, {"padding": True})
 
