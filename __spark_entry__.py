@@ -1640,6 +1640,17 @@ def progress_snapshot(spark, sf):
     return snapshot.withColumn("percent", F.round("percent", 6))
 
 
+@query(
+    "disk_snapshot",
+    _SHARDED + "SELECT count(*) AS shards_on_disk, 0 AS in_flight FROM shards",
+)
+def disk_snapshot(spark, sf):
+    root = _layout(spark, sf)
+    left = files.leftovers(spark, f"{root}/data")
+    snapshot = progress.disk_snapshot(sink.output_files(spark, root), left)
+    return snapshot.select("shards_on_disk", F.size("in_flight").alias("in_flight"))
+
+
 @query(
     "progress_rates",
     _KEPT_SHARDS

@@ -209,6 +209,13 @@ def verdict(problems: DataFrame) -> DataFrame:
     )
 
 
+def refuse(problems: DataFrame, what: str) -> None:
+    """Stop if there is any problem row, naming the first one."""
+    first = problems.limit(1).collect()
+    if first:
+        raise ValueError(f"{what}: {first[0].asDict()}")
+
+
 def _problem_rows(df: DataFrame, checks: list, keys: list[str]) -> DataFrame:
     cases = F.array(
         *(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ MARGIN = 1.05
 #: Candidate ranges are cut at multiples of 1/65,536 of the key space (four hex digits).
 SLOTS = 16**4
 ROWS_PER_WAVE = 500_000_000
+DUMP_NAME = re.compile(r"[\w.-]+")
 
 
 def run_year(
@@ -57,6 +59,9 @@ def run_year(
     plans = pin_small(dump_subset(every, dumps))
     # Plans and totals are one row per dump of the config file.
     rows = {row[DUMP]: row.asDict() for row in plans.collect()}
+    unsafe = sorted(name for name in rows if not DUMP_NAME.fullmatch(name))
+    if unsafe:
+        raise ValueError(f"Dump names become directory names and must be plain: {unsafe}")
     docs = docs.where(F.col(DUMP).isin(*rows))
     docs = docs.select(DUMP, "doc_id", checked_text(docs).alias("text"))
 

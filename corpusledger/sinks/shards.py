@@ -58,11 +58,13 @@ def shards_of_totals(totals: DataFrame, rows_per_shard: int) -> DataFrame:
 
 
 def committed_shards(spark: SparkSession, root: str) -> DataFrame:
-    """The manifest of shards already written under ``root``."""
+    """The manifest of shards already written under ``root``, and when each was committed."""
     path = f"{root}/manifest"
     if not _exists(spark, path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path).dropDuplicates(["source_config", "shard"])
+        return spark.createDataFrame([], f"{MANIFEST_SCHEMA}, committed_at timestamp")
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    committed_at = F.col("_metadata.file_modification_time").alias("committed_at")
+    return rows.select("*", committed_at).dropDuplicates(["source_config", "shard"])
 
 
 def pending_shards(planned: DataFrame, committed: DataFrame) -> DataFrame:
@@ -132,17 +134,21 @@ def clear_dumps(spark: SparkSession, root: str, dumps: list[str]) -> None:
 
 def commit_shards(spark: SparkSession, root: str, dumps: list[str]) -> None:
     """Append the shards of finished dumps to the manifest, measured from what was written."""
-    written = read_output(spark, root).where(F.col("source_config").isin(*dumps))
-    measured = written.groupBy("source_config", "shard").agg(
+    measured = read_output(spark, root, dumps).groupBy("source_config", "shard").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens")
     )
     measured.write.mode("append").parquet(f"{root}/manifest")
 
 
-def read_output(spark: SparkSession, root: str) -> DataFrame:
-    """The written rows with their shard identity, which lives in the path."""
+def read_output(spark: SparkSession, root: str, dumps: list[str] | None = None) -> DataFrame:
+    """The written rows with their shard identity, which lives in the path.
+
+    Naming dumps lists only their directories.
+    """
     schema = f"{OUTPUT_SCHEMA}, source_config string, shard int"
-    return spark.read.schema(schema).parquet(f"{root}/data")
+    base = f"{root}/data"
+    paths = [f"{base}/source_config={name}" for name in dumps] if dumps else [base]
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
 
 def output_files(spark: SparkSession, root: str) -> DataFrame:

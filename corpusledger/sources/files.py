@@ -16,6 +16,10 @@ FOOTER_SCHEMA = (
 )
 
 
+#: Splits of a file listing per task slot of the session.
+LISTING_SPLITS_PER_SLOT = 4
+
+
 def open_filesystem(path: str):
     """The file system and inner path of a listed file, inside a task."""
     from pyarrow import fs
@@ -29,13 +33,17 @@ def open_filesystem(path: str):
 def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> DataFrame:
     """``(path, name, size, modified)`` of the files below ``base``; no content is read.
 
-    Spark's readers pass over empty files, and so does this listing; see ``leftovers``.
+    Spark's readers pass over empty files, and so does this listing; see ``leftovers``. The
+    reader plans about one split per large file; as only names are read, splits are merged to a
+    few per slot, so that listing a million files does not take a million tasks.
     """
+    splits = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(base)
+        .coalesce(splits)
     )
     return files.select(
         "path",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusledger.functions.text import percent, ratio
+from corpusledger.functions.text import gib, percent, ratio
 
 DUMP = "source_config"
 
@@ -13,13 +13,18 @@ DUMP = "source_config"
 def progress_snapshot(committed: DataFrame, plans: DataFrame) -> DataFrame:
     """Per dump: what is done, in the unit its plan is measured in (tokens or rows).
 
-    ``committed`` is the manifest of written shards.
+    ``committed`` is the manifest of written shards. If it says when shards were committed, the
+    snapshot has the age of each dump's last commit, null for dumps not started.
     """
+    timed = "committed_at" in committed.columns
+    last = [F.max("committed_at").alias("committed_at")] if timed else []
     done = committed.groupBy(DUMP).agg(
         F.sum("rows").cast("bigint").alias("rows"),
         F.sum("tokens").cast("bigint").alias("tokens"),
         F.count(F.lit(1)).alias("shards"),
+        *last,
     )
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("committed_at")
     by_tokens = F.col("token_quota").isNotNull()
     zero = F.lit(0).cast("bigint")
     merged = plans.join(done, DUMP, "left").select(
@@ -28,6 +33,7 @@ def progress_snapshot(committed: DataFrame, plans: DataFrame) -> DataFrame:
         *(F.coalesce(name, zero).alias(name) for name in ("rows", "tokens", "shards")),
         F.when(by_tokens, "tokens").otherwise("rows").alias("unit"),
         F.when(by_tokens, F.col("token_quota")).otherwise(F.coalesce("row_target", zero)).alias("target"),
+        *([age.alias("commit_age_seconds")] if timed else []),
     )
     reached = F.when(F.col("unit") == "tokens", F.col("tokens")).otherwise(F.col("rows"))
     exhausted = (
@@ -50,6 +56,17 @@ def progress_totals(snapshot: DataFrame) -> DataFrame:
     ).withColumn("percent", percent(F.col("done"), F.col("target")))
 
 
+def disk_snapshot(files: DataFrame, leftovers: DataFrame) -> DataFrame:
+    """One row: shards on disk, their bytes, and the files still being written."""
+    sizes = files.agg(
+        F.count(F.lit(1)).alias("shards_on_disk"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("shard_bytes"),
+    )
+    open_files = leftovers.agg(F.array_sort(F.collect_list("path")).alias("in_flight"))
+    joined = sizes.withColumn("_one", F.lit(1)).join(open_files.withColumn("_one", F.lit(1)), "_one")
+    return joined.drop("_one").withColumn("shard_gib", gib(F.col("shard_bytes")))
+
+
 def progress_rates(history: DataFrame) -> DataFrame:
     """Rate since the previous snapshot and seconds left at that rate.
 

@@ -11,7 +11,7 @@ from corpusledger.functions import text as txt
 from corpusledger.functions.counters import (
     WORD_PATTERN, WORD_PATTERN_DIGIT_RUNS, CounterSpec, token_count, token_ids_digest,
 )
-from corpusledger.operators import reconcile
+from corpusledger.operators import reconcile, verify
 
 tokenizers = pytest.importorskip("tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
@@ -121,3 +121,7 @@ def test_batch_invariance_lists_only_differences(spark):
     rows = spark.createDataFrame([(1, 5, 5), (2, 5, 6)], "doc_id int, batched int, single int")
     found = reconcile.batch_invariance(rows, "batched", "single", ["doc_id"]).collect()
     assert [tuple(row) for row in found] == [(2, 5, 6)]
+    same = reconcile.batch_invariance(rows.where("doc_id = 1"), "batched", "single", ["doc_id"])
+    verify.refuse(same, "batching changes counts")
+    with pytest.raises(ValueError, match="batching changes counts.*2"):
+        verify.refuse(reconcile.batch_invariance(rows, "batched", "single", ["doc_id"]), "batching changes counts")

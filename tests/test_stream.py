@@ -74,6 +74,12 @@ def test_progress(spark):
     assert (rows["b"]["done"], rows["b"]["shards"]) == (0, 0)
     assert rows["c"]["source_exhausted"] and not rows["a"]["source_exhausted"]
     assert (rows["d"]["done"], rows["d"]["unit"], rows["d"]["percent"]) == (12, "rows", 40.0)
+    timed = committed.withColumn("committed_at", F.current_timestamp())
+    ages = {r["source_config"]: r["commit_age_seconds"] for r in progress.progress_snapshot(timed, plans).collect()}
+    assert ages["a"] == 0 and ages["b"] is None
+    files = spark.createDataFrame([("x", 3), ("y", 4)], "path string, size bigint")
+    disk = progress.disk_snapshot(files, files.limit(1)).first()
+    assert (disk["shards_on_disk"], disk["shard_bytes"], disk["in_flight"]) == (2, 7, ["x"])
     total = progress.progress_totals(progress.progress_snapshot(committed, plans)).first()
     assert (total["rows"], total["tokens"], total["shards"]) == (39, 184, 4)
     history = spark.createDataFrame(

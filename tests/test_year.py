@@ -194,6 +194,9 @@ def test_refusals(spark, docs, held):
         run(docs, config(more, "retain_all"), scratch_path(spark, "year"))
     with pytest.raises(ValueError, match="rows_per_shard"):
         year.run_year(docs, config(held, "retain_all"), "x", counter=REGEX, rows_per_shard=0)
+    odd = docs.withColumn("source_config", F.lit("a/b"))
+    with pytest.raises(ValueError, match="directory names"):
+        run(odd, config({"a/b": 200}, "retain_all"), scratch_path(spark, "year"))
     root = scratch_path(spark, "year")
     manifest = spark.createDataFrame([("fr", 0, 10_000, 1)], sink.MANIFEST_SCHEMA)
     manifest.write.parquet(f"{root}/manifest")
