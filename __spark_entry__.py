@@ -1616,6 +1616,18 @@ def stream_budget(spark, sf):
     return kept.select("source_config", "doc_id", "token_count")
 
 
+@query(
+    "pending_shards",
+    _KEPT_SHARDS + "SELECT source_config, shard, rows FROM written WHERE shard >= 2",
+)
+def pending_shards(spark, sf):
+    """Shards a budget run still owes after the first two of each dump."""
+    committed, _ = _budget_manifest(spark, sf)
+    manifest = stage(committed, "manifest")
+    totals = manifest.groupBy("source_config").agg(F.sum("rows").alias("rows"))
+    return sink.pending_shards(sink.shards_of_totals(totals, SHARD_ROWS), manifest.where("shard < 2"))
+
+
 _PROGRESS = _KEPT_SHARDS + """, done AS (
       SELECT source_config, sum(rows)::BIGINT AS rows, sum(tokens)::BIGINT AS tokens,
         count(*) AS shards FROM written WHERE shard < 2 GROUP BY 1)

@@ -14,14 +14,13 @@ from corpusledger.functions.text import checked_text
 from corpusledger.operators.prefix import assign_shards, find_cuts, keep_prefix, shard_bounds
 from corpusledger.operators.select import (
     DUMP, SEEDED_ORDER, SOURCE_ORDER, budget_cuts, in_source_order, quota_outcome, seeded,
-    shortfalls,
 )
 from corpusledger.plans.build import build_plans, config_dumps, dump_subset
 from corpusledger.plans.config import RunConfig
 from corpusledger.runtime import pin_small, spread, stage_by
 from corpusledger.sinks.report import run_report
 from corpusledger.sinks.shards import (
-    clear_dumps, commit_shards, committed_shards, pending_shards, shards_of_totals, waves, write_shards,
+    MANIFEST_SCHEMA, clear_dumps, commit_shards, committed_shards, waves, write_shards,
 )
 
 #: Candidates counted beyond the estimated share of a dump, so that one pass usually suffices.
@@ -29,6 +28,8 @@ MARGIN = 1.05
 #: Candidate ranges are cut at multiples of 1/65,536 of the key space (four hex digits).
 SLOTS = 16**4
 ROWS_PER_WAVE = 500_000_000
+#: With fewer shards than this per slot, tokens are counted before the shuffle to shards.
+FEW_SHARDS_PER_SLOT = 4
 DUMP_NAME = re.compile(r"[\w.-]+")
 
 
@@ -65,20 +66,19 @@ def run_year(
     docs = docs.where(F.col(DUMP).isin(*rows))
     docs = docs.select(DUMP, "doc_id", checked_text(docs).alias("text"))
 
-    committed = committed_shards(spark, target_root)
-    finished = _finished(committed, plans)
+    finished = _finished(committed_shards(spark, target_root), rows)
     left = [name for name in rows if name not in finished]
     if left:
         mine = F.col(DUMP).isin(*left)
         _write_dumps(
-            docs.where(mine), plans.where(mine), rows, config, target_root, counter,
-            rows_per_shard, rows_per_wave, committed.where(mine),
+            docs.where(mine), plans.where(mine), {name: rows[name] for name in left}, config,
+            target_root, counter, rows_per_shard, rows_per_wave,
         )
-    totals = (
-        committed_shards(spark, target_root)
-        .groupBy(DUMP)
-        .agg(F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"))
-    )
+    # A year whose quotas are all zero writes nothing and has no manifest.
+    manifest = committed_shards(spark, target_root)
+    if manifest is None:
+        manifest = spark.createDataFrame([], MANIFEST_SCHEMA)
+    totals = manifest.groupBy(DUMP).agg(F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"))
     held = docs.groupBy(DUMP).agg(F.count(F.lit(1)).alias("held"))
     # Whether a source ran out is judged by what it holds, not by what the config expects.
     known = plans.join(held, DUMP, "left").withColumn("available_rows", F.coalesce("held", F.lit(0)))
@@ -136,12 +136,13 @@ def _growth(quota: int, tokens: int) -> float:
 
 def _write_dumps(
     docs: DataFrame, plans: DataFrame, plan_rows: dict, config: RunConfig, root: str,
-    counter: CounterSpec, rows_per_shard: int, rows_per_wave: int, committed: DataFrame,
+    counter: CounterSpec, rows_per_shard: int, rows_per_wave: int,
 ) -> None:
     spark = docs.sparkSession
     count = token_count(spark, counter)
     one = next(iter(plan_rows.values()))
     budget = one["token_quota"] is not None
+    quota = "token_quota" if budget else "row_target"
 
     if one["shuffle"]:
         ordered, order = seeded(docs, one["seed"], _bits_of_dump(plan_rows)), SEEDED_ORDER
@@ -149,17 +150,14 @@ def _write_dumps(
         ordered, order = in_source_order(docs), SOURCE_ORDER
 
     if budget:
-        fraction = keep_estimate(config)
-        source = count_candidates(ordered, plans, count, fraction)
+        source = count_candidates(ordered, plans, count, keep_estimate(config))
         narrow = source.select(DUMP, "bucket", *order, "token_count")
-        cuts, quota = budget_cuts(narrow, plans), "token_quota"
-        tokens = F.col("token_count")
+        cuts = budget_cuts(narrow, plans)
     else:
         source = ordered
         narrow = ordered.select(DUMP, "bucket", *order)
-        quota, tokens = "row_target", count(F.col("text"))
         cuts = None
-        if _has_surplus(narrow, plans):
+        if _has_surplus(narrow, plan_rows):
             cuts = find_cuts(
                 narrow, plans, group=DUMP, bucket="bucket", order=order, weight=F.lit(1),
                 quota=quota,
@@ -168,27 +166,26 @@ def _write_dumps(
     def keep(rows: DataFrame) -> DataFrame:
         return rows if cuts is None else keep_prefix(rows, cuts, group=DUMP, order=order, quota=quota)
 
-    chosen = keep(narrow)
-    if budget:
-        totals = pin_small(chosen.groupBy(DUMP).agg(F.count(F.lit(1)).alias("rows")))
-    else:
-        totals = plans.select(DUMP, F.col("row_target").alias("rows"))
     bounds = shard_bounds(
-        chosen, group=DUMP, bucket="bucket", order=order, rows_per_shard=rows_per_shard
+        keep(narrow), group=DUMP, bucket="bucket", order=order, rows_per_shard=rows_per_shard
     )
-    pending = pending_shards(shards_of_totals(totals, rows_per_shard), committed)
-    schedule: dict[int, list] = {}
-    for row in waves(pending, rows_per_wave).collect():
-        schedule.setdefault(row["wave"], []).append(row)
+    last = F.max(F.col("first_shard") + F.size("starts")) + 1
+    shards = {row[DUMP]: row["shards"] for row in bounds.groupBy(DUMP).agg(last.alias("shards")).collect()}
+    few = FEW_SHARDS_PER_SLOT * spark.sparkContext.defaultParallelism
 
-    for wave in sorted(schedule):
-        names = [row[DUMP] for row in schedule[wave]]
+    for names in waves(shards, max(1, rows_per_wave // rows_per_shard)):
         mine = keep(source.where(F.col(DUMP).isin(*names)))
         sharded = assign_shards(mine, bounds, group=DUMP, bucket="bucket", order=order)
+        total = sum(shards[name] for name in names)
+        tokens = F.col("token_count")
+        if not budget and total < few:
+            sharded = spread(sharded, "doc_id").withColumn("token_count", count(F.col("text")))
+        elif not budget:
+            tokens = count(F.col("text"))
         clear_dumps(spark, root, names)
         write_shards(
-            sharded, root, order=order, year=config.year, tokens=tokens,
-            shards=sum(row["shards"] for row in schedule[wave]), compression=config.compression,
+            sharded, root, order=order, year=config.year, tokens=tokens, shards=total,
+            compression=config.compression,
         )
         commit_shards(spark, root, names)
 
@@ -199,26 +196,29 @@ def keep_estimate(config: RunConfig) -> float:
     return min(1.0, config.target_tokens / estimate) if estimate else 1.0
 
 
-def _finished(committed: DataFrame, plans: DataFrame) -> list[str]:
+def _finished(committed: DataFrame | None, plan_rows: dict) -> list[str]:
     """Dumps the manifest shows as complete: commits cover whole dumps."""
-    done = committed.groupBy(DUMP).agg(F.sum("rows").alias("done"))
-    found = done.join(plans, DUMP).select(DUMP, "done", "row_target").collect()
-    for row in found:
-        if row["row_target"] is not None and row["done"] > row["row_target"]:
-            raise ValueError(f"{row[DUMP]}: manifest has {row['done']} rows, plan {row['row_target']}")
-    return [row[DUMP] for row in found]
-
-
-def _has_surplus(narrow: DataFrame, plans: DataFrame) -> bool:
+    if committed is None:
+        return []
+    done = committed.where(F.col(DUMP).isin(*plan_rows)).groupBy(DUMP).agg(F.sum("rows").alias("rows"))
+    found = {row[DUMP]: row["rows"] for row in done.collect()}
+    for name, rows in found.items():
+        target = plan_rows[name]["row_target"]
+        if target is not None and rows > target:
+            raise ValueError(f"{name}: the manifest has {rows} rows, its plan {target}")
+    return list(found)
+
+
+def _has_surplus(narrow: DataFrame, plan_rows: dict) -> bool:
     """Whether any dump holds more rows than its target; holding fewer stops the run."""
-    held = pin_small(narrow.groupBy(DUMP).agg(F.count(F.lit(1)).alias("available_rows")))
-    short = shortfalls(held, plans).collect()
+    held = {name: 0 for name in plan_rows}
+    for row in narrow.groupBy(DUMP).agg(F.count(F.lit(1)).alias("rows")).collect():
+        held[row[DUMP]] = row["rows"]
+    target = {name: row["row_target"] for name, row in plan_rows.items()}
+    short = [f"{n} holds {held[n]} of {target[n]} rows" for n in sorted(held) if held[n] < target[n]]
     if short:
-        raise RuntimeError(
-            "; ".join(f"{r[DUMP]} holds {r['available_rows']} of {r['row_target']} rows" for r in short)
-        )
-    above = F.col("available_rows") > F.col("row_target")
-    return bool(held.join(plans.select(DUMP, "row_target"), DUMP).where(above).limit(1).count())
+        raise RuntimeError("; ".join(short))
+    return held != target
 
 
 def _bits_of_dump(plan_rows: dict) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
@@ -57,11 +57,11 @@ def shards_of_totals(totals: DataFrame, rows_per_shard: int) -> DataFrame:
     )
 
 
-def committed_shards(spark: SparkSession, root: str) -> DataFrame:
-    """The manifest of shards already written under ``root``, and when each was committed."""
+def committed_shards(spark: SparkSession, root: str) -> DataFrame | None:
+    """The manifest of shards already written under ``root`` and when each was committed."""
     path = f"{root}/manifest"
     if not _exists(spark, path):
-        return spark.createDataFrame([], f"{MANIFEST_SCHEMA}, committed_at timestamp")
+        return None
     rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
     committed_at = F.col("_metadata.file_modification_time").alias("committed_at")
     return rows.select("*", committed_at).dropDuplicates(["source_config", "shard"])
@@ -83,17 +83,19 @@ def pending_shards(planned: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
-def waves(pending: DataFrame, rows_per_wave: int) -> DataFrame:
-    """Group pending dumps into waves of about ``rows_per_wave`` rows, dumps in sorted order.
+def waves(shards: dict[str, int], shards_per_wave: int) -> list[list[str]]:
+    """Dumps in sorted order, grouped so that a wave ends once it has its number of shards.
 
-    The dump is the unit because the staged input prunes by dump; one row per dump.
+    The dump is the unit because the staged input prunes by dump; a config's worth of names.
     """
-    dumps = pending.groupBy("source_config").agg(
-        F.sum("rows").cast("bigint").alias("rows"), F.count(F.lit(1)).alias("shards")
-    )
-    before = Window.orderBy("source_config").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("rows").over(before), F.lit(0))
-    return dumps.withColumn("wave", int_div(start, rows_per_wave).cast("int"))
+    groups, held = [[]], 0
+    for name in sorted(shards):
+        groups[-1].append(name)
+        held += shards[name]
+        if held >= shards_per_wave:
+            groups.append([])
+            held = 0
+    return [group for group in groups if group]
 
 
 def write_shards(

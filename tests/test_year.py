@@ -217,10 +217,22 @@ def test_planned_shards(spark, rows, size, expect):
     assert [r["rows"] for r in same] == expect
 
 
-def test_waves_cover_every_pending_dump(spark):
-    pending = spark.createDataFrame(
-        [("a", 0, 5), ("b", 0, 50), ("b", 1, 50), ("c", 0, 1), ("d", 0, 1)],
-        "source_config string, shard int, rows bigint",
-    )
-    rows = {r["source_config"]: r["wave"] for r in sink.waves(pending, 60).collect()}
-    assert rows == {"a": 0, "b": 0, "c": 1, "d": 1}
+def test_waves_cover_every_dump():
+    assert sink.waves({"c": 1, "a": 5, "b": 9, "d": 1}, 10) == [["a", "b"], ["c", "d"]]
+    assert sink.waves({"a": 50, "b": 1}, 10) == [["a"], ["b"]]
+    assert sink.waves({}, 10) == []
+
+
+def test_pending_shards(spark):
+    planned = spark.createDataFrame([("a", 0, 5), ("a", 1, 5), ("b", 0, 2)], "source_config string, shard int, rows bigint")
+    done = spark.createDataFrame([("a", 0, 5), ("z", 0, 9)], planned.schema)
+    left = sink.pending_shards(planned, done).collect()
+    assert sorted((r["source_config"], r["shard"]) for r in left) == [("a", 1), ("b", 0)]
+    above = spark.createDataFrame([("b", 0, 3)], planned.schema)
+    with pytest.raises(ValueError, match="more rows"):
+        sink.pending_shards(planned, above)
+
+
+def test_zero_quotas_write_nothing(spark, docs, held):
+    report = run(docs, config(held, "token_budget", 0), scratch_path(spark, "year")).first()
+    assert report["rows"] == 0 and all(e["quota_reached"] for e in report["source_configs"])
