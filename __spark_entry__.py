@@ -293,6 +293,29 @@ def token_count_regex(spark, sf):
     return _counted(spark, sf, "source").select("doc_id", "token_count")
 
 
+@query(
+    "token_count_inputs",
+    f"""SELECT 'benchmark' AS input, item_id AS id, 0::BIGINT AS turn, {_W} AS token_count FROM benchmark
+    UNION ALL SELECT 'conversations', conv_id, turn, {_W} FROM conversations
+    UNION ALL SELECT 'pages', page_id, 0, {_W.replace("text", "html", 1)} FROM pages""",
+)
+def token_count_inputs(spark, sf):
+    """The counter over the other text tables."""
+    inputs = [
+        ("benchmark", "item_id", F.lit(0), "text"),
+        ("conversations", "conv_id", F.col("turn"), "text"),
+        ("pages", "page_id", F.lit(0), "html"),
+    ]
+    counted = [
+        spark.read.parquet(f"{sf}/{name}.parquet").select(
+            F.lit(name).alias("input"), F.col(key).alias("id"), turn.cast("bigint").alias("turn"),
+            _words(spark)(column).alias("token_count"),
+        )
+        for name, key, turn, column in inputs
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @query("int32_guard", f"SELECT doc_id, ({_W})::INT AS token_count FROM documents")
 def int32_guard(spark, sf):
     counted = _counted(spark, sf, "source")
@@ -428,6 +451,20 @@ def retain_all(spark, sf):
     return select.first_rows(docs, plans).select("source_config", "doc_id")
 
 
+@query(
+    "shortfalls",
+    """WITH held AS (SELECT lang AS source_config, count(*) AS available_rows FROM documents GROUP BY 1),
+    target AS (SELECT *, (sum(available_rows) OVER () // count(*) OVER ())::BIGINT AS row_target FROM held)
+    SELECT source_config, row_target, available_rows FROM target WHERE available_rows < row_target""",
+)
+def shortfalls(spark, sf):
+    """Languages that hold fewer documents than an even split would ask of them."""
+    held = _available(_docs(spark, sf, "lang", []))
+    every = Window.partitionBy()
+    even = F.call_function("div", F.sum("available_rows").over(every), F.count(F.lit(1)).over(every))
+    return select.shortfalls(held, held.withColumn("row_target", even))
+
+
 @query(
     "first_n_sample",
     """SELECT source_config, doc_id FROM (
@@ -690,6 +727,27 @@ def compare_recounts(spark, sf):
     return reconcile.count_mismatches(_recounts(spark, sf))
 
 
+@query(
+    "text_mismatches",
+    _SHARDED
+    + f"""SELECT {_name_sql()} AS shard, row, sha256(text) AS baseline_text_sha256,
+      sha256(replace(text, chr(10), ' ')) AS candidate_text_sha256 FROM rows
+    WHERE sha256(text) != sha256(replace(text, chr(10), ' '))""",
+)
+def text_mismatches(spark, sf):
+    """A candidate whose texts had their line breaks replaced by spaces."""
+    name = shard_name("source_config", "shard").alias("shard")
+    index = _shard_rows(spark, sf, []).select("doc_id", name, "row")
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+    count = _words(spark)("text")
+    narrowed = docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
+    sides = []
+    for texts in (docs, narrowed):
+        records = reconcile.recount_records(texts, count, count, ["doc_id"])
+        sides.append(stage(records.join(index, "doc_id").drop("doc_id"), "recounts"))
+    return reconcile.text_mismatches(reconcile.pair_recounts(*sides))
+
+
 @query(
     "compare_rollup",
     _PAIRS
