@@ -1062,13 +1062,19 @@ def cluster_sample(spark, sf):
     return _cluster(spark, sf)
 
 
+def _sampled_texts(spark: SparkSession, sf: str, picked: DataFrame, columns: list[str]) -> DataFrame:
+    """Documents of a sample of fixed size, staged so that only they are counted."""
+    picked = pin_small(picked)
+    ids = [row["doc_id"] for row in picked.select("doc_id").collect()]
+    docs = _docs(spark, sf, "source", columns).where(F.col("doc_id").isin(*ids))
+    return stage(docs.join(picked, "doc_id"), "sample")
+
+
 def _audited(spark: SparkSession, sf: str) -> DataFrame:
     """The cluster sample with stored counts (digit runs) and recounts (single digits)."""
-    docs = _docs(spark, sf, "source", ["text", "n_chars"])
     plain, runs = _words(spark), _words(spark, WORD_PATTERN_DIGIT_RUNS)
-    # The sample holds a fixed number of rows, so its side is checked and broadcast.
-    picked = pin_small(_cluster(spark, sf))
-    return docs.join(picked, "doc_id").select(
+    texts = _sampled_texts(spark, sf, _cluster(spark, sf), ["text", "n_chars"])
+    return texts.select(
         "shard", "row_group", "row",
         F.expr(_FAULTY).cast("int").alias("date"),
         runs("text").alias("stored_token_count"),
@@ -1117,13 +1123,40 @@ def audit_mismatches(spark, sf):
 )
 def sample_digest(spark, sf):
     """Flat digest, for the cluster sample, whose size the parameters fix."""
-    picked = pin_small(_cluster(spark, sf))
-    texts = _docs(spark, sf, "source").join(picked, "doc_id")
+    texts = _sampled_texts(spark, sf, _cluster(spark, sf), ["text"])
     return digest.flat_digest(
         texts.select("shard", "row", txt.text_digest("text").alias("digest"))
     )
 
 
+_OUTPUT_SAMPLE = (
+    _SHARDED
+    + f""", named AS (SELECT *, {_name_sql()} AS name FROM rows),
+    picked AS (SELECT name FROM named GROUP BY 1 ORDER BY {_rank_sql('name')} LIMIT 12),
+    sampled AS (
+      SELECT * FROM named JOIN picked USING (name)
+      QUALIFY row_number() OVER (PARTITION BY name ORDER BY {_rank_sql('name', 'row')}, row) <= 3)
+    """
+)
+
+
+@query(
+    "audit_year",
+    _OUTPUT_SAMPLE
+    + """SELECT name AS shard, 0 AS row_group, count(*) AS rows_audited,
+      sum(token_count)::BIGINT AS tokens_audited, 0::BIGINT AS mismatches, 'PASS' AS verdict
+    FROM sampled GROUP BY 1""",
+)
+def audit_year(spark, sf):
+    """A cluster sample of a written year, recounted from its stored texts."""
+    written = sink.output_files(spark, _layout(spark, sf))
+    drawn = sample.sample_output(written, seed=SEED, shard_count=12, rows_per_shard=3)
+    recounted = drawn.withColumnRenamed("token_count", "stored_token_count").withColumn(
+        "recounted_token_count", _words(spark)("text")
+    )
+    return sample.audit_counts(recounted, YEAR)
+
+
 _YEAR_OF_SOURCE = "2017 + substr(source_config, 4)::INT // 7"
 
 
@@ -1178,13 +1211,13 @@ def indexed_shards(spark, sf):
 # --- projections ---------------------------------------------------------------------------
 
 
-def _measured_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """(source_config, shard, row, tokens, utf8_bytes), staged so that texts are counted once."""
-    docs = spread(_docs(spark, sf, "source"), "doc_id")
-    measured = docs.select(
-        "doc_id", _words(spark)("text").alias("tokens"), txt.text_bytes("text").alias("utf8_bytes")
-    )
-    return stage(_shard_rows(spark, sf, []).join(measured, "doc_id"), "measured")
+def _measured_sample(spark: SparkSession, sf: str, leading: DataFrame) -> DataFrame:
+    """Tokens and bytes of the sampled documents; the sample is drawn before anything is counted."""
+    picked = pin_small(leading.drop("source_config"))
+    texts = _docs(spark, sf, "source").join(picked, "doc_id")
+    return texts.withColumns(
+        {"tokens": _words(spark)("text"), "utf8_bytes": txt.text_bytes("text")}
+    ).drop("text")
 
 
 _PROJECTION = (
@@ -1205,10 +1238,11 @@ _PROJECTION = (
 
 def _projected(spark: SparkSession, sf: str) -> DataFrame:
     """Two leading row groups of the shards at positions 0, 2 and 13 of each source."""
-    rows = _measured_rows(spark, sf)
+    rows = stage(_shard_rows(spark, sf, []), "index")
     chosen = sample.indexed_shards(_shard_table(rows), [0, 2, 13])
     leading = sample.leading_rows_of(rows, chosen, 2 * GROUP_ROWS)
-    return project.token_projection(project.sample_totals(leading, ["source_config"]), _available(rows))
+    totals = project.sample_totals(_measured_sample(spark, sf, leading), ["source_config"])
+    return project.token_projection(totals, _available(rows))
 
 
 @query(
@@ -1334,14 +1368,15 @@ _YEARS = (
 
 def _year_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Three dumps per year, the first rows of each one's middle shard."""
-    rows = _measured_rows(spark, sf)
-    dumps = rows.groupBy("source_config").agg(
-        F.count(F.lit(1)).alias("available_rows"), F.sum("utf8_bytes").alias("source_bytes")
+    rows = stage(_shard_rows(spark, sf, []), "index")
+    dumps = _docs(spark, sf, "source").groupBy("source_config").agg(
+        F.count(F.lit(1)).alias("available_rows"),
+        F.sum(txt.text_bytes("text")).alias("source_bytes"),
     ).withColumn("year", _year_of_source())
     years = pin_small(sample.systematic_dumps(dumps, 3, ["year"]).select("year", "source_config"))
     middle = sample.middle_shards(_shard_table(rows))
     leading = sample.leading_rows_of(rows, middle, 12).join(years, "source_config")
-    sampled = project.sample_totals(leading, ["year"]).select(
+    sampled = project.sample_totals(_measured_sample(spark, sf, leading), ["year"]).select(
         "year", "sampled_rows", "sampled_tokens",
         txt.ratio(F.col("sampled_utf8_bytes"), F.col("sampled_rows")).alias("output_bytes_per_row"),
     )

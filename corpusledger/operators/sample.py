@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.text import ceil_div, int_div
-from corpusledger.runtime import pin_small
+from corpusledger.runtime import pin_small, stage
+from corpusledger.sources.files import footer_scan, plain_path, row_group_slice
 
 
 def seeded_rank(seed: int, *parts: Column | str) -> Column:
@@ -48,6 +49,41 @@ def cluster_sample(
     )
 
 
+def sample_output(
+    files: DataFrame, *, seed: int, shard_count: int, rows_per_shard: int
+) -> DataFrame:
+    """Cluster sample of a written year: (shard, row_group, row, date, text, token_count).
+
+    ``files`` lists the written shards (shard_name, path). Only the chosen shards are opened:
+    first their footers, for the row groups, then the drawn group's rows. The sample has at most
+    ``shard_count * rows_per_shard`` rows and is staged, so that recounting touches nothing else.
+    """
+    spark = files.sparkSession
+    shard = F.col("shard_name").alias("shard")
+    chosen = pin_small(
+        files.orderBy(seeded_rank(seed, "shard_name"), "shard_name")
+        .limit(shard_count)
+        .select(shard, "path")
+    )
+    footers = stage(footer_scan(chosen), "footers")
+    names = chosen.select("shard", plain_path("path").alias("path"))
+    drawn = Window.partitionBy("path").orderBy(seeded_rank(seed, "shard", "row_group"), "row_group")
+    groups = (
+        footers.where("col_index = 0")
+        .join(chosen, "path")
+        .withColumn("_rank", F.row_number().over(drawn))
+        .where("_rank = 1")
+    )
+    # At most shard_count paths.
+    rows = spark.read.parquet(*[row["path"] for row in chosen.collect()])
+    placed = row_group_slice(rows, footers, groups, ["date", "text", "token_count"])
+    rank = F.row_number().over(
+        Window.partitionBy("path").orderBy(seeded_rank(seed, "shard", "row"), "row")
+    )
+    picked = placed.join(names, "path").withColumn("_rank", rank).where(F.col("_rank") <= rows_per_shard)
+    return stage(picked.drop("_rank", "path"), "sample")
+
+
 def audit_counts(sample: DataFrame, year: int) -> DataFrame:
     """Per audited shard: rows, tokens and mismatches of the stored counts or dates."""
     return (

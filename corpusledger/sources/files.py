@@ -161,19 +161,22 @@ def plain_path(path: Column | str) -> Column:
 
 
 def row_group_slice(
-    rows: DataFrame, footers: DataFrame, groups: list[int], columns: list[str]
+    rows: DataFrame, footers: DataFrame, groups: list[int] | DataFrame, columns: list[str]
 ) -> DataFrame:
-    """``columns`` of the rows in the chosen row groups of each file, with group and place in it.
+    """``columns`` of the rows in the chosen row groups, with file, group and place in the group.
 
-    ``rows`` is a Parquet read of the files the footers describe. Row groups become ranges of
-    the reader's row index; a file's ranges are one small array, so nothing is shuffled.
+    ``rows`` is a Parquet read of the files the footers describe; ``groups`` are numbers that
+    hold for every file, or a table of (path, row_group). Row groups become ranges of the
+    reader's row index; a file's ranges are one small array, so nothing is shuffled.
     """
     upto = Window.partitionBy("path").orderBy("row_group")
+    spans = footers.where("col_index = 0").withColumn("last", F.sum("rows").over(upto))
+    if isinstance(groups, DataFrame):
+        spans = spans.join(groups.select("path", "row_group"), ["path", "row_group"])
+    else:
+        spans = spans.where(F.col("row_group").isin(*groups))
     ranges = (
-        footers.where("col_index = 0")
-        .withColumn("last", F.sum("rows").over(upto))
-        .where(F.col("row_group").isin(*groups))
-        .groupBy(plain_path("path").alias("path"))
+        spans.groupBy(plain_path("path").alias("path"))
         .agg(
             F.collect_list(
                 F.struct("row_group", (F.col("last") - F.col("rows")).alias("first"), "last")

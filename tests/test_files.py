@@ -68,6 +68,31 @@ def test_row_groups(spark, layout):
     assert {r["leading_rows"] for r in leading} == {14}
 
 
+def test_output_sample_opens_only_chosen_shards(spark):
+    base = scratch_path(spark, "shards")
+    os.makedirs(base)
+    for shard in range(6):
+        rows = 25
+        table = pa.table(
+            {
+                "date": pa.array([2013] * rows, pa.int32()),
+                "text": [f"{shard} {row}" for row in range(rows)],
+                "token_count": pa.array(range(rows), pa.int32()),
+            }
+        )
+        pq.write_table(table, f"{base}/s-{shard:05d}.parquet", row_group_size=10)
+    listed = files.list_files(spark, base).withColumnRenamed("name", "shard_name")
+    drawn = sample.sample_output(listed, seed=3, shard_count=4, rows_per_shard=5).collect()
+    groups = {(r["shard"], r["row_group"]) for r in drawn}
+    assert len(groups) == len({s for s, _ in groups}) == 4
+    assert {g for _, g in groups} <= {0, 1, 2} and len(drawn) == 20
+    for r in drawn:
+        place = r["row_group"] * 10 + r["row"]
+        assert r["text"] == f"{int(r['shard'][2:7])} {place}" and r["token_count"] == place
+    again = sample.sample_output(listed, seed=3, shard_count=4, rows_per_shard=5).collect()
+    assert sorted(again) == sorted(drawn)
+
+
 def test_scan_and_positions(spark, layout):
     rows = dumps.source_positions(dumps.scan_dumps(spark, layout))
     found = rows.where("source_config = 'd-2018-05'").orderBy("position").collect()
