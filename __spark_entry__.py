@@ -600,8 +600,8 @@ def integrity_checks(spark, sf):
 @query(
     "first_k_problems",
     _FAULTS
-    + """SELECT * FROM (SELECT *, row_number() OVER (
-      PARTITION BY rule ORDER BY source_config, shard) AS rank FROM problems) WHERE rank <= 5""",
+    + """SELECT * FROM (SELECT *, (row_number() OVER (
+      PARTITION BY rule ORDER BY source_config, shard))::INT AS rank FROM problems) WHERE rank <= 5""",
 )
 def first_k_problems(spark, sf):
     problems = verify.integrity_problems(_faulty_shards(spark, sf), YEAR)
@@ -952,7 +952,7 @@ def impl_agreement(spark, sf):
 @query(
     "impl_agreement_examples",
     _IMPLS
-    + """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY impl ORDER BY doc_id) AS rank
+    + """SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY impl ORDER BY doc_id))::INT AS rank
       FROM long WHERE stored != computed) WHERE rank <= 20""",
 )
 def impl_agreement_examples(spark, sf):
@@ -1056,7 +1056,7 @@ def _cluster(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cluster_sample",
-    _CLUSTER + "SELECT name AS shard, row_group::INT AS row_group, row, doc_id, rank FROM sampled",
+    _CLUSTER + "SELECT name AS shard, row_group::INT AS row_group, row, doc_id, rank::INT AS rank FROM sampled",
 )
 def cluster_sample(spark, sf):
     return _cluster(spark, sf)
@@ -1202,7 +1202,7 @@ def middle_shards(spark, sf):
 
 @query(
     "indexed_shards",
-    _SHARDED + "SELECT source_config, shard, rows, shard::BIGINT AS shard_index FROM shards WHERE shard IN (0, 2, 13)",
+    _SHARDED + "SELECT source_config, shard, rows, shard AS shard_index FROM shards WHERE shard IN (0, 2, 13)",
 )
 def indexed_shards(spark, sf):
     return sample.indexed_shards(_shard_table(_shard_rows(spark, sf, [])), [0, 2, 13])
