@@ -92,6 +92,14 @@ def _available(docs: DataFrame) -> DataFrame:
     return docs.groupBy("source_config").agg(F.count(F.lit(1)).alias("available_rows"))
 
 
+def _dump_layout(docs: DataFrame) -> str:
+    """The documents written as a corpus lies on disk: a directory per dump, in source order."""
+    path = scratch_path(docs.sparkSession, "layout")
+    placed = docs.repartition("source_config").sortWithinPartitions("source_config", "doc_id")
+    placed.select("text", "source_config").write.partitionBy("source_config").parquet(path)
+    return path
+
+
 def _config(rule: str, **more) -> RunConfig:
     selection = {"rule": rule, "shuffle": rule == "token_budget"}
     if rule == "token_budget":
@@ -212,11 +220,8 @@ def scan_dumps(spark, sf):
 )
 def scan_positions(spark, sf):
     """Corpus laid out by dump, source order from file names and row indices."""
-    path = scratch_path(spark, "layout")
-    docs = _docs(spark, sf, "source", ["text", "lang"])
-    docs = docs.withColumn("text", F.concat_ws(":", "doc_id", "text"))
-    placed = docs.repartition(4, "source_config").sortWithinPartitions("source_config", "doc_id")
-    placed.select("text", "source_config").write.partitionBy("source_config").parquet(path)
+    docs = _docs(spark, sf, "source")
+    path = _dump_layout(docs.withColumn("text", F.concat_ws(":", "doc_id", "text")))
     rows = corpus.source_positions(corpus.scan_dumps(spark, path))
     doc_id = F.substring_index("text", ":", 1).cast("bigint")
     return rows.select("source_config", doc_id.alias("doc_id"), "position")
@@ -1457,6 +1462,20 @@ def write_shards(spark, sf):
     return _written(spark, root)
 
 
+@query(
+    "year_from_files",
+    _SHARDED + "SELECT source_config, shard, rows, tokens FROM shards",
+)
+def year_from_files(spark, sf):
+    """Retain-all year straight from a corpus on disk, numbered by file and row index."""
+    docs = corpus.numbered_documents(spark, _dump_layout(_docs(spark, sf, "source")))
+    held = {row[0]: row[1] for row in docs.groupBy("source_config").count().collect()}
+    config = _config("retain_all", source={"configs": held}, target_tokens=1)
+    root = scratch_path(spark, "year")
+    run_year(docs, config, root, counter=CounterSpec("regex"), rows_per_shard=SHARD_ROWS)
+    return _written(spark, root).drop("date")
+
+
 _KEPT_SHARDS = (
     _BUDGET
     + f""", placed AS (SELECT *, (position // {SHARD_ROWS})::INT AS shard FROM kept),
@@ -1686,9 +1705,9 @@ def stream_count(spark, sf):
     base = scratch_path(spark, "arrivals")
     docs = _docs(spark, sf, "source").select("source_config", "doc_id", "text")
     out, checkpoint = scratch_path(spark, "counted"), scratch_path(spark, "query")
-    half = F.col("doc_id") % 2
-    for turn in (0, 1):
-        docs.where(half == turn).repartition(4, "doc_id").write.mode("append").parquet(base)
+    early = F.col("source_config") < "src15"
+    for arrived in (early, ~early):
+        docs.where(arrived).repartition(4, "doc_id").write.mode("append").parquet(base)
         stream = stream_counts.read_stream(spark, base, docs.schema, 3)
         stream_counts.stream_count(stream, _words(spark), out, checkpoint)
     return spark.read.parquet(out).select("source_config", "doc_id", "token_count")
@@ -1825,6 +1844,16 @@ def ids_digest(spark, sf):
     return docs.select("doc_id", count("text").alias("ids")).select("doc_id", "ids.*")
 
 
+@query("token_ids_aggregate")
+def token_ids_aggregate(spark, sf):
+    """One digest per source over the token ids of all its documents, in shard and row order."""
+    docs = spread(_docs(spark, sf, "source"), "doc_id")
+    count = token_ids_digest(spark, _bpe("bpe_ranks"))
+    ids = docs.select("doc_id", count("text").alias("ids"))
+    digests = ids.select("doc_id", F.col("ids.token_ids_sha256").alias("digest"))
+    return digest.digest_tree(_shard_rows(spark, sf, []).join(digests, "doc_id"))
+
+
 @query("impl_agreement_bpe")
 def impl_agreement_bpe(spark, sf):
     """Three byte-pair implementations of one vocabulary, against the stored first one."""

@@ -41,7 +41,11 @@ def key_bucket(key: Column | str, bits: int | Column = DEFAULT_BITS) -> Column:
 
 
 def id_bucket(doc_id: Column | str) -> Column:
-    """Bucket of a unique non-negative integer id, monotone in the id."""
+    """Bucket of a unique integer id, monotone in the id.
+
+    Meant for ids that number documents. Random 64-bit ids would get a bucket each, and the
+    running sum over buckets would be as long as the dump; number such documents first.
+    """
     return F.shiftright(_col(doc_id), ID_BUCKET_BITS)
 
 

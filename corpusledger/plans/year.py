@@ -47,8 +47,8 @@ def run_year(
 ) -> DataFrame:
     """Write the year's shards under ``root`` and return its report row.
 
-    ``docs`` is (source_config, doc_id, text) with a ``doc_id`` that is unique and ascending in
-    source order. Finished dumps are skipped on a rerun; since every order is a function of the
+    ``docs`` is (source_config, doc_id, text) with a ``doc_id`` that numbers a dump's documents in
+    source order, with or without gaps (``numbered_documents`` reads such a table). Finished dumps are skipped on a rerun; since every order is a function of the
     seed or of the ids, the rest comes out as if the run had never stopped. Sample runs go to
     ``root/sample``.
     """

@@ -53,6 +53,15 @@ def source_positions(rows: DataFrame) -> DataFrame:
     )
 
 
+def numbered_documents(spark: SparkSession, base: str, dumps: list[str] | None = None) -> DataFrame:
+    """(source_config, doc_id, text) of a corpus on disk; ``doc_id`` is the place in the dump.
+
+    The ids a year is built from: dense, ascending in source order, the same on every rerun.
+    """
+    rows = source_positions(scan_dumps(spark, base, dumps))
+    return rows.select("source_config", F.col("position").alias("doc_id"), "text")
+
+
 def documents(
     spark: SparkSession, path: str, dump_column: str, columns: list[str] | None = None
 ) -> DataFrame:
