@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusledger.functions.counters import CounterSpec, token_count
 from corpusledger.functions.keys import bucket_bits
-from corpusledger.functions.text import checked_text
+from corpusledger.functions.text import checked_text, int_div
 from corpusledger.operators.prefix import assign_shards, find_cuts, keep_prefix, shard_bounds
 from corpusledger.operators.select import (
     DUMP, SEEDED_ORDER, SOURCE_ORDER, budget_cuts, in_source_order, quota_outcome, seeded,
@@ -30,6 +31,8 @@ SLOTS = 16**4
 ROWS_PER_WAVE = 500_000_000
 #: With fewer shards than this per slot, tokens are counted before the shuffle to shards.
 FEW_SHARDS_PER_SLOT = 4
+#: Drops the rows a year does not keep and gives the others their shard.
+Placement = Callable[[DataFrame], DataFrame]
 DUMP_NAME = re.compile(r"[\w.-]+")
 
 
@@ -79,9 +82,13 @@ def run_year(
     if manifest is None:
         manifest = spark.createDataFrame([], MANIFEST_SCHEMA)
     totals = manifest.groupBy(DUMP).agg(F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"))
-    held = docs.groupBy(DUMP).agg(F.count(F.lit(1)).alias("held"))
-    # Whether a source ran out is judged by what it holds, not by what the config expects.
-    known = plans.join(held, DUMP, "left").withColumn("available_rows", F.coalesce("held", F.lit(0)))
+    known = plans
+    if any(row["token_quota"] is not None for row in rows.values()):
+        # Whether a source ran out is judged by what it holds, not by what the config expects.
+        held = docs.groupBy(DUMP).agg(F.count(F.lit(1)).alias("held"))
+        known = plans.join(held, DUMP, "left").withColumn(
+            "available_rows", F.coalesce("held", F.lit(0))
+        )
     return run_report(
         quota_outcome(totals, known, rows_per_shard), config.settings, list(config.dumps),
         mode=mode, counter=counter.kind, batch_size=counter.batch_size,
@@ -149,33 +156,25 @@ def _write_dumps(
     else:
         ordered, order = in_source_order(docs), SOURCE_ORDER
 
-    if budget:
-        source = count_candidates(ordered, plans, count, keep_estimate(config))
-        narrow = source.select(DUMP, "bucket", *order, "token_count")
-        cuts = budget_cuts(narrow, plans)
+    source = count_candidates(ordered, plans, count, keep_estimate(config)) if budget else ordered
+    narrow = source.select(DUMP, "bucket", *order, *(["token_count"] if budget else []))
+    held = {} if budget else _held(narrow, plan_rows)
+    if held and not one["shuffle"] and all(h["first"] == 0 and h["last"] == h["rows"] - 1 for h in held.values()):
+        place, shards = _place_numbered(plan_rows, rows_per_shard)
     else:
-        source = ordered
-        narrow = ordered.select(DUMP, "bucket", *order)
         cuts = None
-        if _has_surplus(narrow, plan_rows):
+        if budget:
+            cuts = budget_cuts(narrow, plans)
+        elif any(h["rows"] > plan_rows[name]["row_target"] for name, h in held.items()):
             cuts = find_cuts(
                 narrow, plans, group=DUMP, bucket="bucket", order=order, weight=F.lit(1),
                 quota=quota,
             )
+        place, shards = _place_ordered(narrow, cuts, order, quota, rows_per_shard)
 
-    def keep(rows: DataFrame) -> DataFrame:
-        return rows if cuts is None else keep_prefix(rows, cuts, group=DUMP, order=order, quota=quota)
-
-    bounds = shard_bounds(
-        keep(narrow), group=DUMP, bucket="bucket", order=order, rows_per_shard=rows_per_shard
-    )
-    last = F.max(F.col("first_shard") + F.size("starts")) + 1
-    shards = {row[DUMP]: row["shards"] for row in bounds.groupBy(DUMP).agg(last.alias("shards")).collect()}
     few = FEW_SHARDS_PER_SLOT * spark.sparkContext.defaultParallelism
-
     for names in waves(shards, max(1, rows_per_wave // rows_per_shard)):
-        mine = keep(source.where(F.col(DUMP).isin(*names)))
-        sharded = assign_shards(mine, bounds, group=DUMP, bucket="bucket", order=order)
+        sharded = place(source.where(F.col(DUMP).isin(*names)))
         total = sum(shards[name] for name in names)
         tokens = F.col("token_count")
         if not budget and total < few:
@@ -190,6 +189,35 @@ def _write_dumps(
         commit_shards(spark, root, names)
 
 
+def _place_numbered(plan_rows: dict, rows_per_shard: int) -> tuple[Placement, dict[str, int]]:
+    """Shards of dumps whose ids are their positions: plain arithmetic, nothing is shuffled."""
+    targets = {name: row["row_target"] for name, row in plan_rows.items()}
+
+    def place(rows: DataFrame) -> DataFrame:
+        kept = rows.where(F.col("doc_id") < _by_dump(targets))
+        return kept.withColumn("shard", int_div("doc_id", rows_per_shard).cast("int"))
+
+    return place, {name: -(-target // rows_per_shard) for name, target in targets.items() if target}
+
+
+def _place_ordered(
+    narrow: DataFrame, cuts: DataFrame | None, order: list[str], quota: str, rows_per_shard: int
+) -> tuple[Placement, dict[str, int]]:
+    """Shards by position among the kept documents of each dump, in the given order."""
+    names = dict(group=DUMP, bucket="bucket", order=order)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        return rows if cuts is None else keep_prefix(rows, cuts, group=DUMP, order=order, quota=quota)
+
+    bounds = shard_bounds(keep(narrow), rows_per_shard=rows_per_shard, **names)
+    last = F.max(F.col("first_shard") + F.size("starts")) + 1
+    counts = bounds.groupBy(DUMP).agg(last.alias("shards")).collect()
+    return (
+        lambda rows: assign_shards(keep(rows), bounds, **names),
+        {row[DUMP]: row["shards"] for row in counts},
+    )
+
+
 def keep_estimate(config: RunConfig) -> float:
     """Share of the year a budget keeps, from the token estimate in the settings if there is one."""
     estimate = config.selection.get("estimated_tokens_available")
@@ -209,19 +237,29 @@ def _finished(committed: DataFrame | None, plan_rows: dict) -> list[str]:
     return list(found)
 
 
-def _has_surplus(narrow: DataFrame, plan_rows: dict) -> bool:
-    """Whether any dump holds more rows than its target; holding fewer stops the run."""
-    held = {name: 0 for name in plan_rows}
-    for row in narrow.groupBy(DUMP).agg(F.count(F.lit(1)).alias("rows")).collect():
-        held[row[DUMP]] = row["rows"]
-    target = {name: row["row_target"] for name, row in plan_rows.items()}
-    short = [f"{n} holds {held[n]} of {target[n]} rows" for n in sorted(held) if held[n] < target[n]]
+def _held(narrow: DataFrame, plan_rows: dict) -> dict[str, dict]:
+    """Rows, first and last id of each dump; one that holds fewer rows than planned stops the run."""
+    found = narrow.groupBy(DUMP).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+    )
+    held = {name: {"rows": 0, "first": 0, "last": -1} for name in plan_rows}
+    held.update({row[DUMP]: row.asDict() for row in found.collect()})
+    short = [
+        f"{name} holds {held[name]['rows']} of {row['row_target']} rows"
+        for name, row in sorted(plan_rows.items())
+        if held[name]["rows"] < row["row_target"]
+    ]
     if short:
         raise RuntimeError("; ".join(short))
-    return held != target
+    return held
+
+
+def _by_dump(values: dict[str, int]) -> Column:
+    """A number per dump of the config as a literal map, so that no join is needed."""
+    pairs = [F.lit(part) for pair in values.items() for part in pair]
+    return F.element_at(F.create_map(*pairs), F.col(DUMP))
 
 
 def _bits_of_dump(plan_rows: dict) -> Column:
     """Bucket bits by dump size, so that small dumps do not get the buckets of a large one."""
-    pairs = [F.lit(part) for name, row in plan_rows.items() for part in (name, bucket_bits(row["available_rows"]))]
-    return F.element_at(F.create_map(*pairs), F.col(DUMP))
+    return _by_dump({name: bucket_bits(row["available_rows"]) for name, row in plan_rows.items()})

@@ -13,6 +13,7 @@ from corpusledger.plans.build import build_plans, config_dumps
 from corpusledger.plans.config import RunConfig
 from corpusledger.runtime import scratch_path, stage
 from corpusledger.sinks import shards as sink
+from corpusledger.sources.dumps import numbered_documents
 
 SIZE = 10
 REGEX = CounterSpec("regex")
@@ -188,6 +189,29 @@ def test_source_order_sample_override(spark, docs, held, counted):
     assert written(spark, f"{root}/sample") == expected(head)
 
 
+def test_numbered_corpus_on_disk(spark, docs, held, counted):
+    path = scratch_path(spark, "corpus")
+    files = docs.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id")
+    files.select("text", "source_config").write.partitionBy("source_config").parquet(path)
+    numbered = numbered_documents(spark, path)
+    ordered = counted.orderBy("source_config", "doc_id").collect()
+
+    root = scratch_path(spark, "year")
+    report = run(numbered, config(held, "retain_all"), root).first()
+    assert written(spark, root) == expected(ordered)
+    assert report["rows"] == sum(held.values())
+
+    plain = config(held, "retain_all")
+    plain.settings["sample_mode"] = {"rows_per_config": 5}
+    run(numbered, plain, root, mode="sample", sample_rows=13)
+    seen, head = {}, []
+    for r in ordered:
+        seen[r["source_config"]] = seen.get(r["source_config"], 0) + 1
+        if seen[r["source_config"]] <= 13:
+            head.append(r)
+    assert written(spark, f"{root}/sample") == expected(head)
+
+
 def test_refusals(spark, docs, held):
     more = {name: rows + 1 for name, rows in held.items()}
     with pytest.raises(RuntimeError, match="holds"):
