@@ -1,13 +1,14 @@
 """An interpolated modified Kneser-Ney model over characters, counted and estimated by Spark.
 
 Tokens are code points, so that a block of text repeats its n-grams many times over and can be
-pre-aggregated before anything is shuffled. The text goes to *blocks* of one language and about
-``BLOCK_CHARS`` characters each (by a hash of the document, so no source or group of copies fills
-one). Three steps, none of which holds the model in one place:
+pre-aggregated before anything is shuffled. There is one model for all languages, so that a text
+that passes from one language to another is not odd by itself. The text goes to *blocks* of one
+language and about ``BLOCK_CHARS`` characters each (by a hash of the document, so no source or group
+of copies fills one). Three steps, none of which holds the model in one place:
 
 1. ``block_counts``: every block counts its distinct n-grams of the highest order;
 2. ``estimate``: counts summed over blocks, lower orders and probabilities as grouped tables and
-   joins on (language, n-gram), stored as arrays of sorted hashes with their log probabilities;
+   joins on the n-gram, stored as arrays of sorted hashes with their log probabilities;
 3. ``score``: each block asks for its own n-grams only, gets them back as one sorted hash array
    and looks them up by binary search.
 
@@ -33,11 +34,11 @@ START = "\x02"
 SHARD_ENTRIES = 50_000
 _TABLE = 1 << 25
 _FLUSH = 2_000_000
-COUNTS = "block string, lang string, gram string, key bigint, n bigint"
+COUNTS = "block string, gram string, key bigint, n bigint"
 
 
 def language(column: str = "lang") -> Column:
-    """A model's language: a null language is a language of its own."""
+    """A null language is a language of its own."""
     return F.coalesce(F.col(column).cast("string"), F.lit("und"))
 
 
@@ -60,19 +61,19 @@ def with_blocks(docs: DataFrame, text: str, lang: str, identity: str) -> tuple[D
 
 def block_counts(docs: DataFrame, blocks: int, text: str, identity: str,
                  trusted: DataFrame | None, order: int) -> DataFrame:
-    """(block, lang, gram, key, n): n-grams of every block, n counting those in trusted documents.
+    """(block, gram, key, n): n-grams of every block, n counting those in trusted documents.
 
-    ``trusted`` has (identity, __lang, __block) of the trusted documents; None trusts all. Its rows
+    ``trusted`` has (identity, __block) of the trusted documents; None trusts all. Its rows
     travel to the blocks with the documents and come first in them.
     """
     slots = max(blocks, docs.sparkSession.sparkContext.defaultParallelism)
     rows = docs.select(
-        F.lit(1).alias("kind"), F.col("__block").alias("block"), F.col("__lang").alias("lang"),
+        F.lit(1).alias("kind"), F.col("__block").alias("block"),
         F.col(identity).cast("string").alias("id"), F.col(text).alias("text"),
     )
     if trusted is not None:
         marks = trusted.select(
-            F.lit(0).alias("kind"), F.col("__block").alias("block"), F.col("__lang").alias("lang"),
+            F.lit(0).alias("kind"), F.col("__block").alias("block"),
             F.col(identity).cast("string").alias("id"), F.lit(None).cast("string").alias("text"),
         )
         rows = rows.unionByName(marks).repartition(slots, "block").sortWithinPartitions("kind")
@@ -83,67 +84,61 @@ def block_counts(docs: DataFrame, blocks: int, text: str, identity: str,
 
 
 def estimate(counts: DataFrame, order: int) -> DataFrame:
-    """(lang, shard, keys, logps): log probabilities of every n-gram in arrays sorted by hash.
+    """(shard, keys, logps): log probabilities of every n-gram in arrays sorted by hash.
 
-    Modified Kneser-Ney with three discounts per language and order: highest-order counts, below
-    them the number of distinct left neighbours; the lowest order is interpolated with the uniform
-    distribution over the language's characters and one unknown. An n-gram that only untrusted
-    text has (n = 0) gets what its context leaves to the order below.
+    Modified Kneser-Ney with three discounts per order: highest-order counts, below them the number
+    of distinct left neighbours; the lowest order is interpolated with the uniform distribution over
+    the characters and one unknown. An n-gram that only untrusted text has (n = 0) gets what its
+    context leaves to the order below. Only counts of counts, one row per order, go to the driver.
     """
-    spark = counts.sparkSession
-    grams = staged(
-        counts.groupBy("lang", "gram", "key").agg(F.sum("n").alias("c")), "grams"
-    )
-    levels = {order: grams.select("lang", "gram", "c")}
+    grams = staged(counts.groupBy("gram", "key").agg(F.sum("n").alias("c")), "grams")
+    levels = {order: grams.select("gram", "c")}
     for k in range(order - 1, 0, -1):
         shorter = F.expr("substring(gram, 2)").alias("gram")
-        below = levels[k + 1].groupBy("lang", shorter).agg(
-            F.sum((F.col("c") > 0).cast("bigint")).alias("c")
-        )
-        levels[k] = below
-    seen = None
+        neighbours = F.sum((F.col("c") > 0).cast("bigint")).alias("c")
+        levels[k] = levels[k + 1].groupBy(shorter).agg(neighbours)
+    tallies = None
     for k, level in levels.items():
-        tally = level.groupBy("lang").agg(
-            F.lit(k).alias("k"), F.count(F.lit(1)).alias("types"),
+        tally = level.agg(
+            F.lit(k).alias("k"), F.count(F.lit(1)).alias("types"), F.sum("c").alias("total"),
             *(F.sum((F.col("c") == i).cast("bigint")).alias(f"n{i}") for i in (1, 2, 3, 4)),
+            F.sum((F.col("c") >= 3).cast("bigint")).alias("more"),
         )
-        seen = tally if seen is None else seen.unionByName(tally)
-    held = [(row["lang"], row["k"], row["types"], *_discounts(*row[3:7])) for row in seen.collect()]
-    schema = "lang string, k int, types bigint, d1 double, d2 double, d3 double"
-    # One row per language and order, just fetched: small enough to send to every task.
-    discounts = F.broadcast(spark.createDataFrame(held, schema))
+        tallies = tally if tallies is None else tallies.unionByName(tally)
+    held = {row["k"]: row for row in tallies.collect()}
     lower = None
     for k in range(1, order + 1):
-        table = levels[k].join(discounts.where(F.col("k") == k).drop("k"), "lang")
-        context = Window.partitionBy("lang", F.expr(f"substring(gram, 1, {k - 1})"))
-        c = F.col("c")
-        table = table.select(
-            "lang", "gram", "c", "types", "d1", "d2", "d3",
-            F.expr("substring(gram, 2)").alias("tail"),
-            F.sum("c").over(context).alias("total"),
-            F.sum((c == 1).cast("bigint")).over(context).alias("one"),
-            F.sum((c == 2).cast("bigint")).over(context).alias("two"),
-            F.sum((c >= 3).cast("bigint")).over(context).alias("more"),
-        )
+        row, c = held[k], F.col("c")
+        d1, d2, d3 = _discounts(*(row[f"n{i}"] or 0 for i in (1, 2, 3, 4)))
         if k == 1:
-            table = table.withColumn("p_low", 1.0 / (F.col("types") + 1))
+            of_context = {
+                "total": F.lit(row["total"] or 0), "one": F.lit(row["n1"] or 0),
+                "two": F.lit(row["n2"] or 0), "more": F.lit(row["more"] or 0),
+            }
+            table = levels[1].withColumns(of_context | {"p_low": F.lit(1.0 / (row["types"] + 1))})
         else:
-            table = table.join(lower.select("lang", F.col("gram").alias("tail"), "p_low"), ["lang", "tail"])
-        cut = F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).when(c >= 3, F.col("d3")).otherwise(0.0)
-        left = F.col("d1") * F.col("one") + F.col("d2") * F.col("two") + F.col("d3") * F.col("more")
+            context = Window.partitionBy(F.expr(f"substring(gram, 1, {k - 1})"))
+            table = levels[k].select(
+                "gram", "c", F.expr("substring(gram, 2)").alias("tail"),
+                F.sum("c").over(context).alias("total"),
+                F.sum((c == 1).cast("bigint")).over(context).alias("one"),
+                F.sum((c == 2).cast("bigint")).over(context).alias("two"),
+                F.sum((c >= 3).cast("bigint")).over(context).alias("more"),
+            ).join(lower.select(F.col("gram").alias("tail"), "p_low"), "tail")
+        cut = F.when(c == 1, d1).when(c == 2, d2).when(c >= 3, d3).otherwise(0.0)
+        left = d1 * F.col("one") + d2 * F.col("two") + d3 * F.col("more")
         p = F.when(
             F.col("total") > 0,
             F.greatest(c - cut, F.lit(0.0)) / F.col("total") + left / F.col("total") * F.col("p_low"),
         ).otherwise(F.col("p_low"))
-        lower = table.select("lang", "gram", p.alias("p_low"))
-    shards = F.pmod(F.xxhash64("key"), F.lit(1 + max((row[2] for row in held), default=0) // SHARD_ENTRIES))
-    entries = lower.join(grams.select("lang", "gram", "key"), ["lang", "gram"]).select(
-        "lang", shards.alias("shard"), F.struct("key", F.log("p_low").alias("logp")).alias("entry")
+        lower = table.select("gram", p.alias("p_low"))
+    shard = F.pmod(F.xxhash64("key"), F.lit(1 + held[order]["types"] // SHARD_ENTRIES))
+    entries = lower.join(grams.select("gram", "key"), "gram").select(
+        shard.alias("shard"), F.struct("key", F.log("p_low").alias("logp")).alias("entry")
     )
-    arrays = entries.groupBy("lang", "shard").agg(F.sort_array(F.collect_list("entry")).alias("e"))
+    arrays = entries.groupBy("shard").agg(F.sort_array(F.collect_list("entry")).alias("e"))
     return staged(
-        arrays.select("lang", "shard", F.col("e.key").alias("keys"), F.col("e.logp").alias("logps")),
-        "model",
+        arrays.select("shard", F.col("e.key").alias("keys"), F.col("e.logp").alias("logps")), "model"
     )
 
 
@@ -163,10 +158,10 @@ def score(docs: DataFrame, text: str, counts: DataFrame, model: DataFrame, order
 
     ``rows(texts)`` gives the columns named in the DDL ``more`` for a list of texts without nulls.
     """
-    flat = model.select("lang", F.explode(F.arrays_zip("keys", "logps")).alias("e")).select(
-        "lang", F.col("e.keys").alias("key"), F.col("e.logps").alias("logp")
+    flat = model.select(F.explode(F.arrays_zip("keys", "logps")).alias("e")).select(
+        F.col("e.keys").alias("key"), F.col("e.logps").alias("logp")
     )
-    asked = counts.select("block", "lang", "key").join(flat, ["lang", "key"])
+    asked = counts.select("block", "key").join(flat, "key")
     answers = asked.groupBy("block").agg(
         F.sort_array(F.collect_set(F.struct("key", "logp"))).alias("e")
     ).select(
@@ -282,14 +277,14 @@ def log_probs(texts, keys, logps, order: int) -> np.ndarray:
 
 
 def _counter(order: int, all_trusted: bool):
-    def merged(key, parts):
+    def merged(parts):
         rows = np.concatenate([p[0] for p in parts])
         keys = np.concatenate([p[1] for p in parts])
         n = np.concatenate([p[2] for p in parts])
         found, first, place = np.unique(keys, return_index=True, return_inverse=True)
         return rows[first], found, np.bincount(place, n, len(found)).astype(np.int64)
 
-    def batches(key, part):
+    def batches(key: str, part):
         rows, keys, n = part
         for at in range(0, len(keys), 50_000):
             cut = np.ascontiguousarray(rows[at:at + 50_000])
@@ -297,42 +292,42 @@ def _counter(order: int, all_trusted: bool):
             grams = [text[i:i + order] for i in range(0, len(text), order)]
             size = len(grams)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key[0]] * size), pa.array([key[1]] * size), pa.array(grams),
+                [pa.array([key] * size), pa.array(grams),
                  pa.array(keys[at:at + 50_000]), pa.array(n[at:at + 50_000])],
-                names=["block", "lang", "gram", "key", "n"],
+                names=["block", "gram", "key", "n"],
             )
 
     def count(arrow):
-        held: dict[tuple, list] = {}
+        held: dict[str, list] = {}
         trusted: dict[str, set] = {}
         size = 0
         for batch in arrow:
             groups: dict[tuple, list] = {}
-            kinds, blocks, langs, ids, texts = (column.to_pylist() for column in batch.columns)
-            for kind, block, lang, name, text in zip(kinds, blocks, langs, ids, texts):
+            kinds, blocks, ids, texts = (column.to_pylist() for column in batch.columns)
+            for kind, block, name, text in zip(kinds, blocks, ids, texts):
                 if kind == 0:
                     trusted.setdefault(block, set()).add(name)
                 elif text:
                     known = all_trusted or name in trusted.get(block, ())
-                    groups.setdefault((block, lang, known), []).append(text)
-            for (block, lang, known), found in groups.items():
+                    groups.setdefault((block, known), []).append(text)
+            for (block, known), found in groups.items():
                 for piece in segments(found, order):
                     rows, keys, places, predicted, _ = gram_ids(piece, order)
                     n = np.bincount(places[predicted], minlength=len(keys))
                     use = n > 0
                     n = n if known else np.zeros_like(n)
-                    parts = held.setdefault((block, lang), [])
+                    parts = held.setdefault(block, [])
                     parts.append((rows[use], keys[use], n[use]))
                     size += int(use.sum())
                     if len(parts) > 8:
                         before = sum(len(p[1]) for p in parts)
-                        held[block, lang] = [merged((block, lang), parts)]
-                        size += len(held[block, lang][0][1]) - before
+                        held[block] = [merged(parts)]
+                        size += len(held[block][0][1]) - before
             if size > _FLUSH:
                 for key, parts in held.items():
-                    yield from batches(key, merged(key, parts))
+                    yield from batches(key, merged(parts))
                 held, size = {}, 0
         for key, parts in held.items():
-            yield from batches(key, merged(key, parts))
+            yield from batches(key, merged(parts))
 
     return count

@@ -3,7 +3,8 @@
 The language model is a character model estimated from all documents (``kneser_ney``). A document
 is rejected when a plain rule fails, or when its log perplexity lies outside its language's band:
 ``reach`` interquartile ranges below the lower or above the upper quartile of the documents that
-pass the plain rules. Bands follow the corpus; a language of ordinary documents loses none.
+pass the plain rules, and wider by ``NOISE`` over the root of the document's length, as short texts
+scatter more. Bands follow the corpus; a language of ordinary documents loses none.
 
 Defined cases: a null or empty text has no words, fails the plain rules and has a null perplexity;
 a null language is the language ``und``; repeated rows are judged each for itself; an empty table
@@ -27,8 +28,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 #: Interquartile ranges beyond the quartiles, and the least range taken (nats per character).
-REACH = 3.0
+REACH = 2.0
 LEAST_RANGE = 0.02
+NOISE = 2.0
 STEP = 0.001
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 OWN = [*MEASURES, "log_prob", "log_perplexity", "lower_band", "upper_band", "base_failed", "kept"]
@@ -66,7 +68,8 @@ def judged(scored: DataFrame, lang: str = "lang", reach: float = REACH) -> DataF
         "__lang", (F.col("q1") - spread).alias("lower_band"), (F.col("q3") + spread).alias("upper_band")
     )
     value = F.col("log_perplexity")
-    inside = value.between(F.col("lower_band"), F.col("upper_band"))
+    noise = NOISE / F.sqrt(F.greatest(F.col("word_chars"), F.lit(1)))
+    inside = value.between(F.col("lower_band") - noise, F.col("upper_band") + noise)
     return (
         named.join(bands, "__lang", "left")
         .withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False)))
