@@ -66,6 +66,19 @@ def oracle_sql() -> dict[str, str]:
     return dict(_oracles)
 
 
+def _add_training_data_queries() -> None:
+    """The ``llm`` subpackage and the pipeline over it are optional."""
+    try:
+        import corpus_pipeline
+        from corpusledger.llm import queries as more
+    except ImportError:
+        return
+    _queries.update(more.QUERIES | {"pipeline": corpus_pipeline.run})
+    _oracles.update(more.ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: regex tokens, exact quotas per dump, seeded token budget, outcome per dump."""
     return quota_outcome(spark, "/root/testdata/sf0.001")
@@ -1899,3 +1912,6 @@ def token_budget_bpe(spark, sf):
     plans = pin_small(build_plans(dumps, _config("token_budget"), "full", target=_forty_percent()))
     totals = select.selection_totals(select.token_budget(counted, plans))
     return select.quota_outcome(totals, plans, SHARD_ROWS)
+
+
+_add_training_data_queries()
