@@ -16,8 +16,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def words_of(text: Column) -> Column:
     """The words of a text as an array; a null text has none."""
-    pieces = F.split(F.coalesce(text, F.lit("")), SPACE, -1)
-    return F.filter(pieces, lambda word: word != "")
+    plain = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, SPACE, -1))
 
 
 @contextlib.contextmanager

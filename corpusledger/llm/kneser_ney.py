@@ -42,31 +42,36 @@ def language(column: str = "lang") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("und"))
 
 
-def with_blocks(docs: DataFrame, text: str, lang: str, identity: str) -> tuple[DataFrame, int]:
-    """``docs`` with ``__lang`` and ``__block``, and the number of blocks.
+def blocks_of(docs: DataFrame, text: str, lang: str) -> dict[str, int]:
+    """How many blocks each language's text needs."""
+    chars = F.sum(F.length(F.col(text))).alias("chars")
+    sizes = docs.groupBy(language(lang).alias("lang")).agg(chars).collect()
+    return {row[0]: 1 + (row[1] or 0) // BLOCK_CHARS for row in sizes} or {"und": 1}
+
+
+def with_blocks(docs: DataFrame, blocks: dict[str, int], text: str, lang: str, identity: str) -> DataFrame:
+    """``docs`` with ``__lang`` and ``__block``.
 
     A block is a language and a hash of the identity (of the text where that is null), over as many
-    as the language's text needs. One small row per language is fetched to the driver.
+    as ``blocks`` has for the language.
     """
     named = docs.withColumn("__lang", language(lang))
-    sizes = named.groupBy("__lang").agg(F.sum(F.length(F.col(text))).alias("chars")).collect()
-    blocks = {row[0]: 1 + (row[1] or 0) // BLOCK_CHARS for row in sizes}
-    pairs = [F.lit(x) for item in (blocks or {"und": 1}).items() for x in item]
+    pairs = [F.lit(x) for item in blocks.items() for x in item]
     of_lang = F.coalesce(F.element_at(F.create_map(*pairs), F.col("__lang")), F.lit(1))
     named_by = F.coalesce(F.col(identity).cast("string"), F.col(text))
     number = F.pmod(F.xxhash64(named_by), of_lang.cast("bigint"))
     block = F.concat_ws("/", "__lang", number.cast("string"))
-    return named.withColumn("__block", block), sum(blocks.values())
+    return named.withColumn("__block", block)
 
 
-def block_counts(docs: DataFrame, blocks: int, text: str, identity: str,
+def block_counts(docs: DataFrame, blocks: dict[str, int], text: str, identity: str,
                  trusted: DataFrame | None, order: int) -> DataFrame:
     """(block, gram, key, n): n-grams of every block, n counting those in trusted documents.
 
     ``trusted`` has (identity, __block) of the trusted documents; None trusts all. Its rows
     travel to the blocks with the documents and come first in them.
     """
-    slots = max(blocks, docs.sparkSession.sparkContext.defaultParallelism)
+    slots = max(sum(blocks.values()), docs.sparkSession.sparkContext.defaultParallelism)
     rows = docs.select(
         F.lit(1).alias("kind"), F.col("__block").alias("block"),
         F.col(identity).cast("string").alias("id"), F.col(text).alias("text"),

@@ -40,7 +40,8 @@ def measured(docs: DataFrame, text: str = "text", lang: str = "lang", identity:
              order: int = lm.ORDER) -> DataFrame:
     """``docs`` with the plain counts, ``log_perplexity`` per character and ``base_failed``."""
     plain = docs.drop(*(set(OWN) - {text, lang, identity}))
-    blocked, blocks = lm.with_blocks(plain, text, lang, identity)
+    blocks = lm.blocks_of(plain, text, lang)
+    blocked = lm.with_blocks(plain, blocks, text, lang, identity)
     counts = staged(lm.block_counts(blocked, blocks, text, identity, None, order), "counts")
     model = lm.estimate(counts, order)
     more = ", ".join(f"{name} bigint" for name in MEASURES)
