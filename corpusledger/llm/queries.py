@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusledger.llm import quality_rules
+from corpusledger.llm import (
+    circulant_minhash, decontaminate, html_paths, language_id, license_scan, mixing, quality_classifier,
+    quality_rules, secret_owners, virtual_slots,
+)
+from corpusledger.runtime import scratch_path
+
+
+#: Words as the contracts have them, for RE2.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,8 +30,97 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_paths.extract(_table(spark, sf, "pages"))
+
+
+def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.license_scan(_table(spark, sf, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A document stands for a repository, its source for the owner."""
+    return secret_owners.secrets(_table(spark, sf, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    items = _table(spark, sf, "benchmark").select("item_id", "text")
+    return decontaminate.contaminated(docs, items)
+
+
+def op6_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return virtual_slots.shard_records(docs, scratch_path(spark, "slot-map"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    labels = _table(spark, sf, "labels")
+    return quality_classifier.classify(docs, labels.where("quality = 1").select("doc_id"))
+
+
+def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf, "documents").select("doc_id", "text", "lang"))
+
+
+def op9_circulant_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return circulant_minhash.near_duplicates(docs)
+
+
+def op10_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_license_scan": op3_license_scan,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_virtual_slots": op6_virtual_slots,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_language_id": op8_language_id,
+    "op9_circulant_minhash": op9_circulant_minhash,
+    "op10_source_mixing": op10_source_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_source_mixing": f"""
+      WITH sized AS (
+        SELECT doc_id, source,
+          len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+        FROM documents),
+      sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+      weighed AS (
+        SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sources),
+      ranked AS (
+        SELECT *, row_number() OVER r AS place, (sum(source_size) OVER ())::BIGINT AS total,
+          coalesce(sum(source_size) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS below,
+          (sum(weight) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS onward
+        FROM weighed WINDOW r AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST)),
+      limited AS (
+        SELECT *, (3 * source_size)::DOUBLE * onward <= (total - 3 * below)::DOUBLE * weight AS stops
+        FROM ranked),
+      free AS (SELECT * FROM limited WHERE NOT stops ORDER BY place LIMIT 1),
+      wanted AS (
+        SELECT l.source, l.source_size,
+          CASE WHEN l.stops THEN (3 * l.source_size)::DOUBLE
+            ELSE (f.total - 3 * f.below)::DOUBLE * l.weight / f.onward END AS target
+        FROM limited l LEFT JOIN free f ON true),
+      planned AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole,
+          target - whole * source_size AS rest FROM wanted),
+      hashed AS (SELECT source, h, sum(size)::BIGINT AS words FROM sized GROUP BY source, h),
+      summed AS (
+        SELECT *, (sum(words) OVER (PARTITION BY source ORDER BY h))::BIGINT AS upto FROM hashed)
+      SELECT s.doc_id, s.size, p.source_size, p.target, s.source, (s.size * (p.whole
+        + CASE WHEN (u.upto - u.words) + u.upto < 2 * p.rest THEN 1 ELSE 0 END))::BIGINT AS taken
+      FROM sized s
+      JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+      JOIN summed u ON s.source IS NOT DISTINCT FROM u.source AND s.h = u.h""",
+}
