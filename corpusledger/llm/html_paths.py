@@ -28,12 +28,12 @@ from corpusledger.llm.common import staged
 
 MOST_PATHS = 20
 MOST_DEPTH = 200
-# What HTML elements are.
+# What HTML elements are; the page itself is the container without a name.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
 DROPPED = frozenset("nav footer aside form button dialog menu fieldset label figure audio video canvas".split())
-CONTAINERS = frozenset("html body main article section div td center blockquote details".split())
-BLOCKS = CONTAINERS | DROPPED | frozenset(
+CONTAINERS = frozenset("html body main article section div td center blockquote details".split()) | {""}
+BLOCKS = CONTAINERS - {""} | DROPPED | frozenset(
     "header address dd dl dt figcaption h1 h2 h3 h4 h5 h6 head hr li ol p pre table tbody tfoot thead tr th ul"
     " caption summary hgroup".split()
 )

@@ -1,0 +1,38 @@
+"""Small tables that the operator tests share."""
+
+import random
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Columns with the names that operators use for their own.
+CLASHING = ["n_words", "kept", "shard", "size", "block", "band", "key", "component_id", "gram", "hash"]
+
+
+def prose(seed: int, words: int, vocabulary: int = 400) -> str:
+    rng = random.Random(seed)
+    parts = ["ba", "co", "di", "fe", "gu", "ha", "li", "mo", "ne", "ri", "so", "tu", "va", "ze"]
+    known = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(vocabulary)]
+    out = []
+    for i in range(words):
+        out.append(rng.choice(known) + (".\n" if i % 17 == 16 else ""))
+    return " ".join(out)
+
+
+def messy(spark, extra: bool = True):
+    """Nulls in every column, empty, blank and long texts, ties, repeated rows, extra columns."""
+    rows = [
+        (1, prose(1, 120), "en", "a", 10), (2, prose(1, 120), "en", "b", 10),
+        (3, None, "en", "a", None), (4, "", None, None, 0), (5, " \t\n ", "en", "a", 4),
+        (6, "one", "fr", "b", 3), (7, "one", "fr", "b", 3), (8, prose(2, 40_000), "en", "a", 1),
+        (None, prose(3, 60), None, "c", 2), (None, None, None, None, None),
+        (9, prose(4, 80), "en", None, 5), (9, prose(4, 80), "en", None, 5),
+        (10, "é" * 50 + " ß 漢字 \U0001f600 " + prose(5, 30), "xx", "a", 9),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    if extra:
+        for name in CLASHING:
+            df = df.selectExpr("*", f"'mine' AS {name}")
+    return df
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -1,0 +1,86 @@
+"""Extraction on pages of several kinds, and the host's vote against odd pages."""
+
+from corpusledger.llm import html_paths as op
+
+SCHEMA = "page_id bigint, url string, html string, kept string, text string"
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head>
+<body><header class="site-header"><p>Site name and a long line of words that is no text</p></header>
+<nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice"><p>We use cookies, a lot.</p></div>
+<div id="wrap-12"><div class="post-content post-{n}"><h1>Title {n}</h1><p>First   para &amp; more &eacute;&#8212;x.
+<b>bold</b> <p>Second<br>para <!-- no --> end.<ul><li>Item one<li>Item two</ul>
+<div class="ad-slot">Buy now</div><form><p>Sign up</p></form><section class="comments"><p>Reader says</p></section></div>
+<aside><p>Related things, {n} of them, to read in this long sidebar text that never ends at all</p></aside></div>
+<footer>&copy; 2020</footer></body></html>"""
+TEXT = "Title {n}\n\nFirst para & more é—x. bold\n\nSecond para end.\n\nItem one\n\nItem two"
+
+
+def extracted(spark, rows):
+    return {r["page_id"]: r for r in op.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_page(spark):
+    rows = [(n, f"http://a.example/{n}", PAGE.format(n=n), "mine", "mine") for n in range(5)]
+    out = extracted(spark, rows)
+    for n in range(5):
+        assert out[n]["text"] == TEXT.format(n=n)
+        assert out[n]["n_chars"] == len(out[n]["text"])
+
+
+def test_host_decides(spark):
+    whole = '<body><div class="story">{}</div><div class="box">{}</div></body>'
+    long, short = "<p>" + "word " * 80 + "</p>", "<p>few words</p>"
+    rows = [(n, "https://U@H.example:80/x", whole.format(long, short), None, None) for n in range(6)]
+    rows.append((6, "http://h.example", whole.format(short, long), None, None))  # a long box on this page
+    rows.append((7, "http://other.example", whole.format(short, long), None, None))
+    rows.append((8, "http://h.example", "<main><p>another kind</p></main>", None, None))
+    out = extracted(spark, rows)
+    assert out[0]["host"] == "h.example"
+    assert out[6]["text"] == "few words" and out[6]["path"] == "body>div.story"
+    assert out[7]["text"] == ("word " * 80).strip()
+    assert out[8]["text"] == "another kind"
+
+
+def test_generalised_classes():
+    path, _ = op.best_path('<div class="post-17 Entry"><p>some text here</p></div>')
+    assert path == "div.entry.post-0"
+
+
+def test_parts():
+    text = lambda page: op.main_text(page, [])[0]
+    assert text("plain text only") == "plain text only"
+    assert text("<article><header><h1>Head</h1></header><p>Body</article>") == "Head\n\nBody"
+    assert text("<article>a<script>x<y</script>b<style>p</style>c</article>") == "abc"
+    assert text("<article><p title='a > b' class=x>t &lt;b&gt; 5 < 6</p></article>") == "t <b> 5 < 6"
+    assert text("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p></article>") == "yes"
+    assert text("<table><tr><td>one<td>two<tr><td>three</table>") != ""
+    assert text("<article><pre>a\n  b</pre><!-- open <p>never") == "a b"
+    assert text("<article>open <p>unclosed <b>tags <p>here") == "open\n\nunclosed tags\n\nhere"
+    assert text("<article><p>x<script>unclosed <p>y") == "x"
+    assert text("<p> &nbsp;  </p>") == ""
+    assert len(text("<div>" * 5000 + "<p>deep" + "</div>" * 5000)) == 4
+
+
+def test_messy(spark):
+    rows = [
+        (1, None, PAGE.format(n=1), None, None), (2, "not a url", None, None, None), (2, "not a url", None, None, None),
+        (3, "http://x", "", None, None), (None, "http://x", "<p>hello</p>", None, None),
+        (4, "http://x", "<p>" + "long text " * 100_000 + "</p>", None, None),
+    ]
+    out = op.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(out) == 6 and all(r["text"] is not None for r in out)
+    by_id = {r["page_id"]: r for r in out}
+    assert by_id[1]["text"] == TEXT.format(n=1) and by_id[2]["text"] == "" and by_id[3]["n_chars"] == 0
+    assert by_id[None]["text"] == "hello" and by_id[4]["n_chars"] == 999_999
+    assert op.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = {r["page_id"]: r for r in op.extract(pages).collect()}
+    assert len(rows) == pages.count()
+    for page in pages.collect():
+        inner = page["html"].split("<article>")[1].split("</article>")[0]
+        assert "".join(rows[page["page_id"]]["text"].split()) == "".join(op.entities.unescape(
+            inner.replace("<h1>", " ").replace("</h1>", " ").replace("<p>", " ").replace("</p>", " ")
+            .replace("<b>", " ").replace("<br>", " ")).split())

@@ -1,0 +1,143 @@
+"""Perplexities against a direct Kneser-Ney model, plain counts against a direct count."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusledger.llm import kneser_ney as lm
+from corpusledger.llm import quality_rules as op
+
+from .shared import empty, messy, prose
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def brute_model(texts, trusted, order):
+    """log probability of every character, straight from the definition."""
+    counts = {order: Counter()}
+    for text, known in zip(texts, trusted):
+        padded = lm.START * (order - 1) + text
+        for i in range(len(text)):
+            counts[order][padded[i:i + order]] += known
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter()
+        for gram, c in counts[k + 1].items():
+            counts[k][gram[1:]] += c > 0
+    cuts, of_context = {}, {}
+    for k, grams in counts.items():
+        n = [sum(c == i for c in grams.values()) for i in range(5)]
+        cuts[k] = lm._discounts(*n[1:])
+        of_context[k] = defaultdict(list)
+        for gram, c in grams.items():
+            of_context[k][gram[:-1]].append(c)
+
+    def cut(k, c):
+        return 0 if not c else cuts[k][min(c, 3) - 1]
+
+    def p(gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / (len(counts[1]) + 1)
+        held = of_context[k][gram[:-1]]
+        total, low = sum(held), p(gram[1:])
+        if not total:
+            return low
+        c = counts[k][gram]
+        return max(c - cut(k, c), 0) / total + sum(cut(k, x) for x in held) / total * low
+
+    out = []
+    for text in texts:
+        padded = lm.START * (order - 1) + text
+        out.append(sum(math.log(p(padded[i:i + order])) for i in range(len(text))))
+    return out
+
+
+def brute_measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    times, covered = Counter(windows), set()
+    for i, window in enumerate(windows):
+        if times[window] > 1:
+            covered.update(range(i, i + 5))
+    dups = sum(line in lines[:i] for i, line in enumerate(lines))
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(words), sum(map(len, words)), symbols, dups, len(covered)
+
+
+@pytest.mark.parametrize("trust_all", [True, False])
+def test_model_against_definition(spark, trust_all, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 700)
+    texts = [prose(i, 20 + 7 * i, 12) for i in range(12)] + ["", "a", "aaaa", "\x02x", "漢字 é"]
+    trusted = [trust_all or i % 2 == 0 for i in range(len(texts))]
+    rows = [(i, text, "en" if i % 3 else None) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    blocks = lm.blocks_of(docs, "text", "lang")
+    assert sum(blocks.values()) > 3
+    blocked = lm.with_blocks(docs, blocks, "text", "lang", "doc_id")
+    marks = None
+    if not trust_all:
+        marks = blocked.where("doc_id % 2 = 0").select("doc_id", "__block")
+    counts = lm.block_counts(blocked, blocks, "text", "doc_id", marks, 3)
+    scored = lm.score(blocked, "text", counts, lm.estimate(counts, 3), 3, "", lambda texts: [])
+    found = {row["doc_id"]: row["log_prob"] for row in scored.collect()}
+    for i, wanted in enumerate(brute_model(texts, trusted, 3)):
+        assert found[i] == pytest.approx(wanted, rel=1e-9, abs=1e-9)
+
+
+def test_long_texts_in_pieces():
+    text = prose(1, 900)
+    whole = list(lm.segments([text], 4))
+    cut = [piece for batch in lm.segments([text], 4, 100) for piece in batch]
+    assert "".join(piece for _, _, piece in cut) == text and len(cut) > 40
+    assert [c for _, c, _ in cut][1] == text[97:100]
+    rows, keys, ids, predicted, _ = lm.gram_ids(whole[0], 4)
+    grams = ["".join(map(chr, rows[i])) for i in ids[predicted]]
+    padded = lm.START * 3 + text
+    assert grams == [padded[i:i + 4] for i in range(len(text))]
+    assert len(set(keys.tolist())) == len(keys)
+
+
+def test_wide_alphabet():
+    text = "".join(chr(0x4E00 + (i * 7919) % 9000) for i in range(20_000))
+    rows, _, ids, predicted, _ = lm.gram_ids([(0, lm.START * 3, text)], 4)
+    assert ["".join(map(chr, rows[i])) for i in ids[predicted]][100] == text[97:101]
+
+
+def test_measures(spark, docs):
+    rows = docs.select("text").limit(150).collect()
+    texts = [row[0] for row in rows] + ["", "a b c d e a b c d e", "x\n\n \nx\nx y", "a " * 30, "a\x1cb c|<"]
+    arrays = op.base_measures(texts)
+    assert list(zip(*(a.to_pylist() for a in arrays))) == [brute_measures(t) for t in texts]
+
+
+def test_bands_reject_noise_and_keep_prose(spark):
+    good = [(i, prose(7, 150) if i == 0 else prose(i, 120 + i, 60), "en", "a", 0) for i in range(120)]
+    rng = random.Random(1)
+    noise = "".join(chr(rng.randrange(33, 120)) + (" " if i % 6 == 5 else "") for i in range(900))
+    odd = [(500, noise, "en", "a", 0)]
+    docs = spark.createDataFrame(good + odd, "doc_id bigint, text string, lang string, source string, n bigint")
+    out = {row["doc_id"]: row for row in op.quality_rules(docs).collect()}
+    assert not out[500]["kept"] and not out[500]["base_failed"]
+    assert sum(row["kept"] for row in out.values()) >= 118
+
+
+def test_messy(spark):
+    docs = messy(spark)
+    out = op.quality_rules(docs)
+    assert set(docs.columns) <= set(out.columns) and len(set(out.columns)) == len(out.columns)
+    rows = out.collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert tuple(row[m] for m in op.MEASURES) == brute_measures(row["text"])
+        n, repeated = row["n_words"], row["n_repeat_words"]
+        assert row["base_failed"] == (n < 10 or 100 * repeated > 20 * n)
+        assert (row["log_perplexity"] is None) == (not row["text"])
+        assert not (row["base_failed"] and row["kept"])
+    assert op.quality_rules(empty(spark)).count() == 0
+    assert docs.where(F.col("text").isNull()).count() == 2
