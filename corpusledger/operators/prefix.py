@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from corpusledger.functions.text import int_div
 from corpusledger.runtime import pin_small
 
-#: Bucket tables up to this size are broadcast to assign shards without shuffling text.
-MAX_BUCKET_ROWS = 1_000_000
-
 
 def bucket_bases(rows: DataFrame, *, group: str, bucket: str, weight: Column) -> DataFrame:
     """Per (group, bucket): its total weight and the total of all earlier buckets."""
@@ -114,9 +111,7 @@ def shard_bounds(
         F.array_sort(F.collect_list(starts)).alias("_starts"),
     )
     later = F.filter("_starts", lambda start: start > F.col("_first"))
-    return pin_small(
-        bounds.select(group, bucket, "first_shard", later.alias("starts")), MAX_BUCKET_ROWS
-    )
+    return pin_small(bounds.select(group, bucket, "first_shard", later.alias("starts")))
 
 
 def assign_shards(

@@ -1,19 +1,18 @@
-"""Session settings, shared scratch space and size-checked broadcasts."""
+"""Session settings, staged tables and files for the executors."""
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A table of at most this many narrow rows (dumps, cut points, shard bounds) may be broadcast.
-MAX_PINNED_ROWS = 100_000
 
 _local_roots: dict[str, str] = {}
 _shipped_files: set[tuple[str, str]] = set()
+_staging: list[str] = []
 
 
 def local_session(cpus: int | str = "*", app: str = "corpusledger") -> SparkSession:
@@ -50,8 +49,22 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+@contextlib.contextmanager
+def staging_under(spark: SparkSession, root: str):
+    """Within this, tables are staged under ``root``, next to what they lead to, and go at its end."""
+    path = f"{root}/_staging/{uuid.uuid4().hex}"
+    _staging.append(path)
+    try:
+        yield
+    finally:
+        _staging.remove(path)
+        delete(spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
+    """A fresh path in the folder of the run that stages, or else in the shared folder."""
+    if _staging:
+        return f"{_staging[-1]}/{name}-{uuid.uuid4().hex[:12]}"
     app = spark.sparkContext.applicationId
     return f"{shared_root(spark)}/corpusledger/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -65,47 +78,75 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def stage_by(df: DataFrame, name: str, column: str) -> DataFrame:
     """``stage`` with one directory per value of ``column``, so that later passes prune by it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").partitionBy(column).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return write_by(df, scratch_path(df.sparkSession, name), column)
+
+
+def write_by(df: DataFrame, path: str, column: str) -> DataFrame:
+    """``df`` as it was written to ``path``, in place of what an interrupted run left there."""
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(column).parquet(path)
+    return read_by(df.sparkSession, path, df.schema)
+
+
+def read_by(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete everything this application staged."""
-    app = spark.sparkContext.applicationId
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/corpusledger/{app}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{shared_root(spark)}/corpusledger/{spark.sparkContext.applicationId}")
 
 
-def pin_small(df: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
-    """Compute a small table once and mark it for broadcast if it really is small.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
-    At most ``max_rows + 1`` rows are fetched to find out. A larger table is staged instead and
-    carries no hint: joins against it shuffle, and adaptive execution splits hot keys.
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def pin_small(df: DataFrame) -> DataFrame:
+    """Compute a table once that is small as a rule: plans, cut points, bounds.
+
+    Its files tell the planner and adaptive execution its size, so it is broadcast if it is small
+    in bytes and joined by shuffle otherwise.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return stage(df, "wide")
-    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+    return stage(df, "small")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, source: DataFrame | None = None) -> DataFrame:
     """Spread rows over all slots when the input has fewer splits than the session has slots.
 
     Token counting is CPU-bound, so one large row group must not keep the other slots idle.
-    Inputs with enough splits, the usual case on a cluster, are returned unshuffled.
+    Inputs with enough splits, the usual case on a cluster, are returned unshuffled. The splits are
+    estimated from the scanned bytes of ``source``; nothing is run to find out.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    spark = df.sparkSession
+    scan = (source if source is not None else df)._jdf.queryExecution().optimizedPlan().stats()
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    slots = spark.sparkContext.defaultParallelism
+    if int(str(scan.sizeInBytes())) // int(str(split)) >= slots:
         return df
     return df.repartition(slots, *keys)
 
 
+def file_digest(path: str) -> str:
+    """SHA-256 of a file on the driver."""
+    with open(path, "rb") as lines:
+        return hashlib.file_digest(lines, "sha256").hexdigest()
+
+
 def ship_file(spark: SparkSession, path: str) -> str:
-    """Send a driver-side file to every executor once; returns the name to ask for there."""
+    """Send a driver-side file to every executor once; returns the name to ask for there.
+
+    Executors know files by their base name, so the name is the digest of the content.
+    """
     context = spark.sparkContext
-    mark = (context.applicationId, path)
-    if mark not in _shipped_files:
-        context.addFile(path)
-        _shipped_files.add(mark)
-    return os.path.basename(path)
+    name = file_digest(path)
+    if (context.applicationId, name) not in _shipped_files:
+        link = os.path.join(tempfile.mkdtemp(prefix="corpusledger-ship-"), name)
+        os.symlink(os.path.abspath(path), link)
+        context.addFile(link)
+        _shipped_files.add((context.applicationId, name))
+    return name

@@ -9,22 +9,21 @@ from corpusledger.functions.text import checked_text
 from corpusledger.runtime import pin_small
 
 SOURCE_SCHEMA = "text string, source_config string"
-#: File tables up to this size are broadcast to number rows without shuffling text.
-MAX_FILE_ROWS = 1_000_000
 
 
 def scan_dumps(spark: SparkSession, base: str, dumps: list[str] | None = None) -> DataFrame:
     """The text of a corpus laid out as ``base/source_config=<dump>/*.parquet``.
 
-    Only ``text`` is read; naming dumps prunes partitions. File name and row index, which give
-    the source order, come from the reader and cost no column.
+    Only ``text`` is read; naming dumps prunes partitions. File name (with the folders below the
+    dump, if there are any) and row index, which give the source order, come from the reader and
+    cost no column.
     """
     rows = spark.read.schema(SOURCE_SCHEMA).parquet(base)
     if dumps:
         rows = rows.where(F.col("source_config").isin(*dumps))
     return rows.select(
         "source_config",
-        F.col("_metadata.file_name").alias("file_name"),
+        F.regexp_extract("_metadata.file_path", r"/source_config=[^/]*/(.*)$", 1).alias("file_name"),
         F.col("_metadata.row_index").alias("row_index"),
         checked_text(rows).alias("text"),
     )
@@ -43,8 +42,7 @@ def source_positions(rows: DataFrame) -> DataFrame:
         rows.groupBy("source_config", "file_name")
         .agg((F.max("row_index") + 1).alias("file_rows"))
         .withColumn("file_base", F.coalesce(F.sum("file_rows").over(earlier), F.lit(0)))
-        .select("source_config", "file_name", "file_base"),
-        MAX_FILE_ROWS,
+        .select("source_config", "file_name", "file_base")
     )
     return (
         rows.join(bases, ["source_config", "file_name"])

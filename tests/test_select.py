@@ -162,12 +162,17 @@ def test_shard_assignment_equals_position(spark, docs, size):
     assert joined.where("shard != expected").count() == 0
 
 
-def test_large_small_tables_are_not_broadcast(spark):
+def test_pinned_tables_are_broadcast_by_their_bytes(spark):
     table = spark.range(50).withColumnRenamed("id", "doc_id")
-    assert "Broadcast" in _plan(table.join(pin_small(table, 50), "doc_id"))
-    wide = pin_small(table, 49)
-    assert "ResolvedHint" not in wide._jdf.queryExecution().logical().toString()
-    assert wide.count() == 50
+    pinned = pin_small(table)
+    assert "ResolvedHint" not in pinned._jdf.queryExecution().logical().toString()
+    assert "Broadcast" in _plan(table.join(pinned, "doc_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert "Broadcast" not in _plan(table.join(pinned, "doc_id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert pinned.count() == 50
 
 
 def _plan(df):

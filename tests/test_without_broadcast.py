@@ -1,11 +1,9 @@
-"""The shuffle joins behind every size-checked broadcast give the same results."""
+"""Joins by shuffle, for tables too large to broadcast, give the same results."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusledger import runtime
 from corpusledger.functions.counters import CounterSpec
-from corpusledger.operators import prefix
 from corpusledger.plans.config import RunConfig
 from corpusledger.plans.year import run_year
 from corpusledger.runtime import scratch_path
@@ -13,12 +11,10 @@ from corpusledger.sinks.shards import read_output
 
 
 @pytest.fixture
-def no_broadcast(spark, monkeypatch):
+def no_broadcast(spark):
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for name in names:
         spark.conf.set(name, "-1")
-    monkeypatch.setattr(runtime.pin_small, "__defaults__", (0,))
-    monkeypatch.setattr(prefix, "MAX_BUCKET_ROWS", 0)
     yield
     for name in names:
         spark.conf.unset(name)
@@ -43,9 +39,8 @@ def build(spark, docs):
     return report["source_configs"], sorted(tuple(row) for row in rows.collect())
 
 
-def test_year(spark, docs, no_broadcast, monkeypatch):
+def test_year(spark, docs, no_broadcast):
     shuffled = build(spark, docs)
-    monkeypatch.undo()
     for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.unset(name)
     assert build(spark, docs) == shuffled
