@@ -99,13 +99,17 @@ def quota_outcome(totals: DataFrame, plans: DataFrame, rows_per_shard: int) -> D
 
     Exhaustion follows from the data: every available row was kept and the quota is still open.
     A dump with neither outcome is an error of the run and fails the query. Row-target plans have
-    no quota and report neither outcome.
+    no quota and report neither outcome. Totals that carry ``shards``, as those of a manifest do, are
+    reported with them; otherwise shards follow from the rows.
     """
     rows = F.coalesce(F.col("rows"), F.lit(0))
     kept = F.coalesce(F.col("tokens"), F.lit(0))
     quota = F.col("token_quota")
     reached = quota.isNotNull() & (kept >= quota)
     exhausted = quota.isNotNull() & (kept < quota) & (rows >= F.col("available_rows"))
+    shards = ceil_div(rows, rows_per_shard)
+    if "shards" in totals.columns:
+        shards = F.coalesce("shards", F.lit(0).cast("bigint"))
     message = F.concat(F.lit("quota neither met nor source exhausted: "), F.col(DUMP))
     return plans.join(totals, DUMP, "left").select(
         DUMP,
@@ -113,7 +117,7 @@ def quota_outcome(totals: DataFrame, plans: DataFrame, rows_per_shard: int) -> D
         "token_quota",
         rows.alias("rows"),
         kept.alias("token_count"),
-        ceil_div(rows, rows_per_shard).alias("shards"),
+        shards.alias("shards"),
         (kept - quota).alias("overshoot"),
         reached.alias("quota_reached"),
         F.when(quota.isNull() | reached | exhausted, exhausted)

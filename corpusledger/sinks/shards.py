@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
 from corpusledger.functions.text import checked_int32, date_literal, int_div
+from corpusledger.runtime import path_exists
 from corpusledger.sources.files import list_files
 
 #: Fixed value: the output columns, in order.
 OUTPUT_SCHEMA = "date int, text string, token_count int"
 OUTPUT_PHYSICAL = {"date": "INT32", "text": "BYTE_ARRAY", "token_count": "INT32"}
-MANIFEST_SCHEMA = "source_config string, shard int, rows bigint, tokens bigint"
-#: Shards one task writes, and the most tasks a wave asks for.
+#: ``run`` is the identity of the settings that wrote a shard; of several commits of a shard the last
+#: one holds, and one without rows takes the shard back.
+MANIFEST_SCHEMA = "source_config string, shard int, rows bigint, tokens bigint, run string, commit bigint"
 SHARDS_PER_TASK = 2
-MAX_WRITE_TASKS = 50_000
 
 
 def output_rows(
@@ -60,11 +63,20 @@ def shards_of_totals(totals: DataFrame, rows_per_shard: int) -> DataFrame:
 def committed_shards(spark: SparkSession, root: str) -> DataFrame | None:
     """The manifest of shards already written under ``root`` and when each was committed."""
     path = f"{root}/manifest"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return None
     rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    committed_at = F.col("_metadata.file_modification_time").alias("committed_at")
-    return rows.select("*", committed_at).dropDuplicates(["source_config", "shard"])
+    rows = rows.withColumn("committed_at", F.col("_metadata.file_modification_time"))
+    last = Window.partitionBy("source_config", "shard").orderBy(F.desc("commit"))
+    twice = Window.partitionBy("source_config", "shard", "commit")
+    message = F.concat(F.lit("committed twice at once: "), "source_config", F.lit("/"), F.col("shard"))
+    return (
+        rows.withColumns({"place": F.row_number().over(last), "times": F.count(F.lit(1)).over(twice)})
+        .where("place = 1")
+        .withColumn("rows", F.when(F.col("times") == 1, F.col("rows")).otherwise(F.raise_error(message).cast("bigint")))
+        .where("rows > 0")
+        .drop("place", "times")
+    )
 
 
 def pending_shards(planned: DataFrame, committed: DataFrame) -> DataFrame:
@@ -83,21 +95,38 @@ def pending_shards(planned: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
-def waves(shards: dict[str, int], shards_per_wave: int) -> list[list[str]]:
-    """Dumps in sorted order, grouped so that a wave ends once it has its number of shards.
+#: Per dump of a wave its first shard and the one after its last.
+Wave = dict[str, tuple[int, int]]
+
 
-    The dump is the unit because the staged input prunes by dump; a config's worth of names.
+def waves(pending: Wave, shards_per_wave: int) -> list[Wave]:
+    """Ranges of shards by dump, cut so that each wave has at most ``shards_per_wave`` shards.
+
+    A large dump spreads over several waves, so what a crash loses is a wave's worth of shards.
     """
-    groups, held = [[]], 0
-    for name in sorted(shards):
-        groups[-1].append(name)
-        held += shards[name]
-        if held >= shards_per_wave:
-            groups.append([])
-            held = 0
+    groups: list[Wave] = [{}]
+    room = shards_per_wave
+    for name in sorted(pending):
+        first, end = pending[name]
+        while first < end:
+            if not room:
+                groups.append({})
+                room = shards_per_wave
+            taken = min(room, end - first)
+            groups[-1][name] = (first, first + taken)
+            first, room = first + taken, room - taken
     return [group for group in groups if group]
 
 
+def in_wave(wave: Wave) -> Column:
+    """Whether a row with ``source_config`` and ``shard`` belongs to the wave."""
+    inside = F.lit(False)
+    for name, (first, end) in wave.items():
+        own = (F.col("source_config") == name) & (F.col("shard") >= first) & (F.col("shard") < end)
+        inside = inside | own
+    return inside
+
+
 def write_shards(
     rows: DataFrame, root: str, *, order: list[str], year: int, tokens: Column, shards: int,
     compression: str = "zstd",
@@ -106,16 +135,10 @@ def write_shards(
 
     The only wide shuffle of text. Tokens are counted behind it if ``tokens`` is a counter, so
     the work spreads over shards however few splits the source has. It appends, so any output
-    committer will do; ``clear_dumps`` removes what a crashed wave left behind.
+    committer will do; ``clear_shards`` removes what a crashed wave left behind.
     """
-    spark = rows.sparkSession
     keys = ["source_config", "shard"]
-    tasks = min(MAX_WRITE_TASKS, -(-shards // SHARDS_PER_TASK))
-    # Small waves take the session's partition count, which adaptive execution may lower.
-    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        placed = rows.repartition(tasks, *keys)
-    else:
-        placed = rows.repartition(*keys)
+    placed = rows.repartition(max(1, -(-shards // SHARDS_PER_TASK)), *keys)
     (
         output_rows(placed, year, tokens, keep=order)
         .sortWithinPartitions(*keys, *order)
@@ -127,21 +150,49 @@ def write_shards(
     )
 
 
-def clear_dumps(spark: SparkSession, root: str, dumps: list[str]) -> None:
-    """Delete shards of dumps that were written but never reached the manifest."""
-    for name in dumps:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data/source_config={name}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def clear_shards(spark: SparkSession, root: str, firsts: dict[str, int], run: str, commit: int) -> None:
+    """Delete every shard of a dump from its first pending one on.
 
-
-def commit_shards(spark: SparkSession, root: str, dumps: list[str]) -> None:
-    """Append the shards of finished dumps to the manifest, measured from what was written."""
-    measured = read_output(spark, root, dumps).groupBy("source_config", "shard").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens")
+    That is what a crashed wave wrote without committing it, and a short last shard that is to
+    grow. The latter is taken back from the manifest before its file goes.
+    """
+    manifest = committed_shards(spark, root)
+    if manifest is not None:
+        pending = F.lit(False)
+        for name, first in firsts.items():
+            pending = pending | (F.col("source_config") == name) & (F.col("shard") >= first)
+        taken_back = manifest.where(pending).select("source_config", "shard").collect()
+        if taken_back:  # at most one per dump: all earlier ones are full
+            rows = [(row[0], row[1], 0, 0, run, commit) for row in taken_back]
+            spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    for name, first in firsts.items():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data/source_config={name}")
+        filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not filesystem.exists(folder):
+            continue
+        for status in filesystem.listStatus(folder):
+            shard = re.fullmatch(r"shard=(\d+)", status.getPath().getName())
+            if shard and int(shard[1]) >= first:
+                filesystem.delete(status.getPath(), True)
+
+
+def commit_shards(spark: SparkSession, root: str, wave: Wave, run: str, commit: int) -> None:
+    """Append a wave's shards to the manifest, measured from what was written."""
+    measured = read_output(spark, root, list(wave)).where(in_wave(wave)).groupBy("source_config", "shard").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens"),
+        F.lit(run).alias("run"), F.lit(commit).cast("bigint").alias("commit"),
     )
     measured.write.mode("append").parquet(f"{root}/manifest")
 
 
+def last_commit(spark: SparkSession, root: str) -> int:
+    """The number of the last commit under ``root``, 0 without any."""
+    if not path_exists(spark, f"{root}/manifest"):
+        return 0
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
+    return rows.agg(F.max("commit")).first()[0] or 0
+
+
 def read_output(spark: SparkSession, root: str, dumps: list[str] | None = None) -> DataFrame:
     """The written rows with their shard identity, which lives in the path.
 
@@ -164,8 +215,3 @@ def output_files(spark: SparkSession, root: str) -> DataFrame:
             shard_name("source_config", "shard").alias("shard_name"), "path", "size",
         )
     )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

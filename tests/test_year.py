@@ -11,7 +11,7 @@ from corpusledger.operators import select
 from corpusledger.plans import year
 from corpusledger.plans.build import build_plans, config_dumps
 from corpusledger.plans.config import RunConfig
-from corpusledger.runtime import scratch_path, stage
+from corpusledger.runtime import path_exists, scratch_path, stage
 from corpusledger.sinks import shards as sink
 from corpusledger.sources.dumps import numbered_documents
 
@@ -104,33 +104,108 @@ def test_budget_is_resumable(spark, docs, held, counted, target, monkeypatch):
     root = scratch_path(spark, "year")
     commit, waves = year.commit_shards, []
 
-    def crash(session, path, dumps):
-        waves.append(dumps)
-        if len(waves) == 2:
+    def crash(session, path, wave, run, number):
+        waves.append(wave)
+        if len(waves) == 6:
             raise OSError("lost")
-        commit(session, path, dumps)
+        commit(session, path, wave, run, number)
 
     monkeypatch.setattr(year, "commit_shards", crash)
     with pytest.raises(OSError):
-        run(docs, settings, root, rows_per_wave=1)
+    # A wave is one shard: the crash is in the middle of a dump.
+        run(docs, settings, root, rows_per_wave=SIZE)
     monkeypatch.setattr(year, "commit_shards", commit)
-    assert len(waves) == 2 and waves[0] != waves[1]
-
-    counted_again = []
-    stage_by = year.stage_by
-    monkeypatch.setattr(
-        year, "stage_by", lambda df, *rest: counted_again.append(df) or stage_by(df, *rest)
-    )
+    assert all(last - first == 1 for wave in waves for first, last in wave.values())
+    assert len(waves[-1]) == 1 and next(iter(waves[-1].values()))[0] > 0
+    before = sink.output_files(spark, root).collect()
+    sure = {(r["source_config"], r["shard"]) for r in sink.committed_shards(spark, root).collect()}
+    assert len(sure) == 5
+
+    # The rerun counts nothing twice and leaves committed shards alone.
+    rounds = []
+    write_by = year.write_by
+    monkeypatch.setattr(year, "write_by", lambda df, *rest: rounds.append(df) or write_by(df, *rest))
     again = run(docs, settings, root).first()
     assert written(spark, root) == expected(chosen)
     assert again["source_configs"] == report["source_configs"]
-    dumps = {r[0] for r in counted_again[0].select("source_config").distinct().collect()}
-    assert dumps == set(held) - set(waves[0])
+    after = {(r["source_config"], r["shard"]): r["path"] for r in sink.output_files(spark, root).collect()}
+    paths = {(r["source_config"], r["shard"]): r["path"] for r in before}
+    assert all(after[key] == paths[key] for key in sure)
+    assert not rounds
 
     # Nothing left to do.
-    counted_again.clear()
     assert run(docs, settings, root).first()["source_configs"] == report["source_configs"]
-    assert not counted_again
+    assert not rounds
+    assert not path_exists(spark, f"{root}/_counted") and not staged_in(spark, root)
+
+
+def staged_in(spark, root):
+    """What is left of staging below ``root``; the folder itself may stay, empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_staging")
+    filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in filesystem.listStatus(folder)] if filesystem.exists(folder) else []
+
+
+def test_larger_sample_extends_a_smaller_one(spark, docs, held, counted):
+    settings = config(held, "retain_all")
+    settings.settings["sample_mode"] = {"rows_per_config": 5}
+    root, whole = scratch_path(spark, "year"), scratch_path(spark, "year")
+    run(docs, settings, root, mode="sample")
+    first = {r["path"] for r in sink.output_files(spark, f"{root}/sample").collect()}
+    report = run(docs, settings, root, mode="sample", sample_rows=12).first()
+    run(docs, settings, whole, mode="sample", sample_rows=12)
+    assert report["rows"] == 12 * len(held)
+    assert written(spark, f"{root}/sample") == written(spark, f"{whole}/sample")
+    assert {e["shards"] for e in report["source_configs"]} == {2}
+    assert not first & {r["path"] for r in sink.output_files(spark, f"{root}/sample").collect()}
+    with pytest.raises(ValueError, match="manifest has 12 rows"):
+        run(docs, settings, root, mode="sample", sample_rows=11)
+
+
+def test_raised_budget_is_finished(spark, docs, held, counted, target):
+    root, whole = scratch_path(spark, "year"), scratch_path(spark, "year")
+    small = run(docs, config(held, "token_budget", target // 2), root).first()
+    full = {tuple(r)[:2]: r["path"] for r in sink.output_files(spark, root).collect()}
+    report = run(docs, config(held, "token_budget", target), root).first()
+    wanted = run(docs, config(held, "token_budget", target), whole).first()
+    assert report["source_configs"] == wanted["source_configs"] and report["rows"] > small["rows"]
+    assert written(spark, root) == written(spark, whole)
+    kept = {tuple(r)[:2]: r["path"] for r in sink.output_files(spark, root).collect()}
+    assert sum(kept[key] == path for key, path in full.items()) >= len(full) - len(held)
+
+
+def test_other_settings_are_refused(spark, docs, held, target):
+    settings = config(held, "token_budget", target)
+    root = scratch_path(spark, "year")
+    run(docs, settings, root, dumps=["fr"])
+    for other in (
+        lambda: run(docs, config(held, "token_budget", target, random_seed=77), root),
+        lambda: year.run_year(docs, settings, root, counter=REGEX, rows_per_shard=SIZE * 2),
+        lambda: year.run_year(
+            docs, settings, root, counter=CounterSpec("regex", pattern="x"), rows_per_shard=SIZE
+        ),
+    ):
+        with pytest.raises(ValueError, match="other settings"):
+            other()
+    manifest = sink.committed_shards(spark, root)
+    again = manifest.where("shard = 0").select("source_config", "shard", "rows", "tokens", "run", "commit")
+    again.write.mode("append").parquet(f"{root}/manifest")
+    with pytest.raises(PySparkException, match="committed twice"):
+        run(docs, settings, root)
+
+
+def test_ids_must_number_the_documents(spark):
+    def build(ids):
+        docs = spark.createDataFrame([("a", i, "text") for i in ids], "source_config string, doc_id bigint, text string")
+        return run(docs, config({"a": len(ids)}, "retain_all"), scratch_path(spark, "year")).first()
+
+    assert build([0, 1, 2, 40_000])["rows"] == 4
+    with pytest.raises(ValueError, match="without repeats"):
+        build([0, 0, 2, 3])
+    with pytest.raises(ValueError, match="without repeats"):
+        build([-1, 0])
+    with pytest.raises(ValueError, match="too sparse"):
+        build([5, 2**61])
 
 
 def test_candidate_rounds_find_the_same_documents(spark, docs, held, counted, target):
@@ -138,8 +213,9 @@ def test_candidate_rounds_find_the_same_documents(spark, docs, held, counted, ta
     plans = build_plans(config_dumps(spark, settings), settings, "full")
     count = token_count(spark, REGEX)
     keyed = select.seeded(docs, 9, 5)
-    everything = select.token_budget(year.count_candidates(keyed, plans, count, 1.0), plans)
-    few = year.count_candidates(keyed, plans, count, 0.05)
+    folders = [scratch_path(spark, "counts") for _ in range(2)]
+    everything = select.token_budget(year.count_candidates(keyed, plans, count, 1.0, folders[0]), plans)
+    few = year.count_candidates(keyed, plans, count, 0.05, folders[1])
     assert few.count() < sum(held.values())
     pruned = select.token_budget(few, plans)
     ids = [sorted(r["doc_id"] for r in df.select("doc_id").collect()) for df in (everything, pruned)]
@@ -222,7 +298,7 @@ def test_refusals(spark, docs, held):
     with pytest.raises(ValueError, match="directory names"):
         run(odd, config({"a/b": 200}, "retain_all"), scratch_path(spark, "year"))
     root = scratch_path(spark, "year")
-    manifest = spark.createDataFrame([("fr", 0, 10_000, 1)], sink.MANIFEST_SCHEMA)
+    manifest = spark.createDataFrame([("fr", 3, 10, 1, "x", 1)], sink.MANIFEST_SCHEMA)
     manifest.write.parquet(f"{root}/manifest")
     with pytest.raises(ValueError, match="manifest"):
         run(docs, config(held, "retain_all"), root)
@@ -241,9 +317,13 @@ def test_planned_shards(spark, rows, size, expect):
     assert [r["rows"] for r in same] == expect
 
 
-def test_waves_cover_every_dump():
-    assert sink.waves({"c": 1, "a": 5, "b": 9, "d": 1}, 10) == [["a", "b"], ["c", "d"]]
-    assert sink.waves({"a": 50, "b": 1}, 10) == [["a"], ["b"]]
+def test_waves_cover_every_pending_shard():
+    assert sink.waves({"c": (0, 1), "a": (2, 7), "b": (0, 9)}, 10) == [
+        {"a": (2, 7), "b": (0, 5)}, {"b": (5, 9), "c": (0, 1)},
+    ]
+    assert sink.waves({"a": (0, 25), "b": (3, 4)}, 10) == [
+        {"a": (0, 10)}, {"a": (10, 20)}, {"a": (20, 25), "b": (3, 4)},
+    ]
     assert sink.waves({}, 10) == []
 
 
