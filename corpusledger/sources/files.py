@@ -33,40 +33,67 @@ def open_filesystem(path: str):
 def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> DataFrame:
     """``(path, name, size, modified)`` of the files below ``base``; no content is read.
 
-    Spark's readers pass over empty files, and so does this listing; see ``leftovers``. The
-    reader plans about one split per large file; as only names are read, splits are merged to a
-    few per slot, so that listing a million files does not take a million tasks.
+    Empty files are listed with size 0 and no time: Spark's readers pass over them, so they come from
+    the reader's own list of paths, which stays in the JVM. The reader plans about one split per
+    large file; as only names are read, splits are merged to a few per slot, so that listing a
+    million files does not take a million tasks.
     """
     splits = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
-    files = (
+    found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(base)
-        .coalesce(splits)
     )
-    return files.select(
-        "path",
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
+    files = found.coalesce(splits).select(
+        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+    )
+    empty = (
+        _listed_paths(found)
+        .join(files.select(plain_path("path").alias("plain")), "plain", "left_anti")
+        .select(F.col("plain").alias("path"), F.lit(0).cast("bigint").alias("size"),
+                F.lit(None).cast("timestamp").alias("modified"))
+    )
+    return files.unionByName(empty).select(
+        "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "size", "modified"
+    )
+
+
+def _listed_paths(files: DataFrame) -> DataFrame:
+    """``plain``: every path a file reader has listed, handed over without leaving the JVM."""
+    jvm = files.sparkSession._jvm
+    wrapped = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles())
+    paths = jvm.scala.jdk.javaapi.CollectionConverters.asJava(wrapped)
+    listed = files.sparkSession._jsparkSession.createDataset(paths, jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(listed.toDF(), files.sparkSession).select(
+        plain_path(F.replace(F.replace("value", F.lit("%20"), F.lit(" ")), F.lit("%25"), F.lit("%"))).alias("plain")
     )
 
 
-def leftovers(spark: SparkSession, base: str, depth: int = 2) -> DataFrame:
-    """``(path, size)`` of what unfinished writers leave ``depth`` directories below ``base``.
+def leftovers(spark: SparkSession, base: str) -> DataFrame:
+    """``(path, size)`` of what unfinished writers leave below ``base``, however deep.
 
-    Temporary files, empty ones included, and the working folders of output committers. There
-    are none after a clean run, so the driver can list them.
+    Temporary files, empty ones included, from Spark's own parallel listing, and the working folders
+    of output committers, which stand in the folders above those that hold files.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = list_files(spark, base, "*.tmp").select("path", "size")
+    shown = list_files(spark, base, "*")
+    plain = plain_path(F.lit(_qualified(spark, base)))
+    below = F.size(F.split(F.replace(plain_path("path"), F.concat(plain, F.lit("/")), F.lit("")), "/"))
+    depth = shown.agg(F.max(below)).first()[0] or 1
+    jvm, found = spark._jvm, []
+    for level in range(depth):
+        glob = jvm.org.apache.hadoop.fs.Path(f"{base}/{'*/' * level}_temporary")
+        filesystem = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in filesystem.globStatus(glob) or []:
+            found.append((status.getPath().toString(), 0))
+    return files.unionByName(spark.createDataFrame(found, "path string, size bigint"))
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    globs = [f"{base}/_temporary"] + [f"{base}/{'*/' * level}*.tmp" for level in range(depth + 1)]
-    found = []
-    for glob in globs:
-        for status in filesystem.globStatus(spark._jvm.org.apache.hadoop.fs.Path(glob)) or []:
-            found.append((status.getPath().toString(), status.getLen()))
-    return spark.createDataFrame(found, "path string, size bigint")
+    return filesystem.makeQualified(folder).toString()
 
 
 def dump_discovery(spark: SparkSession, base: str, prefix: str, parent: str = "") -> DataFrame:
@@ -118,6 +145,8 @@ def footer_scan(files: DataFrame) -> DataFrame:
                                 columns[name].append(value)
                 yield pa.RecordBatch.from_pydict(columns, schema=FOOTER_ARROW)
 
+    if "size" in files.columns:
+        files = files.where("size > 0")  # an empty file has no footer
     return files.select("path").mapInArrow(read, FOOTER_SCHEMA)
 
 

@@ -43,6 +43,21 @@ def test_discovery(spark, layout):
     ]
 
 
+def test_empty_and_deep_files_are_listed(spark, tmp_path):
+    base = tmp_path / "out dir"
+    deep = base / "source_config=d" / "shard=0" / "more"
+    deep.mkdir(parents=True)
+    pq.write_table(pa.table({"n": [1]}), deep / "one.parquet")
+    (base / "source_config=d" / "none.parquet").touch()
+    (deep / "half.tmp").write_text("x")
+    (deep / "none.tmp").touch()
+    (base / "source_config=d" / "_temporary").mkdir()
+    sizes = {r["name"]: r["size"] for r in files.list_files(spark, str(base)).collect()}
+    assert sizes == {"one.parquet": (deep / "one.parquet").stat().st_size, "none.parquet": 0}
+    left = {r["path"].rsplit("/", 1)[1]: r["size"] for r in files.leftovers(spark, str(base)).collect()}
+    assert left == {"half.tmp": 1, "none.tmp": 0, "_temporary": 0}
+
+
 def test_footers(spark, layout):
     footers = files.footer_scan(files.list_files(spark, layout))
     for row in files.shard_footers(footers).collect():
