@@ -259,7 +259,7 @@ def publish_gate(
     reason = (
         F.when(F.col("partial") & F.lit(not allow_partial), "report is partial")
         .when(F.col("shards") == 0, "no shards")
-        .when(F.col("leftovers") > 0, "partially written shards present")
+        .when(F.col("leftovers") > 0, "unfinished files beside the shards")
         .when(F.col("shards") != F.col("expected_shards"), "shard count differs from report")
     )
     return (

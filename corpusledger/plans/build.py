@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.plans.allocate import allocate
-from corpusledger.plans.config import DEFAULT_SHUFFLE_BUFFER, MODES, RunConfig
+from corpusledger.plans.config import MODES, RunConfig
 
 PLAN_SCHEMA = (
     "source_config string, available_rows bigint, row_target bigint, token_quota bigint, "
-    "shuffle boolean, seed bigint, buffer_size bigint"
+    "shuffle boolean, seed bigint"
 )
 
 
@@ -42,22 +42,22 @@ def build_plans(
             )
         else:
             sized = dumps.withColumn("row_target", F.lit(int(rules["rows_per_config"])).cast("bigint"))
-        return _plan(sized, rules.get("shuffle"), rules.get("random_seed"), rules.get("shuffle_buffer_size"))
+        return _plan(sized, rules.get("shuffle"), rules.get("random_seed"))
 
     rules = config.selection
     if config.rule == "retain_all":
         sized = dumps.withColumn("row_target", F.col("available_rows"))
-        return _plan(sized, rules.get("shuffle"), rules.get("random_seed"), rules.get("shuffle_buffer_size"))
+        return _plan(sized, rules.get("shuffle"), rules.get("random_seed"))
 
     seed = config.budget_seed()
     sized = allocate(
         dumps, config.target_tokens if target is None else target,
         key="source_config", weight="available_rows", output="token_quota",
     )
-    return _plan(sized, True, seed, rules.get("shuffle_buffer_size", DEFAULT_SHUFFLE_BUFFER))
+    return _plan(sized, True, seed)
 
 
-def _plan(sized: DataFrame, shuffle, seed, buffer_size) -> DataFrame:
+def _plan(sized: DataFrame, shuffle, seed) -> DataFrame:
     def whole(value):
         return F.lit(None if value is None else int(value)).cast("bigint")
 
@@ -71,7 +71,6 @@ def _plan(sized: DataFrame, shuffle, seed, buffer_size) -> DataFrame:
         target("token_quota").alias("token_quota"),
         F.lit(bool(shuffle)).alias("shuffle"),
         whole(seed).alias("seed"),
-        whole(buffer_size).alias("buffer_size"),
     )
 
 

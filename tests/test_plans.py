@@ -1,9 +1,12 @@
 """Allocation and plans: exact sums, order independence, published quotas, refusals."""
 
-import copy
-import random
+from fractions import Fraction
+from math import floor
 
 import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as settings_of
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -28,7 +31,6 @@ YEAR_2017 = {
     "CC-MAIN-2017-51": (12146075, 7071712233, 8),
 }
 TARGET = 100_000_000_000
-WEIGHTS = {"d": 17, "a": 3, "c": 11, "b": 5}
 
 
 def settings(rule="token_budget"):
@@ -39,7 +41,6 @@ def settings(rule="token_budget"):
         "target_tokens": TARGET,
         "selection": {
             "rule": rule, "shuffle": budget, "random_seed": 20170101 if budget else None,
-            "shuffle_buffer_size": 50_000 if budget else None,
         },
         "sample_mode": {"total_rows": 100, "shuffle": True, "random_seed": 20170101},
     }
@@ -56,30 +57,48 @@ def plan_rows(spark, config, mode="full", rows=None):
     return {row["source_config"]: row for row in plans.collect()}
 
 
-@pytest.mark.parametrize("total", [0, 1, 7, 100, TARGET])
-def test_parts_sum_exactly(spark, total):
-    parts = split(spark, total, WEIGHTS)
-    assert sum(parts.values()) == total
-    assert set(parts) == set(WEIGHTS)
-    assert all(part >= 0 for part in parts.values())
+def shares_by_hand(total, weights):
+    """Every name in order ends at the whole part of what it and all before it are due."""
+    ends, due = {}, Fraction(0)
+    for name in sorted(weights):
+        due += Fraction(total * weights[name], sum(weights.values()))
+        ends[name] = floor(due)
+    begins = [0, *ends.values()]
+    return {name: end - begin for (name, end), begin in zip(ends.items(), begins)}
+
+
+CASES = [
+    ({"solo": 1}, 9), ({"x": 1, "y": 1, "z": 1}, 10), ({"x": 1, "y": 1, "z": 1}, 2),
+    ({"big": 10**12, "tiny": 1}, 10**11 + 7), ({"m": 40, "k": 26, "q": 2, "none": 0}, 33),
+    ({f"n{i:02d}": i * i + 1 for i in range(30)}, 12_345),
+]
+
 
+@pytest.mark.parametrize("weights, total", CASES)
+def test_shares(spark, weights, total):
+    assert split(spark, total, weights) == shares_by_hand(total, weights)
 
-def test_parts_ignore_row_order_and_grow_with_weight(spark):
-    expected = split(spark, TARGET, WEIGHTS)
-    for seed in range(2):
-        order = random.Random(seed).sample(list(WEIGHTS.items()), len(WEIGHTS))
-        assert split(spark, TARGET, dict(order)) == expected
-    shares = [expected[name] for name in sorted(WEIGHTS, key=WEIGHTS.get)]
-    assert shares == sorted(shares)
+
+@given(
+    st.dictionaries(st.text("klmnop", min_size=1, max_size=3), st.integers(1, 10**9), min_size=1, max_size=6),
+    st.integers(0, 10**12),
+)
+@settings_of(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+def test_shares_of_any_weights(spark, weights, total):
+    parts = split(spark, total, dict(reversed(weights.items())))
+    whole = sum(weights.values())
+    # Nobody is a whole unit away from the exact share, and nothing is lost.
+    assert sum(parts.values()) == total
+    assert all(abs(parts[n] * whole - total * w) < whole for n, w in weights.items())
 
 
-def test_allocate_refuses_bad_input(spark):
+def test_allocate_refuses_what_has_no_share(spark):
     with pytest.raises(ValueError):
-        split(spark, -1, WEIGHTS)
+        split(spark, -4, {"x": 2})
     with pytest.raises(PySparkException, match="more than zero"):
-        split(spark, 10, {"a": 0})
+        split(spark, 3, {"x": 0, "y": 0})
     with pytest.raises(PySparkException, match="weight must not be negative"):
-        split(spark, 10, {"a": 5, "b": -1})
+        split(spark, 3, {"x": -2, "y": 9})
 
 
 def test_published_quotas(spark):
@@ -90,7 +109,6 @@ def test_published_quotas(spark):
     assert sum(row["token_quota"] for row in plans.values()) == TARGET
     assert all(row["row_target"] is None and row["shuffle"] for row in plans.values())
     assert {row["seed"] for row in plans.values()} == {20170101}
-    assert {row["buffer_size"] for row in plans.values()} == {50_000}
 
 
 def test_published_sample_split(spark):
@@ -116,22 +134,22 @@ def test_rows_per_config_sample(spark):
     assert not any(row["shuffle"] for row in plans.values())
 
 
-def test_budget_refuses_unshuffled_unseeded_and_unknown(spark):
-    for key, value, match in [
-        ("shuffle", False, "requires shuffle"),
-        ("random_seed", None, "random_seed"),
-        ("rule", "best", "selection.rule"),
-    ]:
-        changed = copy.deepcopy(settings())
-        changed["selection"][key] = value
-        with pytest.raises(ValueError, match=match):
-            plan_rows(spark, RunConfig(changed))
-
-
-def test_buffer_default(spark):
+@pytest.mark.parametrize(
+    "broken, says",
+    [
+        ({"rule": "best"}, "selection.rule"), ({"random_seed": None}, "random_seed is missing"),
+        ({"shuffle": False}, "shuffle must be true"),
+    ],
+)
+def test_settings_that_cannot_be_planned(spark, broken, says):
     changed = settings()
-    del changed["selection"]["shuffle_buffer_size"]
-    assert {r["buffer_size"] for r in plan_rows(spark, RunConfig(changed)).values()} == {10_000}
+    changed["selection"] |= broken
+    with pytest.raises(ValueError, match=says):
+        plan_rows(spark, RunConfig(changed))
+    # None of this binds a year that keeps everything, but the rule must be known.
+    whole = settings("retain_all")
+    whole["selection"] |= {key: value for key, value in broken.items() if key != "rule"}
+    assert len(plan_rows(spark, RunConfig(whole))) == len(YEAR_2017)
 
 
 def test_subset_keeps_quotas_and_order(spark):

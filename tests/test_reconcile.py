@@ -157,7 +157,7 @@ def test_publish_gate(spark):
     assert reason(partial, two, none) == "report is partial"
     assert reason(partial, two, none, allow_partial=True) is None
     assert reason(done, none, none) == "no shards"
-    assert reason(done, two, tmp) == "partially written shards present"
+    assert reason(done, two, tmp) == "unfinished files beside the shards"
     assert reason(done, two.limit(1), none) == "shard count differs from report"
 
 
@@ -239,7 +239,7 @@ def test_budget_rules_on_published_totals(spark):
     assert broken(overshoot=203_346) == {"overshoot above one document per dump"}
 
 
-def test_digest_tree_and_flat(spark):
+def test_digest_tree_and_sample(spark):
     import hashlib
 
     def sha(text):
@@ -251,10 +251,13 @@ def test_digest_tree_and_flat(spark):
     tree = digest.digest_tree(table.repartition(5)).first()
     assert tree["digest"] == sha(sha("".join(shards)))
     assert (tree["rows"], tree["shards"]) == (12, 3)
-    flat = digest.flat_digest(table.repartition(5)).first()
-    assert flat["digest"] == sha("".join(d for _, _, _, d in rows))
-    with pytest.raises(ValueError, match="digest_tree"):
-        digest.flat_digest(table, max_rows=11)
+    blocks = {}
+    for s in range(3):
+        blocks.setdefault(sha(str(s))[:3], []).append(shards[s])
+    whole = digest.sample_digest(table.repartition(5)).first()
+    assert whole["digest"] == sha("".join(sha("".join(own)) for _, own in sorted(blocks.items())))
+    assert whole["rows"] == 12
+    assert digest.sample_digest(table.where("shard > 9")).first()["rows"] == 0
 
 
 def test_agreement(spark):
