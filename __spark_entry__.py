@@ -23,6 +23,7 @@ from corpusledger.functions.counters import (  # noqa: E402
 from corpusledger.functions.keys import dump_of_shard, shard_name  # noqa: E402
 from corpusledger.operators import digest, project, reconcile, sample, select, verify  # noqa: E402
 from corpusledger.operators.prefix import dense_index  # noqa: E402
+from corpusledger.plans import check  # noqa: E402
 from corpusledger.plans.allocate import allocate, keep_fraction  # noqa: E402
 from corpusledger.plans.build import build_plans, dump_subset  # noqa: E402
 from corpusledger.plans.config import RunConfig  # noqa: E402
@@ -402,7 +403,7 @@ def build_plans_retain(spark, sf):
     "build_plans_budget",
     _BUDGET
     + f"""SELECT source_config, available_rows, NULL::BIGINT AS row_target, token_quota,
-      true AS shuffle, {SEED}::BIGINT AS seed, 10000::BIGINT AS buffer_size FROM plans""",
+      true AS shuffle, {SEED}::BIGINT AS seed FROM plans""",
 )
 def build_plans_budget(spark, sf):
     dumps = _counted(spark, sf, "lang").groupBy("source_config").agg(
@@ -1136,13 +1137,18 @@ def audit_mismatches(spark, sf):
 @query(
     "sample_digest",
     _CLUSTER
-    + """SELECT count(*) AS rows,
-      sha256(string_agg(sha256(text), '' ORDER BY name, row)) AS digest FROM sampled""",
+    + """, shards AS (
+      SELECT name, count(*) AS rows, sha256(string_agg(sha256(text), '' ORDER BY row)) AS digest
+      FROM sampled GROUP BY name),
+    blocks AS (
+      SELECT substr(sha256(name), 1, 3) AS block, sum(rows) AS rows,
+        sha256(string_agg(digest, '' ORDER BY name)) AS digest FROM shards GROUP BY 1)
+    SELECT sum(rows)::BIGINT AS rows, sha256(string_agg(digest, '' ORDER BY block)) AS digest FROM blocks""",
 )
 def sample_digest(spark, sf):
-    """Flat digest, for the cluster sample, whose size the parameters fix."""
+    """One digest for the cluster sample, folded by shard and block of shards."""
     texts = _sampled_texts(spark, sf, _cluster(spark, sf), ["text"])
-    return digest.flat_digest(
+    return digest.sample_digest(
         texts.select("shard", "row", txt.text_digest("text").alias("digest"))
     )
 
@@ -1442,18 +1448,20 @@ def multi_year_totals(spark, sf):
 
 def _run(spark: SparkSession, sf: str, dump: str, rule: str, root: str, **options) -> DataFrame:
     """A whole year built from the documents; budgets keep 40% of the tokens."""
-    docs = _docs(spark, sf, dump)
+    docs, config = _docs(spark, sf, dump), _year_config(spark, sf, dump, rule)
+    return run_year(docs, config, root, counter=CounterSpec("regex"), rows_per_shard=SHARD_ROWS, **options)
+
+
+def _year_config(spark: SparkSession, sf: str, dump: str, rule: str) -> RunConfig:
     # A config pins rows per dump and the target, so both are read off the data first.
     held = _counted(spark, sf, dump).groupBy("source_config").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("token_count").alias("tokens")
     ).collect()
-    config = _config(
+    return _config(
         rule,
         source={"configs": {row[0]: row["rows"] for row in held}},
         target_tokens=sum(row["tokens"] for row in held) * 2 // 5,
     )
-    spec = CounterSpec("regex")
-    return run_year(docs, config, root, counter=spec, rows_per_shard=SHARD_ROWS, **options)
 
 
 def _written(spark: SparkSession, root: str) -> DataFrame:
@@ -1566,23 +1574,87 @@ def run_report_query(spark, sf):
     FROM documents""",
 )
 def verify_year(spark, sf):
-    """A budget year held against its own report, contract and footers."""
-    root = scratch_path(spark, "year")
-    report = stage(_run(spark, sf, "lang", "token_budget", root), "report")
-    shards = stage(verify.shard_totals(sink.read_output(spark, root), YEAR, check_text=True), "shards")
-    measured = verify.per_dump_rollup(shards, sink.output_files(spark, root))
-    entries = report.select(F.explode("source_configs").alias("entry")).select("entry.*")
-    available = _available(_docs(spark, sf, "lang", []))
-    said = verify.report_problems(entries, measured, available, "token_budget")
-    footers = files.footer_scan(files.list_files(spark, f"{root}/data"))
-    named = [
-        said.select("rule"),
-        verify.integrity_problems(shards, YEAR).select("rule"),
-        verify.schema_problems(footers, sink.OUTPUT_PHYSICAL).select(F.lit("schema").alias("rule")),
-    ]
-    verdict = verify.verdict(named[0].unionByName(named[1]).unionByName(named[2]))
-    dumps = measured.agg(F.count(F.lit(1)).alias("dumps")).withColumn("_one", F.lit(1))
-    return verdict.withColumn("_one", F.lit(1)).join(dumps, "_one").drop("_one")
+    """A budget year held against its own report, contract and budget."""
+    root, config = scratch_path(spark, "year"), _year_config(spark, sf, "lang", "token_budget")
+    report = _run(spark, sf, "lang", "token_budget", root)
+    found = check.verify_year(spark, root, report, config)
+    dumps = sink.read_output(spark, root).agg(F.count_distinct("source_config").alias("dumps"))
+    return found.withColumn("_one", F.lit(1)).join(dumps.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+@query(
+    "verify_faults",
+    _SHARDED
+    + f""", per_dump AS (
+      SELECT source_config, sum(rows)::BIGINT AS rows, sum(tokens)::BIGINT AS tokens, count(*) AS shards
+      FROM shards GROUP BY 1),
+    said AS (
+      SELECT source_config, rows, tokens, shards,
+        rows + CASE WHEN substr(source_config, 4)::INT % 4 = 1 THEN 1 ELSE 0 END AS said_rows,
+        tokens - CASE WHEN substr(source_config, 4)::INT % 5 = 2 THEN 7 ELSE 0 END AS said_tokens
+      FROM per_dump WHERE substr(source_config, 4)::INT % 7 <> 3)
+    SELECT source_config, NULL::INT AS shard, 'rows differ' AS rule, rows AS measured, said_rows AS "limit"
+    FROM said WHERE rows <> said_rows
+    UNION ALL SELECT source_config, NULL, 'tokens differ', tokens, said_tokens FROM said WHERE tokens <> said_tokens
+    UNION ALL SELECT source_config, NULL, 'not in the report', rows, NULL FROM per_dump
+      WHERE substr(source_config, 4)::INT % 7 = 3
+    UNION ALL SELECT NULL, NULL, 'total rows differ', a.n, b.n
+      FROM (SELECT sum(rows)::BIGINT AS n FROM per_dump) a, (SELECT sum(said_rows)::BIGINT AS n FROM said) b
+      WHERE a.n <> b.n
+    UNION ALL SELECT NULL, NULL, 'total tokens differ', a.n, b.n
+      FROM (SELECT sum(tokens)::BIGINT AS n FROM per_dump) a, (SELECT sum(said_tokens)::BIGINT AS n FROM said) b
+      WHERE a.n <> b.n
+    UNION ALL SELECT NULL, NULL, 'total dumps differ', a.n, b.n
+      FROM (SELECT count(*) AS n FROM per_dump) a, (SELECT count(*) AS n FROM said) b WHERE a.n <> b.n""",
+)
+def verify_faults(spark, sf):
+    """A year against a report that leaves out dumps and tells wrong rows and tokens of others."""
+    root, config = scratch_path(spark, "year"), _year_config(spark, sf, "source", "retain_all")
+    report = _run(spark, sf, "source", "retain_all", root)
+    number = lambda entry: F.substring(entry["source_config"], 4, 9).cast("int")
+    left = F.filter("source_configs", lambda entry: number(entry) % 7 != 3)
+    wrong = F.transform(
+        left,
+        lambda entry: entry.withField(
+            "rows", entry["rows"] + F.when(number(entry) % 4 == 1, 1).otherwise(0)
+        ).withField("token_count", entry["token_count"] - F.when(number(entry) % 5 == 2, 7).otherwise(0)),
+    )
+    total = lambda name: F.aggregate("source_configs", F.lit(0).cast("bigint"), lambda n, e: n + e[name])
+    report = report.withColumn("source_configs", wrong).withColumns(
+        {"rows": total("rows"), "token_count": total("token_count")}
+    )
+    return check.year_problems(spark, root, report, config)
+
+
+@query(
+    "larger_sample",
+    _SHARDED
+    + f"""SELECT source_config, shard, least({SHARD_ROWS}, 24 - shard * {SHARD_ROWS})::BIGINT AS rows
+    FROM shards WHERE shard * {SHARD_ROWS} < 24""",
+)
+def larger_sample(spark, sf):
+    """A sample of 6 rows per source, then of 24 in the same root: the first one is extended."""
+    root, config = scratch_path(spark, "year"), _year_config(spark, sf, "source", "retain_all")
+    least = min(config.dumps.values())
+    config.settings["sample_mode"] = {"rows_per_config": min(6, least)}
+    docs, options = _docs(spark, sf, "source"), {"counter": CounterSpec("regex"), "rows_per_shard": SHARD_ROWS}
+    run_year(docs, config, root, mode="sample", **options)
+    run_year(docs, config, root, mode="sample", sample_rows=24, **options)
+    return _written(spark, f"{root}/sample").select("source_config", "shard", "rows")
+
+
+@query(
+    "raised_budget",
+    _KEPT_SHARDS + "SELECT source_config, shard, rows, tokens FROM written",
+)
+def raised_budget(spark, sf):
+    """A budget of a quarter of the target, then all of it, in the same root."""
+    root, config = scratch_path(spark, "year"), _year_config(spark, sf, "lang", "token_budget")
+    docs, options = _docs(spark, sf, "lang"), {"counter": CounterSpec("regex"), "rows_per_shard": SHARD_ROWS}
+    small = RunConfig(config.settings | {"target_tokens": config.target_tokens // 4})
+    run_year(docs, small, root, **options)
+    run_year(docs, config, root, **options)
+    return _written(spark, root).drop("date")
 
 
 def _layout(spark: SparkSession, sf: str) -> str:
@@ -1631,12 +1703,12 @@ def footer_scan(spark, sf):
     "SELECT doc_id, 0 AS row_group, doc_id AS row, length(text) AS chars FROM documents",
 )
 def row_slice_scan(spark, sf):
-    """The first twenty row groups of the file, found from its footer; the fixture has one."""
+    """Every row group of the table's files, found from their footers; the fixture has one."""
     listed = files.list_files(spark, sf, "documents.parquet")
     rows = spark.read.parquet(f"{sf}/documents.parquet")
-    sliced = files.row_group_slice(
-        rows, files.footer_scan(listed), list(range(20)), ["doc_id", "text"]
-    )
+    footers = stage(files.footer_scan(listed), "footers")
+    groups = footers.where("col_index = 0").select("path", "row_group")
+    sliced = files.row_group_slice(rows, footers, groups, ["doc_id", "text"])
     return sliced.select("doc_id", "row_group", "row", txt.text_chars("text").alias("chars"))
 
 

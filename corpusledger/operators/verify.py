@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.text import gib, percent, ratio
+from corpusledger.plans.config import SELECTION_RULES
 
 DUMP = "source_config"
 
@@ -132,6 +133,7 @@ def budget_summary(dumps: DataFrame, extremes: DataFrame, target_tokens: int | C
 
 def budget_problems(summary: DataFrame, rule: str) -> DataFrame:
     """``(rule, measured, limit)`` rows the year-level totals break."""
+    known_rule(rule)
     rows, available = F.col("rows"), F.col("available_rows")
     if rule == "retain_all":
         checks = [("rows differ from available", rows != available, rows, available)]
@@ -157,21 +159,25 @@ def report_problems(
     """``(source_config, rule, measured, limit)``: where a report and the data disagree.
 
     ``entries`` are the report's dumps, ``measured`` the totals derived from shards. All three
-    inputs have one row per dump.
+    inputs have one row per dump. A dump that only the report or only the data has is a problem.
     """
+    known_rule(rule)
     joined = (
         entries.select(
             DUMP, *(F.col(name).alias(f"said_{name}") for name in ("rows", "token_count", "shards")),
-            "token_quota", "source_exhausted",
+            "token_quota", "source_exhausted", F.lit(True).alias("said"),
         )
-        .join(measured.select(DUMP, "rows", "tokens", "shards"), DUMP, "left")
+        .join(measured.select(DUMP, "rows", "tokens", "shards"), DUMP, "full")
         .join(plans.select(DUMP, "available_rows"), DUMP, "left")
     )
-    there = F.col("rows").isNotNull()
+    said = F.col("said").isNotNull()
+    there = said & F.col("rows").isNotNull()
     none = F.lit(None).cast("bigint")
     rows, tokens, available = F.col("rows"), F.col("tokens"), F.col("available_rows")
     checks = [
-        ("no shards", ~there, none, F.col("said_shards")),
+        ("not in the report", ~said, F.col("rows"), none),
+        # A dump with a quota of zero, or none of whose documents were wanted, has no shards.
+        ("no shards", said & F.col("rows").isNull() & (F.col("said_rows") > 0), none, F.col("said_shards")),
         ("rows differ", there & (rows != F.col("said_rows")), rows, F.col("said_rows")),
         (
             "tokens differ", there & (tokens != F.col("said_token_count")),
@@ -195,6 +201,45 @@ def report_problems(
     return _problem_rows(joined, checks, [DUMP])
 
 
+def total_problems(report: DataFrame, measured: DataFrame) -> DataFrame:
+    """``(rule, measured, limit)``: where the report's own totals differ from the data's.
+
+    ``report`` is one row, ``measured`` one row per dump.
+    """
+    found = measured.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("found_rows"),
+        F.coalesce(F.sum("tokens"), F.lit(0)).alias("found_tokens"),
+        F.count(F.lit(1)).alias("found_dumps"),
+    ).withColumn("_one", F.lit(1))
+    said = report.select(
+        F.lit(1).alias("_one"), "rows", "token_count",
+        F.size(F.filter("source_configs", lambda entry: entry["rows"] > 0)).alias("dumps"),
+    )
+    checks = [
+        (f"total {what} differ", F.col(f"found_{what}") != F.col(name), F.col(f"found_{what}"), F.col(name))
+        for what, name in (("rows", "rows"), ("tokens", "token_count"), ("dumps", "dumps"))
+    ]
+    return _problem_rows(said.join(found, "_one"), checks, [])
+
+
+def with_empty_shards(shards: DataFrame, listed: DataFrame) -> DataFrame:
+    """Shard totals with a row for every listed shard that holds no rows."""
+    empty = listed.select(DUMP, "shard").distinct().join(shards, [DUMP, "shard"], "left_anti")
+    zero = F.lit(0).cast("bigint")
+    counted = {"rows", "tokens", "null_scalars", "wrong_dates", "non_positive", "null_texts"}
+    filled = [
+        F.col(name) if name in (DUMP, "shard")
+        else (zero if name in counted else F.lit(None).cast(kind)).alias(name)
+        for name, kind in shards.dtypes
+    ]
+    return shards.unionByName(empty.select(*filled))
+
+
+def known_rule(rule: str) -> None:
+    if rule not in SELECTION_RULES:
+        raise ValueError(f"the selection rule is {rule!r}, must be one of {SELECTION_RULES}")
+
+
 def first_k_problems(problems: DataFrame, k: int, by: str, order: list[str]) -> DataFrame:
     """The first ``k`` problems of each kind; Spark trims groups before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(by).orderBy(*order))

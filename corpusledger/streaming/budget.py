@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusledger.operators.select import DUMP, token_budget
-from corpusledger.runtime import pin_small, stage
+from corpusledger.runtime import path_exists, pin_small, stage, staging_under
 
 STATE_SCHEMA = f"{DUMP} string, tokens bigint, rows bigint, batch bigint"
 
@@ -21,6 +21,10 @@ def stream_budget(counted: DataFrame, plans: DataFrame, out: str, checkpoint: st
     """
 
     def admit(batch: DataFrame, batch_id: int) -> None:
+        with staging_under(batch.sparkSession, out):
+            admit_batch(batch, batch_id)
+
+    def admit_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = pin_small(running_totals(spark, out, batch_id))
         open_quota = F.col("token_quota") - F.coalesce("tokens", F.lit(0))
@@ -56,9 +60,12 @@ def stream_budget(counted: DataFrame, plans: DataFrame, out: str, checkpoint: st
 def running_totals(spark: SparkSession, out: str, before_batch: int | None = None) -> DataFrame:
     """Tokens and rows admitted per dump, as of the last batch (before ``before_batch``)."""
     path = f"{out}/state"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], STATE_SCHEMA)
+    if before_batch and path_exists(spark, f"{path}/batch={before_batch - 1}"):
+        # The usual case: only the state of the batch before is listed and read.
+        last = spark.read.schema(STATE_SCHEMA).option("basePath", path)
+        return last.parquet(f"{path}/batch={before_batch - 1}")
     states = spark.read.schema(STATE_SCHEMA).parquet(path)
     if before_batch is not None:
         states = states.where(F.col("batch") < before_batch)
