@@ -1137,13 +1137,13 @@ def audit_mismatches(spark, sf):
 @query(
     "sample_digest",
     _CLUSTER
-    + """, shards AS (
+    + """, by_name AS (
       SELECT name, count(*) AS rows, sha256(string_agg(sha256(text), '' ORDER BY row)) AS digest
       FROM sampled GROUP BY name),
-    blocks AS (
+    by_block AS (
       SELECT substr(sha256(name), 1, 3) AS block, sum(rows) AS rows,
-        sha256(string_agg(digest, '' ORDER BY name)) AS digest FROM shards GROUP BY 1)
-    SELECT sum(rows)::BIGINT AS rows, sha256(string_agg(digest, '' ORDER BY block)) AS digest FROM blocks""",
+        sha256(string_agg(digest, '' ORDER BY name)) AS digest FROM by_name GROUP BY 1)
+    SELECT sum(rows)::BIGINT AS rows, sha256(string_agg(digest, '' ORDER BY block)) AS digest FROM by_block""",
 )
 def sample_digest(spark, sf):
     """One digest for the cluster sample, folded by shard and block of shards."""
@@ -1629,17 +1629,19 @@ def verify_faults(spark, sf):
 @query(
     "larger_sample",
     _SHARDED
-    + f"""SELECT source_config, shard, least({SHARD_ROWS}, 24 - shard * {SHARD_ROWS})::BIGINT AS rows
-    FROM shards WHERE shard * {SHARD_ROWS} < 24""",
+    + f""", wanted AS (
+      SELECT min(n) AS w FROM (SELECT sum(rows) AS n FROM shards GROUP BY source_config))
+    SELECT source_config, shard, least({SHARD_ROWS}, w - shard * {SHARD_ROWS})::BIGINT AS rows
+    FROM shards, wanted WHERE shard * {SHARD_ROWS} < w""",
 )
 def larger_sample(spark, sf):
-    """A sample of 6 rows per source, then of 24 in the same root: the first one is extended."""
+    """A sample of 6 rows per source, then, in the same root, of as many as the smallest source has."""
     root, config = scratch_path(spark, "year"), _year_config(spark, sf, "source", "retain_all")
     least = min(config.dumps.values())
     config.settings["sample_mode"] = {"rows_per_config": min(6, least)}
     docs, options = _docs(spark, sf, "source"), {"counter": CounterSpec("regex"), "rows_per_shard": SHARD_ROWS}
     run_year(docs, config, root, mode="sample", **options)
-    run_year(docs, config, root, mode="sample", sample_rows=24, **options)
+    run_year(docs, config, root, mode="sample", sample_rows=least, **options)
     return _written(spark, f"{root}/sample").select("source_config", "shard", "rows")
 
 
