@@ -87,6 +87,28 @@ QUERIES = {
     "op10_source_mixing": op10_source_mixing,
 }
 
+def _spans_sql(kind: str, number: int) -> str:
+    """Matches of one kind with their places, from the pieces of text between them."""
+    pattern, group, least = secret_owners.PATTERNS[kind]
+    quoted = pattern.replace("'", "''")
+    more = " AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')" if kind == "token" else ""
+    return f"""
+      SELECT row, doc_id, owner, {number} AS kind, value,
+        (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start,
+        (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+          + list_sum(list_transform(found[1:i], lambda x: length(x))))::BIGINT AS end_
+      FROM (
+        SELECT row, doc_id, owner, found, gaps, unnest(range(1, len(found) + 1)) AS i,
+          unnest(regexp_extract_all(text, '{quoted}', {group})) AS value
+        FROM (SELECT *, regexp_extract_all(text, '{quoted}', 0) AS found,
+            string_split_regex(text, '{quoted}') AS gaps FROM rows)
+        WHERE len(found) > 0)
+      WHERE length(value) >= {least}{more}"""
+
+
+_KIND_NAMES = "[" + ", ".join(f"'{kind}'" for kind in secret_owners.KINDS) + "]"
+
 ORACLES: dict[str, str] = {
     "op10_source_mixing": f"""
       WITH sized AS (
@@ -123,4 +145,58 @@ ORACLES: dict[str, str] = {
       FROM sized s
       JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
       JOIN summed u ON s.source IS NOT DISTINCT FROM u.source AND s.h = u.h""",
+    "op4_secret_scan": f"""
+      WITH rows AS (
+        SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce('s' || source, '') AS owner
+        FROM documents),
+      base AS ({" UNION ALL ".join(_spans_sql(kind, i) for i, kind in enumerate(secret_owners.KINDS[:3]))}),
+      bare AS (
+        SELECT * FROM ({_spans_sql("token", 3)}) t
+        WHERE NOT EXISTS (
+          SELECT 1 FROM base b WHERE b.row = t.row AND b.start < t.end_ AND t.start < b.end_)),
+      all_spans AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
+      held AS (
+        SELECT value, owner, count(DISTINCT doc_id::VARCHAR) AS repositories FROM all_spans GROUP BY 1, 2),
+      verdicts AS (
+        SELECT value, CASE
+            WHEN count(*) >= {secret_owners.COPIED_OWNERS} THEN 'copied'
+            WHEN count(*) = 1 AND len(list_distinct(string_split(value, ''))) >= {secret_owners.LEAST_DISTINCT}
+              THEN 'live' ELSE 'unclear' END AS verdict
+        FROM held GROUP BY value),
+      judged AS (SELECT b.*, v.verdict FROM all_spans b JOIN verdicts v USING (value)),
+      named AS (
+        SELECT *, {_KIND_NAMES}[kind + 1] || ':' || start || ':' || end_ AS name FROM judged
+        WHERE kind < 3 OR verdict = 'live'),
+      per_row AS (
+        SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+          count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind = 3) AS n_token,
+          coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3), '') AS base_spans,
+          string_agg(name, ',' ORDER BY start, kind) AS spans,
+          count(*) FILTER (kind < 3 AND verdict = 'live') AS n_live,
+          count(*) FILTER (kind < 3 AND verdict = 'copied') AS n_copied
+        FROM named GROUP BY row)
+      SELECT r.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256,
+        coalesce(spans, '') AS spans, coalesce(n_token, 0) AS n_token, coalesce(n_live, 0) AS n_live,
+        coalesce(n_copied, 0) AS n_copied
+      FROM rows r LEFT JOIN per_row USING (row)""",
+    "op9_circulant_minhash": f"""
+      WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+      shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)),
+      sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+      links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (shingle)
+        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+        WHERE a.doc_id <> b.doc_id GROUP BY 1, 2, x.n, y.n
+        HAVING 100 * count(*) >= {circulant_minhash.PERCENT} * (x.n + y.n - count(*))),
+      reached AS (
+        SELECT doc_id, doc_id AS root FROM split
+        UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.doc_id WHERE r.root < l.b)
+      SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+      FROM split d LEFT JOIN sizes USING (doc_id)
+      JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY 1) c USING (doc_id)""",
 }
