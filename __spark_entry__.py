@@ -144,8 +144,12 @@ def _forty_percent():
 
 def _shard_rows(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
     """Documents of each source in source order with shard number and row in shard."""
-    docs = select.in_source_order(_docs(spark, sf, "source", columns))
-    placed = dense_index(docs, group="source_config", bucket="bucket", order=["doc_id"])
+    return _in_shards(_docs(spark, sf, "source", columns))
+
+
+def _in_shards(docs: DataFrame) -> DataFrame:
+    ordered = select.in_source_order(docs)
+    placed = dense_index(ordered, group="source_config", bucket="bucket", order=["doc_id"])
     return placed.drop("bucket").withColumns(
         {
             "shard": txt.int_div("position", SHARD_ROWS).cast("int"),
@@ -156,9 +160,8 @@ def _shard_rows(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
 
 def _shard_counts(spark: SparkSession, sf: str) -> DataFrame:
     """(source_config, shard, row, doc_id, date, token_count) of every document."""
-    placed = _shard_rows(spark, sf, [])
-    counted = _counted(spark, sf, "source").select("doc_id", "token_count")
-    return placed.join(counted, "doc_id").withColumn("date", txt.date_literal(YEAR))
+    # Counted where the text is; only the count travels with the row to its position.
+    return _in_shards(_counted(spark, sf, "source")).withColumn("date", txt.date_literal(YEAR))
 
 
 # --- shared SQL ----------------------------------------------------------------------------
@@ -1720,10 +1723,22 @@ def row_slice_scan(spark, sf):
 def storage_estimate(spark, sf):
     root = _layout(spark, sf)
     listing = sink.output_files(spark, root).select("source_config", "path", "size")
-    footers = files.shard_footers(files.footer_scan(listing))
+    footers = files.shard_footers(files.footer_scan(project.leading_files(listing, 2)))
     return project.storage_estimate(listing, footers, _available(_docs(spark, sf, "source", [])), 2)
 
 
+@query(
+    "storage_totals",
+    _SHARDED
+    + """SELECT count(DISTINCT source_config) AS dumps, sum(rows)::BIGINT AS expected_rows,
+      count(*) AS source_shards, (sum(rows) * 8)::BIGINT AS scalar_bytes FROM shards""",
+)
+def storage_totals(spark, sf):
+    """The estimate's sums over all dumps, without those that depend on how files are encoded."""
+    totals = project.storage_totals(storage_estimate(spark, sf))
+    return totals.select("dumps", "expected_rows", "source_shards", "scalar_bytes")
+
+
 @query(
     "storage_estimate_rows",
     _SHARDED

@@ -55,7 +55,7 @@ def token_count(spark: SparkSession, spec: CounterSpec) -> Callable[[Column | st
     if spec.kind == "regex":
         return lambda text: F.regexp_count(text, F.lit(spec.pattern)).cast("bigint")
 
-    open_encoder = _encoder(spec, ship_file(spark, spec.path))
+    open_encoder = _encoder(spec, ship_file(spark, spec.path), lambda item: item)
     size = spec.batch_size
 
     @F.arrow_udf("bigint")
@@ -67,7 +67,7 @@ def token_count(spark: SparkSession, spec: CounterSpec) -> Callable[[Column | st
                 texts = batch.slice(start, size).to_pylist()
                 if None in texts:
                     raise TypeError("cannot count the tokens of a null text")
-                lengths.extend(len(ids) for ids in encode(texts))
+                lengths.extend(map(len, encode(texts)))  # of encodings, not of lists of ids
             yield pa.array(lengths, pa.int64())
 
     return count
@@ -77,7 +77,7 @@ def token_ids_digest(spark: SparkSession, spec: CounterSpec) -> Callable[[Column
     """Count and SHA-256 of the comma-joined token ids; the ids never leave the worker."""
     if spec.kind == "regex":
         raise ValueError("The regex counter has no token ids")
-    open_encoder = _encoder(spec, ship_file(spark, spec.path))
+    open_encoder = _encoder(spec, ship_file(spark, spec.path), lambda item: item.ids)
     size = spec.batch_size
 
     @F.arrow_udf("struct<token_count: bigint, token_ids_sha256: string>")
@@ -103,8 +103,13 @@ def token_ids_digest(spark: SparkSession, spec: CounterSpec) -> Callable[[Column
     return digest
 
 
-def _encoder(spec: CounterSpec, name: str) -> Callable[[], Callable[[list[str]], list]]:
-    """A worker-side opener of the vocabulary; called once per task."""
+def _encoder(
+    spec: CounterSpec, name: str, wanted: Callable
+) -> Callable[[], Callable[[list[str]], list]]:
+    """A worker-side opener of the vocabulary; called once per task.
+
+    ``wanted`` picks what is needed of an encoding: itself, if only its length counts, or its ids.
+    """
     kind, pattern = spec.kind, spec.pattern
 
     def open_ranks() -> Callable[[list[str]], list]:
@@ -126,6 +131,6 @@ def _encoder(spec: CounterSpec, name: str) -> Callable[[], Callable[[list[str]],
         tokenizer = Tokenizer.from_file(SparkFiles.get(name))
         tokenizer.encode_special_tokens = True
         encode = tokenizer.encode_batch_fast if kind == "bpe_fast" else tokenizer.encode_batch
-        return lambda texts: [item.ids for item in encode(texts, add_special_tokens=False)]
+        return lambda texts: [wanted(item) for item in encode(texts, add_special_tokens=False)]
 
     return open_ranks if kind == "bpe_ranks" else open_tokenizer

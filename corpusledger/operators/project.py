@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.text import ceil_div, gib, ratio, tib
@@ -52,12 +52,8 @@ def storage_estimate(
     ``listing`` is (source_config, path, size); ``footers`` are rolled up per file. The first
     ``shards_per_dump`` shards by name are the sample.
     """
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy(DUMP).orderBy("path"))
     sampled = (
-        listing.withColumn("_rank", rank)
-        .where(F.col("_rank") <= shards_per_dump)
+        leading_files(listing, shards_per_dump)
         .join(footers, "path")
         .groupBy(DUMP)
         .agg(
@@ -89,6 +85,30 @@ def storage_estimate(
     )
 
 
+def leading_files(listing: DataFrame, per_dump: int) -> DataFrame:
+    """The first files by name of each dump; only these need their footers read."""
+    rank = F.row_number().over(Window.partitionBy(DUMP).orderBy("path"))
+    return listing.withColumn("_rank", rank).where(F.col("_rank") <= per_dump).drop("_rank")
+
+
+def storage_totals(estimate: DataFrame) -> DataFrame:
+    """One row: the estimate summed over dumps, text bytes per row weighted by the dumps' rows."""
+    whole = ["expected_rows", "source_shards", "source_bytes", "sampled_rows", "scalar_bytes"]
+    projected = ["projected_text_bytes", "projected_text_compressed_bytes"]
+    totals = estimate.agg(
+        F.count(F.lit(1)).alias("dumps"),
+        *(F.sum(name).cast("bigint").alias(name) for name in whole),
+        *(F.sum(name).alias(name) for name in projected),
+    )
+    rows = F.col("expected_rows")
+    return totals.withColumns(
+        {
+            "text_bytes_per_row": ratio(F.col("projected_text_bytes"), rows),
+            "text_compressed_bytes_per_row": ratio(F.col("projected_text_compressed_bytes"), rows),
+        }
+    )
+
+
 def output_ratio(sample: DataFrame, codecs: list[str]) -> DataFrame:
     """Per codec: bytes per row and share of the UTF-8 text, from really writing the sample.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -145,8 +146,8 @@ def ship_file(spark: SparkSession, path: str) -> str:
     context = spark.sparkContext
     name = file_digest(path)
     if (context.applicationId, name) not in _shipped_files:
-        link = os.path.join(tempfile.mkdtemp(prefix="corpusledger-ship-"), name)
-        os.symlink(os.path.abspath(path), link)
-        context.addFile(link)
+        copy = os.path.join(tempfile.mkdtemp(prefix="corpusledger-ship-"), name)
+        shutil.copyfile(path, copy)
+        context.addFile(copy)
         _shipped_files.add((context.applicationId, name))
     return name
