@@ -57,7 +57,8 @@ def op6_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
 def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
     labels = _table(spark, sf, "labels")
-    return quality_classifier.classify(docs, labels.where("quality = 1").select("doc_id"))
+    judged = quality_classifier.classify(docs, labels.where("quality = 1").select("doc_id"))
+    return judged.withColumnRenamed("accepted", "kept")
 
 
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,9 +16,17 @@ from corpusledger.runtime import scratch_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the plain rules and the perplexity bands keep."""
-    judged = quality_rules.quality_rules(docs)
-    return judged.where("kept").select(*docs.columns)
+    """Documents that the plain rules and the perplexity bands keep.
+
+    Other columns travel in one of their own, out of the way of the operator's names.
+    """
+    own = ["doc_id", "text", "lang"]
+    rest = [name for name in docs.columns if name not in own]
+    packed = docs.select(*own, F.struct(F.lit(0).alias("__none"), *rest).alias("__rest"))
+    judged = quality_rules.quality_rules(packed).where("kept")
+    return judged.select(
+        *(F.col(name) if name in own else F.col("__rest").getField(name).alias(name) for name in docs.columns)
+    )
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
