@@ -868,8 +868,12 @@ def _worker_entries(spark: SparkSession, sf: str) -> DataFrame:
 def _written_reports(spark: SparkSession, sf: str) -> DataFrame:
     entries = stage(_worker_entries(spark, sf), "entries")
     # Sources are a config's worth of names.
-    names = [row[0] for row in entries.select("source_config").collect()]
-    settings = {"year": YEAR, "target_tokens": 1_000_000, "selection": {"rule": "token_budget"}}
+    held = {row[0]: row[1] for row in entries.select("source_config", "rows").collect()}
+    names = list(held)
+    settings = {
+        "year": YEAR, "target_tokens": 1_000_000, "selection": {"rule": "token_budget"},
+        "source": {"configs": {name: rows + 5 for name, rows in held.items()}},
+    }
     reports = run_report(
         entries, settings, names, mode="full", counter="regex", batch_size=1024, by="worker"
     )
@@ -924,6 +928,19 @@ def merge_reports(spark, sf):
     )
 
 
+@query(
+    "selection_outcome",
+    _ENTRIES
+    + """SELECT 'token_budget' AS rule, count(*)::INT AS dumps, (sum(rows) + 5 * count(*))::BIGINT AS available_rows,
+      sum(rows)::BIGINT AS retained_rows,
+      round(sum(rows)::DOUBLE / (sum(rows) + 5 * count(*)) * 100, 6) AS retained_percent FROM flagged""",
+)
+def selection_outcome(spark, sf):
+    """Of settings that pin five more rows per dump than were kept."""
+    outcome = reconcile.selection_outcome(reconcile.merge_reports(_written_reports(spark, sf)))
+    return outcome.withColumn("retained_percent", F.round("retained_percent", 6))
+
+
 @query(
     "coverage_sets",
     """SELECT doc_id, 'left only' AS side FROM documents

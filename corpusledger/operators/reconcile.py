@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusledger.functions.text import percent
 from corpusledger.sources.reports import report_entries
 
 KEY = ["shard", "row"]
@@ -206,6 +207,26 @@ def merge_reports(reports: DataFrame, allow_incomplete: bool = False) -> DataFra
     )
 
 
+def selection_outcome(merged: DataFrame) -> DataFrame:
+    """What a merged report's rule kept: ``(rule, dumps, available_rows, retained_rows, retained_percent)``.
+
+    Available are the rows that the settings pin for the processed dumps.
+    """
+    pinned = F.from_json(
+        F.get_json_object("processing_config", "$.source.configs"), "map<string,bigint>"
+    )
+    available = F.aggregate(
+        "dumps_processed", F.lit(0).cast("bigint"),
+        lambda total, dump: total + F.coalesce(F.element_at(pinned, dump), F.lit(0)),
+    )
+    return merged.select(
+        F.get_json_object("processing_config", "$.selection.rule").alias("rule"),
+        F.size("dumps_processed").alias("dumps"),
+        available.alias("available_rows"),
+        F.col("rows").alias("retained_rows"),
+    ).withColumn("retained_percent", percent(F.col("retained_rows"), F.col("available_rows")))
+
+
 def manifest_diff(local: DataFrame, remote: DataFrame) -> DataFrame:
     """``(path, status)`` of every file on either side.
 
