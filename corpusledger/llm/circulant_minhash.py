@@ -9,9 +9,9 @@ coordinates find candidates; every link is confirmed on full shingle sets.
 3. In every band bucket the members are compared with its smallest one only: linear in the bucket.
    What is confirmed is joined into components.
 4. Buckets that then still hold more than one component are settled exactly: of their documents
-   every pair of different components that shares one of its rarest shingles is compared (with a
-   similarity of at least t, two sets share one of the first (1 - t) n + 1 shingles of any common
-   order). The rarest come first, so a passage that many documents share makes no pairs.
+   every pair of different components is compared whose rarest shingles leave the similarity
+   possible (``_rare_pairs``). The rarest come first, so neither a passage that many documents share
+   nor a crowd of texts that are nearly similar enough makes pairs.
 5. Components of all confirmed links, by rounds of neighbour minima, kept in the shared folder.
 
 With 32 bands of 4, a pair with a similarity of 0.75 shares no bucket with a probability of 5e-6.
@@ -287,28 +287,41 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
 
 def _rare_pairs(rest: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """(a, b) of different components that share a shingle among the rarest of both, sizes fitting."""
+    """(a, b) of different components that can be similar enough by their rarest shingles.
+
+    With shingles in one order, rarest first, sets of na <= nb shingles with an overlap of at least
+    o = t / (1 + t) (na + nb) have their first common shingle among the first na - 2t / (1 + t) na + 1
+    of the smaller and the first nb - t nb + 1 of the larger one, and behind it there must be room for
+    the rest of the overlap. Only pairs that meet all of this leave the join.
+    """
     own = texts.join(rest, "doc_id", "left_semi")
     listed = staged(own.mapInArrow(_shingles(words), "doc_id bigint, n bigint, shingle bigint"), "shingles")
     often = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # A shingle that no other document has makes no pair, but it takes a place in the order.
     ranked = listed.join(often, "shingle", "left").withColumn("df", F.coalesce("df", F.lit(1)))
     order = Window.partitionBy("doc_id").orderBy("df", "shingle")
-    least = F.floor((F.col("n") * percent + 99) / 100)
+    n, place = F.col("n"), F.col("place")
     first = ranked.withColumn("place", F.row_number().over(order)).where(
-        (F.col("place") <= F.col("n") - least + 1) & (F.col("df") > 1)
+        (place <= n - F.floor((n * percent + 99) / 100) + 1) & (F.col("df") > 1)
+    )
+    first = staged(
+        first.join(rest, "doc_id").select("doc_id", "n", "shingle", "place", "component_id"), "rare"
     )
-    first = staged(first.join(rest, "doc_id").select("doc_id", "n", "shingle", "component_id"), "rare")
+    whole = 100 + percent
+    smaller = first.where(place <= n - F.floor((2 * percent * n + whole - 1) / whole) + 1)
     left, right = (
-        first.select(
+        side.select(
             F.col("shingle").alias(f"s{x}"), F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"),
-            F.col("component_id").alias(f"c{x}"),
+            F.col("place").alias(f"p{x}"), F.col("component_id").alias(f"c{x}"),
         )
-        for x in "ab"
+        for x, side in (("a", smaller), ("b", first))
     )
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     pairs = left.join(
         right,
-        (F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")),
+        (F.col("sa") == F.col("sb")) & (F.col("ca") != F.col("cb"))
+        & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+        & (100 * F.col("na") >= percent * F.col("nb"))
+        & (whole * room >= percent * (F.col("na") + F.col("nb"))),
     )
-    return pairs.select("a", "b").distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
