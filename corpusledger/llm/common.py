@@ -12,6 +12,9 @@ from corpusledger.runtime import stage as _stage
 #: Words are runs of anything but these white-space characters (the ones ``bytes.split`` splits at).
 SPACE = r"[\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows per Arrow batch: texts may be long, and a pair carries two.
+BATCH_ROWS = 256
 
 
 def words_of(text: Column) -> Column:
@@ -21,19 +24,24 @@ def words_of(text: Column) -> Column:
 
 
 @contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Within this, every query's shuffle files go when the query ends."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+def settings(spark: SparkSession, changed: dict[str, str]):
+    """Session settings that hold within this only."""
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back; its shuffle files are dropped."""
-    with shuffles_dropped(df.sparkSession):
+    """``df`` written once to the shared folder and read back.
+
+    Its shuffle files are dropped when it is written, and Python sees few rows at a time.
+    """
+    with settings(df.sparkSession, {CLEANUP: "true", BATCH: str(BATCH_ROWS)}):
         return _stage(df, name)
 
 

@@ -264,4 +264,4 @@ def extract(pages: DataFrame, identity: str = "page_id", url: str = "url", html:
             )
 
     joined = rows.join(ranked, F.col("host") == F.col("__host"), "left").drop("__host")
-    return joined.mapInArrow(again, schema)
+    return staged(joined.mapInArrow(again, schema), "extracted")

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusledger.llm.common import staged
+
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 WIDTH = 16
@@ -183,7 +185,7 @@ def predict(texts: list[str | None], languages: list[str], table: np.ndarray, te
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) of every row."""
-    rows = sampled(docs.select("doc_id", "text", "lang"), sample).toArrow().to_pylist()
+    rows = staged(sampled(docs.select("doc_id", "text", "lang"), sample), "sample").toArrow().to_pylist()
     rows.sort(key=lambda row: (row["lang"], row["rank"], row["doc_id"] or 0, row["idx"]))
     languages, table, temperature, least = train(
         [(row["lang"], np.array(row["idx"], np.int32), np.array(row["share"], np.float32)) for row in rows]
@@ -202,4 +204,4 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, held_out boolean, lang_pred string, score double, rejected boolean"
     narrow = docs.select("doc_id", (fold() == HELD_OUT).alias("held_out"), "text")
-    return narrow.mapInArrow(predicted, schema)
+    return staged(narrow.mapInArrow(predicted, schema), "languages")

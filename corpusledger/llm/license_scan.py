@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusledger.llm.common import staged
 from corpusledger.llm.license_texts import TEMPLATES
 
 COVERAGE = 0.8
@@ -188,4 +189,4 @@ def license_scan(docs: DataFrame, identity: str = "doc_id", text: str = "text",
         f"{identity} {dict(docs.dtypes)[identity]}, license string, coverage double, n_words bigint,"
         " start bigint, end bigint"
     )
-    return docs.select(F.col(identity), F.col(text)).mapInArrow(scan, schema)
+    return staged(docs.select(F.col(identity), F.col(text)).mapInArrow(scan, schema), "licenses")
