@@ -104,6 +104,27 @@ def sampled(docs: DataFrame, sample: int) -> DataFrame:
     return rows.select("lang", "rank", "doc_id", "text").mapInArrow(extracted, schema)
 
 
+def _learned_from(found: pa.Table) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(lang, idx, share) of the sample in a fixed order; the arrays are views of the table's."""
+    parts = {}
+    for name in ("idx", "share"):
+        column = found.column(name).combine_chunks()
+        lists = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+        parts[name] = [
+            values[start:end]
+            for part in lists
+            for values, ends in [(part.values.to_numpy(zero_copy_only=False), part.offsets.to_numpy())]
+            for start, end in zip(ends[:-1], ends[1:])
+        ]
+    keys = [found.column(name).to_pylist() for name in ("lang", "rank", "doc_id")]
+    rows = [
+        (lang, rank, doc or 0, idx.tobytes(), idx, share)
+        for lang, rank, doc, idx, share in zip(*keys, parts["idx"], parts["share"])
+    ]
+    rows.sort(key=lambda row: row[:4])
+    return [(row[0], row[4], row[5]) for row in rows]
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     x = np.exp(x - x.max(axis=-1, keepdims=True))
     return x / x.sum(axis=-1, keepdims=True)
@@ -185,11 +206,8 @@ def predict(texts: list[str | None], languages: list[str], table: np.ndarray, te
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) of every row."""
-    rows = staged(sampled(docs.select("doc_id", "text", "lang"), sample), "sample").toArrow().to_pylist()
-    rows.sort(key=lambda row: (row["lang"], row["rank"], row["doc_id"] or 0, row["idx"]))
-    languages, table, temperature, least = train(
-        [(row["lang"], np.array(row["idx"], np.int32), np.array(row["share"], np.float32)) for row in rows]
-    )
+    found = staged(sampled(docs.select("doc_id", "text", "lang"), sample), "sample").toArrow()
+    languages, table, temperature, least = train(_learned_from(found))
 
     def predicted(batches):
         for batch in batches:
