@@ -9,8 +9,12 @@ anchors are aligned the same way. Coverage is the share of the template's words
 A template whose words are not all held to ``COVERAGE`` by the whole text cannot be covered that
 far, so most texts are passed over by counting alone, with nothing lost.
 
-Where a match of one template lies inside a match of another (a mention inside the full notice), only
-the larger one is reported.
+The words that tell licenses apart (names, NC, SA) must align: all of them and the version in a
+mention, at least half of each word's places in a longer text. Others of their kind right beside them
+(a 'Lesser' after 'GNU', an 'ND' after 'BY', another number after 'version') speak for another license,
+so the match is none. Where matches meet, the one with most aligned words stays, weighed by the shares of the
+template's and of the stretch's words that are aligned: the full notice before a mention inside it,
+and of rival licenses the one whose words the stretch has.
 
 Defined cases: null and empty texts have no matches; a license that occurs several times is reported
 each time; repeated rows and null ids are scanned each for itself; an empty table gives an empty
@@ -28,14 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusledger.llm.common import staged
-from corpusledger.llm.license_texts import TEMPLATES
+from corpusledger.llm.license_texts import TELLING, TEMPLATES
 
 COVERAGE = 0.8
 #: A region may be this many times as long as its template.
 STRETCH = 1.5
+#: Mentions have at most so many words, notices at most so many; longer texts may name other licenses.
+MENTION, NOTICE = 20, 200
+FOREIGN = 2
 _PLAIN = bytes(
     c if c >= 128 or chr(c).isalnum() else 32 for c in bytes(range(256)).lower()
 )
+_TELLING = frozenset(word.encode() for word in TELLING)
+_VERSION = (b"version", b"v")
+_FURTHER = re.compile(r"\.0*[1-9]")
 _WORD = re.compile(r"[a-z0-9\u0080-\U0010ffff]+", re.I)
 
 
@@ -129,6 +139,31 @@ def regions(text: list, template: list, wanted: Counter, least: int) -> list[tup
     return [(a, b) for _, a, b in out]
 
 
+def tells(word: bytes, before: bytes, mention: bool) -> bool:
+    """Whether a word tells licenses apart, given the word before it."""
+    if word.isdigit() and len(word) < 3:
+        return mention or before in _VERSION
+    return word in _TELLING
+
+
+def is_named(pairs: list[tuple[int, int]], text: list, template: list) -> bool:
+    """Whether the words that tell the template apart are aligned, and no others stand beside them."""
+    mention = len(template) <= MENTION
+    places = [j for j, w in enumerate(template) if tells(w, b"", mention)]
+    of_text = {j: i for i, j in pairs}
+    wanted, held = Counter(template[j] for j in places), Counter(template[j] for j in places if j in of_text)
+    if any(held[w] < n if mention else 2 * held[w] < n for w, n in wanted.items()):
+        return False
+    known = set(of_text.values())
+    own = {of_text[j] for j in places if j in of_text} | {i for i, j in pairs if template[j] in _VERSION}
+    beside = {i + step for i in own for step in (-1, 1)} - known
+    foreign = sum(
+        0 <= i < len(text) and tells(text[i], text[i - 1] if i else b"", mention)
+        for i in beside if pairs[0][0] <= i <= pairs[-1][0]
+    )
+    return foreign <= (0 if len(template) <= NOTICE else FOREIGN)
+
+
 class Scanner:
     """Templates with their words, made ready once per task."""
 
@@ -153,13 +188,16 @@ class Scanner:
                 continue
             for a, b in regions(words, template, wanted, least):
                 pairs = aligned(words[a:b], template)
-                if len(pairs) >= least:
-                    found.append((len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1, name, len(template)))
+                if len(pairs) >= least and is_named(pairs, words[a:b], template):
+                    found.append((len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1, name, len(template), template[-1]))
         if not found:
             return []
         spans = [m.span() for m in _WORD.finditer(text)]
         out, taken = [], []
-        for n, a, b, name, size in sorted(found, key=lambda x: (-x[0], x[1], x[3])):
+        order = lambda x: (-x[0] ** 3 / (x[4] * (x[2] - x[1])), x[1], x[3])
+        for n, a, b, name, size, last in sorted(found, key=order):
+            if size <= MENTION and last.isdigit() and _FURTHER.match(text, spans[b - 1][1]):
+                continue
             if not any(a < d and c < b for c, d in taken):
                 taken.append((a, b))
                 out.append((name, n / size, n, spans[a][0], spans[b - 1][1]))

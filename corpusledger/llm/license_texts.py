@@ -1,4 +1,10 @@
-"""License templates (fixed values: the published wording of notices and licenses)."""
+"""License templates (fixed values: the published wording of notices and licenses).
+
+Full texts lie in ``licenses/`` as published; they are read where the module is loaded and travel to
+the tasks with the scan.
+"""
+
+from pathlib import Path
 
 TEMPLATES = {
     "Apache-2.0 mention": "Licensed under the Apache License, Version 2.0.",
@@ -58,4 +64,102 @@ TEMPLATES = {
         " IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND"
         " FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
     ),
+    "CC-BY-NC-4.0 long mention": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    ),
+    "CC-BY-ND-4.0 long mention": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."
+    ),
+    "CC-BY-NC-SA-4.0 long mention": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0"
+        " International License."
+    ),
+    "CC-BY-NC-ND-4.0 long mention": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0"
+        " International License."
+    ),
+    "CC-BY-4.0 short mention": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 short mention": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0 short mention": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 short mention": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 short mention": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0 mention": "Licensed under CC0 1.0 Universal.",
+    "GPL-2.0 mention": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1 mention": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 mention": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 mention": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0 mention": "Licensed under the Mozilla Public License, Version 2.0.",
+    "BSD mention": "Released under the BSD License.",
+    "BSD-2-Clause mention": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause mention": "Licensed under the BSD 3-Clause License.",
+    "ISC mention": "Released under the ISC License.",
+    "Unlicense mention": "Released into the public domain under the Unlicense.",
+    "GPL-2.0-or-later notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the"
+        " License, or (at your option) any later version. This program is distributed in the hope that it"
+        " will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or"
+        " FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "LGPL-2.1-or-later notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of"
+        " the License, or (at your option) any later version. This library is distributed in the hope that it"
+        " will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or"
+        " FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "LGPL-3.0-or-later notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation; either version 3 of the"
+        " License, or (at your option) any later version. This library is distributed in the hope that it"
+        " will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or"
+        " FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "AGPL-3.0-or-later notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Affero General Public License as published by the Free Software Foundation; either version 3 of the"
+        " License, or (at your option) any later version. This program is distributed in the hope that it"
+        " will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or"
+        " FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "MPL-2.0 notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of"
+        " the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted"
+        " provided that the following conditions are met: 1. Redistributions of source code must retain the"
+        " above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in"
+        " binary form must reproduce the above copyright notice, this list of conditions and the following"
+        " disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither"
+        " the name of the copyright holder nor the names of its contributors may be used to endorse or"
+        " promote products derived from this software without specific prior written permission. THIS"
+        ' SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED'
+        " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS"
+        " FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "BSD-4-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted"
+        " provided that the following conditions are met: 1. Redistributions of source code must retain the"
+        " above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in"
+        " binary form must reproduce the above copyright notice, this list of conditions and the following"
+        " disclaimer in the documentation and/or other materials provided with the distribution. 3. All"
+        " advertising materials mentioning features or use of this software must display the following"
+        " acknowledgement: This product includes software developed by the organization. 4. Neither the name"
+        " of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission. THIS SOFTWARE IS"
+        ' PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,'
+        " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A"
+        " PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+}
+TEMPLATES |= {
+    path.stem + ("" if path.stem == "Unlicense" else " text"): path.read_text(encoding="utf-8")
+    for path in sorted(Path(__file__).with_name("licenses").glob("*.txt"))
 }
+
+#: Words that tell licenses apart. In short mentions numbers do too, elsewhere those after "version".
+TELLING = frozenset(
+    "apache mit isc bsd mozilla mpl gnu gpl lgpl agpl lesser library affero cc cc0 by nc nd sa attribution"
+    " noncommercial noderivatives noderivs sharealike unlicense clause".split()
+)

@@ -73,3 +73,42 @@ def test_messy(spark):
     out = op.license_scan(more).collect()
     assert len(out) == more.count() and {(r["start"], r["end"]) for r in out} == {(2, 2 + len(line) - 1)}
     assert op.license_scan(empty(spark)).count() == 0
+
+
+def test_rivals_keep_their_names():
+    scanner = op.Scanner(TEMPLATES, op.COVERAGE)
+    names = lambda text: [match[0] for match in scanner.scan(f"some text. {text} more text")]
+    gnu = "This work is licensed under the GNU {}, version {}."
+    for text, name in {
+        "Released under the BSD License.": "BSD mention",
+        "Released under the BSD 3-Clause License.": "BSD-3-Clause mention",
+        "Licensed under the MIT License.": "MIT mention",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0 short mention",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0 mention",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0 short mention",
+        "Licensed under CC0 1.0 Universal.": "CC0-1.0 mention",
+        "Licensed under the Mozilla Public License, Version 2.0.": "MPL-2.0 mention",
+        gnu.format("General Public License", 2): "GPL-2.0 mention",
+        gnu.format("General Public License", "3.0"): "GPL-3.0 mention",
+        gnu.format("Lesser General Public License", 3): "LGPL-3.0 mention",
+        gnu.format("Lesser General Public License", 2.1): "LGPL-2.1 mention",
+        gnu.format("Affero General Public License", 3): "AGPL-3.0 mention",
+    }.items():
+        assert names(text) == [name], text
+    for text in (
+        "Released under the Zlib License.", "Licensed under CC BY 3.0.", "Licensed under CC SA 4.0.",
+        gnu.format("General Public License", 1), gnu.format("General Public License", "2.7"),
+        gnu.format("Library General Public License", 2), "Licensed under the Foo License, Version 2.0.",
+        "Licensed under the Apache License, Version 1.1.",
+    ):
+        assert names(text) == [], text
+
+
+def test_full_texts_of_one_family():
+    scanner = op.Scanner(TEMPLATES, op.COVERAGE)
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"):
+        assert [match[0] for match in scanner.scan(TEMPLATES[name].replace("1.", "*"))] == [name]
+    notice = TEMPLATES["LGPL-2.1-or-later notice"].replace("Lesser", "Library").replace("2.1", "2")
+    assert scanner.scan(notice) == []  # no template has it, so it has no name
+    for name in ("GPL-2.0 text", "GPL-3.0 text", "LGPL-2.0 text", "LGPL-2.1 text", "Apache-2.0 text"):
+        assert [match[0] for match in scanner.scan(TEMPLATES[name])] == [name]
