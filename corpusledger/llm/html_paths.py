@@ -3,12 +3,13 @@
 1. Every page's containers are scored by the text of their blocks, without links and boilerplate,
    and the page votes for its best container's generalised path: tags with their classes, digits
    taken out, from the root down.
-2. Spark adds up the votes per host and path and ranks each host's paths.
-3. Every page is extracted again: from its elements on the best ranked path of the host that has
+2. Spark adds up the votes per host and path and joins them with the paths that have text on each
+   page. Pages of a host with the same paths share a signature, so the join sees each set once.
+3. Every page is extracted again: from its elements on the path with most votes of the host that has
    text on the page, or from its own best container where none has.
 
-A page that is odd by itself (a long notice, a short article) thus follows its host. Only a host's
-``MOST_PATHS`` best paths travel back; pages on others use their own best container.
+A page that is odd by itself (a long notice, a short article) thus follows its host. All votes count,
+however many paths a host has. Paths travel as digests of host and path.
 
 Defined cases: null or empty html gives an empty text; a null or odd url belongs to the host of no
 name; pages are handled row by row, so repeated rows and null ids stay as they are; unclosed and
@@ -19,14 +20,14 @@ from __future__ import annotations
 
 import html as entities
 import re
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusledger.llm.common import staged
 
-MOST_PATHS = 20
 MOST_DEPTH = 200
 # What HTML elements are; the page itself is the container without a name.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -62,12 +63,25 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "dropped", "inside", "score")
+    __slots__ = ("tag", "step", "key", "parent", "dropped", "inside", "score")
 
-    def __init__(self, tag, path, parent, dropped, inside):
-        self.tag, self.path, self.parent = tag, path, parent
+    def __init__(self, tag, step, key, parent, dropped, inside):
+        self.tag, self.step, self.key, self.parent = tag, step, key, parent
         self.dropped, self.inside, self.score = dropped, inside, 0.0
 
+    @property
+    def path(self) -> str:
+        """The steps from the root down; ``key`` is the digest of host and path."""
+        steps, element = [], self
+        while element.parent is not None:
+            steps.append(element.step)
+            element = element.parent
+        return ">".join(reversed(steps))
+
+
+def _digest(*parts: bytes) -> bytes:
+    return blake2b(b"".join(parts), digest_size=16).digest()
+
 
 def _described(tag: str, attributes: str, parent: _Element) -> _Element:
     """The element with its generalised path, and whether it is boilerplate."""
@@ -94,13 +108,13 @@ def _described(tag: str, attributes: str, parent: _Element) -> _Element:
             marks -= {"header", "banner"}
         dropped = dropped or bool(marks) or tag == "header" and not inside
     step = ".".join([tag, *sorted({re.sub(r"\d+", "0", c) for c in classes.lower().split()})])
-    path = f"{parent.path}>{step}" if parent.path else step
-    return _Element(tag, path, parent, parent.dropped or dropped, inside)
+    key = _digest(parent.key, step.encode("utf-8", "surrogatepass"))
+    return _Element(tag, step, key, parent, parent.dropped or dropped, inside)
 
 
-def parse(page: str) -> list[tuple[_Element, str, int]]:
+def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
     """The page's blocks of text in order: (element, text, characters inside links)."""
-    root = _Element("", "", None, False, False)
+    root = _Element("", "", _digest(host.encode("utf-8", "surrogatepass")), None, False, False)
     stack, blocks, text, linked = [root], [], [], 0
     links = 0
 
@@ -185,29 +199,56 @@ def _containers(blocks) -> list[_Element]:
     return list(found.values())
 
 
+def _best(blocks) -> _Element | None:
+    """The page's own best container, the first of equals."""
+    best = max(_containers(blocks), key=lambda e: e.score, default=None)
+    return best if best is not None and best.score > 0 else None
+
+
 def best_path(page: str) -> tuple[str, float] | None:
     """The path a page votes for, with its score; None without text outside of boilerplate."""
-    ranked = [(e.score, e.path) for e in _containers(parse(page)) if e.score > 0]
-    return max(ranked, default=(0, None))[::-1] if ranked else None
+    best = _best(parse(page))
+    return best and (best.path, best.score)
+
+
+def present(blocks) -> list[bytes]:
+    """The keys of all containers that have text on the page."""
+    seen, keys = set(), set()
+    for element, _, _ in blocks:
+        while element is not None and id(element) not in seen:
+            seen.add(id(element))
+            if element.tag in CONTAINERS:
+                keys.add(element.key)
+            element = element.parent
+    return sorted(keys)
 
 
-def main_text(page: str, paths: list[str]) -> tuple[str, str | None]:
-    """The text under the first of ``paths`` that has some, or under the page's own best container."""
-    blocks = parse(page)
-    own = [e.path for e in sorted(_containers(blocks), key=lambda e: (-e.score, e.path)) if e.score > 0]
-    for path in [*paths, *own[:1]]:
-        under = [text for element, text, _ in blocks if _is_under(element, path)]
+def main_text(page: str, keys: list[bytes], host: str = "") -> tuple[str, str | None]:
+    """The text under the first of ``keys`` that has some, or under the page's own best container."""
+    blocks = parse(page, host)
+    own = _best(blocks)
+    for key in [*keys, *([own.key] if own else [])]:
+        under, path = _under(blocks, key)
         if under:
             return "\n\n".join(under), path
     return "", None
 
 
-def _is_under(element: _Element, path: str) -> bool:
-    while element is not None and len(element.path) >= len(path):
-        if element.path == path:
-            return True
-        element = element.parent
-    return False
+def _under(blocks, key: bytes) -> tuple[list[str], str | None]:
+    """The texts under elements with the key, and their path."""
+    known: dict[int, bool] = {}
+    texts, path = [], None
+    for element, text, _ in blocks:
+        passed, at = [], element
+        while at is not None and id(at) not in known and at.key != key:
+            passed.append(id(at))
+            at = at.parent
+        hit = at is not None and known.get(id(at), True)
+        known.update(dict.fromkeys(passed, hit))
+        if hit:
+            path = at.path if path is None else path
+            texts.append(text)
+    return texts, path
 
 
 def host_of(url: str = "url"):
@@ -215,45 +256,78 @@ def host_of(url: str = "url"):
     return F.regexp_extract(address, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
 
 
+def _signed(blocks) -> tuple[bytes, list[bytes]]:
+    keys = present(blocks)
+    return _digest(*keys), keys
+
+
 def _vote(batches):
+    """A row with a path per vote; per new signature, rows with the keys it stands for."""
+    known = set()
     for batch in batches:
-        hosts, paths, scores = [], [], []
+        keys, paths, signatures = [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-            best = best_path(page.as_py() or "")
+            blocks = parse(page.as_py() or "", host)
+            best = _best(blocks)
             if best:
-                hosts.append(host)
-                paths.append(best[0])
-                scores.append(best[1])
+                keys.append(best.key)
+                paths.append(best.path)
+                signatures.append(None)
+            signature, own = _signed(blocks)
+            if signature not in known:
+                known.add(signature)
+                keys += own
+                paths += [None] * len(own)
+                signatures += [signature] * len(own)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
-            names=["host", "path", "score"],
+            [pa.array(keys, pa.binary()), pa.array(paths, pa.string()), pa.array(signatures, pa.binary())],
+            names=["key", "path", "signature"],
         )
 
 
-def votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path, pages, rank): how many of the host's pages chose a path; at most MOST_PATHS."""
-    cast = pages.select(host_of(url).alias("host"), F.col(html)).mapInArrow(
-        _vote, "host string, path string, score double"
+def chosen(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(signature, key): of the paths present on pages with a signature, the one most pages of the host chose."""
+    cast = staged(
+        pages.select(host_of(url).alias("host"), F.col(html)).mapInArrow(
+            _vote, "key binary, path string, signature binary"
+        ),
+        "votes",
+    )
+    votes = staged(
+        cast.where(F.col("path").isNotNull()).groupBy("key").agg(
+            F.count(F.lit(1)).alias("pages"), F.min("path").alias("path")
+        ),
+        "counted",
     )
-    counted = cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"))
-    order = Window.partitionBy("host").orderBy(F.desc("pages"), F.length("path"), "path")
-    return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= MOST_PATHS)
+    held = cast.where(F.col("path").isNull()).select("signature", "key").distinct()
+    order = F.struct(-F.col("pages"), F.length("path"), "path", "key")
+    best = held.join(votes, "key").groupBy("signature").agg(F.min(order).alias("best"))
+    return best.select("signature", "best.key")
 
 
 def extract(pages: DataFrame, identity: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(identity, url, text, n_chars, host, path) of every page."""
-    ranked = votes(pages, url, html).groupBy("host").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("best")
-    )
-    ranked = staged(ranked.select(F.col("host").alias("__host"), F.col("best.path").alias("paths")), "paths")
-    rows = pages.select(F.col(identity), F.col(url), host_of(url).alias("host"), F.col(html))
-    schema = f"{identity} {dict(pages.dtypes)[identity]}, {url} string, text string, n_chars bigint, host string, path string"
+    best = staged(chosen(pages, url, html), "paths")
+    best = best.select(F.col("signature").alias("__signature"), F.col("key").alias("__key"))
+    rows = pages.select(F.col(identity), F.col(url), host_of(url).alias("__host"), F.col(html).alias("__html"))
+    kind = f"{identity} {dict(pages.dtypes)[identity]}, {url} string"
+    schema = f"{kind}, text string, n_chars bigint, host string, path string"
+
+    def sign(batches):
+        for batch in batches:
+            signatures = [
+                _signed(parse(page.as_py() or "", host))[0]
+                for host, page in zip(batch.column(2).to_pylist(), batch.column(3))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(signatures, pa.binary())], names=[*batch.schema.names, "__signature"]
+            )
 
     def again(batches):
         for batch in batches:
             found = [
-                main_text(page.as_py() or "", paths or [])
-                for page, paths in zip(batch.column(3), batch.column(4).to_pylist())
+                main_text(page.as_py() or "", [key] if key else [], host)
+                for host, page, key in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist())
             ]
             texts = [text for text, _ in found]
             yield pa.RecordBatch.from_arrays(
@@ -263,5 +337,6 @@ def extract(pages: DataFrame, identity: str = "page_id", url: str = "url", html:
                 names=[identity, url, "text", "n_chars", "host", "path"],
             )
 
-    joined = rows.join(ranked, F.col("host") == F.col("__host"), "left").drop("__host")
+    signed = rows.mapInArrow(sign, f"{kind}, __host string, __html string, __signature binary")
+    joined = signed.join(best, "__signature", "left").drop("__signature")
     return staged(joined.mapInArrow(again, schema), "extracted")

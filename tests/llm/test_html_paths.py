@@ -61,6 +61,18 @@ def test_parts():
     assert len(text("<div>" * 5000 + "<p>deep" + "</div>" * 5000)) == 4
 
 
+def test_many_templates_of_a_host(spark):
+    whole = '<body><div class="story-{0}">{1}</div><div class="box-{0}">{2}</div></body>'
+    long, short = "<p>" + "word " * 80 + "</p>", "<p>few words</p>"
+    rows, names = [], [f"{a}{b}" for a in "abcde" for b in "fghijkl"]
+    for i, name in enumerate(names):  # 35 templates, of which each has two votes for its story
+        rows += [(10 * i + n, "http://h.example", whole.format(name, long, short), None, None) for n in range(2)]
+        rows.append((10 * i + 5, "http://h.example", whole.format(name, short, long), None, None))
+    out = extracted(spark, rows)
+    for i, name in enumerate(names):
+        assert out[10 * i + 5]["text"] == "few words" and out[10 * i + 5]["path"] == f"body>div.story-{name}"
+
+
 def test_messy(spark):
     rows = [
         (1, None, PAGE.format(n=1), None, None), (2, "not a url", None, None, None), (2, "not a url", None, None, None),
