@@ -12,7 +12,8 @@ A page that is odd by itself (a long notice, a short article) thus follows its h
 however many paths a host has. Paths travel as digests of host and path.
 
 Defined cases: null or empty html gives an empty text; a null or odd url belongs to the host of no
-name; pages are handled row by row, so repeated rows and null ids stay as they are; unclosed and
+name; pages are handled row by row, so repeated rows and null ids stay as they are; nesting may be of any
+depth; unclosed and
 misnested tags are closed as browsers do in the common cases; an empty table gives an empty result.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -28,7 +30,6 @@ from pyspark.sql import functions as F
 
 from corpusledger.llm.common import staged
 
-MOST_DEPTH = 200
 # What HTML elements are; the page itself is the container without a name.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
@@ -63,11 +64,13 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "step", "key", "parent", "dropped", "inside", "score")
+    __slots__ = ("tag", "step", "key", "parent", "holder", "dropped", "inside", "score")
 
     def __init__(self, tag, step, key, parent, dropped, inside):
         self.tag, self.step, self.key, self.parent = tag, step, key, parent
         self.dropped, self.inside, self.score = dropped, inside, 0.0
+        #: The next container, this element included.
+        self.holder = self if tag in CONTAINERS else parent.holder
 
     @property
     def path(self) -> str:
@@ -116,6 +119,8 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
     """The page's blocks of text in order: (element, text, characters inside links)."""
     root = _Element("", "", _digest(host.encode("utf-8", "surrogatepass")), None, False, False)
     stack, blocks, text, linked = [root], [], [], 0
+    #: How many of each tag are open, so that a stray end tag costs nothing.
+    opened: Counter = Counter()
     links = 0
 
     def end_block():
@@ -134,12 +139,16 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
             if links:
                 linked += len(plain.strip())
 
+    def pop() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        return tag
+
     def close(tag: str):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == tag:
-                end_block()
-                del stack[i:]
-                return
+        if opened[tag]:
+            end_block()
+            while pop() != tag:
+                pass
 
     at = 0
     while match := _TOKEN.search(page, at):
@@ -154,7 +163,7 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
         elif slash:
             if tag == "a":
                 links = max(0, links - 1)
-            elif tag == "p" and not any(e.tag == "p" for e in stack):
+            elif tag == "p" and not opened["p"]:
                 end_block()
             elif tag in BLOCKS:
                 close(tag)
@@ -169,12 +178,13 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
         elif tag in BLOCKS:
             end_block()
             if stack[-1].tag == "p":
-                stack.pop()
+                pop()
             shut = CLOSED_BY.get(tag)
             while shut and stack[-1].tag in shut:
-                stack.pop()
-            if tag not in VOID and len(stack) < MOST_DEPTH:
+                pop()
+            if tag not in VOID:
                 stack.append(_described(tag, attributes, stack[-1]))
+                opened[tag] += 1
                 links = 0
         elif tag in ("td", "th", "option"):
             add(" ")
@@ -187,15 +197,13 @@ def _containers(blocks) -> list[_Element]:
     """Scored containers: a block's unlinked text counts for its container and half for the next."""
     found: dict[int, _Element] = {}
     for element, text, linked in blocks:
-        worth, part = max(0, len(text) - 2 * linked), 1.0
-        while element is not None and part > 0.2:
-            if element.tag in CONTAINERS:
-                bonus = 1.5 if element.tag in ("article", "main") else 1.0
-                if id(element) not in found:
-                    found[id(element)] = element
-                element.score += worth * part * bonus
-                part /= 2
-            element = element.parent
+        worth, part, at = max(0, len(text) - 2 * linked), 1.0, element.holder
+        while at is not None and part > 0.2:
+            bonus = 1.5 if at.tag in ("article", "main") else 1.0
+            found[id(at)] = at
+            at.score += worth * part * bonus
+            part /= 2
+            at = at.parent and at.parent.holder
     return list(found.values())
 
 

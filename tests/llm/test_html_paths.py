@@ -61,6 +61,18 @@ def test_parts():
     assert len(text("<div>" * 5000 + "<p>deep" + "</div>" * 5000)) == 4
 
 
+def test_deep_and_unclosed():
+    text = lambda page: op.main_text(page, [])[0]
+    story = "<article><p>" + "first words " * 40 + "</p>{}<p>" + "last words " * 40 + "</p></article>"
+    whole = ("first words " * 40).strip() + "\n\ndeep\n\n" + ("last words " * 40).strip()
+    for n in (3, 250, 3000):
+        nest = "<blockquote>" * n + "<div>deep</div><aside>no</aside><div class='ad'>no</div>" + "</blockquote>" * n
+        assert text(story.format(nest)) == whole
+        assert text("<section>" * n + story.format("<div>deep</div>") + "<nav>no</nav>") == whole
+    page = "<ul>" * 20_000 + "<p>x</p></nav>" * 20_000  # nothing here may take time by the square
+    assert text(page).count("x") == 20_000
+
+
 def test_many_templates_of_a_host(spark):
     whole = '<body><div class="story-{0}">{1}</div><div class="box-{0}">{2}</div></body>'
     long, short = "<p>" + "word " * 80 + "</p>", "<p>few words</p>"
