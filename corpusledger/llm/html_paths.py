@@ -8,6 +8,11 @@
 3. Every page is extracted again: from its elements on the path with most votes of the host that has
    text on the page, or from its own best container where none has.
 
+Boilerplate is marked by tag, role and words in classes and ids, and a mark is undone where it covers
+the page's text: over ``main``; over by far most of the unlinked text, the more so the surer the mark;
+a form's over prose rather than controls. Words after has-, no- or with- mark nothing. A marked path has a
+key of its own, so the votes of pages that undid the mark count for pages that did not.
+
 A page that is odd by itself (a long notice, a short article) thus follows its host. All votes count,
 however many paths a host has. Paths travel as digests of host and path.
 
@@ -50,6 +55,19 @@ BOILERPLATE = frozenset(
 )
 #: Words that mark the article.
 ARTICLE = frozenset("article content entry main post story text body".split())
+#: Words that also name how a page is laid out; a wrapper may bear them.
+LAYOUT = frozenset(
+    "aside sidebar sidebars rail widget widgets menu menus nav navbar navigation header masthead banner footer foot"
+    " form search notice notices modal overlay share sharing social legal hidden".split()
+)
+MODIFIERS = frozenset("has no with without not hide".split())
+CONTROLS = frozenset("input select textarea button".split())
+#: How sure a mark is. One by layout is undone over so many times the unmarked text, one by another word
+#: where no text is unmarked (a long comment section is none); both over so much text at least.
+BY_LAYOUT, BY_WORD, BY_TAG = 1, 2, 3
+TIMES, LEAST = 3, {BY_LAYOUT: 80, BY_WORD: 200}
+#: Characters of prose per control (and one) that make a form text.
+PROSE = 100
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
@@ -64,11 +82,18 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "step", "key", "parent", "holder", "dropped", "inside", "score")
+    __slots__ = (
+        "tag", "step", "key", "parent", "holder", "dropped", "inside", "score", "mark", "near", "story", "form",
+        "controls", "named",
+    )
 
-    def __init__(self, tag, step, key, parent, dropped, inside):
+    def __init__(self, tag, step, key, parent, dropped, inside, mark=0, story=0):
         self.tag, self.step, self.key, self.parent = tag, step, key, parent
         self.dropped, self.inside, self.score = dropped, inside, 0.0
+        #: How sure it is boilerplate; the next marked element; 1 in an article, 2 in main, below that mark.
+        self.mark, self.near, self.story = mark, None, story
+        self.form = self if tag == "form" else parent and parent.form
+        self.controls, self.named = 0, False
         #: The next container, this element included.
         self.holder = self if tag in CONTAINERS else parent.holder
 
@@ -86,9 +111,25 @@ def _digest(*parts: bytes) -> bytes:
     return blake2b(b"".join(parts), digest_size=16).digest()
 
 
+def _marks(names: str) -> tuple[set[str], bool, bool]:
+    """Boilerplate words of the names, whether there are article words, and a name with these alone."""
+    marks, article, alone = set(), False, False
+    for name in names.split():
+        parts = []
+        for part in _NAME_PARTS.findall(name):
+            if part.lower() in MODIFIERS:
+                break
+            parts.append(part.lower())
+        own = BOILERPLATE.intersection(parts)
+        marks |= own
+        article = article or not ARTICLE.isdisjoint(parts)
+        alone = alone or not own and not ARTICLE.isdisjoint(parts)
+    return marks, article, alone
+
+
 def _described(tag: str, attributes: str, parent: _Element) -> _Element:
     """The element with its generalised path, and whether it is boilerplate."""
-    classes, names, dropped = "", "", tag in DROPPED
+    classes, names, hidden, role = "", "", False, ""
     if attributes.strip():
         for name, *values, bare in _ATTRIBUTE.findall(attributes):
             value = "".join(values)
@@ -97,28 +138,95 @@ def _described(tag: str, attributes: str, parent: _Element) -> _Element:
                 classes, names = value, f"{names} {value}"
             elif name == "id":
                 names += " " + value
-            elif name == "role":
-                dropped = dropped or value.strip().lower() in ROLES
+            elif name == "role" and value.strip().lower() in ROLES:
+                role = value.strip().lower()
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                dropped = True
+                hidden = True
             elif name == "style" and "display:none" in value.replace(" ", "").lower():
-                dropped = True
-    parts = {part.lower() for part in _NAME_PARTS.findall(names)}
+                hidden = True
+    marks, article, alone = _marks(names)
     inside = parent.inside or tag in ("article", "main")
-    if tag not in ("html", "body", "main", "article"):
-        marks = parts & BOILERPLATE
-        if inside or parts & ARTICLE:
-            marks -= {"header", "banner"}
-        dropped = dropped or bool(marks) or tag == "header" and not inside
+    story = 2 if tag == "main" else max(1, parent.story) if tag == "article" and not marks else parent.story
+    if tag in ("html", "body", "main", "article"):
+        marks = set()
+    elif inside or article:
+        marks -= {"header", "banner"}
+    if tag == "form":
+        marks.discard("form")
+    mark = 0
+    if tag in DROPPED and tag not in ("form", "fieldset") or role and role not in ("form", "search"):
+        mark = BY_TAG
+    elif marks - LAYOUT and not alone:
+        mark = BY_WORD
+    elif marks or role or tag in ("form", "fieldset") or tag == "header" and not inside:
+        mark = BY_LAYOUT
+    if mark:
+        story = 2 if tag == "main" else 1 if tag == "article" else 0
     step = ".".join([tag, *sorted({re.sub(r"\d+", "0", c) for c in classes.lower().split()})])
-    key = _digest(parent.key, step.encode("utf-8", "surrogatepass"))
-    return _Element(tag, step, key, parent, parent.dropped or dropped, inside)
+    told = f"{step}\n{role} {' '.join(sorted(marks))}" if marks or role else step
+    key = _digest(parent.key, told.encode("utf-8", "surrogatepass"))
+    element = _Element(tag, step, key, parent, parent.dropped or hidden, inside, mark, story)
+    element.near, element.named = element if mark else parent.near, bool(marks or role)
+    return element
+
+
+def _settle(elements: list[_Element], blocks: list) -> None:
+    """Undo the marks that cover the page's text."""
+
+    def weighed():
+        net, stories = Counter(), {}
+        for element, text, linked in blocks:
+            worth = max(0, len(text) - 2 * linked)
+            if worth:
+                net[element.near] += worth
+                stories[element.near] = max(element.story, stories.get(element.near, 0))
+        return net, stories
+
+    def marked(element):
+        while element is not None:
+            yield element
+            element = element.parent and element.parent.near
+
+    def undo(undone):
+        for element in undone:
+            element.mark = 0
+        for element in elements:  # parents come first
+            element.near = element if element.mark else element.parent.near
+
+    net, stories = weighed()
+    if not any(element is not None for element in net):
+        return
+    undone = {above for element, story in stories.items() if element and story == 2 for above in marked(element)}
+    for form, worth in net.items():
+        plain = form is not None and form.tag == "form" and form.mark == BY_LAYOUT and not form.named
+        if plain and worth >= PROSE * (form.controls + 1):
+            undone.add(form)
+    if undone:
+        undo(undone)
+        net, stories = weighed()
+    rest = net.pop(None, 0)
+    total = net.total()
+    if not net:
+        return
+    element, worth = net.most_common(1)[0]
+    chain = list(marked(element))
+    sure = max(above.mark for above in chain)
+    if sure == BY_LAYOUT and stories[element]:
+        enough = worth > rest
+    elif sure == BY_LAYOUT:
+        # A form that is no prose by its controls is text only if there is no other.
+        enough = (not rest if element.tag == "form" else worth > TIMES * rest) and worth >= LEAST[sure]
+    else:
+        enough = sure == BY_WORD and not rest and worth >= LEAST[sure]
+    if enough and 2 * worth >= total:
+        undo(chain)
 
 
 def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
-    """The page's blocks of text in order: (element, text, characters inside links)."""
+    """The page's blocks of text in order, boilerplate too: (element, text, characters inside links)."""
     root = _Element("", "", _digest(host.encode("utf-8", "surrogatepass")), None, False, False)
     stack, blocks, text, linked = [root], [], [], 0
+    elements: list[_Element] = []
     #: How many of each tag are open, so that a stray end tag costs nothing.
     opened: Counter = Counter()
     links = 0
@@ -158,6 +266,8 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in CONTROLS and not slash and stack[-1].form and "hidden" not in attributes:
+            stack[-1].form.controls += 1
         if tag == "br":
             add(" ")
         elif slash:
@@ -184,12 +294,14 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
                 pop()
             if tag not in VOID:
                 stack.append(_described(tag, attributes, stack[-1]))
+                elements.append(stack[-1])
                 opened[tag] += 1
                 links = 0
         elif tag in ("td", "th", "option"):
             add(" ")
     add(page[at:])
     end_block()
+    _settle(elements, blocks)
     return blocks
 
 
@@ -197,6 +309,8 @@ def _containers(blocks) -> list[_Element]:
     """Scored containers: a block's unlinked text counts for its container and half for the next."""
     found: dict[int, _Element] = {}
     for element, text, linked in blocks:
+        if element.near is not None:
+            continue
         worth, part, at = max(0, len(text) - 2 * linked), 1.0, element.holder
         while at is not None and part > 0.2:
             bonus = 1.5 if at.tag in ("article", "main") else 1.0
@@ -220,14 +334,14 @@ def best_path(page: str) -> tuple[str, float] | None:
 
 
 def present(blocks) -> list[bytes]:
-    """The keys of all containers that have text on the page."""
+    """The keys of all containers that have text on the page, not below a mark inside them."""
     seen, keys = set(), set()
     for element, _, _ in blocks:
         while element is not None and id(element) not in seen:
             seen.add(id(element))
             if element.tag in CONTAINERS:
                 keys.add(element.key)
-            element = element.parent
+            element = None if element.mark else element.parent
     return sorted(keys)
 
 
@@ -243,14 +357,14 @@ def main_text(page: str, keys: list[bytes], host: str = "") -> tuple[str, str |
 
 
 def _under(blocks, key: bytes) -> tuple[list[str], str | None]:
-    """The texts under elements with the key, and their path."""
+    """The texts under elements with the key, not below a mark inside them, and their path."""
     known: dict[int, bool] = {}
     texts, path = [], None
     for element, text, _ in blocks:
         passed, at = [], element
         while at is not None and id(at) not in known and at.key != key:
             passed.append(id(at))
-            at = at.parent
+            at = None if at.mark else at.parent
         hit = at is not None and known.get(id(at), True)
         known.update(dict.fromkeys(passed, hit))
         if hit:

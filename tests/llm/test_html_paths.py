@@ -73,6 +73,31 @@ def test_deep_and_unclosed():
     assert text(page).count("x") == 20_000
 
 
+def test_marks_that_cover_the_text(spark):
+    text = lambda page: op.main_text(page, [])[0]
+    long = ("long words " * 30).strip()
+    nav, foot = "<nav><a href=/>Home</a> and more</nav>", "<footer>Imprint of the site</footer>"
+    for wrapper in (
+        'div class="content has-sidebar"', 'div id="main" class="no-sidebar"', 'div class="page sidebar-left"',
+        'div class="wrap comments-open"', 'div class="story ad-free"', 'form id="aspnetForm" method="post"',
+    ):
+        page = f"<body><{wrapper}>{nav}<div><p>{long}</p></div><div class=ad>Buy now</div>{foot}</div></body>"
+        assert text(page) == long, wrapper
+    assert text(f"<nav>{nav}<main><p>short</p></main>") == "short"
+    # What boilerplate it is stays so, however long.
+    comments = f"<section class=comments><article class=comment><p>{long}</p></article><p>{long}</p></section>"
+    assert text(f"<body><div class=story><p>Short but the story.</p></div>{comments}</body>") == "Short but the story."
+    controls = "<input name=a><input name=b><textarea name=c></textarea>"
+    assert text(f"<article><p>story</p><form><p>{'sign up ' * 15}</p>{controls}</form></article>") == "story"
+    assert text(f"<body>{nav}{foot}<div class=ad>{'buy ' * 20}</div></body>") == ""
+    # Pages that undid the mark speak for one that has more text beside it.
+    page = "<body><div id=rail-layout class=x><div class=y><p>{}</p></div></div><div class=z><p>{}</p></div></body>"
+    rows = [(n, "http://h.example", page.format(long, "few"), None, None) for n in range(4)]
+    rows.append((4, "http://h.example", page.format("few", long), None, None))
+    out = extracted(spark, rows)
+    assert out[0]["text"] == long and out[4]["text"] == "few"
+
+
 def test_many_templates_of_a_host(spark):
     whole = '<body><div class="story-{0}">{1}</div><div class="box-{0}">{2}</div></body>'
     long, short = "<p>" + "word " * 80 + "</p>", "<p>few words</p>"
