@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusledger.runtime import pin_small
+from corpusledger.runtime import pin_small, stage
 
 FOOTER_SCHEMA = (
     "path string, row_group int, rows bigint, col_index int, col string, type string, "
@@ -73,21 +73,43 @@ def _listed_paths(files: DataFrame) -> DataFrame:
 def leftovers(spark: SparkSession, base: str) -> DataFrame:
     """``(path, size)`` of what unfinished writers leave below ``base``, however deep.
 
-    Temporary files, empty ones included, from Spark's own parallel listing, and the working folders
-    of output committers, which stand in the folders above those that hold files.
+    Temporary files, empty ones included, and the working folders of output committers, also in
+    folders without files. Tasks list the folders found so far, level by level until none is left;
+    a working folder is reported and not entered. Like footers and hashes, this needs a store that
+    Arrow reaches.
     """
-    files = list_files(spark, base, "*.tmp").select("path", "size")
-    shown = list_files(spark, base, "*")
-    plain = plain_path(F.lit(_qualified(spark, base)))
-    below = F.size(F.split(F.replace(plain_path("path"), F.concat(plain, F.lit("/")), F.lit("")), "/"))
-    depth = shown.agg(F.max(below)).first()[0] or 1
-    jvm, found = spark._jvm, []
-    for level in range(depth):
-        glob = jvm.org.apache.hadoop.fs.Path(f"{base}/{'*/' * level}_temporary")
-        filesystem = glob.getFileSystem(spark._jsc.hadoopConfiguration())
-        for status in filesystem.globStatus(glob) or []:
-            found.append((status.getPath().toString(), 0))
-    return files.unionByName(spark.createDataFrame(found, "path string, size bigint"))
+    slots = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
+    level = spark.createDataFrame([(_qualified(spark, base),)], "path string")
+    found = spark.createDataFrame([], "path string, size bigint")
+    while True:
+        listed = stage(level.mapInArrow(_list_folders, "path string, folder boolean, size bigint"), "folders")
+        found = found.unionByName(listed.where("NOT folder").select("path", "size"))
+        level = listed.where("folder").select("path")
+        folders = level.count()
+        if not folders:
+            return found
+        level = level.repartition(min(slots, folders))
+
+
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The folders in each folder, and what unfinished writers left in it."""
+    from pyarrow import fs
+
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            filesystem, inner = open_filesystem(path.replace("%", "%25").replace(" ", "%20"))
+            paths, folders, sizes = [], [], []
+            for entry in filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+                folder = entry.type == fs.FileType.Directory
+                working = folder and entry.base_name == "_temporary"
+                if folder or entry.base_name.endswith(".tmp") and entry.base_name[0] not in "._":
+                    paths.append(f"{path.rstrip('/')}/{entry.base_name}")
+                    folders.append(folder and not working)
+                    sizes.append(0 if folder else entry.size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(folders, pa.bool_()), pa.array(sizes, pa.int64())],
+                names=["path", "folder", "size"],
+            )
 
 
 def _qualified(spark: SparkSession, path: str) -> str:

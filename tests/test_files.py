@@ -58,6 +58,18 @@ def test_empty_and_deep_files_are_listed(spark, tmp_path):
     assert left == {"half.tmp": 1, "none.tmp": 0, "_temporary": 0}
 
 
+def test_leftovers_below_the_deepest_file(spark, tmp_path):
+    base = tmp_path / "out 100%"
+    (base / "a" / "b" / "c" / "_temporary").mkdir(parents=True)
+    (base / "d" / "_temporary" / "0").mkdir(parents=True)
+    assert sorted(r["path"].split("/out 100%/")[1] for r in files.leftovers(spark, str(base)).collect()) == [
+        "a/b/c/_temporary", "d/_temporary",
+    ]
+    (base / "a" / "one.tmp").write_text("x")
+    assert files.leftovers(spark, str(base)).count() == 3
+    assert files.leftovers(spark, str(tmp_path / "a" / "none")).count() == 0
+
+
 def test_footers(spark, layout):
     footers = files.footer_scan(files.list_files(spark, layout))
     for row in files.shard_footers(footers).collect():
