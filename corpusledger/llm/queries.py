@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusledger.llm import (
-    circulant_minhash, decontaminate, html_paths, language_id, license_scan, mixing, quality_classifier,
-    quality_rules, secret_owners, virtual_slots,
+    byte_bpe, circulant_minhash, decontaminate, dual_tree, fill_in_middle, html_paths, language_id, license_scan,
+    mixing, quality_classifier, quality_rules, secret_owners, virtual_slots,
 )
 from corpusledger.runtime import scratch_path
 
 
 #: Words as the contracts have them, for RE2.
 WORD = r"[^\x20\x09-\x0D]+"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -75,6 +77,22 @@ def op10_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op11_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return dual_tree.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(docs))
+
+
+def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_extraction": op2_html_extraction,
@@ -86,6 +104,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_circulant_minhash": op9_circulant_minhash,
     "op10_source_mixing": op10_source_mixing,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 def _spans_sql(kind: str, number: int) -> str:
@@ -146,6 +167,49 @@ ORACLES: dict[str, str] = {
       FROM sized s
       JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
       JOIN summed u ON s.source IS NOT DISTINCT FROM u.source AND s.h = u.h""",
+    "op11_ranked_search": f"""
+      WITH words AS (
+        SELECT doc_id, n, unnest(terms) AS term FROM (SELECT doc_id, terms, len(terms) AS n FROM (
+          SELECT doc_id, regexp_extract_all({_LOWERED},
+            '{TERM}') AS terms FROM documents))),
+      totals AS (SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS n_terms FROM words),
+      wanted AS (
+        SELECT item_id, term, count(*) AS times FROM (
+          SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{TERM}')) AS term FROM benchmark)
+        GROUP BY 1, 2),
+      held AS (
+        SELECT doc_id, n, term, count(*) AS tf FROM words SEMI JOIN wanted USING (term) GROUP BY 1, 2, 3),
+      weighed AS (
+        SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM held, totals GROUP BY term),
+      scored AS (
+        SELECT item_id, doc_id,
+          sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM held JOIN wanted USING (term) JOIN weighed USING (term), totals GROUP BY 1, 2),
+      ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+        FROM scored WHERE score > 0)
+      SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op12_fill_in_middle": """
+      WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units,
+          sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS hash FROM documents),
+      drawn AS (
+        SELECT *, len(units) AS n, ('0x' || hash[1:8])::BIGINT % (len(units) + 1) AS one,
+          ('0x' || hash[9:16])::BIGINT % (len(units) + 1) AS two, ('0x' || hash[17:24])::BIGINT % 100 AS rate,
+          ('0x' || hash[25:32])::BIGINT % 100 AS turn FROM cut),
+      parts AS (
+        SELECT *, CASE WHEN text = '' OR regexp_matches(text, '<P>|<S>|<M>') OR rate >= 100 THEN 'plain'
+            WHEN turn < 50 THEN 'spm' ELSE 'psm' END AS form,
+          array_to_string(units[1:least(one, two)], '') AS prefix,
+          array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+          array_to_string(units[greatest(one, two) + 1:], '') AS suffix FROM drawn)
+      SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+          ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(text) AS restored_sha256
+      FROM parts""",
     "op4_secret_scan": f"""
       WITH rows AS (
         SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce('s' || source, '') AS owner
