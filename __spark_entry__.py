@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import StringType, StructField  # noqa: E402
 
 from corpusledger.functions import text as txt  # noqa: E402
 from corpusledger.functions.counters import (  # noqa: E402
@@ -28,11 +29,12 @@ from corpusledger.plans.allocate import allocate, keep_fraction  # noqa: E402
 from corpusledger.plans.build import build_plans, dump_subset  # noqa: E402
 from corpusledger.plans.config import RunConfig  # noqa: E402
 from corpusledger.plans.year import run_year  # noqa: E402
-from corpusledger.runtime import pin_small, scratch_path, spread, stage  # noqa: E402
+from corpusledger.runtime import pin_small, scratch_path, session_settings, spread, stage  # noqa: E402
 from corpusledger.sinks import shards as sink  # noqa: E402
 from corpusledger.sinks.report import run_report, write_report  # noqa: E402
 from corpusledger.sources import dumps as corpus  # noqa: E402
 from corpusledger.sources import files  # noqa: E402
+from corpusledger.sources.groups import read_row_groups  # noqa: E402
 from corpusledger.sources.reports import report_entries, scan_reports  # noqa: E402
 from corpusledger.streaming import budget as stream_budgets  # noqa: E402
 from corpusledger.streaming import count as stream_counts  # noqa: E402
@@ -1255,15 +1257,19 @@ def indexed_shards(spark, sf):
 # --- projections ---------------------------------------------------------------------------
 
 
-def _measured_sample(spark: SparkSession, sf: str, leading: DataFrame) -> DataFrame:
-    """Tokens and bytes of the sampled documents; the sample is drawn before anything is counted."""
-    picked = pin_small(leading.drop("source_config"))
-    texts = _docs(spark, sf, "source").join(picked, "doc_id")
+def _measured_sample(texts: DataFrame) -> DataFrame:
+    """Tokens and bytes of sampled texts; the sample is drawn before anything is counted."""
     return texts.withColumns(
-        {"tokens": _words(spark)("text"), "utf8_bytes": txt.text_bytes("text")}
+        {"tokens": _words(texts.sparkSession)("text"), "utf8_bytes": txt.text_bytes("text")}
     ).drop("text")
 
 
+def _grouped_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The written shards of the retain-all year by source, in row groups of a few rows."""
+    with session_settings(spark, {"parquet.block.row.count.limit": str(GROUP_ROWS)}):
+        return sink.output_files(spark, _layout(spark, sf))
+
+
 _PROJECTION = (
     _SHARDED
     + """, sampled AS (
@@ -1282,11 +1288,12 @@ _PROJECTION = (
 
 def _projected(spark: SparkSession, sf: str) -> DataFrame:
     """Two leading row groups of the shards at positions 0, 2 and 13 of each source."""
-    rows = stage(_shard_rows(spark, sf, []), "index")
-    chosen = sample.indexed_shards(_shard_table(rows), [0, 2, 13])
-    leading = sample.leading_rows_of(rows, chosen, 2 * GROUP_ROWS)
-    totals = project.sample_totals(_measured_sample(spark, sf, leading), ["source_config"])
-    return project.token_projection(totals, _available(rows))
+    chosen = pin_small(sample.indexed_shards(_grouped_files(spark, sf), [0, 2, 13]))
+    footers = stage(files.footer_scan(chosen), "footers")
+    texts = sample.leading_texts(sample.first_groups(footers, 2))
+    measured = _measured_sample(texts.join(chosen.select("path", "source_config"), "path"))
+    totals = project.sample_totals(measured, ["source_config"])
+    return project.token_projection(totals, _available(_docs(spark, sf, "source", [])))
 
 
 @query(
@@ -1391,8 +1398,7 @@ _YEARS = (
       QUALIFY row_number() OVER (PARTITION BY source_config ORDER BY shard) - 1
         = count(*) OVER (PARTITION BY source_config) // 2),
     sampled AS (
-      SELECT s.year, count(*) AS sampled_rows, sum(r.token_count) AS sampled_tokens,
-        sum(strlen(r.text)) / count(*) AS output_bytes_per_row
+      SELECT s.year, count(*) AS sampled_rows, sum(r.token_count) AS sampled_tokens
       FROM rows r JOIN middle m USING (source_config, shard)
         JOIN systematic s USING (source_config) WHERE r.row < 12 GROUP BY 1),
     projected AS (
@@ -1402,29 +1408,32 @@ _YEARS = (
     plan AS (
       SELECT *, projected_tokens > 130000 AS exceeds_target,
         least(1.0, 130000 / projected_tokens) AS keep_fraction,
-        total_rows * least(1.0, 130000 / projected_tokens) AS rows_to_keep,
-        output_bytes_per_row * total_rows AS output_bytes_all,
-        output_bytes_per_row * total_rows * least(1.0, 130000 / projected_tokens)
-          AS output_bytes_at_target FROM projected)
+        total_rows * least(1.0, 130000 / projected_tokens) AS rows_to_keep FROM projected)
     """
 )
 
 
 def _year_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """Three dumps per year, the first rows of each one's middle shard."""
-    rows = stage(_shard_rows(spark, sf, []), "index")
+    """Three dumps per year, of each one's middle shard the leading row groups that reach 12 rows.
+
+    Output bytes per row are those of the sample as the production writer's codec packs it.
+    """
     dumps = _docs(spark, sf, "source").groupBy("source_config").agg(
         F.count(F.lit(1)).alias("available_rows"),
         F.sum(txt.text_bytes("text")).alias("source_bytes"),
     ).withColumn("year", _year_of_source())
-    years = pin_small(sample.systematic_dumps(dumps, 3, ["year"]).select("year", "source_config"))
-    middle = sample.middle_shards(_shard_table(rows))
-    leading = sample.leading_rows_of(rows, middle, 12).join(years, "source_config")
-    sampled = project.sample_totals(_measured_sample(spark, sf, leading), ["year"]).select(
-        "year", "sampled_rows", "sampled_tokens",
-        txt.ratio(F.col("sampled_utf8_bytes"), F.col("sampled_rows")).alias("output_bytes_per_row"),
+    years = sample.systematic_dumps(dumps, 3, ["year"]).select("year", "source_config")
+    middle = pin_small(sample.middle_shards(_grouped_files(spark, sf)).join(years, "source_config"))
+    footers = stage(files.footer_scan(middle), "footers")
+    texts = sample.leading_texts(sample.groups_reaching(footers, 12), 12)
+    drawn = stage(texts.join(middle.select("path", "year"), "path"), "drawn")
+    written = project.written_bytes(
+        drawn.select("year", txt.date_literal(YEAR).alias("date"), "text",
+                     txt.checked_int32(txt.approx_tokens("text")).alias("token_count")),
+        "year",
     )
-    return project.multi_year_plan(dumps, sampled, 130_000)
+    sampled = project.sample_totals(_measured_sample(drawn), ["year"])
+    return project.multi_year_plan(dumps, sampled.join(written.drop("rows"), "year"), 130_000)
 
 
 @query(
@@ -1432,34 +1441,33 @@ def _year_plan(spark: SparkSession, sf: str) -> DataFrame:
     _YEARS
     + """SELECT year, dumps, total_rows, source_bytes, sampled_rows,
       round(tokens_per_row, 6) AS tokens_per_row, round(projected_tokens, 4) AS projected_tokens,
-      exceeds_target, round(keep_fraction, 9) AS keep_fraction, round(rows_to_keep, 6) AS rows_to_keep,
-      round(output_bytes_all, 2) AS output_bytes_all,
-      round(output_bytes_at_target, 2) AS output_bytes_at_target FROM plan""",
+      exceeds_target, round(keep_fraction, 9) AS keep_fraction, round(rows_to_keep, 6) AS rows_to_keep FROM plan""",
 )
 def multi_year_plan(spark, sf):
-    digits = {
-        "tokens_per_row": 6, "projected_tokens": 4, "keep_fraction": 9, "rows_to_keep": 6,
-        "output_bytes_all": 2, "output_bytes_at_target": 2,
-    }
-    return _year_plan(spark, sf).withColumns({n: F.round(n, places) for n, places in digits.items()})
+    """The plan's columns that do not depend on how files are encoded."""
+    digits = {"tokens_per_row": 6, "projected_tokens": 4, "keep_fraction": 9, "rows_to_keep": 6}
+    plan = _year_plan(spark, sf).drop("output_bytes_all", "output_bytes_at_target")
+    return plan.withColumns({n: F.round(n, places) for n, places in digits.items()})
+
+
+@query("multi_year_output")
+def multi_year_output(spark, sf):
+    """Output bytes of the years and of all, from the sample as written."""
+    return project.multi_year_totals(_year_plan(spark, sf))
 
 
 @query(
     "multi_year_totals",
     _YEARS
     + """SELECT year, sum(total_rows)::BIGINT AS total_rows, sum(source_bytes)::BIGINT AS source_bytes,
-      round(sum(projected_tokens), 3) AS projected_tokens, round(sum(rows_to_keep), 5) AS rows_to_keep,
-      round(sum(output_bytes_all), 2) AS output_bytes_all,
-      round(sum(output_bytes_at_target), 2) AS output_bytes_at_target
+      round(sum(projected_tokens), 3) AS projected_tokens, round(sum(rows_to_keep), 5) AS rows_to_keep
     FROM plan GROUP BY ROLLUP (year)""",
 )
 def multi_year_totals(spark, sf):
     totals = project.multi_year_totals(_year_plan(spark, sf))
-    digits = {
-        "projected_tokens": 3, "rows_to_keep": 5, "output_bytes_all": 2, "output_bytes_at_target": 2,
-    }
-    return totals.drop("source_tib", "output_tib_all", "output_tib_at_target").withColumns(
-        {n: F.round(n, places) for n, places in digits.items()}
+    return totals.select(
+        "year", "total_rows", "source_bytes", F.round("projected_tokens", 3).alias("projected_tokens"),
+        F.round("rows_to_keep", 5).alias("rows_to_keep"),
     )
 
 
@@ -1734,6 +1742,26 @@ def row_slice_scan(spark, sf):
     return sliced.select("doc_id", "row_group", "row", txt.text_chars("text").alias("chars"))
 
 
+@query(
+    "row_group_scan",
+    _SHARDED
+    + f"""SELECT {_name_sql()} AS shard, (row // {GROUP_ROWS})::INT AS row_group, row % {GROUP_ROWS} AS row,
+      row AS file_row, sha256(text) AS text_sha256 FROM rows
+    WHERE row // {GROUP_ROWS} = 1 OR shard = 0 AND row // {GROUP_ROWS} = 3""",
+)
+def row_group_scan(spark, sf):
+    """The second row group of every written shard and the fourth of each first one, read alone."""
+    listed = pin_small(_grouped_files(spark, sf).select("path", "shard_name", "shard"))
+    groups = files.footer_scan(listed).where("col_index = 0").join(listed, "path").where(
+        "row_group = 1 OR shard = 0 AND row_group = 3"
+    )
+    rows = read_row_groups(groups, [StructField("text", StringType())])
+    return rows.join(listed, "path").select(
+        F.col("shard_name").alias("shard"), "row_group", "row", "file_row",
+        txt.text_digest("text").alias("text_sha256"),
+    )
+
+
 @query(
     "storage_estimate",
 )

@@ -137,6 +137,28 @@ def output_ratio(sample: DataFrame, codecs: list[str]) -> DataFrame:
     )
 
 
+def written_bytes(sample: DataFrame, by: str, codec: str = "zstd") -> DataFrame:
+    """(``by``, rows, file_bytes, output_bytes_per_row) from really writing the sample.
+
+    One write: the rows of a value of ``by`` go to a folder of their own, in one file as a shard has
+    them, and its size is that of the listed files. ``sample`` has ``by`` and the output columns.
+    """
+    spark = sample.sparkSession
+    path = scratch_path(spark, "probe")
+    placed = sample.withColumn("_by", F.col(by).cast("string"))
+    placed.drop(by).repartition("_by").write.partitionBy("_by").option("compression", codec).parquet(path)
+    kind = dict(sample.dtypes)[by]
+    sizes = (
+        list_files(spark, path)
+        .groupBy(F.url_decode(F.regexp_extract("path", r"/_by=([^/]*)/", 1)).cast(kind).alias(by))
+        .agg(F.sum("size").cast("bigint").alias("file_bytes"))
+    )
+    rows = sample.groupBy(by).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(sizes, by).withColumn(
+        "output_bytes_per_row", ratio(F.col("file_bytes"), F.col("rows"))
+    )
+
+
 def dump_storage(dumps: DataFrame, rows_per_shard: int) -> DataFrame:
     """Per dump: projected output bytes and shards; needs available_rows and bytes_per_row."""
     projected = F.col("bytes_per_row") * F.col("available_rows")

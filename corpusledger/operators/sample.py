@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField
 
 from corpusledger.functions.text import ceil_div, int_div
 from corpusledger.runtime import pin_small, stage
-from corpusledger.sources.files import footer_scan, plain_path, row_group_slice
+from corpusledger.sources.files import footer_scan
+from corpusledger.sources.groups import read_row_groups
+
+#: The columns of a written shard.
+WRITTEN = [
+    StructField("date", IntegerType()),
+    StructField("text", StringType()),
+    StructField("token_count", IntegerType()),
+]
 
 
 def seeded_rank(seed: int, *parts: Column | str) -> Column:
@@ -55,10 +64,9 @@ def sample_output(
     """Cluster sample of a written year: (shard, row_group, row, date, text, token_count).
 
     ``files`` lists the written shards (shard_name, path). Only the chosen shards are opened:
-    first their footers, for the row groups, then the drawn group's rows. The sample has at most
+    first their footers, for the row groups, then the drawn group alone. The sample has at most
     ``shard_count * rows_per_shard`` rows and is staged, so that recounting touches nothing else.
     """
-    spark = files.sparkSession
     shard = F.col("shard_name").alias("shard")
     chosen = pin_small(
         files.orderBy(seeded_rank(seed, "shard_name"), "shard_name")
@@ -66,7 +74,6 @@ def sample_output(
         .select(shard, "path")
     )
     footers = stage(footer_scan(chosen), "footers")
-    names = chosen.select("shard", plain_path("path").alias("path"))
     drawn = Window.partitionBy("path").orderBy(seeded_rank(seed, "shard", "row_group"), "row_group")
     groups = (
         footers.where("col_index = 0")
@@ -74,13 +81,11 @@ def sample_output(
         .withColumn("_rank", F.row_number().over(drawn))
         .where("_rank = 1")
     )
-    # At most shard_count paths.
-    rows = spark.read.parquet(*[row["path"] for row in chosen.collect()])
-    placed = row_group_slice(rows, footers, groups, ["date", "text", "token_count"])
+    placed = read_row_groups(groups, WRITTEN).drop("file_row")
     rank = F.row_number().over(
         Window.partitionBy("path").orderBy(seeded_rank(seed, "shard", "row"), "row")
     )
-    picked = placed.join(names, "path").withColumn("_rank", rank).where(F.col("_rank") <= rows_per_shard)
+    picked = placed.join(chosen, "path").withColumn("_rank", rank).where(F.col("_rank") <= rows_per_shard)
     return stage(picked.drop("_rank", "path"), "sample")
 
 
@@ -151,6 +156,31 @@ def leading_groups(footers: DataFrame, groups: int) -> DataFrame:
     )
 
 
+def first_groups(footers: DataFrame, count: int) -> DataFrame:
+    """(path, row_group): the first ``count`` row groups of each file, or all it has."""
+    return footers.where((F.col("col_index") == 0) & (F.col("row_group") < count)).select("path", "row_group")
+
+
+def groups_reaching(footers: DataFrame, rows: int) -> DataFrame:
+    """(path, row_group): each file's leading row groups until they hold ``rows`` rows.
+
+    The group that reaches the number is the last; a file with fewer rows gives all its groups, and
+    groups without rows count as any other. The running sum sees one row per group of a file.
+    """
+    before = Window.partitionBy("path").orderBy("row_group").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.sum("rows").over(before), F.lit(0))
+    once = footers.where("col_index = 0").withColumn("_held", held)
+    return once.where(F.col("_held") < rows).select("path", "row_group")
+
+
+def leading_texts(groups: DataFrame, rows: int | None = None) -> DataFrame:
+    """(path, file_row, text) of the chosen row groups; at most the first ``rows`` of each file."""
+    texts = read_row_groups(groups, [StructField("text", StringType())])
+    if rows is not None:
+        texts = texts.where(F.col("file_row") < rows)
+    return texts.select("path", "file_row", "text")
+
+
 def _audited(sample: DataFrame, year: int) -> DataFrame:
     wrong = F.col("stored_token_count") != F.col("recounted_token_count")
     return sample.withColumn("mismatch", wrong | (F.col("date") != F.lit(year)))

@@ -62,6 +62,19 @@ def staging_under(spark: SparkSession, root: str):
         delete(spark, path)
 
 
+@contextlib.contextmanager
+def session_settings(spark: SparkSession, changed: dict[str, str]):
+    """Settings of the session that hold within this only."""
+    before = {key: spark.conf.get(key, None) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder of the run that stages, or else in the shared folder."""
     if _staging:

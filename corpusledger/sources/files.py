@@ -21,9 +21,11 @@ LISTING_SPLITS_PER_SLOT = 4
 
 
 def open_filesystem(path: str):
-    """The file system and inner path of a listed file, inside a task."""
+    """The file system and inner path of a listed file, inside a task; listings do not quote paths."""
     from pyarrow import fs
 
+    path = path.replace("%", "%25").replace(" ", "%20")
+
     # Hadoop prints local paths with one slash, Arrow wants an empty host.
     if path.startswith("file:/") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
@@ -97,7 +99,7 @@ def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     for batch in batches:
         for path in batch.column(0).to_pylist():
-            filesystem, inner = open_filesystem(path.replace("%", "%25").replace(" ", "%20"))
+            filesystem, inner = open_filesystem(path)
             paths, folders, sizes = [], [], []
             for entry in filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
                 folder = entry.type == fs.FileType.Directory
