@@ -7,6 +7,7 @@ shards, reports). Source order is ``doc_id``. All queries read whole tables and
 
 from __future__ import annotations
 
+import itertools
 import os
 import sys
 from collections.abc import Callable
@@ -1762,6 +1763,39 @@ def row_group_scan(spark, sf):
     )
 
 
+@query(
+    "footer_totals",
+    _SHARDED
+    + f"""SELECT source_config, shard, rows, rows AS counted, rows AS dated, min_count::INT AS min_count,
+      max_count::INT AS max_count, {YEAR} AS min_date, {YEAR} AS max_date FROM shards""",
+)
+def footer_totals(spark, sf):
+    """Per written shard what its footer says of the scalar columns."""
+    return verify.footer_totals(spark, f"{_layout(spark, sf)}/data")
+
+
+@query(
+    "integrity_from_footers",
+    _SHARDED
+    + f"""SELECT source_config, shard, rule, count(*) AS rows FROM (
+      SELECT source_config, shard, unnest(CASE WHEN shard = 1 AND row = 3
+        THEN ['wrong date', 'non-positive count'] ELSE ['wrong date'] END) AS rule
+      FROM rows WHERE shard = 1 AND row IN (3, 5) AND source_config IN ('src1', 'src4'))
+    GROUP BY ALL""",
+)
+def integrity_from_footers(spark, sf):
+    """A year in which two shards were spoilt: the other shards' pages are not read."""
+    root = scratch_path(spark, "spoilt")
+    spoilt = F.col("source_config").isin("src1", "src4") & (F.col("shard") == 1) & F.col("row").isin(3, 5)
+    rows = _shard_rows(spark, sf, ["text"]).withColumn("token_count", _words(spark)("text")).select(
+        F.when(spoilt, F.lit(YEAR - 1)).otherwise(F.lit(YEAR)).cast("int").alias("date"), "text",
+        F.when(spoilt & (F.col("row") == 3), F.lit(0)).otherwise(F.col("token_count")).cast("int").alias("token_count"),
+        "source_config", "shard",
+    )
+    rows.repartition("source_config").write.partitionBy("source_config", "shard").parquet(root)
+    return verify.integrity_from_footers(spark, root, YEAR)
+
+
 @query(
     "storage_estimate",
 )
@@ -1798,6 +1832,16 @@ def storage_estimate_rows(spark, sf):
     )
 
 
+@query(
+    "output_ratio_rows",
+    """SELECT codec, count(*) AS rows, sum(strlen(text))::BIGINT AS text_utf8_bytes
+    FROM documents CROSS JOIN (VALUES ('zstd'), ('snappy')) codecs(codec) GROUP BY 1""",
+)
+def output_ratio_rows(spark, sf):
+    """The columns of the output ratio that do not depend on how files are encoded."""
+    return output_ratio(spark, sf).select("codec", "rows", "text_utf8_bytes")
+
+
 @query("output_ratio")
 def output_ratio(spark, sf):
     """All documents written with two codecs."""
@@ -1925,11 +1969,14 @@ def disk_snapshot(spark, sf):
 @query(
     "progress_rates",
     _KEPT_SHARDS
-    + f""", per_turn AS (SELECT shard, sum(tokens) AS tokens FROM written GROUP BY 1),
+    + f""", waves AS (
+      SELECT *, (row_number() OVER (ORDER BY source_config, shard) - 1)
+        // greatest(1, (SELECT count(*) FROM documents) // 8 // {SHARD_ROWS}) AS wave FROM written),
+    per_wave AS (SELECT wave, sum(tokens) AS tokens FROM waves GROUP BY 1),
     history AS (
-      SELECT (shard + 1) * {RATE_SECONDS}::BIGINT AS taken_at,
-        (sum(tokens) OVER (ORDER BY shard))::BIGINT AS done,
-        (SELECT sum(token_quota) FROM plans)::BIGINT AS target FROM per_turn),
+      SELECT (wave + 2) * {RATE_SECONDS}::BIGINT AS taken_at,
+        (sum(tokens) OVER (ORDER BY wave))::BIGINT AS done,
+        (SELECT sum(token_quota) FROM plans)::BIGINT AS target FROM per_wave),
     rated AS (
       SELECT *, (done - lag(done) OVER (ORDER BY taken_at))::DOUBLE
         / (taken_at - lag(taken_at) OVER (ORDER BY taken_at)) AS raw FROM history)
@@ -1937,18 +1984,15 @@ def disk_snapshot(spark, sf):
       round(greatest(0, target - done) / raw, 4) AS eta_seconds FROM rated""",
 )
 def progress_rates(spark, sf):
-    """One snapshot a minute, each after one more shard of every dump."""
-    committed, plans = _budget_manifest(spark, sf)
-    turns = committed.groupBy("shard").agg(F.sum("tokens").cast("bigint").alias("gained"))
-    upto = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    target = plans.agg(F.sum("token_quota").alias("target")).withColumn("_one", F.lit(1))
-    history = turns.select(
-        F.lit(1).alias("_one"),
-        ((F.col("shard") + 1) * RATE_SECONDS).cast("bigint").alias("taken_at"),
-        F.sum("gained").over(upto).cast("bigint").alias("done"),
-    ).join(F.broadcast(target), "_one").drop("_one")
-    rates = progress.progress_rates(history)
-    return rates.withColumns(
+    """The history that a budget run of several waves left, on a clock of one commit a minute."""
+    root = scratch_path(spark, "year")
+    ticks = itertools.count(RATE_SECONDS, RATE_SECONDS)
+    waves = max(SHARD_ROWS, _docs(spark, sf, "lang", []).count() // 8)
+    _run(spark, sf, "lang", "token_budget", root, rows_per_wave=waves, clock=lambda: next(ticks))
+    _, plans = _staged_budget(spark, sf)
+    history = progress.run_history(sink.commit_history(spark, root), plans)
+    rates = progress.progress_rates(history.withColumn("taken_at", F.col("taken_at").cast("bigint")))
+    return rates.drop("commit").withColumns(
         {"rate": F.round("rate", 6), "eta_seconds": F.round("eta_seconds", 4)}
     )
 

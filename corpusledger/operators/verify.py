@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.text import gib, percent, ratio
 from corpusledger.plans.config import SELECTION_RULES
+from corpusledger.runtime import scratch_path, session_settings
 
 DUMP = "source_config"
+WRITTEN = f"date int, text string, token_count int, {DUMP} string, shard int"
+#: Parquet by the reader that answers counts and extremes from footers, per partition too.
+FROM_FOOTERS = {
+    "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+FOOTER_TOTALS = (
+    f"{DUMP} string, shard int, rows bigint, counted bigint, dated bigint, "
+    "min_count int, max_count int, min_date int, max_date int"
+)
 
 
 def shard_totals(output: DataFrame, year: int, check_text: bool = False) -> DataFrame:
@@ -35,6 +48,71 @@ def shard_totals(output: DataFrame, year: int, check_text: bool = False) -> Data
     return output.groupBy(DUMP, "shard").agg(*measures)
 
 
+def scalar_totals(spark: SparkSession, data: str) -> DataFrame:
+    """Per shard the rows, the counts and dates that are not null, and their extremes.
+
+    All of it is what Parquet footers hold, and groups are partitions: planned within
+    ``FROM_FOOTERS``, no data page is read.
+    """
+    return spark.read.schema(WRITTEN).parquet(data).groupBy(DUMP, "shard").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("token_count").alias("counted"),
+        F.count("date").alias("dated"),
+        F.min("token_count").alias("min_count"),
+        F.max("token_count").alias("max_count"),
+        F.min("date").alias("min_date"),
+        F.max("date").alias("max_date"),
+    )
+
+
+def footer_totals(spark: SparkSession, data: str) -> DataFrame:
+    """``scalar_totals`` of the shards below ``data`` from their footers, staged.
+
+    The reader refuses files that lack statistics, as those with a column of nulls do; then the two
+    scalar columns are scanned. Of an empty shard either way may say nothing.
+    """
+    path = scratch_path(spark, "footers")
+    try:
+        with session_settings(spark, FROM_FOOTERS):
+            scalar_totals(spark, data).write.parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if "aggregatePushdown" not in str(error):  # the setting that the refusal names
+            raise
+        path = scratch_path(spark, "scanned")
+        scalar_totals(spark, data).write.parquet(path)
+    return spark.read.schema(FOOTER_TOTALS).parquet(path)
+
+
+def suspect_shards(totals: DataFrame, year: int) -> DataFrame:
+    """(source_config, shard) of which the footers say that some rule is broken."""
+    rows, wrong = F.col("rows"), F.lit(year)
+    return totals.where(
+        (F.col("counted") < rows) | (F.col("dated") < rows) | (F.col("min_count") <= 0)
+        | (F.col("min_date") != wrong) | (F.col("max_date") != wrong)
+    ).select(DUMP, "shard")
+
+
+def integrity_from_footers(spark: SparkSession, data: str, year: int) -> DataFrame:
+    """``integrity_problems`` of the shards below ``data``; only shards with a problem are scanned.
+
+    Footers tell which shards break a rule, but not in how many rows. The join's keys are the
+    folders, so the others are pruned when the suspects are known.
+    """
+    suspects = suspect_shards(footer_totals(spark, data), year)
+    rows = spark.read.schema(WRITTEN).parquet(data).join(suspects, [DUMP, "shard"], "left_semi")
+    return integrity_problems(shard_totals(rows, year), year)
+
+
+def footer_extremes(totals: DataFrame) -> DataFrame:
+    """The year's rows, smallest and largest token count, and shards with non-positive counts."""
+    return totals.agg(
+        F.sum("rows").cast("bigint").alias("rows"),
+        F.min("min_count").cast("bigint").alias("min_token_count"),
+        F.max("max_count").cast("bigint").alias("max_token_count"),
+        F.count_if(F.col("min_count") <= 0).alias("bad_shards"),
+    )
+
+
 def per_dump_rollup(shards: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Shards, rows, tokens, mean tokens per document and, given file sizes, bytes per dump."""
     rolled = shards.groupBy(DUMP).agg(

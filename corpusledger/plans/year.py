@@ -6,6 +6,7 @@ import hashlib
 import json
 import math
 import re
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,8 +27,8 @@ from corpusledger.runtime import (
 )
 from corpusledger.sinks.report import run_report
 from corpusledger.sinks.shards import (
-    MANIFEST_SCHEMA, clear_shards, commit_shards, committed_shards, in_wave, last_commit, waves,
-    write_shards,
+    MANIFEST_SCHEMA, clear_shards, commit_shards, committed_shards, in_wave, last_commit, timed_by,
+    waves, write_shards,
 )
 
 #: Candidates counted beyond the estimated share of a dump, so that one pass usually suffices.
@@ -53,6 +54,7 @@ def run_year(
     dumps: list[str] | None = None,
     sample_rows: int | None = None,
     rows_per_wave: int = ROWS_PER_WAVE,
+    clock: Callable[[], float] = time.time,
 ) -> DataFrame:
     """Write the year's shards under ``root`` and return its report row.
 
@@ -63,12 +65,13 @@ def run_year(
     same root extends what is there. Since every order is a function of the seed or of the ids, the
     outcome is that of one undisturbed run. A rerun with another seed, counter, vocabulary, shard
     size or other settings that change shards is refused. Sample runs go to ``root/sample``.
+    ``clock`` gives the time in seconds that a commit is noted with.
     """
     if rows_per_shard < 1:
         raise ValueError("rows_per_shard must be positive")
     spark = docs.sparkSession
     target_root = f"{root}/sample" if mode == "sample" else root
-    with staging_under(spark, target_root):
+    with staging_under(spark, target_root), timed_by(clock):
         report = _build(
             docs, config, target_root, mode, counter, rows_per_shard, dumps, sample_rows, rows_per_wave
         )

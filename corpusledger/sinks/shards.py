@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
+import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,9 +21,29 @@ OUTPUT_PHYSICAL = {"date": "INT32", "text": "BYTE_ARRAY", "token_count": "INT32"
 #: ``run`` is the identity of the settings that wrote a shard; of several commits of a shard the last
 #: one holds, and one without rows takes the shard back.
 MANIFEST_SCHEMA = "source_config string, shard int, rows bigint, tokens bigint, run string, commit bigint"
+#: With the commit's time in seconds the manifest, to which rows are only added, is also the history of
+#: the run's progress. Manifests of earlier versions have none.
+COMMIT_SCHEMA = f"{MANIFEST_SCHEMA}, taken_at double"
 SHARDS_PER_TASK = 2
 
 
+_clocks: list[Callable[[], float]] = []
+
+
+@contextlib.contextmanager
+def timed_by(clock: Callable[[], float]):
+    """Within this, commits are noted with the seconds that ``clock`` gives."""
+    _clocks.append(clock)
+    try:
+        yield
+    finally:
+        _clocks.remove(clock)
+
+
+def _now() -> float:
+    return float((_clocks[-1] if _clocks else time.time)())
+
+
 def output_rows(
     rows: DataFrame, year: int, tokens: Column, keep: list[str] | None = None
 ) -> DataFrame:
@@ -79,6 +102,24 @@ def committed_shards(spark: SparkSession, root: str) -> DataFrame | None:
     )
 
 
+def commit_history(spark: SparkSession, root: str) -> DataFrame:
+    """(source_config, commit, taken_at, rows, tokens, shards): what each commit added to each dump.
+
+    A shard that is written anew, or taken back, adds the difference to what it had.
+    """
+    rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/manifest")
+    before = Window.partitionBy("source_config", "shard").orderBy("commit")
+    held = {name: F.coalesce(F.lag(name).over(before), F.lit(0)) for name in ("rows", "tokens")}
+    added = rows.select(
+        "source_config", "commit", "taken_at",
+        *((F.col(name) - held[name]).alias(name) for name in held),
+        (F.sign("rows") - F.sign(held["rows"])).cast("bigint").alias("shards"),
+    )
+    return added.groupBy("source_config", "commit", "taken_at").agg(
+        *(F.sum(name).cast("bigint").alias(name) for name in ("rows", "tokens", "shards"))
+    )
+
+
 def pending_shards(planned: DataFrame, committed: DataFrame) -> DataFrame:
     """Planned shards not in the manifest.
 
@@ -163,8 +204,8 @@ def clear_shards(spark: SparkSession, root: str, firsts: dict[str, int], run: st
             pending = pending | (F.col("source_config") == name) & (F.col("shard") >= first)
         taken_back = manifest.where(pending).select("source_config", "shard").collect()
         if taken_back:  # at most one per dump: all earlier ones are full
-            rows = [(row[0], row[1], 0, 0, run, commit) for row in taken_back]
-            spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+            rows = [(row[0], row[1], 0, 0, run, commit, _now()) for row in taken_back]
+            spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     for name, first in firsts.items():
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data/source_config={name}")
         filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -181,6 +222,7 @@ def commit_shards(spark: SparkSession, root: str, wave: Wave, run: str, commit:
     measured = read_output(spark, root, list(wave)).where(in_wave(wave)).groupBy("source_config", "shard").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens"),
         F.lit(run).alias("run"), F.lit(commit).cast("bigint").alias("commit"),
+        F.lit(_now()).alias("taken_at"),
     )
     measured.write.mode("append").parquet(f"{root}/manifest")
 

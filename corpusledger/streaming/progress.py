@@ -67,6 +67,27 @@ def disk_snapshot(files: DataFrame, leftovers: DataFrame) -> DataFrame:
     return joined.drop("_one").withColumn("shard_gib", gib(F.col("shard_bytes")))
 
 
+def run_history(commits: DataFrame, plans: DataFrame) -> DataFrame:
+    """(commit, taken_at, done, target): how far the run was after each of its commits.
+
+    ``commits`` is what each commit added per dump; work is counted in the unit of the dump's plan.
+    The running sum sees one row per commit.
+    """
+    by_tokens = F.col("token_quota").isNotNull()
+    unit = F.when(by_tokens, F.col("tokens")).otherwise(F.col("rows"))
+    wanted = F.when(by_tokens, F.col("token_quota")).otherwise(F.coalesce("row_target", F.lit(0)))
+    target = plans.agg(F.sum(wanted).cast("bigint").alias("target"))
+    turns = (
+        commits.join(plans.select(DUMP, "row_target", "token_quota"), DUMP)
+        .groupBy("commit")
+        .agg(F.max("taken_at").alias("taken_at"), F.sum(unit).alias("gained"))
+    )
+    upto = Window.orderBy("commit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    done = turns.select("commit", "taken_at", F.sum("gained").over(upto).cast("bigint").alias("done"))
+    one = F.lit(1).alias("_one")
+    return done.select("*", one).join(F.broadcast(target.select("*", one)), "_one").drop("_one")
+
+
 def progress_rates(history: DataFrame) -> DataFrame:
     """Rate since the previous snapshot and seconds left at that rate.
 

@@ -87,3 +87,51 @@ def test_progress(spark):
     )
     got = {r["taken_at"]: (r["rate"], r["eta_seconds"]) for r in progress.progress_rates(history).collect()}
     assert got == {0: (None, None), 10: (2.0, 20.0), 20: (None, None), 25: (8.0, 0.0)}
+
+
+def test_history_of_commits(spark, tmp_path):
+    from corpusledger.sinks import shards as sink
+
+    turns = [
+        [("a", 0, 10, 50, "r", 1, 100.0), ("b", 0, 10, 70, "r", 1, 100.0)],
+        [("a", 1, 4, 20, "r", 2, 160.0)],
+        [("a", 1, 0, 0, "r", 3, 170.0)],  # a short last shard is taken back
+        [("a", 1, 10, 55, "r", 4, 220.0), ("c", 0, 3, 1, "r", 4, 220.0)],
+    ]
+    for rows in turns:
+        spark.createDataFrame(rows, sink.COMMIT_SCHEMA).write.mode("append").parquet(f"{tmp_path}/manifest")
+    commits = sink.commit_history(spark, str(tmp_path))
+    added = {(r["source_config"], r["commit"]): (r["rows"], r["tokens"], r["shards"]) for r in commits.collect()}
+    assert added == {
+        ("a", 1): (10, 50, 1), ("b", 1): (10, 70, 1), ("a", 2): (4, 20, 1), ("a", 3): (-4, -20, -1),
+        ("a", 4): (10, 55, 1), ("c", 4): (3, 1, 1),
+    }
+    plans = spark.createDataFrame(
+        [("a", None, 200), ("b", None, 100), ("c", 9, None)], "source_config string, row_target bigint, token_quota bigint"
+    )
+    rates = progress.progress_rates(progress.run_history(commits, plans)).orderBy("commit").collect()
+    assert [(r["taken_at"], r["done"], r["target"]) for r in rates] == [
+        (100.0, 120, 309), (160.0, 140, 309), (170.0, 120, 309), (220.0, 178, 309),
+    ]
+    assert [r["rate"] for r in rates] == [None, 20 / 60, None, 58 / 50]
+
+
+def test_runs_leave_their_history(spark, docs):
+    from corpusledger.plans.config import RunConfig
+    from corpusledger.plans.year import run_year
+    from corpusledger.sinks import shards as sink
+
+    root = scratch_path(spark, "year")
+    held = {r["source_config"]: r["count"] for r in docs.groupBy("source_config").count().collect()}
+    config = RunConfig({
+        "year": 2013, "source": {"configs": held}, "selection": {"rule": "retain_all", "shuffle": False},
+        "sample_mode": {"rows_per_config": 1, "shuffle": False}, "output": {"compression": "zstd"},
+    })
+    now = iter(range(0, 10_000, 10))
+    run_year(docs, config, root, counter=CounterSpec("regex"), rows_per_shard=20, rows_per_wave=60, clock=lambda: next(now))
+    commits = sink.commit_history(spark, root).collect()
+    shards = sum(-(-n // 20) for n in held.values())
+    assert sum(r["rows"] for r in commits) == sum(held.values()) and sum(r["shards"] for r in commits) == shards
+    assert len({r["commit"] for r in commits}) == -(-shards // 3)
+    times = sorted({(r["commit"], r["taken_at"]) for r in commits})
+    assert [b[1] - a[1] for a, b in zip(times, times[1:])] == [10.0] * (len(times) - 1)
