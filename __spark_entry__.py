@@ -39,7 +39,7 @@ from corpusledger.sources.groups import read_row_groups  # noqa: E402
 from corpusledger.sources.reports import report_entries, scan_reports  # noqa: E402
 from corpusledger.streaming import budget as stream_budgets  # noqa: E402
 from corpusledger.streaming import count as stream_counts  # noqa: E402
-from corpusledger.streaming import progress  # noqa: E402
+from corpusledger.streaming import keyed_budget, progress  # noqa: E402
 
 YEAR = 2013
 SEED = 20170101
@@ -1919,6 +1919,23 @@ def stream_budget(spark, sf):
     return kept.select("source_config", "doc_id", "token_count")
 
 
+@query("stream_budget_keyed", _BUDGET + "SELECT source_config, doc_id, token_count FROM kept")
+def stream_budget_keyed(spark, sf):
+    """A batch run over the first keys, then the arrivals of the others against totals in keyed state."""
+    counted, plans = _staged_budget(spark, sf)
+    done = stage(select.token_budget(counted.where("key < '4'"), plans), "done")
+    initial = done.groupBy("source_config").agg(F.sum("token_count").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    base, out = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    checkpoint = scratch_path(spark, "query")
+    for low, high in (("4", "8"), ("8", "g")):
+        arrived = counted.where((F.col("key") >= low) & (F.col("key") < high))
+        arrived.write.mode("append").parquet(base)
+        stream = stream_counts.read_stream(spark, base, counted.schema, 1000)
+        keyed_budget.stream_budget_keyed(stream, plans, out, checkpoint, initial)
+    columns = ["source_config", "doc_id", F.col("token_count").cast("bigint").alias("token_count")]
+    return done.select(*columns).unionByName(keyed_budget.admitted_keyed(spark, out).select(*columns))
+
+
 @query(
     "pending_shards",
     _KEPT_SHARDS + "SELECT source_config, shard, rows FROM written WHERE shard >= 2",
