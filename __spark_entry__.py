@@ -35,6 +35,7 @@ from corpusledger.sinks import shards as sink  # noqa: E402
 from corpusledger.sinks.report import run_report, write_report  # noqa: E402
 from corpusledger.sources import dumps as corpus  # noqa: E402
 from corpusledger.sources import files  # noqa: E402
+from corpusledger.sources import recounts as recount_files  # noqa: E402
 from corpusledger.sources.groups import read_row_groups  # noqa: E402
 from corpusledger.sources.reports import report_entries, scan_reports  # noqa: E402
 from corpusledger.streaming import budget as stream_budgets  # noqa: E402
@@ -718,7 +719,7 @@ def aggregate_digest(spark, sf):
 # --- reconciliation ------------------------------------------------------------------------
 
 
-def _recounts(spark: SparkSession, sf: str) -> DataFrame:
+def _recount_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Recount records of all documents under two word patterns; stored is the first one."""
     name = shard_name("source_config", "shard").alias("shard")
     index = stage(_shard_rows(spark, sf, []).select("doc_id", name, "row"), "index")
@@ -728,8 +729,11 @@ def _recounts(spark: SparkSession, sf: str) -> DataFrame:
         docs, txt.approx_tokens("text"), plain("text"), ["doc_id"], runs=runs("text")
     )
     baseline = stage(counted.join(index, "doc_id").drop("doc_id"), "recounts")
-    candidate = baseline.withColumn("recounted_token_count", F.col("runs"))
-    return reconcile.pair_recounts(baseline, candidate)
+    return baseline, baseline.withColumn("recounted_token_count", F.col("runs"))
+
+
+def _recounts(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.pair_recounts(*_recount_sides(spark, sf))
 
 
 _PAIRS = (
@@ -786,6 +790,21 @@ def compare_rollup(spark, sf):
     return reconcile.compare_rollup(_recounts(spark, sf))
 
 
+@query(
+    "compare_recount_files",
+    _PAIRS
+    + """SELECT shard, row, text_sha256, text_chars, text_utf8_bytes, stored_token_count,
+      baseline_token_count, candidate_token_count, candidate_token_count - baseline_token_count AS delta
+    FROM pairs WHERE baseline_token_count != candidate_token_count""",
+)
+def compare_recount_files(spark, sf):
+    """Both recounts written with their contract and compared from the files."""
+    paths = [scratch_path(spark, "recount") for _ in range(2)]
+    for records, path in zip(_recount_sides(spark, sf), paths):
+        recount_files.write_recount(records, {"padding": False, "truncation": False}, path)
+    return reconcile.count_mismatches(recount_files.compare_recount_files(spark, *paths))
+
+
 @query(
     "compare_verdict",
     _PAIRS

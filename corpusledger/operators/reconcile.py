@@ -144,15 +144,26 @@ def coverage_sets(left: DataFrame, right: DataFrame, key: list[str]) -> DataFram
     )
 
 
+def same_content(settings: Column | str) -> Column:
+    """Free-form JSON in one form for one content: keys in order, no white space, numbers by value.
+
+    Text that is not JSON, or repeats a key, stands for itself.
+    """
+    text = F.col(settings) if isinstance(settings, str) else settings
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+
+
 def merge_reports(reports: DataFrame, allow_incomplete: bool = False) -> DataFrame:
     """One merged report row from the reports of workers with disjoint dumps.
 
-    The query fails when workers disagree on mode, year, settings or counter, when a dump occurs
+    The query fails when workers disagree on mode, year, settings (by content, however they are
+    written) or counter, when a dump occurs
     twice or is not in the config, and, unless ``allow_incomplete``, when one is missing. Reports
     hold one entry per dump, so everything here is a config's worth of rows.
     """
     entries = report_entries(reports)
-    agreed = F.struct("mode", "year", "processing_config", "counting.implementation")
+    content = same_content("processing_config").alias("settings")
+    agreed = F.struct("mode", "year", content, "counting.implementation")
     head = reports.agg(
         F.count_distinct(agreed).alias("versions"),
         F.min("mode").alias("mode"),

@@ -25,6 +25,7 @@ from corpusledger.plans.config import RunConfig
 from corpusledger.runtime import (
     delete, file_digest, path_exists, pin_small, read_by, spread, staging_under, write_by,
 )
+from corpusledger.sinks.commits import CommitLog, ConcurrentRun
 from corpusledger.sinks.report import run_report
 from corpusledger.sinks.shards import (
     MANIFEST_SCHEMA, clear_shards, commit_shards, committed_shards, in_wave, last_commit, timed_by,
@@ -55,6 +56,7 @@ def run_year(
     sample_rows: int | None = None,
     rows_per_wave: int = ROWS_PER_WAVE,
     clock: Callable[[], float] = time.time,
+    takeover: bool = False,
 ) -> DataFrame:
     """Write the year's shards under ``root`` and return its report row.
 
@@ -66,22 +68,37 @@ def run_year(
     outcome is that of one undisturbed run. A rerun with another seed, counter, vocabulary, shard
     size or other settings that change shards is refused. Sample runs go to ``root/sample``.
     ``clock`` gives the time in seconds that a commit is noted with.
+
+    One run at a time may write under a root: a second one raises ``ConcurrentRun`` before it touches
+    anything. A run that fails gives the root free; after a killed driver pass ``takeover``.
     """
     if rows_per_shard < 1:
         raise ValueError("rows_per_shard must be positive")
     spark = docs.sparkSession
     target_root = f"{root}/sample" if mode == "sample" else root
-    with staging_under(spark, target_root), timed_by(clock):
-        report = _build(
-            docs, config, target_root, mode, counter, rows_per_shard, dumps, sample_rows, rows_per_wave
-        )
-        # One row, with one entry per dump of the config; what it came from is dropped.
-        return spark.createDataFrame(report.collect(), report.schema)
+    log = CommitLog(spark, target_root)
+    log.begin(takeover)
+    try:
+        with staging_under(spark, target_root), timed_by(clock):
+            report = _build(
+                docs, config, target_root, mode, counter, rows_per_shard, dumps, sample_rows,
+                rows_per_wave, log,
+            )
+            # One row, with one entry per dump of the config; what it came from is dropped.
+            rows = report.collect()
+    except ConcurrentRun:
+        raise  # the root is another's
+    except BaseException:
+        log.end()
+        raise
+    log.end()
+    return spark.createDataFrame(rows, report.schema)
 
 
 def _build(
     docs: DataFrame, config: RunConfig, target_root: str, mode: str, counter: CounterSpec,
     rows_per_shard: int, dumps: list[str] | None, sample_rows: int | None, rows_per_wave: int,
+    log: CommitLog,
 ) -> DataFrame:
     spark = docs.sparkSession
     every = build_plans(config_dumps(spark, config), config, mode, sample_rows)
@@ -102,7 +119,7 @@ def _build(
         mine = F.col(DUMP).isin(*left)
         _write_dumps(
             docs.where(mine), plans.where(mine), {name: rows[name] for name in left}, config,
-            target_root, counter, rows_per_shard, rows_per_wave, held, done, run,
+            target_root, counter, rows_per_shard, rows_per_wave, held, done, run, log,
         )
     # A year whose quotas are all zero writes nothing and has no manifest.
     manifest = committed_shards(spark, target_root)
@@ -199,6 +216,7 @@ def _growth(quota: int, tokens: int) -> float:
 def _write_dumps(
     docs: DataFrame, plans: DataFrame, plan_rows: dict, config: RunConfig, root: str,
     counter: CounterSpec, rows_per_shard: int, rows_per_wave: int, held: dict, done: dict, run: str,
+    log: CommitLog,
 ) -> None:
     spark = docs.sparkSession
     count = token_count(spark, counter)
@@ -237,15 +255,18 @@ def _write_dumps(
         if rows > before:
             pending[name] = (before // rows_per_shard, -(-rows // rows_per_shard))
     commit = last_commit(spark, root) + 1
+    log.commit()
     clear_shards(spark, root, {name: first for name, (first, _) in pending.items()}, run, commit)
     tokens = F.col("token_count") if budget else count(F.col("text"))
     for wave in waves(pending, max(1, rows_per_wave // rows_per_shard)):
         sharded = place(source.where(F.col(DUMP).isin(*wave))).where(in_wave(wave))
+        log.commit()
         write_shards(
             sharded, root, order=order, year=config.year, tokens=tokens,
             shards=sum(end - first for first, end in wave.values()), compression=config.compression,
         )
         commit += 1
+        log.commit()
         commit_shards(spark, root, wave, run, commit)
     delete(spark, f"{root}/_counted")
 
