@@ -8,10 +8,15 @@
 3. Every page is extracted again: from its elements on the path with most votes of the host that has
    text on the page, or from its own best container where none has.
 
-Boilerplate is marked by tag, role and words in classes and ids, and a mark is undone where it covers
-the page's text: over ``main``; over by far most of the unlinked text, the more so the surer the mark;
-a form's over prose rather than controls. Words after has-, no- or with- mark nothing. A marked path has a
-key of its own, so the votes of pages that undid the mark count for pages that did not.
+Boilerplate is marked by tag, role and words in classes and ids. A mark is undone only over a wrapper of
+the article: what holds ``main``; what holds an article or something named as one, or is named as a
+wrapper itself, and covers most of the page's unlinked text; a form of prose rather than controls. While an
+article, or something named as one, has text outside of marks, no other mark is undone, however much
+longer a sidebar, notice or menu is; and a page with comments, adverts or cookie notices alone has no text.
+Words after has-, no- or with- mark nothing. A marked path has a key of its own, so the votes of pages
+that undid the mark count for pages that did not.
+
+Articles side by side in one ``main`` are one text if the others are not much shorter than the best.
 
 A page that is odd by itself (a long notice, a short article) thus follows its host. All votes count,
 however many paths a host has. Paths travel as digests of host and path.
@@ -19,7 +24,8 @@ however many paths a host has. Paths travel as digests of host and path.
 Defined cases: null or empty html gives an empty text; a null or odd url belongs to the host of no
 name; pages are handled row by row, so repeated rows and null ids stay as they are; nesting may be of any
 depth; unclosed and
-misnested tags are closed as browsers do in the common cases; an empty table gives an empty result.
+misnested tags are closed as browsers do in the common cases; tags and quotes that never end take time
+in proportion to the page, as all else does; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,7 +57,7 @@ BOILERPLATE = frozenset(
     " cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup"
     " login sidebar sidebars aside rail widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs"
     " footer foot header masthead share sharing social related recommended recommendations comment comments"
-    " commentlist disqus respond reply replies form search pagination pager copyright legal hidden".split()
+    " commentlist disqus respond reply replies reviews testimonials form search pagination pager copyright legal hidden".split()
 )
 #: Words that mark the article.
 ARTICLE = frozenset("article content entry main post story text body".split())
@@ -60,31 +66,36 @@ LAYOUT = frozenset(
     "aside sidebar sidebars rail widget widgets menu menus nav navbar navigation header masthead banner footer foot"
     " form search notice notices modal overlay share sharing social legal hidden".split()
 )
+#: Names that say an element wraps others, if no boilerplate word is in the same name.
+WRAPPERS = frozenset("page wrap wrapper container site layout outer root".split())
 MODIFIERS = frozenset("has no with without not hide".split())
 CONTROLS = frozenset("input select textarea button".split())
-#: How sure a mark is. One by layout is undone over so many times the unmarked text, one by another word
-#: where no text is unmarked (a long comment section is none); both over so much text at least.
+#: How sure a mark is. On a wrapper, one by layout is undone over so many times the unmarked text, one by
+#: another word where no text is unmarked; both over so much text at least.
 BY_LAYOUT, BY_WORD, BY_TAG = 1, 2, 3
 TIMES, LEAST = 3, {BY_LAYOUT: 80, BY_WORD: 200}
 #: Characters of prose per control (and one) that make a form text.
 PROSE = 100
+#: An article's share of the best one's text from which it belongs to the same text.
+SIBLING = 0.25
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
-    re.S,
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
+_ATTRIBUTE = re.compile(
+    r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))|\b(hidden)\b", re.S
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.S)
+_REFERENCE = re.compile(r"&#(?:0*+([0-9]{8,})|[xX]0*+([0-9a-fA-F]{7,}));?")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Element:
     __slots__ = (
         "tag", "step", "key", "parent", "holder", "dropped", "inside", "score", "mark", "near", "story", "form",
-        "controls", "named",
+        "controls", "named", "article", "wrapper",
     )
 
     def __init__(self, tag, step, key, parent, dropped, inside, mark=0, story=0):
@@ -94,6 +105,8 @@ class _Element:
         self.mark, self.near, self.story = mark, None, story
         self.form = self if tag == "form" else parent and parent.form
         self.controls, self.named = 0, False
+        #: Whether it or what it is in is an article or named as one, and whether it is named a wrapper.
+        self.article, self.wrapper = parent is not None and parent.article, False
         #: The next container, this element included.
         self.holder = self if tag in CONTAINERS else parent.holder
 
@@ -111,9 +124,10 @@ def _digest(*parts: bytes) -> bytes:
     return blake2b(b"".join(parts), digest_size=16).digest()
 
 
-def _marks(names: str) -> tuple[set[str], bool, bool]:
-    """Boilerplate words of the names, whether there are article words, and a name with these alone."""
-    marks, article, alone = set(), False, False
+def _marks(names: str) -> tuple[set[str], bool, bool, bool]:
+    """Boilerplate words of the names, whether there are article words, and names with these, or with
+    wrapper words, alone."""
+    marks, article, alone, wrapper = set(), False, False, False
     for name in names.split():
         parts = []
         for part in _NAME_PARTS.findall(name):
@@ -124,7 +138,69 @@ def _marks(names: str) -> tuple[set[str], bool, bool]:
         marks |= own
         article = article or not ARTICLE.isdisjoint(parts)
         alone = alone or not own and not ARTICLE.isdisjoint(parts)
-    return marks, article, alone
+        wrapper = wrapper or parts[-1:] == ["layout"] or not own and not WRAPPERS.isdisjoint(parts)
+    return marks, article, alone, wrapper
+
+
+class _Tags:
+    """Where the tags of a page end, each character looked at a bounded number of times.
+
+    Quotes hide a ``>``. Where one that is not closed follows, the tag ends at the next ``>`` all the
+    same; quotes from which a walk came to nothing are remembered, as any other walk does there too.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.dead = page, page.rfind(">"), set()
+
+    def end(self, at: int) -> int:
+        """The place of the ``>`` of the tag whose name ends at ``at``; there is one behind it."""
+        walked, place = [], at
+        while stop := _STOP.search(self.page, place):
+            place = stop.start()
+            if stop[0] == ">":
+                return place
+            closed = -1 if place in self.dead else self.page.find(stop[0], place + 1)
+            walked.append(place)
+            if closed < 0:
+                break
+            place = closed + 1
+        self.dead.update(walked)
+        return self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, re.Match | None] | None:
+        """The next tag, comment or declaration: its start, its end, and a tag's name."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), None
+            if page.startswith(("<!", "<?"), start):
+                end = page.find(">", start + 2)
+                return start, end + 1 if end >= 0 else len(page), None
+            if start < self.last and (name := _TAG.match(page, start)):
+                return start, self.end(name.end()) + 1, name
+            at = start + 1
+        return None
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """The end of an element whose content is no markup."""
+        ended = _RAW_END[tag].search(self.page, at)
+        end = self.page.find(">", ended.end()) if ended else -1
+        return end + 1 if end >= 0 else len(self.page)
+
+
+def _plain(raw: str) -> str:
+    """Character references decoded; a number beyond all characters stands for an unknown one."""
+
+    def small(match):
+        decimal, hexadecimal = match.groups()
+        number = decimal or hexadecimal
+        value = 0x110000 if len(number) > 10 else int(number, 10 if decimal else 16)
+        return "\ufffd" if value >= 0x110000 else f"&#{value};"
+
+    if "&" not in raw:
+        return raw
+    return entities.unescape(_REFERENCE.sub(small, raw) if "&#" in raw else raw)
 
 
 def _described(tag: str, attributes: str, parent: _Element) -> _Element:
@@ -144,7 +220,7 @@ def _described(tag: str, attributes: str, parent: _Element) -> _Element:
                 hidden = True
             elif name == "style" and "display:none" in value.replace(" ", "").lower():
                 hidden = True
-    marks, article, alone = _marks(names)
+    marks, article, alone, wrapper = _marks(names)
     inside = parent.inside or tag in ("article", "main")
     story = 2 if tag == "main" else max(1, parent.story) if tag == "article" and not marks else parent.story
     if tag in ("html", "body", "main", "article"):
@@ -167,6 +243,8 @@ def _described(tag: str, attributes: str, parent: _Element) -> _Element:
     key = _digest(parent.key, told.encode("utf-8", "surrogatepass"))
     element = _Element(tag, step, key, parent, parent.dropped or hidden, inside, mark, story)
     element.near, element.named = element if mark else parent.near, bool(marks or role)
+    element.article = not mark and (parent.article or tag in ("article", "main") or alone)
+    element.wrapper = wrapper or alone
     return element
 
 
@@ -174,13 +252,15 @@ def _settle(elements: list[_Element], blocks: list) -> None:
     """Undo the marks that cover the page's text."""
 
     def weighed():
-        net, stories = Counter(), {}
+        net, stories, named = Counter(), {}, set()
         for element, text, linked in blocks:
             worth = max(0, len(text) - 2 * linked)
             if worth:
                 net[element.near] += worth
                 stories[element.near] = max(element.story, stories.get(element.near, 0))
-        return net, stories
+                if element.article:
+                    named.add(element.near)
+        return net, stories, named
 
     def marked(element):
         while element is not None:
@@ -193,7 +273,7 @@ def _settle(elements: list[_Element], blocks: list) -> None:
         for element in elements:  # parents come first
             element.near = element if element.mark else element.parent.near
 
-    net, stories = weighed()
+    net, stories, named = weighed()
     if not any(element is not None for element in net):
         return
     undone = {above for element, story in stories.items() if element and story == 2 for above in marked(element)}
@@ -203,14 +283,17 @@ def _settle(elements: list[_Element], blocks: list) -> None:
             undone.add(form)
     if undone:
         undo(undone)
-        net, stories = weighed()
+        net, stories, named = weighed()
     rest = net.pop(None, 0)
     total = net.total()
-    if not net:
+    if not net or None in named:
         return
     element, worth = net.most_common(1)[0]
     chain = list(marked(element))
     sure = max(above.mark for above in chain)
+    wraps = stories[element] or element in named or element.tag == "form" or all(above.wrapper for above in chain)
+    if not wraps:
+        return
     if sure == BY_LAYOUT and stories[element]:
         enough = worth > rest
     elif sure == BY_LAYOUT:
@@ -242,7 +325,7 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
     def add(raw: str):
         nonlocal linked
         if raw and not stack[-1].dropped:
-            plain = entities.unescape(raw) if "&" in raw else raw
+            plain = _plain(raw)
             text.append(plain)
             if links:
                 linked += len(plain.strip())
@@ -258,14 +341,14 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
             while pop() != tag:
                 pass
 
-    at = 0
-    while match := _TOKEN.search(page, at):
-        add(page[at:match.start()])
-        at = match.end()
-        slash, tag, attributes = match.group(1, 2, 3)
-        if tag is None:
+    at, tags = 0, _Tags(page)
+    while found := tags.next(at):
+        start, end, name = found
+        add(page[at:start])
+        at = end
+        if name is None:
             continue
-        tag = tag.lower()
+        slash, tag, attributes = name[1], name[2].lower(), page[name.end():end - 1]
         if tag in CONTROLS and not slash and stack[-1].form and "hidden" not in attributes:
             stack[-1].form.controls += 1
         if tag == "br":
@@ -279,8 +362,7 @@ def parse(page: str, host: str = "") -> list[tuple[_Element, str, int]]:
                 close(tag)
         elif tag in RAW:
             if not attributes.endswith("/"):
-                ended = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = ended.end() if ended else len(page)
+                at = tags.raw_end(tag, at)
             if tag in ("textarea", "select", "iframe"):
                 add(" ")
         elif tag == "a":
@@ -322,9 +404,18 @@ def _containers(blocks) -> list[_Element]:
 
 
 def _best(blocks) -> _Element | None:
-    """The page's own best container, the first of equals."""
-    best = max(_containers(blocks), key=lambda e: e.score, default=None)
-    return best if best is not None and best.score > 0 else None
+    """The page's own best container, the first of equals; ``main`` for its articles of several kinds."""
+    found = _containers(blocks)
+    best = max(found, key=lambda e: e.score, default=None)
+    if best is None or best.score <= 0:
+        return None
+    main = best.parent and best.parent.holder
+    if best.tag == "article" and main is not None and main.tag == "main":
+        for other in found:
+            beside = other.tag == "article" and other is not best and other.parent.holder is main
+            if beside and other.key != best.key and other.score >= SIBLING * best.score:
+                return main
+    return best
 
 
 def best_path(page: str) -> tuple[str, float] | None:

@@ -133,3 +133,67 @@ def test_pages(spark):
         assert "".join(rows[page["page_id"]]["text"].split()) == "".join(op.entities.unescape(
             inner.replace("<h1>", " ").replace("</h1>", " ").replace("<p>", " ").replace("</p>", " ")
             .replace("<b>", " ").replace("<br>", " ")).split())
+
+
+def test_article_before_boilerplate():
+    text = lambda page: op.main_text(f"<body>{page}</body>", [])[0]
+    story, long = "The story itself is short but it is the story.", ("long words " * 40).strip()
+    for page in (
+        '<div class="sidebar"><p>{long}</p></div><div class="content"><p>{story}</p></div>',
+        '<div class="notice"><p>{long}</p></div><article><p>{story}</p></article>',
+        '<div class="notice"><p>{long}</p></div><main><p>{story}</p></main>',
+        '<div class="menu"><p>{long}</p></div><div id="main"><p>{story}</p></div>',
+        '<div class="modal hidden"><p>{long}</p></div><div class="content"><p>{story}</p></div>',
+        '<article><p>{story}</p></article><div id="user-reviews"><p>{long}</p></div>',
+        '<div class="post"><p>{story}</p><div class="comments"><p>{long}</p></div></div>',
+        '<div class="sidebar wrapper"><p>{long}</p></div><div class="entry"><p>{story}</p></div>',
+        '<form><p>{long}</p><input><input><input><input><input><input></form><div class="text"><p>{story}</p></div>',
+    ):
+        assert text(page.format(story=story, long=long)) == story, page
+    for name in ("comments", "cookie-notice", "advert", "newsletter-signup", "share", "reviews", "sidebar", "menu"):
+        assert text(f'<div class="{name}"><p>{long}</p></div>') == "", name
+    assert text(f'<div class="sidebar"><article><p>{long}</p></article></div><div class="box"><p>few</p></div>') == long
+
+
+def test_articles_side_by_side():
+    text = lambda page: op.main_text(page, [])[0]
+    one, two = ("first " * 60).strip(), ("second " * 40).strip()
+    page = "<main><article class=a><p>{}</p></article><article class=b><p>{}</p></article></main>"
+    assert text(page.format(one, two)) == f"{one}\n\n{two}"
+    assert text(page.format(two, one)) == f"{two}\n\n{one}"
+    assert text(page.format(one, "a teaser")) == one
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    text = lambda page: op.main_text(page, [])[0]
+    size = 1 << 20
+    for unit in (
+        "<a ", '<a "x', "<a 'x", '<a ">"', "<a \"'>", "<", "</", "<!", "</script", "<script>", "<a b=\">'", "<div class=\"", "<p x='\">",
+        "<a<b", "<td a=b ", "<div " + "a" * 50 + "-", "&#9", "&", "<x y='>", "]]>", "-->",
+    ):
+        page = unit * (size // len(unit))
+        for whole in (page, "<article>" + page + ">", "<div " + page + ">x</div>"):
+            began = time.process_time()
+            text(whole)
+            assert time.process_time() - began < 6, (unit, whole[:20])
+    assert text("<article>x " + "&#9" * 3 + "&#" + "9" * 10_000 + "; &#00000000065;&#x0000000042; &#1114112;</article>").endswith("� AB �")
+
+
+def test_tags_end_where_they_did():
+    import random
+    import re
+
+    token = re.compile(
+        r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+        r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S,
+    )
+    rng = random.Random(6)
+    for _ in range(20_000):
+        page = "".join(rng.choice(["<", ">", "a", "b ", "/", '"', "'", "=", "!", "--", "<a ", "<b>", "</a>", "\n"]) for _ in range(rng.randint(0, 14)))
+        found, tags, at = [], op._Tags(page), 0
+        while step := tags.next(at):
+            found.append(step[:2])
+            at = step[1]
+        assert found == [match.span() for match in token.finditer(page)], repr(page)
