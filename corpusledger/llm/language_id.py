@@ -3,7 +3,10 @@
 A text is the average of the embeddings of its character n-grams (two to four characters, hashed
 into ``BUCKETS`` rows); a linear layer and a softmax give the languages' probabilities. Embeddings
 and layer are learned together by stochastic gradient descent in numpy, on at most ``SAMPLE`` labelled
-documents per language, the ones whose ids have the smallest hashes; this bounds what the driver holds.
+documents per language and ``MOST`` of all languages, the ones with the smallest hashes of id and text;
+this bounds what the driver holds. Rows alike in language, id and text are one document of the sample,
+however often they repeat. The smallest hashes are found below a threshold from a histogram, so that no
+language's documents meet in a task.
 A fifth of the sample is kept out to fit the softmax's temperature and the score below which an answer
 is marked as rejected, so that at most ``ERRORS`` of the accepted ones are wrong there.
 
@@ -31,6 +34,9 @@ BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 WIDTH = 16
 SAMPLE = 1_000
+MOST = 100_000
+#: Bits of a hash that name its bin in a language's histogram.
+BIN_BITS = 16
 EPOCHS = 6
 RATE = 0.5
 SEED = 11
@@ -79,29 +85,45 @@ def fold(identity: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(identity).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
+def _smallest(hashes: DataFrame, sample: int) -> DataFrame:
+    """(lang, hash, rank) of the ``sample`` smallest hashes of each language.
+
+    Only hashes up to the bin in which the number is reached are ranked.
+    """
+    binned = hashes.withColumn("bin", F.shiftrightunsigned("hash", 64 - BIN_BITS))
+    upto = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = binned.groupBy("lang", "bin").count().withColumn("before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
+    wanted = staged(bins.where(F.col("before") < sample).select("lang", "bin"), "bins")
+    order = Window.partitionBy("lang").orderBy("bin", "hash")
+    ranked = binned.join(wanted, ["lang", "bin"], "left_semi").withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= sample).select("lang", "hash", "rank")
+
+
 def sampled(docs: DataFrame, sample: int) -> DataFrame:
-    """(lang, idx, share): features of at most ``sample`` learnable documents per language."""
-    known = docs.where((fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= sample).select("doc_id", "lang", "rank")
+    """(lang, rank, idx, share): features of at most ``sample`` learnable documents per language."""
+    known = docs.where((fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("hash")
     )
-    # At most ``sample`` narrow rows per language.
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    hashes = staged(known.select("lang", "hash").distinct(), "hashes")
+    languages = hashes.select(F.count_distinct("lang")).first()[0]
+    chosen = staged(_smallest(hashes, max(1, min(sample, MOST // max(1, languages)))), "chosen")
 
     def extracted(batches):
+        seen = set()  # of the chosen ones only
         for batch in batches:
-            found = [features(text.as_py()) for text in batch.column(3)]
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            new = [i for i, key in enumerate(keys) if key not in seen and not seen.add(key)]
+            found = [features(batch.column(2)[i].as_py()) for i in new]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2),
+                [batch.column(0).take(pa.array(new, pa.int64())), batch.column(1).take(pa.array(new, pa.int64())),
                  pa.array([f[0] for f in found], pa.list_(pa.int32())),
                  pa.array([f[1] for f in found], pa.list_(pa.float32()))],
-                names=["lang", "rank", "doc_id", "idx", "share"],
+                names=["lang", "rank", "idx", "share"],
             )
 
-    schema = "lang string, rank int, doc_id bigint, idx array<int>, share array<float>"
-    return rows.select("lang", "rank", "doc_id", "text").mapInArrow(extracted, schema)
+    rows = known.join(chosen, ["lang", "hash"]).select("lang", "rank", "text")
+    schema = "lang string, rank int, idx array<int>, share array<float>"
+    return rows.mapInArrow(extracted, schema).dropDuplicates(["lang", "rank"])
 
 
 def _learned_from(found: pa.Table) -> list[tuple[str, np.ndarray, np.ndarray]]:
@@ -116,13 +138,9 @@ def _learned_from(found: pa.Table) -> list[tuple[str, np.ndarray, np.ndarray]]:
             for values, ends in [(part.values.to_numpy(zero_copy_only=False), part.offsets.to_numpy())]
             for start, end in zip(ends[:-1], ends[1:])
         ]
-    keys = [found.column(name).to_pylist() for name in ("lang", "rank", "doc_id")]
-    rows = [
-        (lang, rank, doc or 0, idx.tobytes(), idx, share)
-        for lang, rank, doc, idx, share in zip(*keys, parts["idx"], parts["share"])
-    ]
-    rows.sort(key=lambda row: row[:4])
-    return [(row[0], row[4], row[5]) for row in rows]
+    keys = [found.column(name).to_pylist() for name in ("lang", "rank")]
+    rows = sorted(zip(*keys, parts["idx"], parts["share"]), key=lambda row: row[:2])
+    return [(lang, idx, share) for lang, _, idx, share in rows]
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:

@@ -90,3 +90,48 @@ def test_classifier_messy(spark):
     nobody = quality_classifier.classify(docs, trusted.where("doc_id = 77")).collect()
     assert not any(r["accepted"] for r in nobody)
     assert quality_classifier.classify(empty(spark), trusted).count() == 0
+
+
+def test_language_sample_is_bounded_and_the_smallest_hashes(spark, monkeypatch):
+    """Hot ids and rows, ids with several texts and null ids: never more than the bound, and which ones."""
+    rows = [(1, f"same id, text {i % 3}", "en") for i in range(300)] + [(i, f"text {i}", "en") for i in range(2, 90)]
+    rows += [(None, f"none {i % 7}", "fr") for i in range(500)] + [(1, "same id, text 0", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    keyed = docs.where(language_id.fold() != 2).select("lang", F.xxhash64("doc_id", "text").alias("h")).distinct()
+    for sample, most in ((20, 10**6), (1_000, 10**6), (20, 10)):
+        monkeypatch.setattr(language_id, "MOST", most)
+        found = language_id.sampled(docs, sample).collect()
+        each = min(sample, most // 2)
+        for lang in ("en", "fr"):
+            ranks = sorted(r["rank"] for r in found if r["lang"] == lang)
+            wanted = min(each, keyed.where(F.col("lang") == lang).count())
+            assert ranks == list(range(1, wanted + 1))
+    chosen = language_id._smallest(keyed.withColumnRenamed("h", "hash"), 15).collect()
+    for lang in ("en", "fr"):
+        every = sorted((r["h"] % (1 << 64) for r in keyed.where(F.col("lang") == lang).collect()))
+        assert sorted(r["hash"] % (1 << 64) for r in chosen if r["lang"] == lang) == every[:15]
+
+
+def test_language_predictions_against_definition():
+    """Scores from the n-grams counted one by one."""
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(language_id.BUCKETS, 3)).astype(np.float32)
+    langs = ["aa", "bb", "cc"]
+    texts = [prose(i, 30) for i in range(12)] + ["x", "É 漢字", "12 !", None, ""]
+    for text, (lang, score) in zip(texts, language_id.predict(texts, langs, table, 0.7)):
+        if not text or not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        padded = f" {text.lower()} "
+        logits, number = np.zeros(3), 0
+        for n in (2, 3, 4):
+            for i in range(len(padded) - n + 1):
+                h = 0
+                for j, c in enumerate(padded[i:i + n]):
+                    code = ord(c) * 0x9E3779B1 % 2**32
+                    h = code if not j else ((h ^ h >> 15) * 0x85EBCA6B + code) % 2**32
+                logits += table[((h ^ h >> 13) * 0xC2B2AE35 % 2**32) >> 17]
+                number += 1
+        shares = np.exp((logits / number - (logits / number).max()) / 0.7)
+        shares /= shares.sum()
+        assert lang == langs[int(shares.argmax())] and score == pytest.approx(shares.max(), rel=1e-6)
