@@ -41,7 +41,7 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """A document stands for a repository, its source for the owner."""
+    """A document stands for a repository, its source for the owner; both numbers decide."""
     return secret_owners.secrets(_table(spark, sf, "documents"))
 
 
@@ -214,6 +214,7 @@ ORACLES: dict[str, str] = {
       WITH rows AS (
         SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce('s' || source, '') AS owner
         FROM documents),
+      sizes AS (SELECT owner, count(DISTINCT coalesce('d' || doc_id::VARCHAR, '')) AS size FROM rows GROUP BY 1),
       base AS ({" UNION ALL ".join(_spans_sql(kind, i) for i, kind in enumerate(secret_owners.KINDS[:3]))}),
       bare AS (
         SELECT * FROM ({_spans_sql("token", 3)}) t
@@ -221,14 +222,21 @@ ORACLES: dict[str, str] = {
           SELECT 1 FROM base b WHERE b.row = t.row AND b.start < t.end_ AND t.start < b.end_)),
       all_spans AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
       held AS (
-        SELECT value, owner, count(DISTINCT doc_id::VARCHAR) AS repositories FROM all_spans GROUP BY 1, 2),
+        SELECT value, owner, count(DISTINCT coalesce('d' || doc_id::VARCHAR, '')) AS repositories
+        FROM all_spans GROUP BY 1, 2),
+      counted AS (
+        SELECT value, count(*) AS owners, sum(repositories)::BIGINT AS repositories, sum(size) AS size
+        FROM held JOIN sizes USING (owner) GROUP BY value),
       verdicts AS (
-        SELECT value, CASE
-            WHEN count(*) >= {secret_owners.COPIED_OWNERS} THEN 'copied'
-            WHEN count(*) = 1 AND len(list_distinct(string_split(value, ''))) >= {secret_owners.LEAST_DISTINCT}
+        SELECT *, CASE
+            WHEN owners >= {secret_owners.COPIED_OWNERS} THEN 'copied'
+            WHEN repositories >= {secret_owners.COPIED_REPOSITORIES}
+              AND repositories * {secret_owners.SHARE} >= size THEN 'copied'
+            WHEN owners = 1 AND repositories < {secret_owners.COPIED_REPOSITORIES}
+              AND len(list_distinct(string_split(value, ''))) >= {secret_owners.LEAST_DISTINCT}
               THEN 'live' ELSE 'unclear' END AS verdict
-        FROM held GROUP BY value),
-      judged AS (SELECT b.*, v.verdict FROM all_spans b JOIN verdicts v USING (value)),
+        FROM counted),
+      judged AS (SELECT b.*, v.verdict, v.owners, v.repositories FROM all_spans b JOIN verdicts v USING (value)),
       named AS (
         SELECT *, {_KIND_NAMES}[kind + 1] || ':' || start || ':' || end_ AS name FROM judged
         WHERE kind < 3 OR verdict = 'live'),
@@ -238,12 +246,14 @@ ORACLES: dict[str, str] = {
           coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3), '') AS base_spans,
           string_agg(name, ',' ORDER BY start, kind) AS spans,
           count(*) FILTER (kind < 3 AND verdict = 'live') AS n_live,
-          count(*) FILTER (kind < 3 AND verdict = 'copied') AS n_copied
+          count(*) FILTER (kind < 3 AND verdict = 'copied') AS n_copied,
+          max(owners) FILTER (kind < 3) AS max_owners, max(repositories) FILTER (kind < 3) AS max_repositories
         FROM named GROUP BY row)
       SELECT r.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
         coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256,
         coalesce(spans, '') AS spans, coalesce(n_token, 0) AS n_token, coalesce(n_live, 0) AS n_live,
-        coalesce(n_copied, 0) AS n_copied
+        coalesce(n_copied, 0) AS n_copied, coalesce(max_owners, 0) AS max_owners,
+        coalesce(max_repositories, 0) AS max_repositories
       FROM rows r LEFT JOIN per_row USING (row)""",
     "op9_circulant_minhash": f"""
       WITH RECURSIVE split AS (

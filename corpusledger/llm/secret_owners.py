@@ -2,16 +2,19 @@
 
 Every text is scanned for three kinds of secrets and for bare tokens. Each found value is hashed,
 and the hashes are counted over the whole corpus: by how many documents (repositories) and by how
-many sources (owners) they are held. A value that ``COPIED_OWNERS`` owners hold is a widely copied
-example; one that a single owner holds and that mixes enough characters looks live. Kinds with a
-telling prefix or name are reported either way with their verdict; bare tokens only where live.
+many sources (owners) they are held. Both decide. A value is a widely copied example if
+``COPIED_OWNERS`` owners hold it, or if ``COPIED_REPOSITORIES`` repositories do and these are at least
+one in ``SHARE`` of all that its owners have: an example pasted into a single owner's documents, too. One
+that a single owner holds in fewer repositories and that mixes enough characters looks live. All else
+is unclear. Kinds with a telling prefix or name are reported either way with their verdict; bare tokens
+only where live.
 
 Spans count code points, ends are exclusive. Matches are the regular expression's leftmost ones that
 do not overlap, per kind; their places follow from the pieces of text between them.
 
 Defined cases: a null text is empty; empty texts have no spans and the hash of the empty string;
 repeated rows, also with one doc_id or a null one, are scanned each for itself; a null source is an
-owner; an empty table gives an empty result. Only the named columns are used.
+owner, all null ids of an owner are one repository; an empty table gives an empty result. Only the named columns are used.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ PATTERNS = {
 #: Texts without a match are passed over by the first of these.
 HINTS = {"assign": r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""}
 COPIED_OWNERS = 3
+COPIED_REPOSITORIES, SHARE = 10, 1_000
 LEAST_DISTINCT = 10
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -103,33 +107,52 @@ def scanned(docs: DataFrame, identity: str = "doc_id", text: str = "text", owner
     )
 
 
-def ownership(held: DataFrame) -> DataFrame:
+def ownership(held: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """(hash, owners, repositories, verdict) of (hash, owner, repository, distinct) candidates.
 
-    Candidates are counted per owner before owners are, so a value that all rows hold is summed
-    up in steps.
+    ``sizes`` is (owner, size): the repositories that each owner has, by default those with candidates.
+    Candidates are counted per owner before owners are, so a value that all rows hold is summed up in
+    steps.
     """
+    if sizes is None:
+        sizes = repositories_of(held)
     by_owner = held.groupBy("hash", "owner", "repository").agg(F.max("distinct").alias("distinct"))
     per_owner = by_owner.groupBy("hash", "owner").agg(
         F.count(F.lit(1)).alias("repositories"), F.max("distinct").alias("distinct")
     )
-    counted = per_owner.groupBy("hash").agg(
+    counted = per_owner.join(sizes, "owner").groupBy("hash").agg(
         F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"),
-        F.max("distinct").alias("distinct"),
+        F.sum("size").alias("size"), F.max("distinct").alias("distinct"),
     )
+    many = F.col("repositories") >= COPIED_REPOSITORIES
     verdict = (
         F.when(F.col("owners") >= COPIED_OWNERS, "copied")
-        .when((F.col("owners") == 1) & (F.col("distinct") >= LEAST_DISTINCT), "live")
+        .when(many & (F.col("repositories") * SHARE >= F.col("size")), "copied")
+        .when((F.col("owners") == 1) & ~many & (F.col("distinct") >= LEAST_DISTINCT), "live")
         .otherwise("unclear")
     )
     return counted.select("hash", "owners", "repositories", verdict.alias("verdict"))
 
 
+def repositories_of(rows: DataFrame) -> DataFrame:
+    """(owner, size) of rows with owner and repository."""
+    return rows.select("owner", "repository").distinct().groupBy("owner").agg(F.count(F.lit(1)).alias("size"))
+
+
+def repository(identity: str) -> Column:
+    """A document's name as a repository; null ids have one name."""
+    return F.coalesce(F.concat(F.lit("d"), F.col(identity).cast("string")), F.lit(""))
+
+
 def secrets(docs: DataFrame, identity: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
-    """One row per row of ``docs``: counts, spans and verdicts."""
+    """One row per row of ``docs``: counts, spans and verdicts.
+
+    ``max_owners`` and ``max_repositories`` are the most that hold one of its base values.
+    """
     rows = staged(scanned(docs, identity, text, owner), "scanned")
+    sizes = repositories_of(rows.select("owner", repository(identity).alias("repository")))
     listed = rows.where((F.size("base") > 0) | (F.size("bare") > 0)).select(
-        "row", "owner", F.col(identity).cast("string").alias("repository"),
+        "row", "owner", repository(identity).alias("repository"),
         F.explode(F.concat("base", "bare")).alias("span"),
     )
     value = F.col("span.value")
@@ -137,8 +160,11 @@ def secrets(docs: DataFrame, identity: str = "doc_id", text: str = "text", owner
         "row", "owner", "repository", "span", F.sha2(value, 256).alias("hash"),
         F.size(F.array_distinct(F.split(value, ""))).alias("distinct"),
     )
-    judged = held.select("row", "span", "hash").join(ownership(held).select("hash", "verdict"), "hash")
+    judged = held.select("row", "span", "hash").join(ownership(held, sizes), "hash")
+    known = F.col("span.kind") < 3
     of_row = judged.groupBy("row").agg(
+        F.max(F.when(known, F.col("owners"))).alias("max_owners"),
+        F.max(F.when(known, F.col("repositories"))).alias("max_repositories"),
         F.collect_list(F.when(F.col("span.kind") < 3, F.struct("span", "verdict"))).alias("known"),
         F.collect_list(F.when((F.col("span.kind") == 3) & (F.col("verdict") == "live"), F.col("span"))).alias("live"),
     )
@@ -154,4 +180,5 @@ def secrets(docs: DataFrame, identity: str = "doc_id", text: str = "text", owner
         named(F.concat("base", live)).alias("spans"),
         F.size(live).cast("bigint").alias("n_token"),
         verdicts("live").alias("n_live"), verdicts("copied").alias("n_copied"),
+        *(F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in ("max_owners", "max_repositories")),
     )

@@ -77,3 +77,22 @@ def test_ownership(spark):
 def test_messy(spark):
     check(messy(spark))
     assert op.secrets(empty(spark)).count() == 0
+
+
+def test_repositories_decide_too(spark):
+    """Verdicts counted by hand: pasted by one owner, a few of a large owner's documents, two owners."""
+    example, few, one, two = ("password=" + x for x in ("exampleABCDEF123", "liveZYXWVU987654", "singleQPONML4321", "pairedHGFEDC5678"))
+    rows = [(i, example, "en", "big", 0) for i in range(12)] + [(20 + i, few, "en", "big", 0) for i in range(9)]
+    rows += [(40, one, "en", "big", 0), (41, two, "en", "a", 0), (42, two, "en", "b", 0), (40, one, "en", "big", 0)]
+    rows += [(None, one, "en", "big", 0), (None, one, "en", "big", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {}
+    for r in check(docs):
+        found.setdefault(r["doc_id"], set()).add((r["n_live"], r["n_copied"], r["max_owners"], r["max_repositories"]))
+    assert found[0] == {(0, 1, 1, 12)} and found[20] == {(1, 0, 1, 9)}
+    assert found[40] == found[None] == {(1, 0, 1, 2)} and found[41] == found[42] == {(0, 0, 2, 2)}
+    # Ten documents of an owner of more than ten thousand are neither an example nor one owner's slip.
+    held = spark.createDataFrame([("h", "o", f"r{i}", 12) for i in range(10)], "hash string, owner string, repository string, distinct int")
+    for size, verdict in ((10_000, "copied"), (10_001, "unclear")):
+        sizes = spark.createDataFrame([("o", size), ("other", 5)], "owner string, size bigint")
+        assert op.ownership(held, sizes).first()["verdict"] == verdict
