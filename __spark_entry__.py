@@ -2010,7 +2010,7 @@ def disk_snapshot(spark, sf):
         // greatest(1, (SELECT count(*) FROM documents) // 8 // {SHARD_ROWS}) AS wave FROM written),
     per_wave AS (SELECT wave, sum(tokens) AS tokens FROM waves GROUP BY 1),
     history AS (
-      SELECT (wave + 2) * {RATE_SECONDS}::BIGINT AS taken_at,
+      SELECT (wave + 1) * {RATE_SECONDS}::BIGINT AS taken_at,
         (sum(tokens) OVER (ORDER BY wave))::BIGINT AS done,
         (SELECT sum(token_quota) FROM plans)::BIGINT AS target FROM per_wave),
     rated AS (
