@@ -1285,9 +1285,13 @@ def _measured_sample(texts: DataFrame) -> DataFrame:
 
 
 def _grouped_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The written shards of the retain-all year by source, in row groups of a few rows."""
+    """The documents by source as written shards, in source order, in row groups of a few rows."""
+    root, keys = scratch_path(spark, "grouped"), ["source_config", "shard"]
+    rows = _shard_rows(spark, sf, ["text"]).select(*keys, "row", "text").repartition(*keys)
+    ordered = rows.sortWithinPartitions(*keys, "row").drop("row")
     with session_settings(spark, {"parquet.block.row.count.limit": str(GROUP_ROWS)}):
-        return sink.output_files(spark, _layout(spark, sf))
+        ordered.write.partitionBy(*keys).option("compression", "zstd").parquet(f"{root}/data")
+    return sink.output_files(spark, root)
 
 
 _PROJECTION = (
