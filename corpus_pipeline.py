@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusledger.llm.common import staged
+from corpusledger.llm.common import staged_texts
 from corpusledger.llm.stages import (
     keep_good, mix_sources, remove_benchmarks, remove_copies, split_shards,
 )
@@ -27,5 +27,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the whole ``documents`` table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.split()[0])
+        docs = staged_texts(stage(spark, docs, sf_dir), name.split()[0])
     return STAGES[-1][1](spark, docs, sf_dir)

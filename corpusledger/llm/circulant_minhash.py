@@ -4,8 +4,11 @@ Two permutations of the 32-bit integers make a whole signature: sigma scatters t
 and coordinate k is the smallest pi(sigma(x) - k) over the set, pi shifted circularly by k. Bands of
 coordinates find candidates; every link is confirmed on full shingle sets.
 
-1. ``signed``: one pass over the texts gives set size, set hash and band hashes of each document.
-2. Documents with one and the same set (a 128-bit hash of it) are one class; one of them goes on.
+Rows are compared, not ids: every row has a number of its own, given once in a staged table, and ids
+serve for reporting only.
+
+1. ``signed``: one pass over the texts gives set size, set hash and band hashes of each row.
+2. Rows with one and the same set (a 128-bit hash of it) are one class; one of them goes on.
 3. In every band bucket the members are compared with its smallest one only: linear in the bucket.
    What is confirmed is joined into components.
 4. Buckets that then still hold more than one component are settled exactly: of their documents
@@ -17,10 +20,12 @@ coordinates find candidates; every link is confirmed on full shingle sets.
 With 32 bands of 4, a pair with a similarity of 0.75 shares no bucket with a probability of 5e-6.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with
-nothing; a text of fewer words than a shingle is one shingle; rows with one doc_id are one document
-if their texts are (the smallest set hash stands for it otherwise); a row whose doc_id is null is
-no document and has no row in the result; an empty table gives an empty result. Only the named
-columns of the input are used.
+nothing; a text of fewer words than a shingle is one shingle; every row is a document with a row in
+the result, also one whose doc_id is null or repeats; a component has the smallest doc_id of its
+rows, null if none has one; a row is ``kept`` if its doc_id is that (null is equal to null), and
+``first`` holds for exactly one row of each component: smallest doc_id, then smallest row number; an
+empty table gives an empty result. Only the named columns of the input are used, ids of any type that
+has an order.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusledger.llm.common import staged
+from corpusledger.llm.common import staged, staged_texts
 
 WORDS = 5
 PERCENT = 75
@@ -40,7 +45,7 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _PIECE = 1024
-SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
+SIGNED = "n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
 
 # --- inside the tasks --------------------------------------------------------------------------
@@ -103,10 +108,9 @@ def _sign(bands: int, rows: int, words: int):
         hashes = _WordHashes()
         weights = np.arange(1, bands + 1, dtype=np.uint64) * _MIX
         for batch in batches:
-            ids, n, a, b, keys = [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            n, a, b, keys = [], [], [], []
+            for text in batch.column(2):
                 shingles = shingle_set(text.as_py(), hashes, words)
-                ids.append(doc)
                 n.append(len(shingles))
                 if not len(shingles):
                     a.append(0)
@@ -121,9 +125,9 @@ def _sign(bands: int, rows: int, words: int):
                     h = _finish(h ^ minima[:, i]) + _GOLD
                 keys.append(h.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
                  pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                names=["row", "doc_id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
     return sign
@@ -165,7 +169,7 @@ def _shingles(words: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(part), batch.column(0)[i].as_py(), np.int64)),
                          pa.array(np.full(len(part), len(found), np.int64)), pa.array(part)],
-                        names=["doc_id", "n", "shingle"],
+                        names=["row", "n", "shingle"],
                     )
 
     return explode
@@ -174,10 +178,15 @@ def _shingles(words: int):
 # --- the job -----------------------------------------------------------------------------------
 
 
-def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands) of each row with a doc_id."""
-    narrow = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return narrow.mapInArrow(_sign(bands, rows, words), SIGNED)
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text), staged, so that a row keeps its number."""
+    return staged_texts(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
+
+
+def signed(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
+    """(row, doc_id, n_shingles, set_a, set_b, bands) of each of (row, doc_id, text)."""
+    schema = f"row bigint, doc_id {dict(texts.dtypes)['doc_id']}, {SIGNED}"
+    return texts.select("row", "doc_id", "text").mapInArrow(_sign(bands, rows, words), schema)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -186,22 +195,22 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
     The second text travels to the first document's place; the first is read once per document, and
     its set computed once as its pairs follow each other.
     """
-    second = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    second = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+    first = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     both = second.join(first, "a").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_confirm(percent, words), "a bigint, b bigint")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(doc_id, component_id) of every node: the smallest doc_id reachable over ``links`` (a, b).
+    """(row, root) of every node: the smallest row reachable over ``links`` (a, b).
 
     Each round every node takes the smallest root among its neighbours' roots, then roots point to
     their own root; the rounds end when no link joins two roots. Hot nodes are only summed over.
     """
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = staged(edges, "links")
-    ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
-    roots = staged(ends.select("doc_id", F.col("doc_id").alias("root")), "roots")
+    ends = edges.select(F.col("a").alias("row")).union(edges.select("b")).distinct()
+    roots = staged(ends.select("row", F.col("row").alias("root")), "roots")
     while edges.take(1):
         # Every root that a link joins to a smaller one hangs itself under the smallest of these.
         under = edges.groupBy(F.col("b").alias("root")).agg(F.min("a").alias("next"))
@@ -218,7 +227,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             if not moved:
                 break
         roots = staged(
-            roots.join(under, "root", "left").select("doc_id", F.coalesce("next", "root").alias("root")),
+            roots.join(under, "root", "left").select("row", F.coalesce("next", "root").alias("root")),
             "roots",
         )
         at = under.select(F.col("root").alias("a"), F.col("next").alias("at_a"))
@@ -232,58 +241,69 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             moved_edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
             "links",
         )
-    return nodes.join(roots, "doc_id", "left").select(
-        "doc_id", F.coalesce("root", "doc_id").alias("component_id")
-    )
+    return nodes.join(roots, "row", "left").select("row", F.coalesce("root", "row").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
                     words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per doc_id of ``docs``."""
-    sets = staged(signed(docs, bands, rows, words), "sets")
-    one = sets.groupBy("doc_id").agg(
-        F.min(F.struct("set_a", "set_b", "n_shingles", "bands")).alias("s")
-    )
-    one = staged(one.select("doc_id", "s.*"), "documents")
-    filled = one.where("n_shingles > 0")
-    # A class is all documents of one set; its smallest stands for it, the copies are members.
+    """(row, doc_id, n_shingles, component_id, kept, first), one row per row of ``docs``.
+
+    If ``docs`` has a column ``row``, it must number the rows of a staged table; otherwise they are
+    numbered here.
+    """
+    texts = docs.select("row", "doc_id", "text") if "row" in docs.columns else numbered(docs)
+    sets = staged(signed(texts, bands, rows, words), "sets")
+    filled = sets.where("n_shingles > 0")
+    # A class is all rows of one set; the smallest stands for it, the copies are members.
     classes = filled.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("head"), F.min("bands").alias("bands")
+        F.min("row").alias("head"), F.min("bands").alias("bands")
     )
     classes = staged(classes, "classes")
-    heads = classes.select(F.col("head").alias("doc_id"), "n_shingles", "bands")
-    buckets = heads.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
+    heads = classes.select(F.col("head").alias("row"), "n_shingles", "bands")
+    buckets = heads.select("row", "n_shingles", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(
-        F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("members")
+        F.min("row").alias("low"), F.count(F.lit(1)).alias("members")
     ).where("members > 1")
     members = staged(
-        buckets.join(shared.select("band", "low"), "band").select("band", "low", "doc_id", "n_shingles"),
+        buckets.join(shared.select("band", "low"), "band").select("band", "low", "row", "n_shingles"),
         "buckets",
     )
-    texts = docs.select("doc_id", "text")
-    stars = members.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    stars = members.where("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b"))
     links = staged(confirmed(stars.distinct(), texts, percent, words), "stars")
-    in_buckets = members.select("doc_id").distinct()
+    in_buckets = members.select("row").distinct()
     grouped = staged(components(in_buckets, links), "grouped")
     # Buckets that are not yet one component.
-    named = members.join(grouped, "doc_id")
+    named = members.join(grouped, "row")
     open_bands = named.groupBy("band").agg(
-        F.min("component_id").alias("least"), F.max("component_id").alias("most")
+        F.min("root").alias("least"), F.max("root").alias("most")
     ).where("least <> most")
-    rest = named.join(open_bands.select("band"), "band", "left_semi").select("doc_id", "component_id")
+    rest = named.join(open_bands.select("band"), "band", "left_semi").select("row", "root")
     rest = staged(rest.distinct(), "rest")
     if rest.take(1):
         more = confirmed(_rare_pairs(rest, texts, percent, words), texts, percent, words)
         links = links.unionByName(staged(more, "more"))
         grouped = components(in_buckets, links)
-    of_head = classes.join(
-        grouped.select(F.col("doc_id").alias("head"), "component_id"), "head", "left"
-    ).select("set_a", "set_b", "n_shingles", F.coalesce("component_id", "head").alias("component_id"))
-    found = filled.drop("bands").join(of_head, ["set_a", "set_b", "n_shingles"])
-    empty = one.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
-    both = found.select(*columns).unionByName(empty.select(*columns))
-    return both.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    key = ["set_a", "set_b", "n_shingles"]
+    rooted = classes.join(
+        grouped.select(F.col("row").alias("head"), "root"), "head", "left"
+    ).select(*key, F.coalesce("root", "head").alias("root"))
+    # Rows are summed up by class before classes are by component, so no component meets in one task.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
+    of_class = filled.groupBy(*key).agg(least).join(rooted, key)
+    of_class = staged(of_class, "roots")
+    of_root = of_class.groupBy("root").agg(F.min("least").alias("least"))
+    chosen = of_class.select(*key, "root").join(of_root, "root").select(*key, "least")
+    found = filled.join(chosen, key).select(
+        "row", "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"),
+        (F.col("row") == F.col("least.row")).alias("first"),
+    )
+    empty = sets.where("n_shingles = 0").select(
+        "row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first")
+    )
+    return found.unionByName(empty).select(
+        "row", "doc_id", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "first",
+    )
 
 
 def _rare_pairs(rest: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -294,25 +314,25 @@ def _rare_pairs(rest: DataFrame, texts: DataFrame, percent: int, words: int) ->
     of the smaller and the first nb - t nb + 1 of the larger one, and behind it there must be room for
     the rest of the overlap. Only pairs that meet all of this leave the join.
     """
-    own = texts.join(rest, "doc_id", "left_semi")
-    listed = staged(own.mapInArrow(_shingles(words), "doc_id bigint, n bigint, shingle bigint"), "shingles")
+    own = texts.select("row", "text").join(rest, "row", "left_semi")
+    listed = staged(own.mapInArrow(_shingles(words), "row bigint, n bigint, shingle bigint"), "shingles")
     often = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # A shingle that no other document has makes no pair, but it takes a place in the order.
     ranked = listed.join(often, "shingle", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    order = Window.partitionBy("doc_id").orderBy("df", "shingle")
+    order = Window.partitionBy("row").orderBy("df", "shingle")
     n, place = F.col("n"), F.col("place")
     first = ranked.withColumn("place", F.row_number().over(order)).where(
         (place <= n - F.floor((n * percent + 99) / 100) + 1) & (F.col("df") > 1)
     )
     first = staged(
-        first.join(rest, "doc_id").select("doc_id", "n", "shingle", "place", "component_id"), "rare"
+        first.join(rest, "row").select("row", "n", "shingle", "place", "root"), "rare"
     )
     whole = 100 + percent
     smaller = first.where(place <= n - F.floor((2 * percent * n + whole - 1) / whole) + 1)
     left, right = (
         side.select(
-            F.col("shingle").alias(f"s{x}"), F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"),
-            F.col("place").alias(f"p{x}"), F.col("component_id").alias(f"c{x}"),
+            F.col("shingle").alias(f"s{x}"), F.col("row").alias(x), F.col("n").alias(f"n{x}"),
+            F.col("place").alias(f"p{x}"), F.col("root").alias(f"c{x}"),
         )
         for x, side in (("a", smaller), ("b", first))
     )

@@ -7,6 +7,7 @@ import contextlib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusledger.runtime import session_settings
 from corpusledger.runtime import stage as _stage
 
 #: Words are runs of anything but these white-space characters (the ones ``bytes.split`` splits at).
@@ -15,6 +16,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows per Arrow batch: texts may be long, and a pair carries two.
 BATCH_ROWS = 256
+#: Bytes of a row group, in memory, of staged texts.
+GROUP_BYTES = 8 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -45,6 +48,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         return _stage(df, name)
 
 
+def staged_texts(df: DataFrame, name: str) -> DataFrame:
+    """``staged`` with row groups of a few megabytes: a large file is read by as many tasks as it has."""
+    with session_settings(df.sparkSession, {"parquet.block.size": str(GROUP_BYTES)}):
+        return staged(df, name)
+
+
 def quantiles(df: DataFrame, key: str, value: str, step: float, shares: dict[str, float]):
     """Per key, the named quantiles of ``value`` in units of ``step``: exact on the rounded values.
 

@@ -69,7 +69,7 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_circulant_minhash(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    return circulant_minhash.near_duplicates(docs)
+    return circulant_minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,21 +257,24 @@ ORACLES: dict[str, str] = {
       FROM rows r LEFT JOIN per_row USING (row)""",
     "op9_circulant_minhash": f"""
       WITH RECURSIVE split AS (
-        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS row, doc_id,
+          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
           'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
       shingles AS (
-        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
-        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)),
-      sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+        SELECT DISTINCT row, array_to_string(w[i:i + 4], ' ') AS shingle
+        FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)),
+      sizes AS (SELECT row, count(*) AS n FROM shingles GROUP BY 1),
       links AS (
-        SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (shingle)
-        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
-        WHERE a.doc_id <> b.doc_id GROUP BY 1, 2, x.n, y.n
+        SELECT a.row AS a, b.row AS b FROM shingles a JOIN shingles b USING (shingle)
+        JOIN sizes x ON x.row = a.row JOIN sizes y ON y.row = b.row
+        WHERE a.row <> b.row GROUP BY 1, 2, x.n, y.n
         HAVING 100 * count(*) >= {circulant_minhash.PERCENT} * (x.n + y.n - count(*))),
       reached AS (
-        SELECT doc_id, doc_id AS root FROM split
-        UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.doc_id WHERE r.root < l.b)
-      SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
-      FROM split d LEFT JOIN sizes USING (doc_id)
-      JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY 1) c USING (doc_id)""",
+        SELECT row, row AS root FROM split
+        UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.row WHERE r.root < l.b)
+      SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.doc_id AS component_id,
+        d.doc_id IS NOT DISTINCT FROM r.doc_id AS kept
+      FROM split d LEFT JOIN sizes USING (row)
+      JOIN (SELECT row, min(root) AS root FROM reached GROUP BY 1) c USING (row)
+      JOIN split r ON r.row = c.root""",
 }

@@ -1,20 +1,25 @@
 """The stages of the training-data pipeline: each takes documents and returns documents.
 
 Every stage works on all rows it is given, and all but the last return the columns they were given.
-Rows without a doc_id cannot be compared with others and pass the stages that remove copies and
-benchmark texts; a doc_id that repeats is one document there, of which one row stays.
+Where rows are compared with others, each has a number of its own, so rows whose doc_id is null or
+repeats are judged by their own texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusledger.llm import circulant_minhash, decontaminate, mixing, quality_rules, virtual_slots
-from corpusledger.llm.common import staged
+from corpusledger.llm.common import staged, staged_texts
 from corpusledger.runtime import scratch_path
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, staged, so that a row keeps its number."""
+    return staged_texts(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the plain rules and the perplexity bands keep.
 
@@ -30,21 +35,20 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: the one with the smallest doc_id."""
-    found = circulant_minhash.near_duplicates(docs.select("doc_id", "text"))
-    stay = staged(found.where("kept").select("doc_id"), "kept")
-    named = docs.where(F.col("doc_id").isNotNull()).join(stay, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    one = named.withColumn("__row", F.row_number().over(order)).where("__row = 1")
-    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of every group of near copies: the one with the smallest doc_id."""
+    rows = numbered(docs)
+    found = circulant_minhash.near_duplicates(rows.select(F.col("__row").alias("row"), "doc_id", "text"))
+    stay = staged(found.where("first").select(F.col("row").alias("__row")), "kept")
+    return rows.join(stay, "__row", "left_semi").select(*docs.columns)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Rows without a passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    hits = decontaminate.contaminated(docs.select("doc_id", "text"), benchmark)
-    found = staged(hits.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "hits")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs)
+    hits = decontaminate.contaminated(rows.select(F.col("__row").alias("doc_id"), "text"), benchmark)
+    found = staged(hits.select(F.col("doc_id").alias("__row")).distinct(), "hits")
+    return rows.join(found, "__row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -22,9 +23,11 @@ def shingles(text):
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
-    sets = {doc: shingles(text) for doc, text in rows if doc is not None}
-    root = {doc: doc for doc in sets}
+def components_of(rows):
+    """Per row, the first row of its component: smallest doc_id, nulls last, then the earlier one."""
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0]))
+    sets = dict(enumerate(shingles(text) for _, text in rows))
+    root = {row: row for row in sets}
 
     def find(x):
         while root[x] != x:
@@ -36,11 +39,21 @@ def brute(rows):
         if both and 100 * both >= 75 * len(sets[a] | sets[b]):
             x, y = sorted((find(a), find(b)))
             root[y] = x
-    return {(doc, len(s), find(doc), doc == find(doc)) for doc, s in sets.items()}
+    return rows, sets, {row: find(row) for row in sets}
+
+
+def brute(rows):
+    """Every row's (doc_id, size of the set, component, kept), with repeats."""
+    rows, sets, first = components_of(rows)
+    of = lambda row: rows[first[row]][0]
+    return Counter((rows[row][0], len(s), of(row), rows[row][0] == of(row)) for row, s in sets.items())
 
 
 def found(docs):
-    return {tuple(row) for row in op.near_duplicates(docs).collect()}
+    out = op.near_duplicates(docs).collect()
+    assert len({r["row"] for r in out}) == len(out)
+    assert all(r["kept"] for r in out if r["first"])
+    return Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in out)
 
 
 def edited(text, changes, seed):
@@ -76,7 +89,8 @@ def test_rare_pairs_settle_what_stars_leave(spark):
     """Two groups that meet in buckets: the exact step finds every pair between components."""
     rows = [(i, prose(40, 100)) if i < 2 else (i, edited(prose(40, 100), 4, i)) for i in range(12)]
     texts = spark.createDataFrame(rows, "doc_id bigint, text string")
-    rest = texts.selectExpr("doc_id", "doc_id AS component_id")
+    texts = texts.withColumnRenamed("doc_id", "row")
+    rest = texts.selectExpr("row", "row AS root")
     pairs = op.confirmed(op._rare_pairs(rest, texts, 75, 5), texts, 75, 5).collect()
     wanted = set()
     for (a, x), (b, y) in combinations(rows, 2):
@@ -102,7 +116,7 @@ def test_components(spark, seed):
     for a, b in links:
         x, y = sorted((find(a), find(b)))
         root[y] = x
-    nodes = spark.range(600).withColumnRenamed("id", "doc_id")
+    nodes = spark.range(600).withColumnRenamed("id", "row")
     out = op.components(nodes, spark.createDataFrame(links, "a bigint, b bigint"))
     assert {tuple(row) for row in out.collect()} == {(i, find(i)) for i in range(600)}
 
@@ -119,3 +133,24 @@ def test_messy(spark):
     rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
     assert found(docs) == brute(rows)
     assert op.near_duplicates(empty(spark)).count() == 0
+
+
+def test_ids_that_are_null_or_repeat(spark):
+    """Every row counts: links over any text of an id, and one first row per component."""
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(1, a), (1, b), (2, b), (5, c), (None, c), (None, a), (7, ""), (7, ""), (None, ""), (None, None)]
+    rows += [(None, prose(50 + i % 40, 60)) for i in range(200)] + [(9, c)] * 30 + [(9, edited(b, 2, 1))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(docs) == brute(rows)
+    out = op.near_duplicates(docs).collect()
+    listed, sets, first = components_of(rows)
+    assert sum(r["first"] for r in out) == len(set(first.values()))
+    assert {(r["doc_id"], r["component_id"]) for r in out if r["n_shingles"]} >= {(2, 1), (1, 1), (9, 5), (None, 5)}
+    assert Counter(r["doc_id"] for r in out if r["first"]) == Counter(listed[row][0] for row in set(first.values()))
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("b", prose(1, 50)), ("a", prose(1, 50)), (None, "x")], "doc_id string, text string")
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in op.near_duplicates(docs).collect()} == {
+        ("a", "a", True), ("b", "a", False), (None, None, True),
+    }

@@ -6,7 +6,7 @@ import corpus_pipeline
 from corpusledger.llm.common import staged
 
 from . import test_circulant_minhash, test_decontaminate, test_mixing, test_quality_rules
-from .shared import empty, messy
+from .shared import SCHEMA, empty, messy, prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,7 +28,7 @@ def test_stages(spark):
     assert len(held[1]) > 0.8 * len(held[0])
 
     groups = test_circulant_minhash.brute([(r["doc_id"], r["text"]) for r in rows[1]])
-    assert sorted(held[2]) == sorted(doc for doc, _, _, stays in groups if stays)
+    assert sorted(held[2]) == sorted(doc for doc, _, _, stays in groups.elements() if stays)
 
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     hits = {doc for doc, _ in test_decontaminate.brute([(r["doc_id"], r["text"]) for r in rows[2]], items)}
@@ -56,3 +56,20 @@ def test_stages_on_messy_and_empty_tables(spark):
                 assert out.dtypes == docs.dtypes
                 assert not {tuple(r) for r in out.collect()} - {tuple(r) for r in docs.collect()}
         assert docs.columns
+
+
+def test_copies_and_benchmarks_of_rows_without_own_ids(spark):
+    """Rows with null or repeated ids are judged by their own texts; nothing else is lost."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    texts = [prose(i, 60) for i in range(6)]
+    rows = [(None, texts[0], "en", "a", 1), (None, texts[0], "en", "a", 1), (None, texts[1], "en", "a", 1),
+            (1, texts[2], "en", "a", 1), (1, texts[3], "en", "a", 1), (2, texts[3], "en", "b", 1),
+            (None, f"{texts[4]} {bench}", "en", "a", 1), (3, texts[5], "en", "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    _, copies = corpus_pipeline.STAGES[1]
+    left = staged(copies(spark, docs, SF), "left")
+    assert sorted(r["text"] for r in left.collect()) == sorted({r[1] for r in rows})
+    assert {r["doc_id"] for r in left.where(left.text == texts[3]).collect()} == {1}
+    _, benchmarks = corpus_pipeline.STAGES[2]
+    clean = benchmarks(spark, docs, SF).collect()
+    assert sorted(r["text"] for r in clean) == sorted(r[1] for r in rows if not r[1].endswith(bench))
