@@ -1,7 +1,8 @@
 """License scan by patience alignment of documents with templates.
 
 Words are runs of ASCII letters, digits and non-ASCII characters in lower case. For each template,
-the text's regions that hold enough of its words are found in one pass. A region is aligned with the
+the text's regions that hold enough of its words are found in one pass, in windows that overlap, so that
+copies right behind each other are seen one by one; what lies between matches is searched again. A region is aligned with the
 template by patience: words that are unique in both are anchors, the longest increasing subsequence
 of their places in the template is kept, equal neighbours of anchors are added, and the gaps between
 anchors are aligned the same way. Coverage is the share of the template's words that are aligned.
@@ -112,14 +113,15 @@ def increasing(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def regions(text: list, template: list, wanted: Counter, least: int) -> list[tuple[int, int]]:
     """Stretches of the text that hold ``least`` of the template's words, occurrences counted.
 
-    Windows of STRETCH template lengths slide over the places of the template's words; those with
-    enough are joined while they overlap less than half, else the fuller one stays.
+    Windows of STRETCH template lengths slide over the places of the template's words. Those with enough
+    that overlap are one run; it is returned in windows a quarter of a template apart, so every copy
+    up to STRETCH - 1/4 template lengths lies whole in one of them, whatever stands beside it.
     """
     places = [i for i, word in enumerate(text) if word in wanted]
     span = int(STRETCH * len(template)) + 1
     held: Counter = Counter()
-    found, first, good = [], 0, 0
-    for k, i in enumerate(places):
+    runs, first, good = [], 0, 0
+    for i in places:
         held[text[i]] += 1
         good += held[text[i]] <= wanted[text[i]]
         while i - places[first] >= span:
@@ -128,15 +130,44 @@ def regions(text: list, template: list, wanted: Counter, least: int) -> list[tup
             held[word] -= 1
             first += 1
         if good >= least:
-            found.append((good, places[first], i + 1))
-    out: list[tuple[int, int, int]] = []
-    for item in found:
-        if out and item[1] < out[-1][2] - (out[-1][2] - out[-1][1]) // 2:
-            if item[0] > out[-1][0]:
-                out[-1] = item
-        else:
-            out.append(item)
-    return [(a, b) for _, a, b in out]
+            if runs and places[first] < runs[-1][1]:
+                runs[-1][1] = i + 1
+            else:
+                runs.append([places[first], i + 1])
+    step = max(1, len(template) // 4)
+    return [
+        (at, min(end, at + span)) for start, end in runs
+        for at in range(start, max(end - span + step, start + 1), step)
+    ]
+
+
+def occurrences(text: list, template: list, wanted: Counter, least: int) -> list[tuple[int, int, int]]:
+    """(words aligned, start, end) of the template's matches, none over another, in any order.
+
+    Of matches that meet the one with most aligned words stays, then the shorter, then the earlier one.
+    What lies between the matches that stay is searched again, until it holds no more.
+    """
+    out, open_parts = [], [(0, len(text))]
+    while open_parts:
+        low, high = open_parts.pop()
+        part = text[low:high]
+        found = set()
+        for a, b in regions(part, template, wanted, least):
+            pairs = aligned(part[a:b], template)
+            if len(pairs) >= least and is_named(pairs, part[a:b], template):
+                found.add((-len(pairs), pairs[-1][0] - pairs[0][0], a + pairs[0][0]))
+        kept: list[tuple[int, int]] = []
+        for n, more, a in sorted(found):
+            at = bisect_left(kept, (a, a))
+            if (at == 0 or kept[at - 1][1] <= a) and (at == len(kept) or a + more < kept[at][0]):
+                kept.insert(at, (a, a + more + 1))
+                out.append((-n, low + a, low + a + more + 1))
+        if kept:
+            ends = [0, *(x for stretch in kept for x in stretch), high - low]
+            open_parts += [
+                (low + a, low + b) for a, b in zip(ends[::2], ends[1::2]) if b - a >= least
+            ]
+    return out
 
 
 def tells(word: bytes, before: bytes, mention: bool) -> bool:
@@ -186,10 +217,8 @@ class Scanner:
         for name, template, wanted, least in self.templates:
             if sum(n for word, n in wanted.items() if word in own) < least:
                 continue
-            for a, b in regions(words, template, wanted, least):
-                pairs = aligned(words[a:b], template)
-                if len(pairs) >= least and is_named(pairs, words[a:b], template):
-                    found.append((len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1, name, len(template), template[-1]))
+            for n, a, b in occurrences(words, template, wanted, least):
+                found.append((n, a, b, name, len(template), template[-1]))
         if not found:
             return []
         spans = [m.span() for m in _WORD.finditer(text)]
@@ -198,8 +227,9 @@ class Scanner:
         for n, a, b, name, size, last in sorted(found, key=order):
             if size <= MENTION and last.isdigit() and _FURTHER.match(text, spans[b - 1][1]):
                 continue
-            if not any(a < d and c < b for c, d in taken):
-                taken.append((a, b))
+            at = bisect_left(taken, (a, a))
+            if (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or b <= taken[at][0]):
+                taken.insert(at, (a, b))
                 out.append((name, n / size, n, spans[a][0], spans[b - 1][1]))
         return sorted(out, key=lambda x: x[3])
 

@@ -112,3 +112,44 @@ def test_full_texts_of_one_family():
     assert scanner.scan(notice) == []  # no template has it, so it has no name
     for name in ("GPL-2.0 text", "GPL-3.0 text", "LGPL-2.0 text", "LGPL-2.1 text", "Apache-2.0 text"):
         assert [match[0] for match in scanner.scan(TEMPLATES[name])] == [name]
+
+
+def test_copies_side_by_side():
+    """Every copy is reported: two and three of each template, whole or with words changed, and rivals."""
+    scanner = op.Scanner(TEMPLATES, op.COVERAGE)
+    rng = random.Random(6)
+    for name, text in TEMPLATES.items():
+        for copies in (2, 3):
+            for gap in ("\n", f" {prose(1, 3)} "):
+                matches = scanner.scan(gap.join([text] * copies))
+                assert [match[0] for match in matches] == [name] * copies, (name, copies, gap)
+                assert all(a[4] <= b[3] for a, b in zip(matches, matches[1:]))
+        words = text.split()
+        if 60 < len(words) < 400:  # copies that differ, the first one less complete than the others
+            worn = []
+            while not scanner.scan(" ".join(worn)):  # without the words that name it, it would have no match
+                worn = list(words)
+                for i in rng.sample(range(10, len(words) - 10), len(words) // 12):
+                    worn[i] = "altered"
+            matches = scanner.scan(" ".join([*worn, *words, *words, *worn]))
+            assert len(matches) == 4 and matches[0][0] == name, (name, [m[:3] for m in matches])
+    mixed = ["MIT mention", "BSD mention", "MIT mention", "MIT", "ISC", "MIT", "MIT"]
+    mixed = [name for name in mixed if name in TEMPLATES]
+    assert [m[0] for m in scanner.scan(" ".join(TEMPLATES[name] for name in mixed))] == mixed
+
+
+def test_occurrences_against_direct_search():
+    """Planted copies of a template among its own words: found where a search of every window finds them."""
+    rng = random.Random(8)
+    template = [f"w{i}" for i in range(12)]
+    wanted, least = op.Counter(template), 10
+    for _ in range(150):
+        text, planted = [], []
+        for _ in range(rng.randrange(1, 6)):
+            text += [rng.choice([*template, "x", "y"]) for _ in range(rng.choice([0, 0, 1, 5]))]
+            planted.append((len(text), len(text) + 12))
+            text += template
+        found = {(a, b) for n, a, b in op.occurrences(text, template, wanted, least) if n == 12}
+        # A word beside a copy that is the template's first or last may take that one's place.
+        of = [[f for f in found if f[0] <= a and b <= f[1] <= f[0] + 18] for a, b in planted]
+        assert all(len(own) == 1 for own in of) and len({own[0] for own in of}) == len(planted), (text, planted, found)
