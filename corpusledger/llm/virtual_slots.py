@@ -9,8 +9,11 @@ Only the table of slots (``SLOTS`` rows, whatever the corpus) goes to the driver
 its shard is the rows of the shard's earlier slots plus its place in its own slot, so no task sees
 more than one slot.
 
-Defined cases: a null text has no bytes and a size of 1; a null doc_id is hashed like any value;
-repeated rows have places of their own; one record larger than all others together leaves its shard
+A record's key decides its slot if no other record has it. Records whose key is null or repeats cannot be
+told apart by it and would all meet in one slot, so they are dealt out by key and row number.
+
+Defined cases: a null text has no bytes and a size of 1; a null key or one that repeats is spread over
+the slots; repeated rows have places of their own; one record larger than all others together leaves its shard
 heavier than the rest; an empty table gives an empty table and a map with all slots.
 """
 
@@ -21,7 +24,8 @@ import bisect
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusledger.llm.common import staged
+from corpusledger.llm.common import staged, staged_texts
+from corpusledger.runtime import path_exists
 
 SLOTS = 4096
 SHARDS = 8
@@ -36,6 +40,21 @@ def virtual_slot(key: str, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(slots)).cast("int")
 
 
+def dealt(records: DataFrame, key: str, slots: int) -> DataFrame:
+    """``records`` (a staged table with ``__row``, the number of the row) with ``virtual_slot``.
+
+    Keys are counted on narrow rows, summed up before the shuffle; those that repeat are joined back.
+    """
+    known, unknown = records.where(F.col(key).isNotNull()), records.where(F.col(key).isNull())
+    often = known.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__times")).where("__times > 1")
+    spread = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col("__row")), F.lit(slots)).cast("int")
+    named = known.join(often.select("__key"), F.col(key) == F.col("__key"), "left")
+    slot = F.when(F.col("__key").isNull(), virtual_slot(key, slots)).otherwise(spread)
+    return named.withColumn("virtual_slot", slot).drop("__key").unionByName(
+        unknown.withColumn("virtual_slot", spread)
+    )
+
+
 def first_map(slots: int, shards: int) -> list[int]:
     """Version 0: slots dealt out in turn."""
     return [slot % shards for slot in range(slots)]
@@ -87,12 +106,7 @@ def store_map(spark: SparkSession, path: str, version: int, owners: list[int]) -
 
 def rebalance(spark: SparkSession, path: str, weights: DataFrame, slots: int, shards: int) -> int:
     """Edit the stored map by (virtual_slot, bytes); begins version 0 if there is none."""
-    try:
-        rows = load_map(spark, path).collect()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        rows = []
+    rows = load_map(spark, path).collect() if path_exists(spark, path) else []
     if not rows:
         owners, version = first_map(slots, shards), 0
         store_map(spark, path, version, owners)
@@ -133,12 +147,12 @@ def shard_records(docs: DataFrame, map_path: str, slots: int = SLOTS, shards: in
     narrow = docs.select(
         F.col(key), size_of(text).alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        virtual_slot(key, slots).alias("virtual_slot"),
+        F.monotonically_increasing_id().alias("__row"),
     )
-    records = staged(narrow, "records")
+    records = staged(dealt(staged(narrow, "rows"), key, slots), "records")
     weights = records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"))
     version = rebalance(spark, map_path, weights, slots, shards)
-    out = placed(records, load_map(spark, map_path, version), [key, "text_crc32", "size"])
+    out = placed(records, load_map(spark, map_path, version), [key, "text_crc32", "size", "__row"])
     return out.select(
         key, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
@@ -152,5 +166,6 @@ def write_shards(docs: DataFrame, map_path: str, out: str, slots: int = SLOTS, k
     Rows are shuffled by slot, so a shard is written by as many tasks as it has slots.
     """
     owners = load_map(docs.sparkSession, map_path).select("virtual_slot", "shard")
-    tagged = docs.withColumn("virtual_slot", virtual_slot(key, slots)).join(owners, "virtual_slot")
-    tagged.repartition("virtual_slot").drop("virtual_slot").write.partitionBy("shard").parquet(out)
+    rows = staged_texts(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    tagged = dealt(rows, key, slots).join(owners, "virtual_slot")
+    tagged.repartition("virtual_slot").drop("virtual_slot", "__row").write.partitionBy("shard").parquet(out)

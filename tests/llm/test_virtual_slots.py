@@ -7,7 +7,7 @@ import pytest
 from corpusledger.llm import virtual_slots as op
 from corpusledger.runtime import scratch_path
 
-from .shared import empty, messy
+from .shared import SCHEMA, empty, messy
 
 
 def check(docs, rows, shards=8):
@@ -80,3 +80,27 @@ def test_write(spark):
     assert written.count() == len(rows)
     counts = {r[0]: r[1] for r in written.groupBy("shard").count().collect()}
     assert counts == {s: sum(r["shard"] == s for r in rows) for s in {r["shard"] for r in rows}}
+
+
+def test_keys_that_are_null_or_repeat(spark):
+    """The law holds whatever the ids: rows that no id tells apart are spread."""
+    for ids in (lambda i: None, lambda i: 7, lambda i: None if i % 2 else 7 if i % 3 else i):
+        rows = [(ids(i), "same text", None, None, i) for i in range(2_000)]
+        docs = spark.createDataFrame(rows, SCHEMA)
+        path, out = scratch_path(spark, "map"), scratch_path(spark, "shards")
+        found = op.shard_records(docs, path).collect()
+        check(docs, found)
+        totals = [sum(r["size"] for r in found if r["shard"] == i) for i in range(8)]
+        assert max(totals) - min(totals) <= 2 * max(r["size"] for r in found)
+    op.write_shards(docs, path, out)
+    counts = {r[0]: r[1] for r in spark.read.parquet(out).groupBy("shard").count().collect()}
+    assert counts == {s: sum(r["shard"] == s for r in found) for s in range(8)}
+
+
+def test_single_keys_decide_slots(spark):
+    docs = spark.range(500).selectExpr("id AS doc_id", "'x' AS text")
+    slots = [
+        {r["doc_id"]: r["virtual_slot"] for r in op.shard_records(part, scratch_path(spark, "map")).collect()}
+        for part in (docs, docs.where("doc_id % 3 = 0"))
+    ]
+    assert all(slots[0][doc] == slot for doc, slot in slots[1].items())
