@@ -8,10 +8,11 @@ every source's bucket is one hash. Thresholds are nested: a larger target takes
 and more.
 
 A document is taken if the sum before it and the sum with it together stay below twice the rest,
-that is if taking it brings the sum nearer; documents with one hash (one doc_id) go together.
+that is if taking it brings the sum nearer; documents with one hash (one doc_id, or one text without a
+doc_id) go together.
 
 Defined cases: a null text has size 0; a null source is a source, last in order; a null doc_id is
-hashed as the empty string; sources whose documents are all empty have the target 0; repeated rows
+hashed by its text; sources whose documents are all empty have the target 0; repeated rows
 are taken alike; an empty table gives an empty table. Only the named columns are used.
 """
 
@@ -29,9 +30,9 @@ BITS = 60
 LEVEL_BITS = 12
 
 
-def hash_of(identity: str) -> Column:
-    """The first 60 bits of the identity's MD5."""
-    named = F.coalesce(F.col(identity).cast("string"), F.lit(""))
+def hash_of(identity: str, text: str) -> Column:
+    """The first 60 bits of the MD5 of the identity, or of the text after a ``t`` where that is null."""
+    named = F.coalesce(F.col(identity).cast("string"), F.concat(F.lit("t"), F.coalesce(F.col(text), F.lit(""))))
     return F.conv(F.substring(F.md5(named.cast("binary")), 1, BITS // 4), 16, 10).cast("bigint")
 
 
@@ -40,7 +41,7 @@ def sized(docs: DataFrame, identity: str = "doc_id", text: str = "text", source:
     return docs.select(
         F.col(identity), F.col(source).alias("source"),
         F.size(words_of(F.col(text))).cast("bigint").alias("size"),
-        hash_of(identity).alias("hash"),
+        hash_of(identity, text).alias("hash"),
     )
 
 
@@ -155,7 +156,7 @@ def decided(docs: DataFrame, identity: str = "doc_id", text: str = "text", sourc
         "__source", F.col("repeats").alias("__whole"), F.col("threshold").alias("__threshold")
     )
     out = docs.join(found, F.col(source).eqNullSafe(F.col("__source")))
-    once_more = (hash_of(identity) < F.col("__threshold")).cast("bigint")
+    once_more = (hash_of(identity, text) < F.col("__threshold")).cast("bigint")
     return out.withColumn("__repeats", F.col("__whole") + once_more).drop(
         "__source", "__whole", "__threshold"
     )

@@ -136,7 +136,7 @@ ORACLES: dict[str, str] = {
       WITH sized AS (
         SELECT doc_id, source,
           len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 't' || coalesce(text, ''))), 1, 15))::BIGINT AS h
         FROM documents),
       sources AS (
         SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),

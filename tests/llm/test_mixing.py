@@ -38,7 +38,7 @@ def brute(rows):
 def check(docs):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
     found = op.mix(docs).collect()
-    again = op.mix(docs).collect()
+    again = op.mix(docs.repartition(3)).collect()
     order = lambda row: tuple((x is None, x) for x in row)
     assert sorted(map(tuple, found), key=order) == sorted(map(tuple, again), key=order)
     wanted = sorted(brute(rows), key=order)
@@ -53,9 +53,10 @@ def check(docs):
         # Whole takes for all, one more below some hash.
         least = min(r["repeats"] for r in own)
         assert {r["repeats"] for r in own if r["size"]} <= {least, least + 1}
+        # Nested by the hash of the id; rows without one are hashed by their text (test_null_ids).
         hashed = sorted(
-            (int(hashlib.md5(("" if r["doc_id"] is None else str(r["doc_id"])).encode()).hexdigest()[:15], 16), -r["repeats"])
-            for r in own if r["size"]
+            (int(hashlib.md5(str(r["doc_id"]).encode()).hexdigest()[:15], 16), -r["repeats"])
+            for r in own if r["size"] and r["doc_id"] is not None
         )
         assert [x for _, x in hashed] == sorted(x for _, x in hashed)
     assert all(r["taken"] <= 3 * r["size"] for r in found)
@@ -96,3 +97,16 @@ def test_decided_keeps_columns_and_agrees(spark):
     both = {(r["doc_id"], r["source"]): r["repeats"] for r in op.mix(docs).collect()}
     assert all(both[r["doc_id"], r["source"]] == r["__repeats"] for r in rows)
     assert op.mix(empty(spark)).count() == 0
+
+
+def test_null_ids(spark):
+    """Rows without an id meet the targets as others do, and are nested by their texts' hashes."""
+    rows = [(None, f"{'w ' * 9}{i}", None, "ab"[i % 2], 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = check(docs)
+    for source, target in (("a", 4000 / 3), ("b", 8000 / 3)):
+        assert abs(sum(r["taken"] for r in found if r["source"] == source) - target) <= 10
+    for source in "ab":
+        taken = [(int(hashlib.md5(f"t{r['text']}".encode()).hexdigest()[:15], 16), -r["__repeats"])
+                 for r in op.decided(docs).collect() if r["source"] == source]
+        assert [x for _, x in sorted(taken)] == sorted(x for _, x in taken)
