@@ -1,6 +1,7 @@
 """Row groups read alone, and the samples that choose them."""
 
 import os
+import pickle
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -164,3 +165,21 @@ def test_written_bytes_are_those_of_the_files(spark, base, tmp_path):
         size = sum(p.stat().st_size for p in (tmp_path / year[2]).glob("*.parquet"))
         assert row["rows"] == 100 and abs(row["file_bytes"] - size) < 0.05 * size
         assert row["output_bytes_per_row"] == row["file_bytes"] / 100
+
+
+def test_many_groups_share_tasks(spark, footers, monkeypatch):
+    """No more tasks than the bound, every group once, and no task gets the others' groups."""
+    a = path_of(footers, "a.parquet")
+    options = {"groups": f'[["{a}", {list(range(40))}]]', "tasks": "3"}
+    reader = groups.RowGroupReader(StructType([N, *groups.PLACES]), options)
+    parts = reader.partitions()
+    assert [1 + len(part.more) for part in parts] == [13, 13, 14]
+    assert [g.number for part in parts for g in (part, *part.more)] == list(range(40))
+    assert a.encode() not in pickle.dumps(reader)
+    assert sum(batch.num_rows for part in parts for batch in reader.read(part)) == 1000
+    monkeypatch.setattr(groups, "TASKS_PER_SLOT", 1)
+    rows = groups.read_row_groups(footers.where("col_index = 0").select("path", "row_group"), [N])
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    found = sorted((r["path"] == a, r["row_group"], r["row"], r["file_row"], r["n"]) for r in rows.collect())
+    assert [row for row in found if row[0]] == [(True, i // 25, i % 25, i, i) for i in range(1000)]
+    assert len(found) == 1015
