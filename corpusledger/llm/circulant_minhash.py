@@ -10,7 +10,9 @@ serve for reporting only.
 1. ``signed``: one pass over the texts gives set size, set hash and band hashes of each row.
 2. Rows with one and the same set (a 128-bit hash of it) are one class; one of them goes on.
 3. In every band bucket the members are compared with its smallest one only: linear in the bucket.
-   What is confirmed is joined into components.
+   First each row meets the smallest of all its buckets' smallest rows; what is confirmed is joined into
+   components, and of the other pairs those within one component need no comparison (``_stars``). A
+   group of near copies so takes about one comparison per row, not one per row and band.
 4. Buckets that then still hold more than one component are settled exactly: of their documents
    every pair of different components is compared whose rarest shingles leave the similarity
    possible (``_rare_pairs``). The rarest come first, so neither a passage that many documents share
@@ -45,6 +47,8 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _PIECE = 1024
+#: Pairs of one first document that meet in one group: a document with more of them has several groups.
+PAIRS_PER_GROUP = 512
 SIGNED = "n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
 
@@ -192,12 +196,16 @@ def signed(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int =
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     """Of (a, b), those whose full shingle sets reach the similarity.
 
-    The second text travels to the first document's place; the first is read once per document, and
-    its set computed once as its pairs follow each other.
+    The second text travels to the first document's place; the first is read once per
+    ``PAIRS_PER_GROUP`` of its pairs, and its set computed once as they follow each other.
     """
-    second = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-    first = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
-    both = second.join(first, "a").select("a", "b", "text_a", "text_b")
+    pairs = staged(pairs.select("a", "b"), "pairs")
+    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_GROUP).cast("bigint").alias("groups"))
+    placed = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), "groups").alias("part"), "b")
+    second = placed.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+    parts = groups.select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1)).alias("part"))
+    first = parts.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+    both = second.join(first, ["a", "part"]).select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_confirm(percent, words), "a bigint, b bigint")
 
 
@@ -268,10 +276,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
         buckets.join(shared.select("band", "low"), "band").select("band", "low", "row", "n_shingles"),
         "buckets",
     )
-    stars = members.where("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b"))
-    links = staged(confirmed(stars.distinct(), texts, percent, words), "stars")
     in_buckets = members.select("row").distinct()
-    grouped = staged(components(in_buckets, links), "grouped")
+    links, grouped = _stars(members, in_buckets, texts, percent, words)
     # Buckets that are not yet one component.
     named = members.join(grouped, "row")
     open_bands = named.groupBy("band").agg(
@@ -306,6 +312,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     )
 
 
+def _stars(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, words: int):
+    """Links between rows and the smallest ones of their buckets, and the components they make.
+
+    All such pairs are compared but those whose rows are in one component without it.
+    """
+    stars = members.where("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct()
+    stars = staged(stars, "pairs")
+    nearest = staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
+    links = staged(confirmed(nearest, texts, percent, words), "stars")
+    grouped = staged(components(nodes, links), "grouped")
+    at, bt = (
+        grouped.select(F.col("row").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")
+    )
+    apart = stars.join(at, "a").join(bt, "b").where("root_a <> root_b").select("a", "b")
+    rest = staged(apart.join(nearest, ["a", "b"], "left_anti"), "apart")
+    if rest.take(1):
+        links = links.unionByName(staged(confirmed(rest, texts, percent, words), "stars"))
+        grouped = staged(components(nodes, links), "grouped")
+    return links, grouped
+
+
 def _rare_pairs(rest: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     """(a, b) of different components that can be similar enough by their rarest shingles.
 

@@ -154,3 +154,24 @@ def test_ids_of_other_types(spark):
     assert {(r["doc_id"], r["component_id"], r["kept"]) for r in op.near_duplicates(docs).collect()} == {
         ("a", "a", True), ("b", "a", False), (None, None, True),
     }
+
+
+def test_near_copies_take_one_comparison_each(spark, monkeypatch):
+    """A group of near copies is compared about once per row, whatever the number of bands; none is lost."""
+    rng, rows = random.Random(5), []
+    for i in range(120):
+        words = [f"w{k}" for k in range(400)]
+        for at in rng.sample(range(400), 5):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compared, plain = [], op.confirmed
+
+    def counting(pairs, *more):
+        compared.append(pairs.count())
+        return plain(pairs, *more)
+
+    monkeypatch.setattr(op, "confirmed", counting)
+    monkeypatch.setattr(op, "PAIRS_PER_GROUP", 7, raising=False)
+    assert found(docs) == brute(rows)
+    assert sum(compared) < 2 * len(rows)
