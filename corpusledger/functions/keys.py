@@ -25,10 +25,18 @@ def shuffle_key(seed: int, dump: Column | str, doc_id: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), dump, doc_id.cast("string")))
 
 
-def bucket_bits(rows: int) -> int:
-    """Leading key bits that split a dump of ``rows`` rows into buckets of about ``BUCKET_ROWS``."""
+def bucket_bits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Leading key bits that split a dump of ``rows`` rows into buckets of about ``bucket_rows``."""
     bits = 6
-    while rows > BUCKET_ROWS << bits and bits < KEY_BITS:
+    while rows > bucket_rows << bits and bits < KEY_BITS:
+        bits += 1
+    return bits
+
+
+def id_bits(rows: int, last: int, bucket_rows: int) -> int:
+    """Last bits of ids up to ``last`` that leave out about ``bucket_rows`` of a dump's ``rows`` ids."""
+    bits = 0
+    while (rows << bits + 1) <= bucket_rows * (last + 1) and bits < ID_BUCKET_BITS:
         bits += 1
     return bits
 
@@ -40,13 +48,13 @@ def key_bucket(key: Column | str, bits: int | Column = DEFAULT_BITS) -> Column:
     return F.call_function("shiftright", head, shift)
 
 
-def id_bucket(doc_id: Column | str) -> Column:
-    """Bucket of a unique integer id, monotone in the id.
+def id_bucket(doc_id: Column | str, bits: int | Column = ID_BUCKET_BITS) -> Column:
+    """Bucket of a unique integer id, monotone in the id: the id without its last ``bits``.
 
     Meant for ids that number documents. Random 64-bit ids would get a bucket each, and the
     running sum over buckets would be as long as the dump; number such documents first.
     """
-    return F.shiftright(_col(doc_id), ID_BUCKET_BITS)
+    return F.call_function("shiftright", _col(doc_id), F.lit(bits) if isinstance(bits, int) else bits)
 
 
 def dump_of_shard(name: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusledger.functions.keys import DEFAULT_BITS, id_bucket, key_bucket, shuffle_key
+from corpusledger.functions.keys import DEFAULT_BITS, ID_BUCKET_BITS, id_bucket, key_bucket, shuffle_key
 from corpusledger.functions.text import ceil_div
 from corpusledger.operators.prefix import dense_index, find_cuts, keep_prefix
 
@@ -22,9 +22,9 @@ def seeded(docs: DataFrame, seed: int, bits: int | Column = DEFAULT_BITS) -> Dat
     return keyed.withColumn("bucket", key_bucket("key", bits))
 
 
-def in_source_order(docs: DataFrame) -> DataFrame:
+def in_source_order(docs: DataFrame, bits: int | Column = ID_BUCKET_BITS) -> DataFrame:
     """Add ``bucket`` for prefixes in source order, which ``doc_id`` gives."""
-    return docs.withColumn("bucket", id_bucket("doc_id"))
+    return docs.withColumn("bucket", id_bucket("doc_id", bits))
 
 
 SEEDED_ORDER = ["key", "doc_id"]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusledger.functions.counters import CounterSpec, token_count
-from corpusledger.functions.keys import bucket_bits
+from corpusledger.functions.keys import BUCKET_ROWS, ID_BUCKET_BITS, bucket_bits, id_bits, id_bucket, key_bucket
 from corpusledger.functions.text import checked_text, int_div
 from corpusledger.operators.prefix import assign_shards, find_cuts, keep_prefix, shard_bounds
 from corpusledger.operators.select import (
@@ -37,6 +37,8 @@ MARGIN = 1.05
 #: Candidate ranges are cut at multiples of 1/65,536 of the key space (four hex digits).
 SLOTS = 16**4
 ROWS_PER_WAVE = 500_000_000
+#: A row is compared with the starts of all shards of its bucket, so a bucket should have few.
+SHARDS_PER_BUCKET = 64
 #: Ids may leave out this many numbers for each one they use.
 MOST_GAPS = 1_000
 #: Drops the rows a year does not keep and gives the others their shard.
@@ -224,13 +226,19 @@ def _write_dumps(
     budget = one["token_quota"] is not None
     quota = "token_quota" if budget else "row_target"
 
+    bits = _bucket_bits(plan_rows, held, rows_per_shard, one["shuffle"])
     if one["shuffle"]:
-        ordered, order = seeded(docs, one["seed"], _bits_of_dump(plan_rows)), SEEDED_ORDER
+        ordered, order = seeded(docs, one["seed"], bits), SEEDED_ORDER
     else:
-        ordered, order = in_source_order(docs), SOURCE_ORDER
+        ordered, order = in_source_order(docs, bits), SOURCE_ORDER
 
     counts = f"{root}/_counted/{run}"
-    source = count_candidates(ordered, plans, count, keep_estimate(config), counts) if budget else ordered
+    source = ordered
+    if budget:
+        # Counts kept by an interrupted run may have the buckets of a source that was smaller.
+        bucket = key_bucket("key", bits) if one["shuffle"] else id_bucket("doc_id", bits)
+        counted = count_candidates(ordered, plans, count, keep_estimate(config), counts)
+        source = counted.withColumn("bucket", bucket)
     narrow = source.select(DUMP, "bucket", *order, *(["token_count"] if budget else []))
     positions = all(held[name]["last"] == held[name]["rows"] - 1 for name in plan_rows)
     if not budget and not one["shuffle"] and positions:
@@ -264,6 +272,7 @@ def _write_dumps(
         write_shards(
             sharded, root, order=order, year=config.year, tokens=tokens,
             shards=sum(end - first for first, end in wave.values()), compression=config.compression,
+            rows_per_shard=rows_per_shard,
         )
         commit += 1
         log.commit()
@@ -390,6 +399,15 @@ def _by_dump(values: dict[str, int]) -> Column:
     return F.element_at(F.create_map(*pairs), F.col(DUMP))
 
 
-def _bits_of_dump(plan_rows: dict) -> Column:
-    """Bucket bits by dump size, so that small dumps do not get the buckets of a large one."""
-    return _by_dump({name: bucket_bits(row["available_rows"]) for name, row in plan_rows.items()})
+def _bucket_bits(plan_rows: dict, held: dict, rows_per_shard: int, shuffle: bool) -> Column:
+    """Bucket bits by dump size, so that small dumps do not get the buckets of a large one.
+
+    With small shards the buckets are smaller, so that none has many shards.
+    """
+    most = SHARDS_PER_BUCKET * rows_per_shard
+    if shuffle:
+        size = min(BUCKET_ROWS, most)
+        return _by_dump({name: bucket_bits(row["available_rows"], size) for name, row in plan_rows.items()})
+    if most >= 1 << ID_BUCKET_BITS:
+        return F.lit(ID_BUCKET_BITS)
+    return _by_dump({name: id_bits(held[name]["rows"], held[name]["last"], most) for name in plan_rows})

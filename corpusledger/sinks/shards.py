@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
 from corpusledger.functions.text import checked_int32, date_literal, int_div
-from corpusledger.runtime import path_exists
+from corpusledger.runtime import COMMIT_BY_TASKS, bounded_listing, path_exists
 from corpusledger.sources.files import list_files
 
 #: Fixed value: the output columns, in order.
@@ -25,6 +25,9 @@ MANIFEST_SCHEMA = "source_config string, shard int, rows bigint, tokens bigint,
 #: the run's progress. Manifests of earlier versions have none.
 COMMIT_SCHEMA = f"{MANIFEST_SCHEMA}, taken_at double"
 SHARDS_PER_TASK = 2
+#: Rows of a writing task where shards are small; below that, at most so many tasks for each slot.
+ROWS_PER_TASK = 100_000
+TASKS_PER_SLOT = 4
 
 
 _clocks: list[Callable[[], float]] = []
@@ -170,27 +173,39 @@ def in_wave(wave: Wave) -> Column:
 
 def write_shards(
     rows: DataFrame, root: str, *, order: list[str], year: int, tokens: Column, shards: int,
-    compression: str = "zstd",
+    compression: str = "zstd", rows_per_shard: int | None = None,
 ) -> None:
     """Write rows that carry ``source_config`` and ``shard``: one file per shard, in order.
 
     The only wide shuffle of text. Tokens are counted behind it if ``tokens`` is a counter, so
-    the work spreads over shards however few splits the source has. It appends, so any output
-    committer will do; ``clear_shards`` removes what a crashed wave left behind.
+    the work spreads over shards however few splits the source has. A task writes
+    ``SHARDS_PER_TASK`` shards, or more of them if they are small (``rows_per_shard``). It appends, so
+    any output committer will do, and tasks put their files in place themselves; ``clear_shards``
+    removes what a crashed wave left behind.
     """
     keys = ["source_config", "shard"]
-    placed = rows.repartition(max(1, -(-shards // SHARDS_PER_TASK)), *keys)
+    placed = rows.repartition(writing_tasks(rows.sparkSession, shards, rows_per_shard), *keys)
     (
         output_rows(placed, year, tokens, keep=order)
         .sortWithinPartitions(*keys, *order)
         .drop(*order)
         .write.mode("append")
         .option("compression", compression)
+        .options(**COMMIT_BY_TASKS)
         .partitionBy(*keys)
         .parquet(f"{root}/data")
     )
 
 
+def writing_tasks(spark: SparkSession, shards: int, rows_per_shard: int | None = None) -> int:
+    """How many tasks write so many shards: a number that grows with rows, not with small shards."""
+    tasks = -(-shards // SHARDS_PER_TASK)
+    if rows_per_shard is not None:
+        by_rows = -(-shards * rows_per_shard // ROWS_PER_TASK)
+        tasks = min(tasks, max(by_rows, TASKS_PER_SLOT * spark.sparkContext.defaultParallelism))
+    return max(1, tasks)
+
+
 def clear_shards(spark: SparkSession, root: str, firsts: dict[str, int], run: str, commit: int) -> None:
     """Delete every shard of a dump from its first pending one on.
 
@@ -243,7 +258,8 @@ def read_output(spark: SparkSession, root: str, dumps: list[str] | None = None)
     schema = f"{OUTPUT_SCHEMA}, source_config string, shard int"
     base = f"{root}/data"
     paths = [f"{base}/source_config={name}" for name in dumps] if dumps else [base]
-    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+    with bounded_listing(spark):
+        return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
 
 def output_files(spark: SparkSession, root: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusledger.runtime import pin_small, stage
+from corpusledger.runtime import bounded_listing, pin_small, stage
 
 FOOTER_SCHEMA = (
     "path string, row_group int, rows bigint, col_index int, col string, type string, "
@@ -41,12 +41,13 @@ def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> Da
     million files does not take a million tasks.
     """
     splits = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(base)
-    )
+    with bounded_listing(spark):
+        found = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true")
+            .load(base)
+        )
     files = found.coalesce(splits).select(
         "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
     )
