@@ -16,7 +16,9 @@ serve for reporting only.
 4. Buckets that then still hold more than one component are settled exactly: of their documents
    every pair of different components is compared whose rarest shingles leave the similarity
    possible (``_rare_pairs``). The rarest come first, so neither a passage that many documents share
-   nor a crowd of texts that are nearly similar enough makes pairs.
+   nor a crowd of texts that are nearly similar enough makes pairs. Where a rare shingle would still
+   make many, rows first meet a few rows of the shingle's largest component, others each round
+   (``_rare_stars``): a row on the rim of a group needs one link to it, not a comparison with all of it.
 5. Components of all confirmed links, by rounds of neighbour minima, kept in the shared folder.
 
 With 32 bands of 4, a pair with a similarity of 0.75 shares no bucket with a probability of 5e-6.
@@ -32,6 +34,8 @@ has an order.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -49,6 +53,12 @@ _MIX2 = np.uint64(0x94D049BB133111EB)
 _PIECE = 1024
 #: Pairs of one first document that meet in one group: a document with more of them has several groups.
 PAIRS_PER_GROUP = 512
+#: A shingle that would make more pairs of different components than this per row is first met by stars,
+#: with so many centers in a round, in at most so many rounds, as long as one comparison in ``WORTH`` finds a link.
+CROWDED = 4
+CENTERS = 16
+STAR_ROUNDS = 8
+WORTH = 500
 SIGNED = "n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
 
@@ -286,8 +296,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     rest = named.join(open_bands.select("band"), "band", "left_semi").select("row", "root")
     rest = staged(rest.distinct(), "rest")
     if rest.take(1):
-        more = confirmed(_rare_pairs(rest, texts, percent, words), texts, percent, words)
-        links = links.unionByName(staged(more, "more"))
+        rare = _rare_shingles(rest, texts, percent, words)
+        rest, stars = _rare_stars(rare, rest, texts, percent, words)
+        more = confirmed(_pairs_of(rare, rest, percent), texts, percent, words)
+        links = reduce(DataFrame.unionByName, [links, *stars, staged(more, "more")])
         grouped = components(in_buckets, links)
     key = ["set_a", "set_b", "n_shingles"]
     rooted = classes.join(
@@ -341,6 +353,11 @@ def _rare_pairs(rest: DataFrame, texts: DataFrame, percent: int, words: int) ->
     of the smaller and the first nb - t nb + 1 of the larger one, and behind it there must be room for
     the rest of the overlap. Only pairs that meet all of this leave the join.
     """
+    return _pairs_of(_rare_shingles(rest, texts, percent, words), rest, percent)
+
+
+def _rare_shingles(rest: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """(row, n, shingle, place): the leading shingles of each row of ``rest`` that other rows have too."""
     own = texts.select("row", "text").join(rest, "row", "left_semi")
     listed = staged(own.mapInArrow(_shingles(words), "row bigint, n bigint, shingle bigint"), "shingles")
     often = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -351,24 +368,112 @@ def _rare_pairs(rest: DataFrame, texts: DataFrame, percent: int, words: int) ->
     first = ranked.withColumn("place", F.row_number().over(order)).where(
         (place <= n - F.floor((n * percent + 99) / 100) + 1) & (F.col("df") > 1)
     )
+    return staged(first.select("row", "n", "shingle", "place"), "rare")
+
+
+def _crowds(named: DataFrame) -> DataFrame:
+    """(shingle, rows, pairs, main) of shingles with rows of several components.
+
+    ``pairs`` are those of different components, ``main`` is the component with most rows.
+    """
+    size = F.col("rows").cast("double")
+    return (
+        named.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("shingle")
+        .agg(F.sum("rows").alias("rows"), F.sum(size * size).alias("own"), F.max(F.struct("rows", "root")).alias("most"))
+        .where(F.col("rows") > F.col("most.rows"))
+        .select("shingle", "rows", ((size * size - F.col("own")) / 2).alias("pairs"), F.col("most.root").alias("main"))
+    )
+
+
+def _centers(inside: DataFrame, turn: int) -> DataFrame:
+    """(shingle, center): up to ``CENTERS`` rows (n, row, place) of each shingle, others for each shingle and turn."""
+
+    def pick(number: int):
+        mask = F.xxhash64("shingle", F.lit(turn * CENTERS + number))
+        masked = F.col("row").bitwiseXOR(mask).alias("masked")
+        return F.min(F.struct(masked, "n", "row", "place")).alias(f"pick{number}")
+
+    picked = inside.groupBy("shingle").agg(*map(pick, range(CENTERS)))
+    rows = F.array(*(
+        F.struct(*(F.col(f"pick{number}.{name}") for name in ("n", "row", "place"))) for number in range(CENTERS)
+    ))
+    return picked.select("shingle", F.explode(F.array_distinct(rows)).alias("center"))
+
+
+def _rare_stars(rare: DataFrame, rest: DataFrame, texts: DataFrame, percent: int, words: int):
+    """``rest`` with fewer components, and the links that joined them.
+
+    In each round every row of a crowded shingle is compared with ``CENTERS`` rows of the shingle's
+    largest component, unless it is in that or the two cannot be similar enough. Rounds end when no shingle is crowded or few links are found; what is left is for
+    ``_pairs_of``, so nothing is lost.
+    """
+    found = []
+    for turn in range(STAR_ROUNDS):
+        named = rare.join(rest, "row")
+        crowds = staged(_crowds(named).where(F.col("pairs") > CROWDED * F.col("rows")), "crowds")
+        if not crowds.take(1):
+            break
+        own = F.struct("n", "row", "place")
+        crowded = named.join(crowds.select("shingle", "main"), "shingle")
+        centers = staged(_centers(crowded.where("root = main"), turn), "centers")
+        met = crowded.where("root <> main").join(centers, "shingle")
+        met = met.select(F.least(own, "center").alias("a"), F.greatest(own, "center").alias("b"))
+        met = met.where(
+            (F.col("a.place") <= _prefix("a.n", percent))
+            & _possible(*(F.col(name) for name in ("a.n", "b.n", "a.place", "b.place")), percent)
+        )
+        pairs = met.select(F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b"))
+        pairs = staged(pairs.distinct(), "pairs")
+        links = staged(confirmed(pairs, texts, percent, words), "stars")
+        linked = links.count()
+        if not linked:
+            break
+        found.append(links)
+        at, bt = (rest.select(F.col("row").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b"))
+        met = links.join(at, "a").join(bt, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        now = components(rest.select(F.col("root").alias("row")).distinct(), met)
+        now = now.select(F.col("row").alias("root"), F.col("root").alias("now"))
+        rest = staged(rest.join(now, "root").select("row", F.col("now").alias("root")), "rest")
+        if linked * WORTH < pairs.count():
+            break
+    return rest, found
+
+
+def _prefix(n: str, percent: int):
+    """The last place at which the smaller of two sets can have their first common shingle."""
+    n, whole = F.col(n), 100 + percent
+    return n - F.floor((2 * percent * n + whole - 1) / whole) + 1
+
+
+def _possible(na, nb, pa, pb, percent: int):
+    """Whether sets of na <= nb shingles whose first common one is at these places can be similar enough."""
+    room = F.least(na - pa, nb - pb) + 1
+    return (100 * na >= percent * nb) & ((100 + percent) * room >= percent * (na + nb))
+
+
+def _pairs_of(rare: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
+    """The pairs of ``_rare_pairs``. Rows of a shingle's largest component do not meet each other."""
+    crowds = staged(_crowds(rare.join(rest, "row")).select("shingle", "main"), "crowds")
     first = staged(
-        first.join(rest, "row").select("row", "n", "shingle", "place", "root"), "rare"
+        rare.join(rest, "row").join(crowds, "shingle")
+        .select("row", "n", "shingle", "place", "root", (F.col("root") == F.col("main")).alias("inside")),
+        "named",
     )
-    whole = 100 + percent
-    smaller = first.where(place <= n - F.floor((2 * percent * n + whole - 1) / whole) + 1)
+    smaller = first.where(F.col("place") <= _prefix("n", percent))
+    sides = F.when(F.col("inside"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    smaller = smaller.withColumn("inside", F.explode(sides))
     left, right = (
         side.select(
             F.col("shingle").alias(f"s{x}"), F.col("row").alias(x), F.col("n").alias(f"n{x}"),
-            F.col("place").alias(f"p{x}"), F.col("root").alias(f"c{x}"),
+            F.col("place").alias(f"p{x}"), F.col("root").alias(f"c{x}"), F.col("inside").alias(f"i{x}"),
         )
         for x, side in (("a", smaller), ("b", first))
     )
-    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     pairs = left.join(
         right,
-        (F.col("sa") == F.col("sb")) & (F.col("ca") != F.col("cb"))
+        (F.col("sa") == F.col("sb")) & (F.col("ia") == F.col("ib")) & (F.col("ca") != F.col("cb"))
         & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-        & (100 * F.col("na") >= percent * F.col("nb"))
-        & (whole * room >= percent * (F.col("na") + F.col("nb"))),
+        & _possible(*(F.col(name) for name in ("na", "nb", "pa", "pb")), percent),
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -175,3 +175,38 @@ def test_near_copies_take_one_comparison_each(spark, monkeypatch):
     monkeypatch.setattr(op, "PAIRS_PER_GROUP", 7, raising=False)
     assert found(docs) == brute(rows)
     assert sum(compared) < 2 * len(rows)
+
+
+def test_rows_on_the_rim_of_a_group_are_not_compared_with_all_of_it(spark):
+    """Rows near enough to a few of a large component only: few meet all of it, and no link is lost."""
+    base, rng = [f"w{k}" for k in range(150)], random.Random(11)
+
+    def changed(*places):
+        words = list(base)
+        for slot, value in places:
+            words[8 + 18 * slot] = f"x{slot}_{value}"
+        return " ".join(words)
+
+    inside = [changed((a, i), (b, j)) for a, b in combinations(range(8), 2) for i in range(4) for j in range(4)]
+    rim = sorted({changed(*((slot, rng.randrange(4)) for slot in rng.sample(range(8), 4))) for _ in range(60)})
+    rows = list(enumerate([*inside, *rim]))
+    texts = spark.createDataFrame(rows, "row bigint, text string").coalesce(1).cache()
+    rest = texts.selectExpr("row", f"IF(row < {len(inside)}, 0, row) AS root")
+    rare = op._rare_shingles(rest, texts, 75, 5)
+    joined, links = op._rare_stars(rare, rest, texts, 75, 5)
+    left = op._pairs_of(rare, joined, 75)
+    every = op._rare_pairs(rest, texts, 75, 5).count()
+    assert left.count() < every / 4 and every > 10 * len(rows)
+    sets, root = [shingles(text) for _, text in rows], dict(rest.collect())
+    similar = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    for table in links:
+        assert all(similar(*pair) for pair in table.collect())
+    more = [tuple(pair) for pair in op.confirmed(left, texts, 75, 5).collect()]
+    groups = op.components(
+        joined.select(joined.root.alias("row")).distinct(),
+        spark.createDataFrame([(now[a], now[b]) for now in [dict(joined.collect())] for a, b in more], "a bigint, b bigint"),
+    )
+    end, at = dict(groups.collect()), dict(joined.collect())
+    for a, b in combinations(range(len(rows)), 2):
+        if similar(a, b):
+            assert end[at[a]] == end[at[b]], (a, b, root[a], root[b])
