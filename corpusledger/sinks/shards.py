@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
 from corpusledger.functions.text import checked_int32, date_literal, int_div
-from corpusledger.runtime import COMMIT_BY_TASKS, bounded_listing, path_exists
+from corpusledger.runtime import MANY_FILES, bounded_listing, path_exists
 from corpusledger.sources.files import list_files
 
 #: Fixed value: the output columns, in order.
@@ -180,8 +180,8 @@ def write_shards(
     The only wide shuffle of text. Tokens are counted behind it if ``tokens`` is a counter, so
     the work spreads over shards however few splits the source has. A task writes
     ``SHARDS_PER_TASK`` shards, or more of them if they are small (``rows_per_shard``). It appends, so
-    any output committer will do, and tasks put their files in place themselves; ``clear_shards``
-    removes what a crashed wave left behind.
+    any output committer will do, and tasks put their files in place themselves, without checksum files
+    beside them; ``clear_shards`` removes what a crashed wave left behind.
     """
     keys = ["source_config", "shard"]
     placed = rows.repartition(writing_tasks(rows.sparkSession, shards, rows_per_shard), *keys)
@@ -191,7 +191,7 @@ def write_shards(
         .drop(*order)
         .write.mode("append")
         .option("compression", compression)
-        .options(**COMMIT_BY_TASKS)
+        .options(**MANY_FILES)
         .partitionBy(*keys)
         .parquet(f"{root}/data")
     )

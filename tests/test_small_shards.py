@@ -1,6 +1,7 @@
 """Many small shards: tasks and comparisons grow with rows, and plans keep their output bytes."""
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,25 @@ def test_multi_year_plan_has_output_bytes(spark, tmp_path):
     joined = found.merge(answer, on="year", suffixes=("", "_sql"))
     for name in ("output_bytes_all", "output_bytes_at_target"):
         assert (joined[name] > 0).all() and (abs(joined[name] - joined[f"{name}_sql"]) < 0.011).all()
+
+
+def test_one_file_per_shard(spark, tmp_path):
+    """A shard's folder holds its one file: no second one with checksums, and its pages are checked."""
+    rows = spark.range(60).select(
+        F.lit("d").alias("source_config"), (F.col("id") % 6).cast("int").alias("shard"), "id",
+        F.concat(F.lit("some words "), F.col("id")).alias("text"),
+    )
+    root = tmp_path / "year"
+    sink.write_shards(
+        rows, str(root), order=["id"], year=2013, tokens=F.lit(3), shards=6, compression="none", rows_per_shard=10,
+    )
+    folders = sorted((root / "data" / "source_config=d").glob("shard=*"))
+    assert [len(list(folder.iterdir())) for folder in folders] == [1] * 6
+    assert sink.read_output(spark, root=str(root)).agg(F.count_distinct("text")).first()[0] == 60
+    (written,) = folders[0].iterdir()
+    pq.ParquetFile(written, page_checksum_verification=True).read()
+    spoilt = written.read_bytes().replace(b"some words 6", b"some worlds6", 1)
+    copy = tmp_path / "spoilt.parquet"
+    copy.write_bytes(spoilt)
+    with pytest.raises(OSError, match="CRC"):
+        pq.ParquetFile(copy, page_checksum_verification=True).read()
