@@ -7,8 +7,9 @@ tokens, truncation or padding.
 from __future__ import annotations
 
 import base64
+import functools
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -51,24 +52,26 @@ class CounterSpec:
 
 
 def token_count(spark: SparkSession, spec: CounterSpec) -> Callable[[Column | str], Column]:
-    """A function from a text column to its ``bigint`` token count."""
+    """A function from a text column to its ``bigint`` token count.
+
+    Several counters of one text share a Python worker, which gets the text once.
+    """
     if spec.kind == "regex":
         return lambda text: F.regexp_count(text, F.lit(spec.pattern)).cast("bigint")
 
-    open_encoder = _encoder(spec, ship_file(spark, spec.path), lambda item: item)
+    name = ship_file(spark, spec.path)
     size = spec.batch_size
 
     @F.arrow_udf("bigint")
-    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = open_encoder()
-        for batch in batches:
-            lengths: list[int] = []
-            for start in range(0, len(batch), size):
-                texts = batch.slice(start, size).to_pylist()
-                if None in texts:
-                    raise TypeError("cannot count the tokens of a null text")
-                lengths.extend(map(len, encode(texts)))  # of encodings, not of lists of ids
-            yield pa.array(lengths, pa.int64())
+    def count(batch: pa.Array) -> pa.Array:
+        encode = _encoder(spec, name)
+        lengths: list[int] = []
+        for start in range(0, len(batch), size):
+            texts = batch.slice(start, size).to_pylist()
+            if None in texts:
+                raise TypeError("cannot count the tokens of a null text")
+            lengths.extend(map(len, encode(texts)))  # of encodings, not of lists of ids
+        return pa.array(lengths, pa.int64())
 
     return count
 
@@ -77,60 +80,55 @@ def token_ids_digest(spark: SparkSession, spec: CounterSpec) -> Callable[[Column
     """Count and SHA-256 of the comma-joined token ids; the ids never leave the worker."""
     if spec.kind == "regex":
         raise ValueError("The regex counter has no token ids")
-    open_encoder = _encoder(spec, ship_file(spark, spec.path), lambda item: item.ids)
+    name = ship_file(spark, spec.path)
     size = spec.batch_size
 
     @F.arrow_udf("struct<token_count: bigint, token_ids_sha256: string>")
-    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def digest(batch: pa.Array) -> pa.Array:
         from hashlib import sha256
 
-        encode = open_encoder()
-        for batch in batches:
-            lengths: list[int] = []
-            hashes: list[str] = []
-            for start in range(0, len(batch), size):
-                texts = batch.slice(start, size).to_pylist()
-                if None in texts:
-                    raise TypeError("cannot count the tokens of a null text")
-                for ids in encode(texts):
-                    lengths.append(len(ids))
-                    hashes.append(sha256(",".join(map(str, ids)).encode()).hexdigest())
-            yield pa.StructArray.from_arrays(
-                [pa.array(lengths, pa.int64()), pa.array(hashes, pa.string())],
-                names=["token_count", "token_ids_sha256"],
-            )
+        encode = _encoder(spec, name, with_ids=True)
+        lengths: list[int] = []
+        hashes: list[str] = []
+        for start in range(0, len(batch), size):
+            texts = batch.slice(start, size).to_pylist()
+            if None in texts:
+                raise TypeError("cannot count the tokens of a null text")
+            for ids in encode(texts):
+                lengths.append(len(ids))
+                hashes.append(sha256(",".join(map(str, ids)).encode()).hexdigest())
+        return pa.StructArray.from_arrays(
+            [pa.array(lengths, pa.int64()), pa.array(hashes, pa.string())],
+            names=["token_count", "token_ids_sha256"],
+        )
 
     return digest
 
 
-def _encoder(
-    spec: CounterSpec, name: str, wanted: Callable
-) -> Callable[[], Callable[[list[str]], list]]:
-    """A worker-side opener of the vocabulary; called once per task.
+@functools.lru_cache(8)
+def _encoder(spec: CounterSpec, name: str, with_ids: bool = False) -> Callable[[list[str]], list]:
+    """The vocabulary as a function from texts to encodings; a worker opens it once and keeps it.
 
-    ``wanted`` picks what is needed of an encoding: itself, if only its length counts, or its ids.
+    An encoding is what the library gives, if only its length counts, or else its ids.
     """
-    kind, pattern = spec.kind, spec.pattern
-
-    def open_ranks() -> Callable[[list[str]], list]:
+    if spec.kind == "bpe_ranks":
         import tiktoken
 
         with open(SparkFiles.get(name), "rb") as lines:
             pairs = (line.split() for line in lines)
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         encoding = tiktoken.Encoding(
-            name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+            name, pat_str=spec.pattern, mergeable_ranks=ranks, special_tokens={}
         )
         return lambda texts: [encoding.encode_ordinary(text) for text in texts]
 
-    def open_tokenizer() -> Callable[[list[str]], list]:
-        # One task slot is one core: threads inside the library would oversubscribe the host.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(SparkFiles.get(name))
-        tokenizer.encode_special_tokens = True
-        encode = tokenizer.encode_batch_fast if kind == "bpe_fast" else tokenizer.encode_batch
-        return lambda texts: [wanted(item) for item in encode(texts, add_special_tokens=False)]
+    # One task slot is one core: threads inside the library would oversubscribe the host.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-    return open_ranks if kind == "bpe_ranks" else open_tokenizer
+    tokenizer = Tokenizer.from_file(SparkFiles.get(name))
+    tokenizer.encode_special_tokens = True
+    encode = tokenizer.encode_batch_fast if spec.kind == "bpe_fast" else tokenizer.encode_batch
+    if with_ids:
+        return lambda texts: [item.ids for item in encode(texts, add_special_tokens=False)]
+    return lambda texts: encode(texts, add_special_tokens=False)

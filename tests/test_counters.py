@@ -50,6 +50,14 @@ def test_all_implementations_agree_whatever_the_batch(spark, docs, expected):
         assert (row["ranks"], row["fast"], row["batch"], row["single"]) == (want,) * 4
 
 
+def test_counters_of_one_text_share_a_worker(spark, docs):
+    """The text goes to Python once, however many counters are asked for."""
+    specs = [spec("bpe_fast"), spec("bpe_fast", 1), spec("bpe_batch"), spec("bpe_ranks")]
+    counted = docs.select(*(token_count(spark, one)("text").alias(f"c{n}") for n, one in enumerate(specs)))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_id_digests(spark, docs, expected):
     digest = token_ids_digest(spark, spec("bpe_ranks", 13))
     rows = docs.select("doc_id", digest("text").alias("ids")).select("doc_id", "ids.*").collect()
