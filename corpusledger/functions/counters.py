@@ -7,7 +7,6 @@ tokens, truncation or padding.
 from __future__ import annotations
 
 import base64
-import functools
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -59,12 +58,12 @@ def token_count(spark: SparkSession, spec: CounterSpec) -> Callable[[Column | st
     if spec.kind == "regex":
         return lambda text: F.regexp_count(text, F.lit(spec.pattern)).cast("bigint")
 
-    name = ship_file(spark, spec.path)
+    encoder = _opened_once(_encoder(spec, ship_file(spark, spec.path), lambda item: item))
     size = spec.batch_size
 
     @F.arrow_udf("bigint")
     def count(batch: pa.Array) -> pa.Array:
-        encode = _encoder(spec, name)
+        encode = encoder()
         lengths: list[int] = []
         for start in range(0, len(batch), size):
             texts = batch.slice(start, size).to_pylist()
@@ -80,14 +79,14 @@ def token_ids_digest(spark: SparkSession, spec: CounterSpec) -> Callable[[Column
     """Count and SHA-256 of the comma-joined token ids; the ids never leave the worker."""
     if spec.kind == "regex":
         raise ValueError("The regex counter has no token ids")
-    name = ship_file(spark, spec.path)
+    encoder = _opened_once(_encoder(spec, ship_file(spark, spec.path), lambda item: item.ids))
     size = spec.batch_size
 
     @F.arrow_udf("struct<token_count: bigint, token_ids_sha256: string>")
     def digest(batch: pa.Array) -> pa.Array:
         from hashlib import sha256
 
-        encode = _encoder(spec, name, with_ids=True)
+        encode = encoder()
         lengths: list[int] = []
         hashes: list[str] = []
         for start in range(0, len(batch), size):
@@ -105,30 +104,46 @@ def token_ids_digest(spark: SparkSession, spec: CounterSpec) -> Callable[[Column
     return digest
 
 
-@functools.lru_cache(8)
-def _encoder(spec: CounterSpec, name: str, with_ids: bool = False) -> Callable[[list[str]], list]:
-    """The vocabulary as a function from texts to encodings; a worker opens it once and keeps it.
+def _opened_once(open_encoder: Callable) -> Callable:
+    """``open_encoder`` with its result kept; each task gets a copy that has opened nothing yet."""
+    opened: list = []
 
-    An encoding is what the library gives, if only its length counts, or else its ids.
+    def encoder() -> Callable[[list[str]], list]:
+        if not opened:
+            opened.append(open_encoder())
+        return opened[0]
+
+    return encoder
+
+
+def _encoder(
+    spec: CounterSpec, name: str, wanted: Callable
+) -> Callable[[], Callable[[list[str]], list]]:
+    """A worker-side opener of the vocabulary; called once per task.
+
+    ``wanted`` picks what is needed of an encoding: itself, if only its length counts, or its ids.
     """
-    if spec.kind == "bpe_ranks":
+    kind, pattern = spec.kind, spec.pattern
+
+    def open_ranks() -> Callable[[list[str]], list]:
         import tiktoken
 
         with open(SparkFiles.get(name), "rb") as lines:
             pairs = (line.split() for line in lines)
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         encoding = tiktoken.Encoding(
-            name, pat_str=spec.pattern, mergeable_ranks=ranks, special_tokens={}
+            name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
         return lambda texts: [encoding.encode_ordinary(text) for text in texts]
 
-    # One task slot is one core: threads inside the library would oversubscribe the host.
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    def open_tokenizer() -> Callable[[list[str]], list]:
+        # One task slot is one core: threads inside the library would oversubscribe the host.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(SparkFiles.get(name))
+        tokenizer.encode_special_tokens = True
+        encode = tokenizer.encode_batch_fast if kind == "bpe_fast" else tokenizer.encode_batch
+        return lambda texts: [wanted(item) for item in encode(texts, add_special_tokens=False)]
 
-    tokenizer = Tokenizer.from_file(SparkFiles.get(name))
-    tokenizer.encode_special_tokens = True
-    encode = tokenizer.encode_batch_fast if spec.kind == "bpe_fast" else tokenizer.encode_batch
-    if with_ids:
-        return lambda texts: [item.ids for item in encode(texts, add_special_tokens=False)]
-    return lambda texts: encode(texts, add_special_tokens=False)
+    return open_ranks if kind == "bpe_ranks" else open_tokenizer

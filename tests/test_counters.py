@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -58,6 +61,16 @@ def test_counters_of_one_text_share_a_worker(spark, docs):
     assert plan.count("ArrowEvalPython") == 1
 
 
+@pytest.mark.parametrize("make", [token_count, token_ids_digest])
+def test_workers_need_no_package(spark, make):
+    """What goes to a worker names no module of this package, which a worker need not find."""
+    for kind in ("bpe_fast", "bpe_ranks"):
+        sent = cloudpickle.dumps(make(spark, spec(kind)).func)
+        code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read())"
+        done = subprocess.run([sys.executable, "-c", code], input=sent, cwd="/", capture_output=True)
+        assert done.returncode == 0, done.stderr.decode()
+
+
 def test_id_digests(spark, docs, expected):
     digest = token_ids_digest(spark, spec("bpe_ranks", 13))
     rows = docs.select("doc_id", digest("text").alias("ids")).select("doc_id", "ids.*").collect()
