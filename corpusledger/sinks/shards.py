@@ -6,13 +6,14 @@ import contextlib
 import re
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
 from corpusledger.functions.text import checked_int32, date_literal, int_div
-from corpusledger.runtime import MANY_FILES, bounded_listing, path_exists
+from corpusledger.runtime import MANY_FILES, bounded_listing, merged_splits, path_exists, stage
 from corpusledger.sources.files import list_files
 
 #: Fixed value: the output columns, in order.
@@ -28,6 +29,9 @@ SHARDS_PER_TASK = 2
 #: Rows of a writing task where shards are small; below that, at most so many tasks for each slot.
 ROWS_PER_TASK = 100_000
 TASKS_PER_SLOT = 4
+#: Spark's reader keeps about 2 KB on the driver for each file of a table: passes over whole years read so
+#: many shards at a time, in whole dumps.
+SHARDS_PER_READ = 20_000
 
 
 _clocks: list[Callable[[], float]] = []
@@ -233,13 +237,52 @@ def clear_shards(spark: SparkSession, root: str, firsts: dict[str, int], run: st
 
 
 def commit_shards(spark: SparkSession, root: str, wave: Wave, run: str, commit: int) -> None:
-    """Append a wave's shards to the manifest, measured from what was written."""
-    measured = read_output(spark, root, list(wave)).where(in_wave(wave)).groupBy("source_config", "shard").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens"),
-        F.lit(run).alias("run"), F.lit(commit).cast("bigint").alias("commit"),
-        F.lit(_now()).alias("taken_at"),
-    )
-    measured.write.mode("append").parquet(f"{root}/manifest")
+    """Append a wave's shards to the manifest, measured from what was written, all of them at once."""
+    names = sorted(wave)
+    # A dump's folder has its earlier shards too.
+    groups = dump_groups({name: wave[name][1] for name in names})
+    parts, taken_at = [], _now()
+    with merged_splits(spark):
+        for group in groups:
+            own = in_wave({name: wave[name] for name in group})
+            measured = read_output(spark, root, group).where(own).groupBy("source_config", "shard").agg(
+                F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens"),
+                F.lit(run).alias("run"), F.lit(commit).cast("bigint").alias("commit"),
+                F.lit(taken_at).alias("taken_at"),
+            )
+            parts.append(stage(measured, "measured") if len(groups) > 1 else measured)
+        reduce(DataFrame.unionByName, parts).write.mode("append").parquet(f"{root}/manifest")
+
+
+def dump_groups(shards: dict[str, int]) -> list[list[str]]:
+    """Dumps in name order, cut so that each group has at most ``SHARDS_PER_READ`` shards, or one dump."""
+    groups: list[list[str]] = []
+    room = 0
+    for name in sorted(shards):
+        if not groups or shards[name] > room:
+            groups.append([])
+            room = SHARDS_PER_READ
+        groups[-1].append(name)
+        room -= shards[name]
+    return groups
+
+
+def output_groups(spark: SparkSession, root: str, listed: DataFrame) -> list[list[str]] | None:
+    """The written dumps in ``dump_groups`` by the paths of their files; None if one read can take the whole year.
+
+    So it is too if there is anything beside the folders of dumps, for Spark's reader to judge.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data")
+    filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status for status in filesystem.listStatus(folder) if status.getPath().getName()[0] not in "._"]
+    dumps = [re.fullmatch(r"source_config=([\w.-]+)", status.getPath().getName()) for status in found]
+    if not all(status.isDirectory() and dump for status, dump in zip(found, dumps)):
+        return None
+    held = {dump[1]: 0 for dump in dumps}
+    dump = F.regexp_extract("path", r"/source_config=([^/]+)/", 1)
+    held.update({row[0]: row[1] for row in listed.groupBy(dump).count().collect()})
+    groups = dump_groups(held)
+    return groups if len(groups) > 1 else None
 
 
 def last_commit(spark: SparkSession, root: str) -> int:

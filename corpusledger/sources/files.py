@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import fnmatch
+import re
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,8 +19,12 @@ FOOTER_SCHEMA = (
 )
 
 
-#: Splits of a file listing per task slot of the session.
+#: Splits of a file listing per task slot of the session, if there are so many files for each.
 LISTING_SPLITS_PER_SLOT = 4
+FILES_PER_SPLIT = 16
+#: What a task has found below its folders is handed on in batches of so many entries.
+LISTED_PER_BATCH = 10_000
+LISTED_SCHEMA = "path string, folder boolean, size bigint, modified bigint"
 
 
 def open_filesystem(path: str):
@@ -35,10 +42,88 @@ def open_filesystem(path: str):
 def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> DataFrame:
     """``(path, name, size, modified)`` of the files below ``base``; no content is read.
 
-    Empty files are listed with size 0 and no time: Spark's readers pass over them, so they come from
-    the reader's own list of paths, which stays in the JVM. The reader plans about one split per
-    large file; as only names are read, splits are merged to a few per slot, so that listing a
-    million files does not take a million tasks.
+    Empty files are listed with size 0 and no time; names that Spark's readers pass over are left out.
+    Tasks list the folders level by level, so the driver holds no entry per file. Only of a store
+    that Arrow does not reach, of a single file or a pattern of folders does Spark's reader make the list.
+    """
+    if not _tasks_can_list(spark, base, pattern):
+        return _listed_by_reader(spark, base, pattern)
+    matches = re.compile(fnmatch.translate(pattern)).match
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        rows: list[tuple] = []
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                filesystem, inner = open_filesystem(path)
+                for entry in filesystem.get_file_info(fs.FileSelector(inner)):
+                    name, folder = entry.base_name, entry.type == fs.FileType.Directory
+                    if not _passed_over(name) and (folder or matches(name)):
+                        # Summary files have no rows, so they are listed as empty ones are.
+                        size = 0 if folder or name.startswith("_") and "=" not in name else entry.size
+                        time = entry.mtime_ns // 1_000_000 if size else None
+                        rows.append((f"{path.rstrip('/')}/{name}", folder, size, time))
+                    if len(rows) == LISTED_PER_BATCH:
+                        yield _listed_batch(rows)
+                        rows = []
+        yield _listed_batch(rows)
+
+    found, count = _level_by_level(spark, base, visit, LISTED_SCHEMA)
+    splits = min(LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism, -(-count // FILES_PER_SPLIT))
+    return found.repartition(max(1, splits)).select(
+        "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "size",
+        F.timestamp_millis("modified").alias("modified"),
+    )
+
+
+def _listed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"path": pa.string(), "folder": pa.bool_(), "size": pa.int64(), "modified": pa.int64()}
+    columns = zip(*rows) if rows else ([] for _ in kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(values), kind) for values, kind in zip(columns, kinds.values())], names=list(kinds)
+    )
+
+
+def _passed_over(name: str) -> bool:
+    """Whether Spark's readers pass over files and folders of that name."""
+    hidden = name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+    return hidden and not name.startswith(("_common_metadata", "_metadata"))
+
+
+def _tasks_can_list(spark: SparkSession, base: str, pattern: str) -> bool:
+    """Whether ``base`` is one folder in a store that Arrow reaches, and Python knows the pattern as Hadoop does."""
+    from pyarrow import fs
+
+    if re.search(r"[*?\[{\\]", base) or not re.fullmatch(r"[\w.*?-]+", pattern):
+        return False
+    try:
+        filesystem, inner = open_filesystem(_qualified(spark, base))
+        return filesystem.get_file_info(inner).type == fs.FileType.Directory
+    except (pa.ArrowException, OSError):
+        return False
+
+
+def _level_by_level(spark: SparkSession, base: str, visit: Callable, schema: str) -> tuple[DataFrame, int]:
+    """What ``visit`` finds in the folder ``base`` and in the folders it finds, staged, and how many files."""
+    slots = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
+    level = spark.createDataFrame([(_qualified(spark, base),)], "path string").coalesce(1)
+    levels, files = [], 0
+    while True:
+        listed = stage(level.mapInArrow(visit, schema), "folders")
+        levels.append(listed.where("NOT folder"))
+        folders, others = listed.agg(F.count_if("folder"), F.count_if(~F.col("folder"))).first()
+        files += others
+        if not folders:
+            return reduce(DataFrame.unionByName, levels), files
+        level = listed.where("folder").select("path").repartition(min(slots, folders))
+
+
+def _listed_by_reader(spark: SparkSession, base: str, pattern: str) -> DataFrame:
+    """The same list by Spark's reader, which passes over empty files: they come from its own list of paths.
+
+    The reader plans about one split per large file; as only names are read, splits are merged to a
+    few per slot.
     """
     splits = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
     with bounded_listing(spark):
@@ -81,17 +166,8 @@ def leftovers(spark: SparkSession, base: str) -> DataFrame:
     a working folder is reported and not entered. Like footers and hashes, this needs a store that
     Arrow reaches.
     """
-    slots = LISTING_SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism
-    level = spark.createDataFrame([(_qualified(spark, base),)], "path string")
-    found = spark.createDataFrame([], "path string, size bigint")
-    while True:
-        listed = stage(level.mapInArrow(_list_folders, "path string, folder boolean, size bigint"), "folders")
-        found = found.unionByName(listed.where("NOT folder").select("path", "size"))
-        level = listed.where("folder").select("path")
-        folders = level.count()
-        if not folders:
-            return found
-        level = level.repartition(min(slots, folders))
+    found, _ = _level_by_level(spark, base, _list_folders, "path string, folder boolean, size bigint")
+    return found.select("path", "size")
 
 
 def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
