@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusledger.runtime import bounded_listing, pin_small, stage
+from corpusledger.runtime import bounded_listing, merged_splits, pin_small, stage
 
 FOOTER_SCHEMA = (
     "path string, row_group int, rows bigint, col_index int, col string, type string, "
@@ -357,3 +357,18 @@ def file_digests(files: DataFrame, chunk: int = 8 * 1024 * 1024) -> DataFrame:
     return files.select("path", "name", "size").mapInArrow(
         digest, "path string, name string, size bigint, sha256 string"
     )
+
+
+def content_digests(spark: SparkSession, folders: list[list[str]], pattern: str = "*.parquet") -> DataFrame:
+    """``(path, size, sha256)`` of the files below the folders, hashed as whole contents by Spark's reader; staged.
+
+    The driver holds an entry per file of one list of folders at a time.
+    """
+    parts = []
+    for paths in folders:
+        with bounded_listing(spark):
+            content = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(paths)
+        hashed = content.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+        with merged_splits(spark):
+            parts.append(stage(hashed, "contents"))
+    return reduce(DataFrame.unionByName, parts)

@@ -1,8 +1,10 @@
 """What the driver and the scheduler hold of many small files: no entry or task for each."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from corpusledger.functions.counters import CounterSpec
 from corpusledger.plans import check
 from corpusledger.plans.config import RunConfig
@@ -101,3 +103,30 @@ def test_years_are_read_in_parts(spark, tmp_path, monkeypatch):
     (tmp_path / "year20" / "data" / "more").mkdir()
     listed = sink.output_files(spark, f"{tmp_path}/year20")
     assert sink.output_groups(spark, f"{tmp_path}/year20", listed) is None
+
+
+def test_hashes_of_many_shards(spark, tmp_path, monkeypatch):
+    """Folders of one shard each are listed and hashed by a few tasks, some dumps at a time."""
+    rows = spark.range(2_600).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit(1).alias("n_chars"),
+        F.concat(F.lit("src"), (F.col("id") < 100).cast("int")).alias("source"),
+        F.concat(F.lit("some words "), F.col("id")).alias("text"),
+    )
+    path = str(tmp_path / "documents.parquet")
+    rows.coalesce(1).write.parquet(path)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    answer = db.execute(entry.oracle_sql()["manifest_files"]).fetchall()
+    context = spark.sparkContext
+    for most in (20_000, 50):
+        monkeypatch.setattr(sink, "SHARDS_PER_READ", most)
+        context.setJobGroup(f"hashes {most}", "hashes")
+        try:
+            found = [tuple(row) for row in entry.queries()["manifest_files"](spark, str(tmp_path)).collect()]
+        finally:
+            context._jsc.clearJobGroup()
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup(f"hashes {most}") for s in tracker.getJobInfo(job).stageIds]
+        tasks = [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+        assert max(tasks) <= 4 * context.defaultParallelism < 157 + 7
+        assert found == answer == [("verified by sha256", 157 + 7)]
