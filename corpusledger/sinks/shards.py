@@ -6,14 +6,13 @@ import contextlib
 import re
 import time
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusledger.functions.keys import shard_name
 from corpusledger.functions.text import checked_int32, date_literal, int_div
-from corpusledger.runtime import MANY_FILES, bounded_listing, merged_splits, path_exists, stage
+from corpusledger.runtime import MANY_FILES, bounded_listing, path_exists, stage_parts
 from corpusledger.sources.files import list_files
 
 #: Fixed value: the output columns, in order.
@@ -238,20 +237,19 @@ def clear_shards(spark: SparkSession, root: str, firsts: dict[str, int], run: st
 
 def commit_shards(spark: SparkSession, root: str, wave: Wave, run: str, commit: int) -> None:
     """Append a wave's shards to the manifest, measured from what was written, all of them at once."""
-    names = sorted(wave)
+    taken_at = _now()
+
+    def measured(group: list[str]) -> DataFrame:
+        own = in_wave({name: wave[name] for name in group})
+        return read_output(spark, root, group).where(own).groupBy("source_config", "shard").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens"),
+            F.lit(run).alias("run"), F.lit(commit).cast("bigint").alias("commit"),
+            F.lit(taken_at).alias("taken_at"),
+        )
+
     # A dump's folder has its earlier shards too.
-    groups = dump_groups({name: wave[name][1] for name in names})
-    parts, taken_at = [], _now()
-    with merged_splits(spark):
-        for group in groups:
-            own = in_wave({name: wave[name] for name in group})
-            measured = read_output(spark, root, group).where(own).groupBy("source_config", "shard").agg(
-                F.count(F.lit(1)).alias("rows"), F.sum("token_count").cast("bigint").alias("tokens"),
-                F.lit(run).alias("run"), F.lit(commit).cast("bigint").alias("commit"),
-                F.lit(taken_at).alias("taken_at"),
-            )
-            parts.append(stage(measured, "measured") if len(groups) > 1 else measured)
-        reduce(DataFrame.unionByName, parts).write.mode("append").parquet(f"{root}/manifest")
+    groups = dump_groups({name: end for name, (_, end) in wave.items()})
+    stage_parts(groups, measured, "measured").write.mode("append").parquet(f"{root}/manifest")
 
 
 def dump_groups(shards: dict[str, int]) -> list[list[str]]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusledger.runtime import bounded_listing, merged_splits, pin_small, stage
+from corpusledger.runtime import bounded_listing, pin_small, stage, stage_parts
 
 FOOTER_SCHEMA = (
     "path string, row_group int, rows bigint, col_index int, col string, type string, "
@@ -364,11 +364,10 @@ def content_digests(spark: SparkSession, folders: list[list[str]], pattern: str
 
     The driver holds an entry per file of one list of folders at a time.
     """
-    parts = []
-    for paths in folders:
+
+    def hashed(paths: list[str]) -> DataFrame:
         with bounded_listing(spark):
             content = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(paths)
-        hashed = content.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
-        with merged_splits(spark):
-            parts.append(stage(hashed, "contents"))
-    return reduce(DataFrame.unionByName, parts)
+        return content.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+    return stage_parts(folders, hashed, "contents")

@@ -1,5 +1,8 @@
 """What the driver and the scheduler hold of many small files: no entry or task for each."""
 
+import gc
+import weakref
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from corpusledger.functions.counters import CounterSpec
 from corpusledger.plans import check
 from corpusledger.plans.config import RunConfig
 from corpusledger.plans.year import run_year
-from corpusledger.runtime import LISTING_CACHE, bounded_listing
+from corpusledger.runtime import LISTING_CACHE, bounded_listing, stage_parts
 from corpusledger.sinks import shards as sink
 from corpusledger.sources import files
 
@@ -50,6 +53,26 @@ def test_listings_leave_no_cache(spark):
     assert spark.conf.get(LISTING_CACHE) == before
 
 
+def test_parts_go_before_the_next(spark, tmp_path):
+    """The driver holds one part's table at a time, whenever Python would collect its garbage."""
+    path = str(tmp_path / "table")
+    spark.range(10).write.parquet(path)
+    seen = []
+
+    def make(part):
+        assert all(table() is None for table in seen)
+        rows = spark.read.parquet(path).where(F.col("id") == part)
+        seen.append(weakref.ref(rows._jdf))
+        return rows
+
+    gc.disable()
+    try:
+        found = stage_parts([1, 5, 7], make, "part")
+    finally:
+        gc.enable()
+    assert sorted(row["id"] for row in found.collect()) == [1, 5, 7] and len(seen) == 3
+
+
 @pytest.mark.parametrize("shards, groups", [
     ({"a": 3, "b": 2, "c": 1}, [["a", "b"], ["c"]]), ({"a": 9, "b": 9}, [["a"], ["b"]]),
     ({"b": 0, "a": 5}, [["a", "b"]]), ({}, []),
